@@ -26,10 +26,9 @@ def record_key(*cols: Column | str) -> Column:
 
 def valid_identity(min_year: int = 1900, max_year: int = 2027) -> Column:
     """Does a normalised row have an entity? True exactly where `with_entity_key` sets a key."""
-    return (
-        (F.col("normalized_make") != "")
-        & (F.col("normalized_model") != "")
-        & F.col("model_year_int").between(min_year, max_year)
+    return F.expr(
+        "normalized_make <> '' AND normalized_model <> '' "
+        f"AND model_year_int BETWEEN {min_year} AND {max_year}"
     )
 
 

@@ -10,7 +10,7 @@ from casefile.functions.text import as_column
 # Texts that mean yes.
 TRUE_TEXTS = ("y", "yes", "true", "1")
 
-_DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_DECIMAL_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def yyyymmdd(col: Column | str) -> Column:
@@ -53,12 +53,18 @@ def safe_double(col: Column | str, default: float | None = None) -> Column:
     return _with_default(F.when(text.rlike(_DECIMAL_TEXT), text.try_cast("double")), default)
 
 
-_CASTS = {"int": safe_int, "bigint": safe_long, "double": safe_double}
+# SQL of the bulk casts; the same conversions as safe_int, safe_long and safe_double.
+_CASTS = {
+    "int": "try_cast(trim(`{0}`) AS int)",
+    "bigint": "try_cast(trim(`{0}`) AS bigint)",
+    "double": f"CASE WHEN trim(`{{0}}`) RLIKE '{_DECIMAL_TEXT}' THEN try_cast(trim(`{{0}}`) AS double) END",
+}
 
 
 def cast_columns(df: DataFrame, types: dict[str, str], suffix: str | None = None) -> DataFrame:
     """Append a typed copy of every listed column: `<name>_int` or `<name>_decimal` unless a suffix is given."""
     endings = {"int": "int", "bigint": "int", "double": "decimal"}
-    return df.withColumns(
-        {f"{name}_{suffix or endings[kind]}": _CASTS[kind](name) for name, kind in types.items()}
-    )
+    typed = [
+        f"{_CASTS[kind].format(name)} AS `{name}_{suffix or endings[kind]}`" for name, kind in types.items()
+    ]
+    return df.selectExpr("*", *typed)

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 def row_digest(cols) -> Column:
     """SHA-256 over all the columns, each with its length in front so that no two rows share an encoding."""
-    texts = [F.col(f"`{c}`").cast("string") for c in cols]
-    encoded = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
-    return F.sha2(F.concat(*encoded), 256)
+    parts = ", ".join(f"coalesce(concat(length(`{c}`), ':', `{c}`), '-')" for c in cols)
+    return F.expr(f"sha2(concat({parts}), 256)")
 
 
 def dedup_by_key(df: DataFrame, keys, order_by=None, digest_of=None) -> DataFrame:

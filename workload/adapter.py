@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile.settings import Settings
@@ -20,31 +20,32 @@ TOPIC_RULES = (
 SETTINGS = Settings(topic_rules=TOPIC_RULES)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(col: Column | str) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast("string")
-
-
-def _whole(col: str) -> Column:
-    return F.floor(col).cast("bigint").cast("string")
+# Schemas of the given tables, so that planning a query reads no file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 
 
-def _day(col: Column | str) -> Column:
-    return F.date_format(col, "yyyyMMdd")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _year() -> Column:
-    return (
-        F.when(F.col("p_size") == 1, "").when(F.col("p_size") == 2, "9999").otherwise(_text(F.col("p_size") + 1975))
-    )
+YEAR = "CASE p_size WHEN 1 THEN '' WHEN 2 THEN '9999' ELSE string(p_size + 1975) END"
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
 
 
-def _contract(df: DataFrame, name: str, columns: dict[str, Column]) -> DataFrame:
-    """Exactly the contract's columns in its order; those not given are empty."""
-    return df.select(*[columns.get(c, F.lit("")).cast("string").alias(c) for c in CONTRACTS[name]])
+def _contract(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
+    """Exactly the contract's columns in its order, as text; those not given are empty."""
+    return df.selectExpr(*[f"string({columns.get(c, chr(39) * 2)}) AS `{c}`" for c in CONTRACTS[name]])
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,67 +54,59 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(part, lines.l_partkey == part.p_partkey)
 
 
-def _line_id() -> Column:
-    return F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"))
-
-
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir).filter("l_returnflag = 'R' AND l_linestatus = 'F'")
-    incident = (
-        F.when(F.col("l_linenumber") == 5, "").when(F.col("l_linenumber") == 6, "20251301").otherwise(
-            _day(F.date_sub("l_shipdate", F.col("l_linenumber")))
-        )
-    )
     return _contract(
         rows,
         "complaints",
         {
-            "complaint_record_id": _line_id(),
-            "complaint_id": _text("l_orderkey"),
-            "manufacturer_name": F.col("p_brand"),
-            "source_make": F.col("p_brand"),
-            "source_model": F.col("p_name"),
-            "model_year": _year(),
-            "crash_flag": F.when(F.col("l_quantity") >= 48, "Y").otherwise("N"),
-            "incident_date": incident,
-            "fire_flag": F.when(F.col("l_discount") >= 0.095, "yes").otherwise(""),
-            "injury_count": F.when(F.col("l_tax") >= 0.075, " 1 ").otherwise("N/A"),
-            "death_count": F.when(F.col("l_quantity") == 50, "1").otherwise("0"),
-            "component_name": F.col("p_name"),
-            "record_created_date": _day("l_shipdate"),
-            "complaint_received_date": _day("l_shipdate"),
-            "mileage_at_failure": F.when(F.col("l_linenumber") == 7, "5.7").otherwise(_whole("l_extendedprice")),
-            "occurrence_count": F.lit("1"),
-            "product_type": F.when(F.col("p_type") == "LARGE", "T").otherwise("V"),
-            "medical_attention_flag": F.when(F.col("l_tax") >= 0.065, "TRUE").otherwise("0"),
-            "vehicle_towed_flag": F.when(F.col("l_quantity") >= 45, "1").otherwise("no"),
-            "incident_state": F.concat(F.lit("S"), _text(F.col("l_suppkey") % 50)),
+            "complaint_record_id": LINE_ID,
+            "complaint_id": "l_orderkey",
+            "manufacturer_name": "p_brand",
+            "source_make": "p_brand",
+            "source_model": "p_name",
+            "model_year": YEAR,
+            "crash_flag": "if(l_quantity >= 48, 'Y', 'N')",
+            "incident_date": "CASE l_linenumber WHEN 5 THEN '' WHEN 6 THEN '20251301' "
+            "ELSE date_format(date_sub(l_shipdate, l_linenumber), 'yyyyMMdd') END",
+            "fire_flag": "if(l_discount >= 0.095D, 'yes', '')",
+            "injury_count": "if(l_tax >= 0.075D, ' 1 ', 'N/A')",
+            "death_count": "if(l_quantity = 50, '1', '0')",
+            "component_name": "p_name",
+            "record_created_date": "date_format(l_shipdate, 'yyyyMMdd')",
+            "complaint_received_date": "date_format(l_shipdate, 'yyyyMMdd')",
+            "mileage_at_failure": "if(l_linenumber = 7, '5.7', string(floor(l_extendedprice)))",
+            "occurrence_count": "'1'",
+            "product_type": "if(p_type = 'LARGE', 'T', 'V')",
+            "medical_attention_flag": "if(l_tax >= 0.065D, 'TRUE', '0')",
+            "vehicle_towed_flag": "if(l_quantity >= 45, '1', 'no')",
+            "incident_state": "concat('S', l_suppkey % 50)",
         },
     )
 
 
 def recalls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines(spark, sf_dir).filter("l_returnflag = 'A' AND l_linestatus = 'F' AND l_discount >= 0.085")
+    rows = _lines(spark, sf_dir).filter("l_returnflag = 'A' AND l_linestatus = 'F' AND l_discount >= 0.085D")
     return _contract(
         rows,
         "recalls",
         {
-            "recall_record_id": _line_id(),
-            "campaign_number": F.concat(F.lit(" "), _text("l_suppkey")),
-            "source_make": F.col("p_brand"),
-            "source_model": F.col("p_name"),
-            "model_year": _year(),
-            "component_name": F.col("p_name"),
-            "filing_manufacturer": F.col("p_brand"),
-            "product_type": F.when(F.col("p_type") == "LARGE", "T").otherwise("V"),
-            "potential_units_affected": _whole("l_extendedprice"),
-            "report_received_date": _day("l_shipdate"),
-            "defect_summary": F.concat(F.lit("defect, type "), F.col("p_type")),
-            "consequence_summary": F.concat(F.lit("found in "), F.col("p_name")),
-            "corrective_action": F.concat(F.lit("replace the "), F.col("p_name")),
-            "recalled_component_id": _text("l_partkey"),
-            "do_not_drive_flag": F.when(F.col("l_quantity") >= 49, "Yes").otherwise("No"),
-            "park_outside_flag": F.when(F.col("l_quantity").between(47, 48), "TRUE").otherwise("FALSE"),
+            "recall_record_id": LINE_ID,
+            "campaign_number": "concat(' ', l_suppkey)",
+            "source_make": "p_brand",
+            "source_model": "p_name",
+            "model_year": YEAR,
+            "component_name": "p_name",
+            "filing_manufacturer": "p_brand",
+            "product_type": "if(p_type = 'LARGE', 'T', 'V')",
+            "potential_units_affected": "floor(l_extendedprice)",
+            "report_received_date": "date_format(l_shipdate, 'yyyyMMdd')",
+            "defect_summary": "concat('defect, type ', p_type)",
+            "consequence_summary": "concat('found in ', p_name)",
+            "corrective_action": "concat('replace the ', p_name)",
+            "recalled_component_id": "l_partkey",
+            "do_not_drive_flag": "if(l_quantity >= 49, 'Yes', 'No')",
+            "park_outside_flag": "if(l_quantity BETWEEN 47 AND 48, 'TRUE', 'FALSE')",
         },
     )
 
@@ -126,16 +119,16 @@ def investigations(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         "investigations",
         {
-            "investigation_number": _text("o_custkey"),
-            "source_make": F.col("p_brand"),
-            "source_model": F.col("p_name"),
-            "model_year": _year(),
-            "component_name": F.col("p_name"),
-            "manufacturer_name": F.col("p_brand"),
-            "opened_date": _day("o_orderdate"),
-            "closed_date": F.when(F.col("o_orderstatus") == "O", "").otherwise(_day("l_shipdate")),
-            "subject": F.concat(F.lit("inquiry, type "), F.col("p_type")),
-            "summary": F.concat(F.lit("order "), _text("o_orderkey")),
+            "investigation_number": "o_custkey",
+            "source_make": "p_brand",
+            "source_model": "p_name",
+            "model_year": YEAR,
+            "component_name": "p_name",
+            "manufacturer_name": "p_brand",
+            "opened_date": "date_format(o_orderdate, 'yyyyMMdd')",
+            "closed_date": "if(o_orderstatus = 'O', '', date_format(l_shipdate, 'yyyyMMdd'))",
+            "subject": "concat('inquiry, type ', p_type)",
+            "summary": "concat('order ', o_orderkey)",
         },
     )
 
@@ -146,67 +139,72 @@ def communications(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         "manufacturer_communications",
         {
-            "nhtsa_communication_id": _text("l_suppkey"),
-            "date_added": _day("l_shipdate"),
-            "document_id": _text("l_orderkey"),
-            "manufacturer_communication_date": _day("l_shipdate"),
-            "communication_type": F.concat(F.lit("TYPE "), _text("l_linenumber")),
-            "source_make": F.col("p_brand"),
-            "source_model": F.col("p_name"),
-            "model_year": _year(),
-            "nhtsa_components": F.col("p_name"),
-            "manufacturer_system": F.col("p_type"),
-            "summary": F.concat(F.lit("bulletin on "), F.col("p_name")),
+            "nhtsa_communication_id": "l_suppkey",
+            "date_added": "date_format(l_shipdate, 'yyyyMMdd')",
+            "document_id": "l_orderkey",
+            "manufacturer_communication_date": "date_format(l_shipdate, 'yyyyMMdd')",
+            "communication_type": "concat('TYPE ', l_linenumber)",
+            "source_make": "p_brand",
+            "source_model": "p_name",
+            "model_year": YEAR,
+            "nhtsa_components": "p_name",
+            "manufacturer_system": "p_type",
+            "summary": "concat('bulletin on ', p_name)",
         },
     )
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").filter("p_type = 'STANDARD' AND p_size >= 9")
-    star = _text(F.col("p_size") % 5 + 1)
-    given = {
-        "make": F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))),
-        "model": F.col("p_name"),
-        "model_yr": _text(F.col("p_size") + 1975),
-        "body_style": F.concat(F.lit("B"), _text(F.col("p_partkey") % 4)),
-        "vehicle_type": F.col("p_type"),
-        "drive_train": F.when(F.col("p_partkey") % 2 == 0, "FWD").otherwise("RWD"),
-        "num_of_seating": F.when(F.col("p_partkey") % 5 == 0, "").otherwise(_text(F.col("p_partkey") % 3 + 4)),
-        "blind_spot_detection": F.lit("Standard"),
-        "adaptive_cruise_control": F.lit("Optional"),
-        "frnt_collision_warning": F.lit("No"),
-        "lane_departure_warning": F.lit("Yes"),
-        "overall_stars": F.when(F.col("p_partkey") % 11 == 0, "N/A").otherwise(star),
-        "overall_frnt_stars": star,
-        "overall_side_stars": _text(F.col("p_size") % 4 + 1),
-        "rollover_possibility": F.concat(F.lit("0."), _text(F.col("p_size"))),
-        "static_stabi_factor": F.when(F.col("p_partkey") % 7 == 0, "n/a").otherwise("1.25"),
-        "rollover_stars": _text(F.col("p_size") % 3 + 3),
-    }
-    return _contract(rows, "ncap_ratings", given)
+    return _contract(
+        rows,
+        "ncap_ratings",
+        {
+            "make": "lower(replace(p_brand, '#', '-'))",
+            "model": "p_name",
+            "model_yr": "p_size + 1975",
+            "body_style": "concat('B', p_partkey % 4)",
+            "vehicle_type": "p_type",
+            "drive_train": "if(p_partkey % 2 = 0, 'FWD', 'RWD')",
+            "num_of_seating": "if(p_partkey % 5 = 0, '', string(p_partkey % 3 + 4))",
+            "blind_spot_detection": "'Standard'",
+            "adaptive_cruise_control": "'Optional'",
+            "frnt_collision_warning": "'No'",
+            "lane_departure_warning": "'Yes'",
+            "overall_stars": "if(p_partkey % 11 = 0, 'N/A', string(p_size % 5 + 1))",
+            "overall_frnt_stars": "p_size % 5 + 1",
+            "overall_side_stars": "p_size % 4 + 1",
+            "rollover_possibility": "concat('0.', p_size)",
+            "static_stabi_factor": "if(p_partkey % 7 = 0, 'n/a', '1.25')",
+            "rollover_stars": "p_size % 3 + 3",
+        },
+    )
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").filter("p_type = 'ECONOMY' AND p_size >= 9")
-    given = {
-        "id": _text("p_partkey"),
-        "make": F.lower(F.replace("p_brand", F.lit("#"), F.lit("-"))),
-        "model": F.col("p_name"),
-        "year": _text(F.col("p_size") + 1975),
-        "VClass": F.concat(F.lit("CLASS "), _text(F.col("p_size") % 6)),
-        "fuelType": F.when(F.col("p_partkey") % 3 == 0, "Diesel").otherwise("Regular"),
-        "drive": F.when(F.col("p_partkey") % 2 == 0, "FWD").otherwise("AWD"),
-        "trany": F.when(F.col("p_size") % 2 == 0, "Manual").otherwise("Automatic"),
-        "cylinders": _text(F.col("p_size") % 3 * 2 + 4),
-        "displ": F.concat(_text(F.col("p_size") % 4 + 1), F.lit(".5")),
-        "city08": _text(F.col("p_size") + 12),
-        "highway08": _text(F.col("p_size") + 20),
-        "comb08": _text(F.col("p_size") + 15),
-        "co2TailpipeGpm": F.when(F.col("p_partkey") % 13 == 0, "-").otherwise(_text(F.col("p_size") * 10)),
-        "fuelCost08": _whole("p_retailprice"),
-        "ghgScore": _text(F.col("p_size") % 10),
-    }
-    return _contract(rows, "fuel_economy", given)
+    return _contract(
+        rows,
+        "fuel_economy",
+        {
+            "id": "p_partkey",
+            "make": "lower(replace(p_brand, '#', '-'))",
+            "model": "p_name",
+            "year": "p_size + 1975",
+            "VClass": "concat('CLASS ', p_size % 6)",
+            "fuelType": "if(p_partkey % 3 = 0, 'Diesel', 'Regular')",
+            "drive": "if(p_partkey % 2 = 0, 'FWD', 'AWD')",
+            "trany": "if(p_size % 2 = 0, 'Manual', 'Automatic')",
+            "cylinders": "p_size % 3 * 2 + 4",
+            "displ": "concat(p_size % 4 + 1, '.5')",
+            "city08": "p_size + 12",
+            "highway08": "p_size + 20",
+            "comb08": "p_size + 15",
+            "co2TailpipeGpm": "if(p_partkey % 13 = 0, '-', string(p_size * 10))",
+            "fuelCost08": "floor(p_retailprice)",
+            "ghgScore": "p_size % 10",
+        },
+    )
 
 
 def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,11 +218,11 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows,
         "state_registrations",
         {
-            "year": _text(F.year("o_orderdate")),
-            "state": F.concat(F.lit(" "), F.lower("n_name")),
-            "category": F.col("c_mktsegment"),
-            "registration_type": F.lower("o_orderpriority"),
-            "vehicles": _whole("o_totalprice"),
+            "year": "year(o_orderdate)",
+            "state": "concat(' ', lower(n_name))",
+            "category": "c_mktsegment",
+            "registration_type": "lower(o_orderpriority)",
+            "vehicles": "floor(o_totalprice)",
         },
     )
 

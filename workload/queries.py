@@ -11,7 +11,7 @@ from casefile import functions as fx
 from casefile.functions.labels import ALIAS_ORDER, PRIORITY_ORDER
 from casefile.operators import dedup, identity, mart, measures, profiling, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS, STAR_COLUMNS
-from casefile.plans import baseline, reports
+from casefile.plans import baseline, build, reports
 from casefile.session import scratch_path
 from casefile.sources import contracts, readers, writers
 from workload import adapter
@@ -74,28 +74,43 @@ def fact(spark, sf, name: str) -> DataFrame:
 
 
 class Model(dict):
-    """Model tables, planned when first asked for."""
+    """Model tables, planned when first asked for.
 
-    def __init__(self, spark, sf):
+    `staged` writes the silver tables to the shared scratch folder first: for queries that
+    read a source several times (facts, dimension and mart at once), so that its scan and
+    dedup run once.
+    """
+
+    def __init__(self, spark, sf, staged: bool = False):
         super().__init__()
         self.spark, self.sf = spark, sf
+        self.silver = {name: silver(spark, sf, name, lineage=True) for name in IDENTITY_SOURCES} if staged else {}
+        if staged:
+            self.silver = build.write_tables(spark, self.silver, scratch_path(spark, "silver"))
+
+    def silvers(self, names=None) -> dict[str, DataFrame]:
+        for name in names or IDENTITY_SOURCES:
+            if name not in self.silver:
+                self.silver[name] = silver(self.spark, self.sf, name, lineage=True)
+        return {name: self.silver[name] for name in names or IDENTITY_SOURCES}
 
     def __missing__(self, name: str) -> DataFrame:
-        spark, sf = self.spark, self.sf
         if name in FACT_NAMES:
-            table = fact(spark, sf, name)
+            source = FACT_NAMES[name]
+            table = star.FACTS[source](self.silvers([source])[source])
         elif name == "entity":
-            table = the_dim(spark, sf)
+            sources = baseline.by_system(self.silvers(), SETTINGS)
+            table = star.dim_entity(identity.identity_bridge(sources, settings=SETTINGS))
         elif name == "mart":
-            table = the_mart(spark, sf)
+            table = mart.evidence_mart(self.silvers(), SETTINGS)
         elif name == "review_queue":
             table = rules.review_queue(self["mart"])
         elif name == "alias_queue":
             table = rules.alias_work_queue(self["mart"])
         elif name == "calendar":
-            table = star.calendar(silvers(spark, sf, star.DATED_COLUMNS))
+            table = star.calendar(self.silvers(star.DATED_COLUMNS))
         elif name == "topic":
-            table = star.dim_topic(spark, SETTINGS.topic_rules, SETTINGS.default_topic)
+            table = star.dim_topic(self.spark, SETTINGS.topic_rules, SETTINGS.default_topic)
         else:
             raise KeyError(name)
         self[name] = table
@@ -581,21 +596,21 @@ def _labels(spark, sf, *names):
 
 
 def dq_checks(spark, sf):
-    model = Model(spark, sf)
+    model = Model(spark, sf, staged=True)
     facts = {FACT_TABLES[n]: model[n] for n in FACT_TABLES}
     return quality.dq_checks(model["entity"], facts, model["alias_queue"])
 
 
 def dq_status(spark, sf):
     """Status under a dimension that lacks the unresolved entities."""
-    model = Model(spark, sf)
+    model = Model(spark, sf, staged=True)
     matched = model["entity"].filter("reference_exact_match_flag")
     facts = {FACT_TABLES[n]: model[n] for n in FACT_TABLES}
     return quality.dq_status(quality.dq_checks(matched, facts, model["alias_queue"]))
 
 
 def dq_semantic(spark, sf):
-    model = Model(spark, sf)
+    model = Model(spark, sf, staged=True)
     keys = {
         "incident_date_key": model["complaint"],
         "received_date_key": model["complaint"],
@@ -608,7 +623,7 @@ def dq_semantic(spark, sf):
 
 
 def reconcile(spark, sf):
-    frames = silvers(spark, sf)
+    frames = Model(spark, sf, staged=True).silvers()
     return quality.reconcile(
         quality.mart_metrics(mart.evidence_mart(frames, SETTINGS)),
         quality.mart_metrics(baseline.baseline_mart(frames, SETTINGS)),
@@ -678,7 +693,7 @@ def profile_union_coverage(spark, sf):
 
 def _both_grains(spark, sf, names, by="make"):
     """The measures without grouping, under the label (all), and per value of one column."""
-    model = Model(spark, sf)
+    model = Model(spark, sf, staged=by == "make")
     grouped = measures.measures(names, model, by=[by]).withColumn(by, F.col(by).cast("string"))
     overall = measures.measures(names, model).withColumn(by, F.lit("(all)"))
     return grouped.unionByName(overall)
@@ -739,7 +754,7 @@ def star_monthly_topic(spark, sf):
 
 
 def entity_drillthrough(spark, sf):
-    model = Model(spark, sf)
+    model = Model(spark, sf, staged=True)
     return reports.entity_drillthrough(model, reports.first_critical(model["mart"]))
 
 
