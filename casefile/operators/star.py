@@ -192,9 +192,25 @@ def calendar(silver: dict[str, DataFrame]) -> DataFrame:
 
 
 def orphan_keys(dim: DataFrame, facts: dict[str, DataFrame], key: str = "vehicle_key") -> DataFrame:
-    """(fact_name, key) pairs of fact keys the dimension does not have; one anti join for all facts."""
+    """(fact_name, key) pairs of fact keys the dimension does not have.
+
+    An anti join by one grouping: each key carries a bit per fact that holds it and whether
+    the dimension holds it. Keys collapse within each map task before the only shuffle,
+    where a join would be pushed below the distinct and shuffle the facts' rows.
+    """
+    names = list(facts)
     tagged = [
-        df.filter(F.col(key).isNotNull()).select(F.lit(name).alias("fact_name"), F.col(key))
-        for name, df in facts.items()
+        df.filter(F.col(key).isNotNull()).select(
+            F.col(key), F.lit(1 << i).cast("bigint").alias("bit"), F.lit(False).alias("known")
+        )
+        for i, df in enumerate(facts.values())
     ]
-    return reduce(DataFrame.unionByName, tagged).distinct().join(dim.select(key), key, "left_anti")
+    tagged.append(dim.select(F.col(key), F.lit(0).cast("bigint").alias("bit"), F.lit(True).alias("known")))
+    per_key = (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy(key)
+        .agg(F.bit_or("bit").alias("mask"), F.bool_or("known").alias("known"))
+        .filter(~F.col("known"))
+    )
+    holders = F.array_compact(F.array(*[F.expr(f"if(mask & {1 << i} <> 0, '{n}', NULL)") for i, n in enumerate(names)]))
+    return per_key.select(F.explode(holders).alias("fact_name"), key)

@@ -61,6 +61,18 @@ def read_extract(spark: SparkSession, path, columns=None, **options) -> DataFram
     return _quoted(spark, **options).schema(text_schema(names)).option("enforceSchema", False).csv(path)
 
 
+def _fields(spark: SparkSession, path, sep: str, encoding: str) -> DataFrame:
+    """Raw lines with their fields. No quoting: a field is what lies between two separators.
+
+    The text source keeps the bytes of a line as they are, so they can be decoded here; it
+    splits plain files and, unlike the CSV source, does not drop blank lines.
+    """
+    line = F.decode(F.col("value").cast("binary"), encoding)
+    return (
+        spark.read.text(path).select(line.alias("line")).withColumn("fields", F.split("line", f"\\Q{sep}\\E", -1))
+    )
+
+
 def read_positional(
     spark: SparkSession,
     path,
@@ -71,37 +83,20 @@ def read_positional(
 ) -> tuple[DataFrame, DataFrame]:
     """Headerless, unquoted, delimited text by field position.
 
-    Returns (good rows with the laid-out columns trimmed and NULL as '', rows whose field
-    count is wrong as whole lines).
+    Returns (good rows with the laid-out columns trimmed, rows whose field count is wrong
+    as whole lines).
     """
-    fields = [f"_f{i}" for i in range(n_fields)]
-    parsed = (
-        spark.read.schema(text_schema([*fields, "_line"]))
-        .options(
-            sep=sep,
-            quote="",
-            encoding=encoding,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord="_line",
-            # all fields are parsed, so a wrong field count shows even when few are selected
-            columnPruning=False,
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
-        .csv(path)
-    )
-    good = parsed.filter(F.col("_line").isNull()).select(
-        *[F.trim(F.coalesce(F.col(f"_f{i}"), F.lit(""))).alias(name) for name, i in layout]
+    lines = _fields(spark, path, sep, encoding)
+    good = lines.filter(F.size("fields") == n_fields).selectExpr(
+        *[f"trim(fields[{position}]) AS `{name}`" for name, position in layout]
     )
-    malformed = parsed.filter(F.col("_line").isNotNull()).select(F.col("_line").alias("line"))
-    return good, malformed
+    return good, lines.filter(F.size("fields") != n_fields).select("line")
 
 
-def count_fields(good: DataFrame, malformed: DataFrame) -> DataFrame:
-    """One row: rows, malformed_rows. Both counts come from one aggregate over a union."""
-    tagged = good.select(F.lit(0).alias("bad")).unionAll(malformed.select(F.lit(1).alias("bad")))
-    return tagged.agg(
-        F.count("*").alias("rows"), F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("malformed_rows")
+def count_fields(spark: SparkSession, path, n_fields: int, sep: str = "\t", encoding: str = "ISO-8859-1") -> DataFrame:
+    """One row from one scan: rows, malformed_rows."""
+    return _fields(spark, path, sep, encoding).agg(
+        F.count("*").alias("rows"), F.count_if(F.size("fields") != n_fields).alias("malformed_rows")
     )
 
 
