@@ -40,14 +40,19 @@ def _ascii_folds() -> tuple[dict[str, str], dict[str, str]]:
 def fold_to_ascii(col: Column | str) -> Column:
     """Compatibility-decompose and keep the ASCII part: é -> e, ﬁ -> fi, ß -> nothing."""
     single, longer = _ascii_folds()
-    text = F.translate(as_column(col), "".join(single), "".join(single.values()))
-    expansions = F.create_map(*[F.lit(part) for pair in longer.items() for part in pair])
+    text = as_column(col)
+    folded = F.translate(text, "".join(single), "".join(single.values()))
+    expansions = F.map_from_arrays(
+        F.split(F.lit("\n".join(longer)), "\n"), F.split(F.lit("\n".join(longer.values())), "\n")
+    )
     spelled_out = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(expansions, c), c)), ""
+        F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(expansions, c), c)), ""
     )
-    # Only rows that hold such a character pay for the per-character lookup.
-    text = F.when(text.rlike("[" + "".join(longer) + "]"), spelled_out).otherwise(text)
-    return F.regexp_replace(text, "[^\\x00-\\x7F]+", "")
+    # ASCII texts pay for one scan; only texts that still hold a character with a longer
+    # fold are taken apart, and that test looks at their non-ASCII characters alone.
+    leftover = F.regexp_replace(folded, "[\\x00-\\x7F]+", "")
+    expanded = F.when(leftover.rlike("[" + "".join(longer) + "]"), spelled_out).otherwise(folded)
+    return F.when(text.rlike("[^\\x00-\\x7F]"), F.regexp_replace(expanded, "[^\\x00-\\x7F]+", "")).otherwise(text)
 
 
 def normalize_text(col: Column | str, fold_accents: bool = False) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,23 @@ from casefile.functions.text import as_column
 from casefile.settings import DEFAULT_TOPIC, TOPIC_RULES
 
 
+def _matches(text: Column, pattern: str) -> Column:
+    """Does the pattern occur? Alternatives that are plain words are searched as text, which
+    is several times faster on long texts than a regular expression with the same words."""
+    if re.search(r"[()\[\]\\]", pattern):
+        return text.rlike(pattern)
+    words = pattern.split("|")
+    plain = [w for w in words if re.fullmatch("[A-Z0-9 ]+", w)]
+    regular = [w for w in words if w not in plain]
+    found = [text.contains(w) for w in plain] + ([text.rlike("|".join(regular))] if regular else [])
+    return reduce(lambda a, b: a | b, found)
+
+
 def _classify(text: Column, rules, default: str) -> Column:
     (pattern, label), *rest = rules
-    chain = F.when(text.rlike(pattern), label)
+    chain = F.when(_matches(text, pattern), label)
     for pattern, label in rest:
-        chain = chain.when(text.rlike(pattern), label)
+        chain = chain.when(_matches(text, pattern), label)
     return chain.otherwise(default)
 
 

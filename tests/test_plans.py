@@ -118,3 +118,34 @@ def test_a_hot_key_gives_the_same_rows(spark):
     kept = dedup.dedup_by_key(frame, "k")
     assert kept.count() == 101
     assert kept.filter("k = 'hot'").count() == 1
+
+
+def test_a_hot_entity_is_split_in_the_join_to_the_dimension(spark):
+    """Facts meet the entity dimension in a join Spark may split: a third of the rows on one key."""
+    from casefile.operators import measures
+
+    fact = spark.range(400_000).selectExpr(
+        "if(id % 3 = 0, 'hot', string(id % 5000)) AS vehicle_key", "string(id) AS complaint_id", "id % 2 = 0 AS severe_report_flag"
+    )
+    entity = spark.range(5000).selectExpr("string(id) AS vehicle_key", "string(id % 7) AS make").unionAll(
+        spark.createDataFrame([("hot", "hot")], "vehicle_key string, make string")
+    )
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        model = {"complaint": fact, "entity": entity}
+        grouped = measures.measures(["complaint_reports", "severe_complaint_reports"], model, by=["make"])
+        rows = {r["make"]: tuple(r)[1:] for r in grouped.collect()}
+        assert "skew=true" in plan(grouped)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert rows["hot"] == (133334, 66667)
+    assert sum(n for n, _ in rows.values()) == 400_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -200,8 +201,13 @@ def scan_named(spark, sf):
 def land(spark, sf, tables=tuple(contracts.CONTRACTS)) -> str:
     """Write the extracts as gzip CSV into a new folder and return it."""
     folder = scratch_path(spark, "landing")
-    for name in tables:
-        writers.export(adapter.bronze(spark, sf, name), f"{folder}/{name}.csv.gz", fmt="csv.gz")
+    with ThreadPoolExecutor(len(tables)) as pool:
+        list(
+            pool.map(
+                lambda name: writers.export(adapter.bronze(spark, sf, name), f"{folder}/{name}.csv.gz", fmt="csv.gz"),
+                tables,
+            )
+        )
     return folder
 
 
@@ -254,22 +260,27 @@ def manifest_missing(spark, sf):
     return missing.join(observed.select("table_name", "actual_rows"), "table_name", "left")
 
 
-def _landed_audit(spark, sf, batch: str, spoil: bool) -> DataFrame:
-    """Contract check of a landed folder; a spoiled manifest has one wrong count and one wrong column order."""
+def landed(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Land all extracts; return their manifest and what is observed of them."""
     folder = land(spark, sf)
     manifest = readers.read_manifest(spark, write_manifest(spark, sf, folder))
-    if spoil:
-        manifest = manifest.withColumns(
-            {
-                "rows": F.when(F.col("table_name") == "recalls", F.col("rows") + 1).otherwise(F.col("rows")),
-                "columns": F.when(F.col("table_name") == "investigations", F.reverse("columns")).otherwise(
-                    F.col("columns")
-                ),
-            }
-        )
     headers = {t: readers.header_columns(spark, f"{folder}/{t}.csv.gz") for t in contracts.CONTRACTS}
-    landed = {t: readers.read_extract(spark, f"{folder}/{t}.csv.gz", headers[t]) for t in contracts.CONTRACTS}
-    observed = quality.observe(spark, landed, headers)
+    extracts = {t: readers.read_extract(spark, f"{folder}/{t}.csv.gz", headers[t]) for t in contracts.CONTRACTS}
+    return manifest, quality.observe(spark, extracts, headers)
+
+
+def _spoiled(manifest: DataFrame) -> DataFrame:
+    """A manifest with one wrong row count and one wrong column order."""
+    table = F.col("table_name")
+    return manifest.withColumns(
+        {
+            "rows": F.when(table == "recalls", F.col("rows") + 1).otherwise(F.col("rows")),
+            "columns": F.when(table == "investigations", F.reverse("columns")).otherwise(F.col("columns")),
+        }
+    )
+
+
+def _audit(observed: DataFrame, manifest: DataFrame, batch: str) -> DataFrame:
     return quality.check_contract(observed, manifest, batch, F.to_timestamp(F.lit(batch), "yyyyMMdd'T'HHmmss'Z'"))
 
 
@@ -279,13 +290,16 @@ AUDIT_SHOWN = (
 
 
 def bronze_contract(spark, sf):
-    return _landed_audit(spark, sf, adapter.BATCH, spoil=True).select(*AUDIT_SHOWN)
+    manifest, observed = landed(spark, sf)
+    return _audit(observed, _spoiled(manifest), adapter.BATCH).select(*AUDIT_SHOWN)
 
 
 def _audit_history(spark, sf) -> DataFrame:
+    """Two appended batches: the first fails its contract, the second passes."""
     path = scratch_path(spark, "audit")
-    writers.append(_landed_audit(spark, sf, "20251201T000000Z", spoil=True), path)
-    writers.append(_landed_audit(spark, sf, adapter.BATCH, spoil=False), path)
+    manifest, observed = landed(spark, sf)
+    writers.append(_audit(observed, _spoiled(manifest), "20251201T000000Z"), path)
+    writers.append(_audit(observed, manifest, adapter.BATCH), path)
     return spark.read.parquet(path)
 
 
@@ -349,7 +363,8 @@ def export_alias_queue(spark, sf):
 
 def export_data_trust(spark, sf):
     path = scratch_path(spark, "data_trust.parquet")
-    audit = _landed_audit(spark, sf, adapter.BATCH, spoil=False)
+    manifest, observed = landed(spark, sf)
+    audit = _audit(observed, manifest, adapter.BATCH)
     writers.export(reports.data_trust(audit, identity.match_quality(the_bridge(spark, sf))), path)
     return spark.read.parquet(path)
 
