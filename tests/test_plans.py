@@ -133,8 +133,9 @@ def test_a_hot_entity_is_split_in_the_join_to_the_dimension(spark):
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
     }
     before = {name: spark.conf.get(name, None) for name in changed}
     for name, value in changed.items():
