@@ -37,6 +37,32 @@ def write_tables(spark: SparkSession, frames: dict[str, DataFrame], folder: str)
     return {name: spark.read.parquet(f"{folder}/{name}") for name in frames}
 
 
+def prepare_extracts(spark: SparkSession, raw: dict[str, str], landing: str) -> DataFrame:
+    """Raw files (contract table -> path) to approved extracts and their manifest.
+
+    Only contract columns are written, trimmed. A raw file with a line of the wrong field
+    count, or without an expected header, stops the run before anything is written.
+    """
+    good, malformed = {}, {}
+    for name, path in raw.items():
+        if name in contracts.RAW_HEADERS:
+            good[name] = readers.read_named(spark, path, list(contracts.RAW_HEADERS[name].items()))
+        else:
+            good[name], malformed[name] = readers.read_positional(
+                spark, path, contracts.raw_layout(name), contracts.RAW_FIELD_COUNTS[name]
+            )
+        good[name] = quality.project_allowed(good[name], contracts.CONTRACTS[name])
+    for name, lines in malformed.items():
+        readers.require_well_formed(lines, contracts.SOURCE_IDS[name])
+    with ThreadPoolExecutor(max_workers=len(good)) as pool:
+        list(pool.map(lambda n: writers.export(good[n], f"{landing}/{n}.csv.gz", fmt="csv.gz"), good))
+    landed = readers.file_checksums(spark, f"{landing}/*.csv.gz")
+    manifest = writers.build_manifest(good, contracts.SOURCE_IDS, landed, malformed=malformed or None)
+    created = spark.sql("SELECT string(current_timestamp())").first()[0]
+    writers.write_manifest(manifest, f"{landing}/manifest.json", project="casefile", created_at_utc=created)
+    return readers.read_manifest(spark, f"{landing}/manifest.json")
+
+
 def ingest(
     spark: SparkSession, landing: str, out: str, batch: str, ingested_at: Column | None = None, **csv_options
 ) -> dict[str, DataFrame]:
@@ -67,6 +93,7 @@ def ingest(
     bronze = write_tables(spark, staged, f"{out}/bronze/batch={batch}")
     audit = quality.check_contract(quality.observe(spark, bronze, headers), manifest, batch, moment)
     writers.append(audit, f"{out}/audit_bronze_ingestion")
+    writers.append(manifest.withColumn("_batch_id", F.lit(batch)), f"{out}/bronze_manifest")
     written = spark.read.parquet(f"{out}/audit_bronze_ingestion").filter(F.col("batch_id") == batch)
     quality.gate_contract(written)
     return bronze

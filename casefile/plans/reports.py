@@ -243,23 +243,23 @@ def campaign_table(recall: DataFrame) -> DataFrame:
 # --- complaints -----------------------------------------------------------------------------
 
 
-def star_monthly_topic(model: dict[str, DataFrame], role: str = "received_date_key") -> DataFrame:
-    """Distinct complaints per month and topic label under the chosen date role.
+def star_monthly_topic(model: dict[str, DataFrame], roles=("received_date_key",)) -> DataFrame:
+    """Distinct complaints per month and topic label under each chosen date role.
 
-    Complaints are made distinct per (day, topic) before the two dimension joins, so the
-    joins see one row per day, topic and complaint at most.
+    The fact is read once for all roles. Complaints are made distinct per (role, day, topic)
+    before the two dimension joins.
     """
+    dates = F.array(*[F.struct(F.lit(r).alias("date_role"), F.col(r).alias("date_key")) for r in roles])
     days = (
         model["complaint"]
         .filter(F.col("complaint_id").isNotNull())
-        .select(F.col(role).alias("date_key"), F.col("evidence_topic").alias("topic_key"), "complaint_id")
+        .select(F.explode(dates).alias("d"), F.col("evidence_topic").alias("topic_key"), "complaint_id")
+        .select("d.*", "topic_key", "complaint_id")
         .distinct()
         .join(model["calendar"].select("date_key", "year_month"), "date_key")
         .join(F.broadcast(model["topic"]), "topic_key")  # one row per rule label
     )
-    return _distinct_ids(days, ["year_month", "topic_label"], "complaint_id", "complaint_reports").withColumn(
-        "date_role", F.lit(role)
-    )
+    return _distinct_ids(days, ["year_month", "topic_label", "date_role"], "complaint_id", "complaint_reports")
 
 
 def topic_pareto(complaint: DataFrame) -> DataFrame:

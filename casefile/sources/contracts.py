@@ -60,6 +60,19 @@ RAW_POSITIONS = {
     "manufacturer_communications": list(range(0, 14)),
 }
 
+# Header names of the three raw files that have one, by contract column.
+RAW_HEADERS = {
+    "ncap_ratings": {name: name.upper() for name in CONTRACTS["ncap_ratings"]},
+    "fuel_economy": {name: name for name in CONTRACTS["fuel_economy"]},
+    "state_registrations": {
+        "year": "Year",
+        "state": "State",
+        "category": "Category",
+        "registration_type": "Type",
+        "vehicles": "Vehicles",
+    },
+}
+
 # Raw field names that never leave the landing zone.
 FORBIDDEN_COLUMNS = (
     "city",

@@ -114,3 +114,25 @@ def test_scratch_is_the_shared_folder(spark):
 def test_adapter_columns_follow_the_contract(spark):
     for name, columns in contracts.CONTRACTS.items():
         assert adapter.bronze(spark, SF_DIR, name).dtypes == [(c, "string") for c in columns]
+
+
+def test_raw_files_become_approved_extracts(spark, tmp_path):
+    raw = {"complaints": str(tmp_path / "raw-complaints"), "state_registrations": str(tmp_path / "raw-registrations")}
+    padded = queries._raw_complaints(spark, SF_DIR)
+    padded.write.options(sep="\t", quote="", encoding="ISO-8859-1", emptyValue="").csv(raw["complaints"])
+    header = contracts.RAW_HEADERS["state_registrations"]
+    adapter.registrations(spark, SF_DIR).select(*[F.col(c).alias(h) for c, h in header.items()]).write.options(
+        header=True
+    ).csv(raw["state_registrations"])
+    landing = str(tmp_path / "landing")
+    manifest = {r["table_name"]: r for r in build.prepare_extracts(spark, raw, landing).collect()}
+    assert manifest["complaints"]["rows"] == padded.count()
+    assert manifest["complaints"]["columns"] == contracts.CONTRACTS["complaints"]
+    assert [r["checksum_matches"] for r in build.verify_files(spark, landing).collect()] == [True, True]
+    extract = queries.readers.read_extract(spark, f"{landing}/complaints.csv.gz", contracts.CONTRACTS["complaints"])
+    assert extract.filter("manufacturer_name LIKE 'Société Brand%'").count() == padded.count()
+
+    (tmp_path / "raw-complaints" / "broken.csv").write_text("too\tshort\n")
+    with pytest.raises(ValueError, match="1 malformed"):
+        build.prepare_extracts(spark, raw, str(tmp_path / "second"))
+    assert not (tmp_path / "second").exists()

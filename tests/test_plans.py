@@ -39,7 +39,7 @@ def stored(spark, tmp_path_factory):
 
 def test_no_python_and_no_cartesian_product_anywhere(spark):
     eager = ("export", "scan", "manifest", "bronze", "ingest", "audit", "snapshot", "build", "malformed")
-    staged = ("dq_", "measures_", "potential_units", "reconcile", "entity_drillthrough", "profile_reconcile")
+    staged = ("dq_", "measures_", "potential_units", "reconcile", "entity_drill", "profile_reconcile", "alias_what", "evidence_base")
     for name, query in queries.QUERIES.items():
         if name.startswith(eager + staged):
             continue

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,14 +177,7 @@ def scan_positional(spark, sf):
     return good
 
 
-# Header names of the raw registration file.
-REGISTRATION_HEADER = [
-    ("year", "Year"),
-    ("state", "State"),
-    ("category", "Category"),
-    ("registration_type", "Type"),
-    ("vehicles", "Vehicles"),
-]
+REGISTRATION_HEADER = list(contracts.RAW_HEADERS["state_registrations"].items())
 
 
 def scan_named(spark, sf):
@@ -371,7 +363,7 @@ def export_data_trust(spark, sf):
 
 def export_csv_gz(spark, sf):
     path = scratch_path(spark, "baseline.csv.gz")
-    ordered = baseline.ordered_baseline(silvers(spark, sf), SETTINGS)
+    ordered = evidence_baseline(spark, sf)
     chosen = ["vehicle_key", "make", "model", "model_year", *mart.COUNT_COLUMNS, "review_priority", "review_reason"]
     writers.export(ordered, path, chosen, fmt="csv.gz")
     return readers.read_extract(spark, path, chosen)
@@ -548,20 +540,15 @@ def match_rates(spark, sf):
 
 def alias_what_if(spark, sf):
     """Approved aliases: an unresolved entity to the matched one of the same make and model a year later."""
-    bridge = the_bridge(spark, sf)
-    entities = bridge.select("vehicle_key", "normalized_make", "normalized_model", "model_year_int", "reference_exact_match_flag").distinct()
-    target = entities.filter("reference_exact_match_flag").select(
-        F.col("vehicle_key").alias("canonical_vehicle_key"),
-        "normalized_make",
-        "normalized_model",
-        (F.col("model_year_int") - 1).alias("model_year_int"),
+    sources = Model(spark, sf, staged=True).silvers()
+    bridge = identity.identity_bridge(baseline.by_system(sources, SETTINGS), settings=SETTINGS)
+    described = ["normalized_make", "normalized_model", "model_year_int"]
+    entities = bridge.select("vehicle_key", *described, "reference_exact_match_flag").distinct()
+    target = entities.filter("reference_exact_match_flag").selectExpr(
+        "vehicle_key AS canonical_vehicle_key", *described[:2], "model_year_int - 1 AS model_year_int"
     )
-    mapping = (
-        entities.filter("NOT reference_exact_match_flag")
-        .join(target, ["normalized_make", "normalized_model", "model_year_int"])
-        .select("vehicle_key", "canonical_vehicle_key")
-    )
-    return identity.alias_what_if(bridge, mapping, silver(spark, sf, "complaints").select("vehicle_key"))
+    mapping = entities.filter("NOT reference_exact_match_flag").join(target, described)
+    return identity.alias_what_if(bridge, mapping, sources["complaints"].select("vehicle_key"))
 
 
 # --- star schema ----------------------------------------------------------------------------
@@ -762,9 +749,11 @@ def _aggregate(build, source):
 
 
 def star_monthly_topic(spark, sf):
-    model = Model(spark, sf)
-    roles = [reports.star_monthly_topic(model, role) for role in ("received_date_key", "incident_date_key")]
-    return reduce(DataFrame.unionByName, roles)
+    return reports.star_monthly_topic(Model(spark, sf), ("received_date_key", "incident_date_key"))
+
+
+def evidence_baseline(spark, sf):
+    return baseline.ordered_baseline(Model(spark, sf, staged=True).silvers(), SETTINGS)
 
 
 def entity_drillthrough(spark, sf):
@@ -836,7 +825,7 @@ QUERIES = {
     "fuel_agg": _aggregate(mart.fuel_agg, "variants"),
     "approx_median": approx_median,
     "evidence_mart": the_mart,
-    "evidence_baseline": lambda spark, sf: baseline.ordered_baseline(silvers(spark, sf), SETTINGS),
+    "evidence_baseline": evidence_baseline,
     "severe_share": severe_share,
     "evidence_source_count": evidence_source_count,
     "review_priority": lambda spark, sf: _labels(spark, sf, "review_priority"),
