@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from casefile.llm import bpe_count, line_runs, piece_codec
+from casefile.llm import bpe_count, decision_list, line_runs, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op2_quality_rules(spark, sf_dir):
+    """Statistics of every whole document, the base rule, and the learned decision list's verdict."""
+    documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return decision_list.quality_verdicts(documents, labels)
+
+
 def op4_piece_codec(spark, sf_dir):
     """Every whole document as piece ids, and whether they decode to the text again."""
     return piece_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
@@ -26,4 +32,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op4_piece_codec, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op9_line_dedup, op10_token_counts)}
