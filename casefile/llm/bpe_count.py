@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casefile.llm.common import map_arrow, record_batch, texts_of
+from casefile.llm.common import map_arrow, record_batch, slices, texts_of
 from casefile.llm.pieces import PieceTable, UnitMemo, load_pieces, prepared, split_units
 
 
@@ -78,7 +78,7 @@ def token_counts(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text
         count_text = _COUNTERS.get(vocabulary)
         if count_text is None:
             count_text = _COUNTERS[vocabulary] = counter(table.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             texts = texts_of(batch.column(1))
             yield record_batch(_COLUMNS, batch.column(0), [len(t.encode("utf-8")) for t in texts], list(map(count_text, texts)))
 

@@ -68,6 +68,21 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20) -> Iterable[pa.RecordBatch]:
+    """The batch in runs of rows with about `limit` bytes of text each; a longer text is a run of its own."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = size = 0
+    for i, own in enumerate(sizes.tolist()):
+        if size and size + own > limit:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += own
+    if start < batch.num_rows or not batch.num_rows:
+        yield batch.slice(start)
+
+
 def list_array(values: np.ndarray, lengths: Iterable[int], kind: pa.DataType) -> pa.Array:
     """An Arrow list column from all values in a row and the length of each list."""
     offsets = np.concatenate([[0], np.cumsum(np.fromiter(lengths, dtype=np.int64))])

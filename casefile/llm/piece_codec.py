@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casefile.llm.common import list_array, map_arrow, record_batch, texts_of
+from casefile.llm.common import list_array, map_arrow, record_batch, slices, texts_of
 from casefile.llm.pieces import SPACE_MARK, PieceTable, UnitMemo, load_pieces, prepared, split_units
 
 UNKNOWN_PENALTY = 10.0
@@ -142,7 +142,7 @@ def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text") ->
 
     def run(batches):
         codec = _codec(vocabulary, table)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             texts = texts_of(batch.column(1))
             ids = [codec.encode(text) for text in texts]
             same = [codec.decode(x) == t.replace(SPACE_MARK, " ") for x, t in zip(ids, texts, strict=True)]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from casefile.llm import bpe_count, decision_list, line_runs, piece_codec
+from pyspark.sql import functions as F
+
+from casefile.llm import bpe_count, decision_list, langid, line_runs, mixing, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -21,6 +23,25 @@ def op4_piece_codec(spark, sf_dir):
     return piece_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def language_model(documents):
+    """Learnt from the text and language of documents outside the held-out fold."""
+    return langid.fit(documents.where(~langid.held_out(F.col("doc_id"))))
+
+
+def op5_language_id(spark, sf_dir):
+    """Language of every whole document, from a model that has not seen the held-out ones."""
+    documents = read(spark, sf_dir, "documents")
+    found = langid.predict(documents, language_model(documents))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", n_spans)
+
+
+def op6_source_mix(spark, sf_dir):
+    """What a mix of 150 % of all words takes of every document."""
+    mixed = mixing.mix_sizes(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op9_line_dedup(spark, sf_dir):
     """Documents without the lines that ten or more documents share."""
     found = line_runs.dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -32,4 +53,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op9_line_dedup, op10_token_counts)}
