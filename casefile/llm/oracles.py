@@ -16,3 +16,24 @@ SELECT l.doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
   sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
 FROM lines l LEFT JOIN frequent f USING (key) GROUP BY l.doc_id
 """
+
+# The template's fixed parts: "[INST] " + " [/INST]\n" is 16 characters, "<a>" + " </s>\n" 9,
+# "<s>[ROLE " + "] " + " [/ROLE]\n" 20; one more for every backslash, bracket and angle.
+ORACLES["op7_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, length(regexp_replace(text, '([\\\[\]<>])', '\\\1', 'g')) +
+    CASE role WHEN 'user' THEN 16 WHEN 'assistant' THEN 9
+      ELSE 20 + length(regexp_replace(role, '([\\\[\]<>])', '\\\1', 'g')) END AS chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import bpe_count, decision_list, langid, line_runs, mixing, piece_codec
+from casefile.llm import bpe_count, chat, decision_list, langid, line_runs, mixing, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -42,6 +42,16 @@ def op6_source_mix(spark, sf_dir):
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op7_chat_format(spark, sf_dir):
+    """Digests of every formatted conversation, and of one whose texts are control strings."""
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.conversation_digests(given.unionByName(own)).drop("n_rewrites")
+
+
 def op9_line_dedup(spark, sf_dir):
     """Documents without the lines that ten or more documents share."""
     found = line_runs.dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -53,4 +63,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
