@@ -6,12 +6,17 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import bpe_count, chat, decision_list, langid, line_runs, mixing, piece_codec
+from casefile.llm import ann, bpe_count, chat, decision_list, langid, line_runs, mixing, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
 
 
+def op1_ann(spark, sf_dir):
+    """The five nearest rows to every fiftieth, among all rows."""
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op2_quality_rules(spark, sf_dir):
     """Statistics of every whole document, the base rule, and the learned decision list's verdict."""
     documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -63,4 +68,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
