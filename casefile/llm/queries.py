@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import ann, bpe_count, chat, decision_list, langid, line_runs, mixing, piece_codec
+from casefile.llm import ann, bpe_count, chat, decision_list, langid, line_runs, mixing, ordinal, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -23,6 +23,12 @@ def op2_quality_rules(spark, sf_dir):
     return decision_list.quality_verdicts(documents, labels)
 
 
+def op3_toxicity(spark, sf_dir):
+    """Expected severity of every whole document."""
+    documents = read(spark, sf_dir, "documents")
+    return ordinal.severity(documents, ordinal.fit(documents, read(spark, sf_dir, "labels")))
+
+
 def op4_piece_codec(spark, sf_dir):
     """Every whole document as piece ids, and whether they decode to the text again."""
     return piece_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
@@ -68,4 +74,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
