@@ -37,3 +37,27 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+ORACLES["op8_jaccard_join"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM split WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b, c, x.n AS n, y.n AS m FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)
+), texts AS (  -- documents with equal sets: the smallest id stands for them
+  SELECT d.doc_id, least(d.doc_id, coalesce(min(l.b) FILTER (WHERE l.c = l.n AND l.c = l.m), d.doc_id)) AS rep
+  FROM documents d LEFT JOIN links l ON l.a = d.doc_id GROUP BY 1
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), class AS (SELECT a, min(b) AS class_id FROM reach GROUP BY 1)
+SELECT d.doc_id, k.class_id, count(l.b) AS n_links,
+  count(DISTINCT CASE WHEN t.rep <> own.rep THEN t.rep END) AS n_text_links
+FROM documents d JOIN class k ON k.a = d.doc_id JOIN texts own ON own.doc_id = d.doc_id
+LEFT JOIN links l ON l.a = d.doc_id LEFT JOIN texts t ON t.doc_id = l.b
+GROUP BY 1, 2
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import ann, bpe_count, chat, decision_list, langid, line_runs, mixing, ordinal, piece_codec
+from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, ordinal, piece_codec
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -63,6 +63,11 @@ def op7_chat_format(spark, sf_dir):
     return chat.conversation_digests(given.unionByName(own)).drop("n_rewrites")
 
 
+def op8_jaccard_join(spark, sf_dir):
+    """Class and number of links of every whole document at similarity 0.8 of five-word shingles."""
+    return jaccard.classes(read(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark, sf_dir):
     """Documents without the lines that ten or more documents share."""
     found = line_runs.dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -74,4 +79,4 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts)}
