@@ -92,3 +92,14 @@ def list_array(values: np.ndarray, lengths: Iterable[int], kind: pa.DataType) ->
 def record_batch(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, kind) for c, (_, kind) in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in schema])
+
+
+def carried_schema(schema: str, df: DataFrame, carry: Iterable[str]) -> str:
+    """The schema with the types of carried columns after it."""
+    return ", ".join([schema, *(f"`{name}` {df.schema[name].dataType.simpleString()}" for name in carry)])
+
+
+def with_columns(found: pa.RecordBatch, batch: pa.RecordBatch, start: int) -> pa.RecordBatch:
+    """Results with the columns that a batch carries from position `start` on."""
+    names = [*found.schema.names, *batch.schema.names[start:]]
+    return pa.RecordBatch.from_arrays([*found.columns, *batch.columns[start:]], names=names)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casefile.llm.common import map_arrow, record_batch, slices, staged, texts_of
+from casefile.llm.common import carried_schema, map_arrow, record_batch, slices, staged, texts_of, with_columns
 
 UNDETERMINED = "und"
 
@@ -188,14 +188,16 @@ def _span_lists(labels: np.ndarray, lengths: np.ndarray, languages: tuple[str, .
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
-def predict(df: DataFrame, model: LanguageModel, id_col="doc_id", text_col="text", penalty: float = 12.0) -> DataFrame:
-    """doc_id, lang_pred, score, spans of every row.
+def predict(
+    df: DataFrame, model: LanguageModel, id_col="doc_id", text_col="text", penalty: float = 12.0, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, lang_pred, score, spans of every row, and the columns named in `carry`.
 
     `spans` are maximal runs of words (runs of letters) in one language; `lang_pred` has most words, ties to
     the language that sorts first; `score` is its share of the words. Null texts and texts without a letter
     are "und" with score 0 and no span; so is every text for a model without languages. Whole texts of any
     length are labelled; a null id stays null; repeated rows are labelled each; an empty table gives no
-    rows; other columns are not read. Rows need no shuffle.
+    rows; other columns are not read. Rows need no shuffle. Carried names must not be those above.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)  # bounded by the fit's max_grams
 
@@ -214,10 +216,11 @@ def predict(df: DataFrame, model: LanguageModel, id_col="doc_id", text_col="text
             winner = votes.argmax(axis=1)
             share = votes[np.arange(len(words)), winner] / np.maximum(lengths, 1)
             names = [known.languages[w] if n else UNDETERMINED for w, n in zip(winner, lengths, strict=True)]
-            yield record_batch(_COLUMNS, batch.column(0), names, share, _span_lists(labels, lengths, known.languages))
+            found = record_batch(_COLUMNS, batch.column(0), names, share, _span_lists(labels, lengths, known.languages))
+            yield with_columns(found, batch, 2)
 
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return map_arrow(chosen, run, _SCHEMA)
+    ids, texts = F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text_")
+    return map_arrow(df.select(ids, texts, *carry), run, carried_schema(_SCHEMA, df, carry))
 
 
 def held_out(id_column: Column, folds: int = 5) -> Column:

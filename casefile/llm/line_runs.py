@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casefile.llm.common import bytes_of, map_arrow, record_batch, staged
+from casefile.llm.common import bytes_of, carried_schema, map_arrow, record_batch, staged, with_columns
 from casefile.session import scratch_path
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -123,7 +123,7 @@ def _digest_rows(batches):
     schema = [("doc_id", pa.int64()), ("text", pa.string()), ("d1", pa.int64()), ("d2", pa.int64())]
     for batch in batches:
         own = _pairs([xxhash.xxh3_128_digest(t) for t in bytes_of(batch.column(1))])
-        yield record_batch(schema, batch.column(0), batch.column(1), own[:, 0], own[:, 1])
+        yield with_columns(record_batch(schema, batch.column(0), batch.column(1), own[:, 0], own[:, 1]), batch, 2)
 
 
 def _drop_rows(min_chars: int):
@@ -149,7 +149,7 @@ def _drop_rows(min_chars: int):
                 kept.append(b"\n".join(left))
             texts = pa.array(kept, pa.binary()).cast(pa.string())
             digests = [hashlib.sha256(k).hexdigest() for k in kept]
-            yield record_batch(schema, batch.column(0), lines, dropped, texts, digests)
+            yield with_columns(record_batch(schema, batch.column(0), lines, dropped, texts, digests), batch, 3)
 
     return run
 
@@ -163,9 +163,15 @@ def line_hashes(df: DataFrame, id_col="doc_id", text_col="text", min_chars: int
 
 
 def dedup_lines(
-    df: DataFrame, id_col="doc_id", text_col="text", min_docs: int = 10, min_chars: int = 1, batches: int = 4
+    df: DataFrame,
+    id_col="doc_id",
+    text_col="text",
+    min_docs: int = 10,
+    min_chars: int = 1,
+    batches: int = 4,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept (text), kept_sha256 of every row.
+    """doc_id, n_lines, n_dropped, kept (text), kept_sha256 of every row, and the columns named in `carry`.
 
     A key found in at least `min_docs` rows loses all its lines in every row; the other lines stay,
     joined by a line break. Every row is a document: repeated rows count each. A null or empty text is
@@ -185,11 +191,12 @@ def dedup_lines(
         "d1", "d2", F.unhex(F.concat(_hex("h1"), _hex("h2"))).alias("h")
     )
     going = going.groupBy("d1", "d2").agg(F.collect_set("h").alias("gone"))
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = map_arrow(chosen, _digest_rows, "doc_id long, text string, d1 long, d2 long")
-    matched = marked.join(going, ["d1", "d2"], "left").select("doc_id", "text", "gone")
+    ids, texts = F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    marked_schema = carried_schema("doc_id long, text string, d1 long, d2 long", df, carry)
+    marked = map_arrow(df.select(ids, texts, *carry), _digest_rows, marked_schema)
+    matched = marked.join(going, ["d1", "d2"], "left").select("doc_id", "text", "gone", *carry)
     out = "doc_id long, n_lines long, n_dropped long, kept string, kept_sha256 string"
-    return map_arrow(matched, _drop_rows(min_chars), out)
+    return map_arrow(matched, _drop_rows(min_chars), carried_schema(out, df, carry))
 
 
 def _hex(name: str):

@@ -120,8 +120,15 @@ _PLAN = (
 )
 
 
-def mix(df: DataFrame, plan: MixPlan = MixPlan(), id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
-    """doc_id, source, text, size, source_size, target, taken, parts of every row.
+def mix(
+    df: DataFrame,
+    plan: MixPlan = MixPlan(),
+    id_col="doc_id",
+    text_col="text",
+    source_col="source",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """doc_id, source, text, size, source_size, target, taken, parts of every row, and the columns named in `carry`.
 
     `parts` lists what is taken: (first word, words, times) in order, empty if nothing is. `taken` is
     words x times, at most `repeats` x size. Null and empty texts have size 0 and give nothing. A null
@@ -136,8 +143,9 @@ def mix(df: DataFrame, plan: MixPlan = MixPlan(), id_col="doc_id", text_col="tex
         F.col(source_col).cast("string").alias("source"),
         text.alias("text"),
         F.size(word_array(text)).cast("long").alias("size"),
+        *carry,
     )
-    return _mixed(spark, rows, plan)
+    return _mixed(spark, rows, plan, carry)
 
 
 def mix_sizes(df: DataFrame, plan: MixPlan = MixPlan(), id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
@@ -150,7 +158,7 @@ def mix_sizes(df: DataFrame, plan: MixPlan = MixPlan(), id_col="doc_id", text_co
     return _mixed(df.sparkSession, staged(sizes, "mix-sizes"), plan).drop("parts")
 
 
-def _mixed(spark, rows: DataFrame, plan: MixPlan) -> DataFrame:
+def _mixed(spark, rows: DataFrame, plan: MixPlan, carry: tuple[str, ...] = ()) -> DataFrame:
     totals = rows.groupBy("source").agg(F.sum("size").alias("words")).collect()  # one row per source
     all_words = max(sum(r["words"] for r in totals), 1)
     per_shard = max(plan.shard_words, all_words / plan.max_shards)
@@ -180,7 +188,7 @@ def _mixed(spark, rows: DataFrame, plan: MixPlan) -> DataFrame:
     )
     taken = F.aggregate("parts", F.lit(0).cast("long"), lambda total, x: total + x["words"] * x["times"])
     kept = [c for c in ("doc_id", "source", "text", "size") if c in rows.columns]
-    return chosen.withColumn("parts", parts).select(*kept, "source_size", "target", taken.alias("taken"), "parts")
+    return chosen.withColumn("parts", parts).select(*kept, "source_size", "target", taken.alias("taken"), "parts", *carry)
 
 
 def _small(df: DataFrame, n_rows: int, limit: int = 20_000) -> DataFrame:
@@ -188,8 +196,8 @@ def _small(df: DataFrame, n_rows: int, limit: int = 20_000) -> DataFrame:
     return F.broadcast(df) if n_rows <= limit else df
 
 
-def taken_texts(mixed: DataFrame) -> DataFrame:
-    """doc_id, source, copy, text: one row for the parts taken at least once, one more for each further time.
+def taken_texts(mixed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, copy, text and carried columns: one row for the parts taken at least once, one more for each further time.
 
     The text of a row is its parts in order with the white space inside and before them; a row that takes
     the whole document has the document's text.
@@ -203,4 +211,4 @@ def taken_texts(mixed: DataFrame) -> DataFrame:
     slices = F.transform(own, lambda x: F.slice("tokens", (x["first"] + 1).cast("int"), x["words"].cast("int")))
     joined = F.regexp_replace(F.array_join(F.flatten(slices), ""), r"^[\x20\x09-\x0D]+", "")
     text = F.when(words == F.col("size"), F.col("text")).otherwise(joined)
-    return rows.select("doc_id", "source", "copy", text.alias("text"))
+    return rows.select("doc_id", "source", "copy", text.alias("text"), *carry)
