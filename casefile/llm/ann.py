@@ -88,7 +88,8 @@ class CentroidGraph:
             by_id = np.argsort(new, axis=1, kind="stable")  # one centroid can come from several edges
             new, new_distances = np.take_along_axis(new, by_id, 1), np.take_along_axis(new_distances, by_id, 1)
             new_distances[:, 1:][new[:, 1:] == new[:, :-1]] = np.inf
-            seen[at, new] = seen[at, new] | (new_distances < np.inf)
+            row, column = np.nonzero(new_distances < np.inf)
+            seen[row, new[row, column]] = True
             ids = np.concatenate([ids, new], axis=1)
             distances = np.concatenate([distances, new_distances], axis=1)
             done = np.concatenate([done, new_distances == np.inf], axis=1)
