@@ -39,8 +39,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Every line belongs to one evidence source (ROUTES) and every part to one reference source or to none
+# (REFERENCES); nothing is left out. What is rare in the domain is a flag value, not a filter.
+ROUTES = {
+    "complaints": "l_returnflag = 'R'",
+    "recalls": "l_returnflag = 'A' AND l_linestatus = 'F'",
+    "investigations": "l_returnflag = 'A' AND l_linestatus = 'O'",
+    "manufacturer_communications": "l_returnflag = 'N'",
+}
+REFERENCES = {"ncap_ratings": "p_partkey % 7 IN (0, 3)", "fuel_economy": "p_partkey % 7 IN (2, 5)"}
+
 YEAR = "CASE p_size WHEN 1 THEN '' WHEN 2 THEN '9999' ELSE string(p_size + 1975) END"
-LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+# Later lines of an order are about earlier years of the part, which no reference source has.
+LINE_YEAR = (
+    "CASE p_size WHEN 1 THEN '' WHEN 2 THEN '9999' "
+    "ELSE string(p_size + 1975 - if(l_linenumber > 3, l_suppkey % 20, 0)) END"
+)
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+def _twice(df: DataFrame, condition: str, column: str) -> DataFrame:
+    """Adds a column that is 1, and a second row with 2 where the condition holds: records to be deduplicated."""
+    copies = F.expr(f"if({condition}, array(1, 2), array(1))")
+    return df.withColumn(column, F.explode(copies))
 
 
 def _contract(df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
@@ -55,7 +76,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines(spark, sf_dir).filter("l_returnflag = 'R' AND l_linestatus = 'F'")
+    rows = _twice(_lines(spark, sf_dir).filter(ROUTES["complaints"]), "l_suppkey % 25 = 3", "occurrence")
     return _contract(
         rows,
         "complaints",
@@ -65,7 +86,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
             "manufacturer_name": "p_brand",
             "source_make": "p_brand",
             "source_model": "p_name",
-            "model_year": YEAR,
+            "model_year": LINE_YEAR,
             "crash_flag": "if(l_quantity >= 48, 'Y', 'N')",
             "incident_date": "CASE l_linenumber WHEN 5 THEN '' WHEN 6 THEN '20251301' "
             "ELSE date_format(date_sub(l_shipdate, l_linenumber), 'yyyyMMdd') END",
@@ -76,7 +97,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
             "record_created_date": "date_format(l_shipdate, 'yyyyMMdd')",
             "complaint_received_date": "date_format(l_shipdate, 'yyyyMMdd')",
             "mileage_at_failure": "if(l_linenumber = 7, '5.7', string(floor(l_extendedprice)))",
-            "occurrence_count": "'1'",
+            "occurrence_count": "occurrence",
             "product_type": "if(p_type = 'LARGE', 'T', 'V')",
             "medical_attention_flag": "if(l_tax >= 0.065D, 'TRUE', '0')",
             "vehicle_towed_flag": "if(l_quantity >= 45, '1', 'no')",
@@ -86,7 +107,7 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recalls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines(spark, sf_dir).filter("l_returnflag = 'A' AND l_linestatus = 'F' AND l_discount >= 0.085D")
+    rows = _twice(_lines(spark, sf_dir).filter(ROUTES["recalls"]), "l_suppkey % 25 = 4", "entry")
     return _contract(
         rows,
         "recalls",
@@ -95,26 +116,27 @@ def recalls(spark: SparkSession, sf_dir: str) -> DataFrame:
             "campaign_number": "concat(' ', l_suppkey)",
             "source_make": "p_brand",
             "source_model": "p_name",
-            "model_year": YEAR,
+            "model_year": LINE_YEAR,
             "component_name": "p_name",
             "filing_manufacturer": "p_brand",
             "product_type": "if(p_type = 'LARGE', 'T', 'V')",
             "potential_units_affected": "floor(l_extendedprice)",
+            "recall_initiator": "concat('entry ', entry)",
             "report_received_date": "date_format(l_shipdate, 'yyyyMMdd')",
             "defect_summary": "concat('defect, type ', p_type)",
             "consequence_summary": "concat('found in ', p_name)",
             "corrective_action": "concat('replace the ', p_name)",
             "recalled_component_id": "l_partkey",
-            "do_not_drive_flag": "if(l_quantity >= 49, 'Yes', 'No')",
-            "park_outside_flag": "if(l_quantity BETWEEN 47 AND 48, 'TRUE', 'FALSE')",
+            "do_not_drive_flag": "if(l_discount >= 0.085D AND l_quantity >= 49, 'Yes', 'No')",
+            "park_outside_flag": "if(l_discount >= 0.085D AND l_quantity BETWEEN 47 AND 48, 'TRUE', 'FALSE')",
         },
     )
 
 
 def investigations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
-    lines = _lines(spark, sf_dir).filter("l_returnflag = 'A' AND l_linestatus = 'O' AND l_quantity >= 40")
-    rows = lines.join(urgent, lines.l_orderkey == urgent.o_orderkey)
+    orders = table(spark, sf_dir, "orders")
+    lines = _lines(spark, sf_dir).filter(ROUTES["investigations"])
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     return _contract(
         rows,
         "investigations",
@@ -122,11 +144,12 @@ def investigations(spark: SparkSession, sf_dir: str) -> DataFrame:
             "investigation_number": "o_custkey",
             "source_make": "p_brand",
             "source_model": "p_name",
-            "model_year": YEAR,
+            "model_year": LINE_YEAR,
             "component_name": "p_name",
             "manufacturer_name": "p_brand",
             "opened_date": "date_format(o_orderdate, 'yyyyMMdd')",
-            "closed_date": "if(o_orderstatus = 'O', '', date_format(l_shipdate, 'yyyyMMdd'))",
+            "closed_date": "if(o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' AND l_quantity >= 40, '', "
+            "date_format(l_shipdate, 'yyyyMMdd'))",
             "subject": "concat('inquiry, type ', p_type)",
             "summary": "concat('order ', o_orderkey)",
         },
@@ -134,7 +157,7 @@ def investigations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def communications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines(spark, sf_dir).filter("l_returnflag = 'N' AND l_linestatus = 'O'")
+    rows = _lines(spark, sf_dir).filter(ROUTES["manufacturer_communications"])
     return _contract(
         rows,
         "manufacturer_communications",
@@ -146,7 +169,7 @@ def communications(spark: SparkSession, sf_dir: str) -> DataFrame:
             "communication_type": "concat('TYPE ', l_linenumber)",
             "source_make": "p_brand",
             "source_model": "p_name",
-            "model_year": YEAR,
+            "model_year": LINE_YEAR,
             "nhtsa_components": "p_name",
             "manufacturer_system": "p_type",
             "summary": "concat('bulletin on ', p_name)",
@@ -155,14 +178,14 @@ def communications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").filter("p_type = 'STANDARD' AND p_size >= 9")
+    rows = table(spark, sf_dir, "part").filter(REFERENCES["ncap_ratings"])
     return _contract(
         rows,
         "ncap_ratings",
         {
             "make": "lower(replace(p_brand, '#', '-'))",
             "model": "p_name",
-            "model_yr": "p_size + 1975",
+            "model_yr": YEAR,
             "body_style": "concat('B', p_partkey % 4)",
             "vehicle_type": "p_type",
             "drive_train": "if(p_partkey % 2 = 0, 'FWD', 'RWD')",
@@ -182,7 +205,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").filter("p_type = 'ECONOMY' AND p_size >= 9")
+    rows = table(spark, sf_dir, "part").filter(REFERENCES["fuel_economy"])
     return _contract(
         rows,
         "fuel_economy",
@@ -190,7 +213,7 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
             "id": "p_partkey",
             "make": "lower(replace(p_brand, '#', '-'))",
             "model": "p_name",
-            "year": "p_size + 1975",
+            "year": YEAR,
             "VClass": "concat('CLASS ', p_size % 6)",
             "fuelType": "if(p_partkey % 3 = 0, 'Diesel', 'Regular')",
             "drive": "if(p_partkey % 2 = 0, 'FWD', 'AWD')",
@@ -214,15 +237,20 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey
     )
+    keys = ["year(o_orderdate) AS year", "concat(' ', lower(n_name)) AS state", "c_mktsegment AS category"]
+    keyed = rows.selectExpr(*keys, "lower(o_orderpriority) AS type", "CAST(floor(o_totalprice) AS BIGINT) AS price")
+    totals = keyed.groupBy("year", "state", "category", "type").agg(F.sum("price").alias("total"))
+    # some rows come twice, some with a second, conflicting number
+    numbers = "CASE total % 10 WHEN 3 THEN array(total, total) WHEN 7 THEN array(total, total + 1) ELSE array(total) END"
     return _contract(
-        rows,
+        totals.withColumn("number", F.explode(F.expr(numbers))),
         "state_registrations",
         {
-            "year": "year(o_orderdate)",
-            "state": "concat(' ', lower(n_name))",
-            "category": "c_mktsegment",
-            "registration_type": "lower(o_orderpriority)",
-            "vehicles": "floor(o_totalprice)",
+            "year": "year",
+            "state": "state",
+            "category": "category",
+            "registration_type": "type",
+            "vehicles": "number",
         },
     )
 
