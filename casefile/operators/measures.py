@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,19 +84,44 @@ MEASURES = {
 }
 
 
+def _applies(df: DataFrame, where: str) -> bool:
+    """Does the table have the columns of the condition?"""
+    try:
+        df.filter(where).schema  # noqa: B018  analysis only, no job
+    except AnalysisException:
+        return False
+    return True
+
+
 def _in_context(model, table: str, by, where, where_entity) -> DataFrame:
-    """The table under the caller's filters, with the grouping columns it lacks taken from the entity dimension."""
+    """The table under the caller's filters, with the grouping columns it lacks taken from the entity dimension.
+
+    A filter on columns that the table lacks, or on entities where it has none, leaves it as it is; a
+    grouping column it cannot get is NULL there. Rows without an entity do not take part in the join: they
+    have NULL attributes, and no entity filter keeps them.
+    """
     df = model[table]
-    if where is not None:
+    if where is not None and _applies(df, where):
         df = df.filter(where)
     borrowed = [c for c in by if c not in df.columns]
     if table == "entity":
         return df if where_entity is None else df.filter(where_entity)
     if not borrowed and where_entity is None:
         return df
-    entity = model["entity"] if where_entity is None else model["entity"].filter(where_entity)
-    how = "left" if where_entity is None else "inner"
-    return df.join(entity.select("vehicle_key", *borrowed), "vehicle_key", how)
+    entity = model["entity"]
+    kinds = dict(entity.dtypes)
+    if "vehicle_key" not in df.columns:
+        return df.withColumns({c: F.lit(None).cast(kinds.get(c, "string")) for c in borrowed})
+    known = [c for c in borrowed if c in kinds]
+    chosen = (entity if where_entity is None else entity.filter(where_entity)).select("vehicle_key", *known)
+    keyed = df.filter("vehicle_key IS NOT NULL").join(chosen, "vehicle_key", "left" if where_entity is None else "inner")
+    keyed = keyed.withColumns({c: F.lit(None).cast("string") for c in borrowed if c not in kinds})
+    if where_entity is not None:
+        return keyed
+    unkeyed = df.filter("vehicle_key IS NULL").withColumns(
+        {c: F.lit(None).cast(kinds.get(c, "string")) for c in borrowed}
+    )
+    return keyed.unionByName(unkeyed)
 
 
 def _condition(where: str | None) -> Column:

@@ -64,64 +64,58 @@ def profile_keys(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     return rows.filter(valid).select(*_identity(spec)).distinct()
 
 
-# Counts that add up over the parts of a profile, and bounds that take the extreme.
-_SUMS = (
-    "rows malformed_rows distinct_rows distinct_business_ids vehicle_rows valid_vehicle_rows missing_make "
-    "missing_model missing_year distinct_normalized_vehicle_keys"
-).split()
-_BOUNDS = {"min_year": F.min, "max_year": F.max, "min_source_date": F.min, "max_source_date": F.max}
-
-
 def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None) -> DataFrame:
-    """One row of 17 metrics for a landed source.
+    """One row of 18 metrics for a landed source, from one scan.
 
-    The plain counts are one aggregate over the columns they need. The three distinct
-    counts (rows, ids, identities) are groupings of their own, each over its own narrow
-    columns, instead of one aggregate that multiplies every row by the number of distincts.
-    The parts meet as rows of a union, one per part.
+    Rows are grouped by their digest together with their id and identity, which are functions of the row;
+    every count, the distinct ones too, is then taken from that smaller frame.
     """
-    rows = _profiled_rows(df, spec)
-    vehicle, year = F.col("_vehicle"), F.col("_year")
-    aggregates = [F.count("*").alias("rows"), F.min("_year").alias("min_year"), F.max("_year").alias("max_year")]
-    if spec.date_col:
-        day = first8_date(spec.date_col)
-        aggregates += [F.min(day).alias("min_source_date"), F.max(day).alias("max_source_date")]
-    if spec.make:
-        make, model = _present(spec.make), _present(spec.model)
-        aggregates += [
-            F.count_if(vehicle).alias("vehicle_rows"),
-            F.count_if(vehicle & make & model & year.isNotNull()).alias("valid_vehicle_rows"),
-            F.count_if(vehicle & ~make).alias("missing_make"),
-            F.count_if(vehicle & ~model).alias("missing_model"),
-            F.count_if(vehicle & year.isNull()).alias("missing_year"),
-        ]
-    parts = [rows.agg(*aggregates)]
-    parts.append(df.groupBy(row_digest(df.columns).alias("d")).agg(F.lit(1)).agg(F.count("*").alias("distinct_rows")))
-    if spec.id_col:
-        ids = df.select(blank_to_null(spec.id_col).alias("id")).filter("id is not null").distinct()
-        parts.append(ids.agg(F.count("*").alias("distinct_business_ids")))
-    if spec.make:
-        parts.append(profile_keys(df, spec).agg(F.count("*").alias("distinct_normalized_vehicle_keys")))
-    if malformed is not None:
-        parts.append(malformed.agg(F.count("*").alias("malformed_rows")))
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    union = union.withColumns(
-        {
-            name: F.lit(None).cast("string" if name.endswith("date") else "bigint")
-            for name in [*_SUMS, *_BOUNDS]
-            if name not in union.columns
-        }
+    vehicle, year, n = F.col("_vehicle"), F.col("_year"), F.col("n")
+    make = _present(spec.make) if spec.make else F.lit(False)
+    model = _present(spec.model) if spec.model else F.lit(False)
+    valid = vehicle & make & model & year.isNotNull()
+    identity = F.when(valid, F.struct(*_identity(spec))) if spec.make else F.lit(None).cast("string")
+    rows = _profiled_rows(df, spec).select(
+        row_digest(df.columns).alias("digest"),
+        (blank_to_null(spec.id_col) if spec.id_col else F.lit(None).cast("string")).alias("id"),
+        identity.alias("identity"),
+        (first8_date(spec.date_col) if spec.date_col else F.lit(None).cast("string")).alias("day"),
+        "_vehicle",
+        "_year",
+        make.alias("make"),
+        model.alias("model"),
     )
-    merged = union.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in _SUMS],
-        *[merge(c).alias(c) for c, merge in _BOUNDS.items()],
+    per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    counted = per_row.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count("*").alias("distinct_rows"),
+        F.count_distinct("id").alias("distinct_business_ids"),
+        F.count_distinct("identity").alias("distinct_normalized_vehicle_keys"),
+        rows_where(vehicle).alias("vehicle_rows"),
+        rows_where(F.col("identity").isNotNull()).alias("valid_vehicle_rows"),
+        rows_where(vehicle & ~F.col("make")).alias("missing_make"),
+        rows_where(vehicle & ~F.col("model")).alias("missing_model"),
+        rows_where(vehicle & year.isNull()).alias("missing_year"),
+        F.min("_year").alias("min_year"),
+        F.max("_year").alias("max_year"),
+        F.min("day").alias("min_source_date"),
+        F.max("day").alias("max_source_date"),
     )
-    total = F.col("rows") + F.col("malformed_rows")
-    return merged.select(
+    bad = F.lit(0).cast("bigint")
+    if malformed is not None:
+        counted = counted.crossJoin(F.broadcast(malformed.agg(F.count("*").alias("bad"))))  # one row each
+        bad = F.col("bad")
+    total = F.col("rows") + bad
+    return counted.select(
         F.lit(spec.source_id).alias("source_id"),
+        F.lit(len(df.columns)).alias("columns"),
         total.alias("rows"),
-        "malformed_rows",
-        ratio("malformed_rows", total).alias("malformed_rate"),
+        bad.alias("malformed_rows"),
+        ratio(bad, total).alias("malformed_rate"),
         (F.col("rows") - F.col("distinct_rows")).alias("exact_duplicate_rows"),
         "distinct_business_ids",
         ratio(total, "distinct_business_ids").alias("rows_per_business_id"),
@@ -131,8 +125,8 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
         ratio("missing_model", "vehicle_rows").alias("missing_model_rate"),
         ratio("missing_year", "vehicle_rows").alias("invalid_or_missing_year_rate"),
         "distinct_normalized_vehicle_keys",
-        F.col("min_year").cast("int"),
-        F.col("max_year").cast("int"),
+        "min_year",
+        "max_year",
         "min_source_date",
         "max_source_date",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from casefile.functions.text import as_column
 from casefile.operators.dedup import duplicate_keys
+from casefile.operators.mart import COUNT_COLUMNS, MEDIAN_COLUMNS
 from casefile.operators.star import orphan_keys
 from casefile.sources.contracts import FORBIDDEN_COLUMNS
 
@@ -197,21 +198,22 @@ def dq_checks(dim: DataFrame, facts: dict[str, DataFrame], alias_queue: DataFram
     return checks if checked_at is None else checks.withColumn("checked_at", checked_at)
 
 
-def dq_semantic(mart: DataFrame, complaint_fact: DataFrame, calendar: DataFrame, date_keys: dict[str, DataFrame]) -> DataFrame:
+def dq_semantic(
+    mart: DataFrame, counted: dict[str, tuple[DataFrame, str]], calendar: DataFrame, date_keys: dict[str, DataFrame]
+) -> DataFrame:
     """The documented rules beyond uniqueness and orphans.
 
-    * complaint reports of the mart equal the distinct (entity, complaint) pairs of the fact;
+    * a count of the mart equals the distinct (entity, id) pairs of its fact; `counted` is
+      mart column -> (fact, id column);
     * a critical entity has a do-not-drive or park-outside campaign, and the reverse;
     * every date key of a fact is in the calendar.
     """
-    reported = mart.agg(F.coalesce(F.sum("complaint_reports"), F.lit(0)).alias("n"))
-    distinct_pairs = (
-        complaint_fact.filter(F.col("vehicle_key").isNotNull() & F.col("complaint_id").isNotNull())
-        .select("vehicle_key", "complaint_id")
-        .distinct()
-        .agg((-F.count("*")).alias("n"))
-    )
-    difference = _named(reported.unionByName(distinct_pairs), "MART_COMPLAINTS_EQUAL_FACT", F.abs(F.sum("n")))
+    checks = []
+    for column, (fact, id_col) in counted.items():
+        reported = mart.agg(F.coalesce(F.sum(column), F.lit(0)).alias("n"))
+        pairs = fact.filter(F.col("vehicle_key").isNotNull() & F.col(id_col).isNotNull()).select("vehicle_key", id_col)
+        both = reported.unionByName(pairs.distinct().agg((-F.count("*")).alias("n")))
+        checks.append(_named(both, f"MART_{column.upper()}_EQUAL_FACT", F.abs(F.sum("n"))))
     urgent = (F.col("do_not_drive_campaigns") > 0) | (F.col("park_outside_campaigns") > 0)
     critical = F.col("review_priority") == "CRITICAL"
     unexplained = _named(mart, "CRITICAL_HAS_URGENCY_FLAG", F.count_if(critical != urgent))
@@ -223,7 +225,7 @@ def dq_semantic(mart: DataFrame, complaint_fact: DataFrame, calendar: DataFrame,
     outside = _named(
         keys.join(calendar.select("date_key"), "date_key", "left_anti"), "DATE_KEYS_IN_CALENDAR", F.count("*")
     )
-    return _check_rows(difference.unionByName(unexplained).unionByName(outside))
+    return _check_rows(reduce(DataFrame.unionByName, [*checks, unexplained, outside]))
 
 
 def dq_status(checks: DataFrame) -> DataFrame:
@@ -238,28 +240,6 @@ def dq_status(checks: DataFrame) -> DataFrame:
 # --- reconciliation -------------------------------------------------------------------------
 
 
-def long_metrics(one_row: DataFrame, prefix: str = "") -> DataFrame:
-    """A one-row frame of numbers as (metric, value) rows."""
-    columns = one_row.columns
-    return one_row.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(prefix + c).alias("metric"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("m")
-    ).select("m.*")
-
-
-def counts_by(df: DataFrame, column: str, prefix: str) -> DataFrame:
-    """Row counts per label as (metric, value) rows."""
-    return df.groupBy(column).agg(F.count("*").cast("double").alias("value")).select(
-        F.concat(F.lit(prefix), F.col(column)).alias("metric"), "value"
-    )
-
-
 TOTAL_COLUMNS = (
     "complaint_reports severe_complaint_reports recall_campaigns do_not_drive_campaigns "
     "park_outside_campaigns investigations open_investigations manufacturer_documents "
@@ -281,7 +261,7 @@ def business_totals(mart: DataFrame) -> DataFrame:
 
 
 def mart_metrics(mart: DataFrame) -> DataFrame:
-    """Everything a run reconciles, as (metric, value): totals, rates, label counts.
+    """Everything a run reconciles, as (metric, value): counts, sums of the medians, label counts.
 
     One grouping of the mart by its labels feeds all metrics, so the mart is read once.
     """
@@ -292,7 +272,9 @@ def mart_metrics(mart: DataFrame) -> DataFrame:
         F.count_if(matched).alias("reference_exact_match_vehicle_keys"),
         F.count_if(eligible).alias("era_eligible_vehicle_keys"),
         F.count_if(eligible & matched).alias("era_eligible_reference_exact_match_vehicle_keys"),
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in TOTAL_COLUMNS],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNT_COLUMNS],
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in MEDIAN_COLUMNS],
+        *[F.count(c).alias(f"{c}_known") for c in MEDIAN_COLUMNS],
     )
     sums = [c for c in grouped.columns if c not in labels]
     pairs = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in sums]

@@ -1,18 +1,110 @@
-"""The mart computed a second time, by another route, to reconcile against.
+"""The mart computed a second time, from the landed text rows, to reconcile against.
 
-The main route unions event rows and groups once per entity. This one aggregates every
-source to the entity on its hashed key, builds the dimension from the identity bridge and
-joins. It shares the conform jobs and the rules, but no aggregation.
+Nothing of the main route's identity, flags, casts, events, aggregates or medians is used: names are
+normalised by splitting instead of replacing, events are conditional distinct counts over rows instead
+of maxima over events, medians run over rows instead of value counts, and sources are joined to the
+entity list instead of united. Shared are the choice of the surviving record (`dedup_by_key`) and the
+rules that turn counts into labels.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from casefile.operators import mart as m
-from casefile.operators.identity import identity_bridge
-from casefile.operators.star import dim_entity
+from casefile.operators.dedup import dedup_by_key
+from casefile.operators.rules import with_review_rules
 from casefile.settings import Settings
+from casefile.sources.contracts import CONTRACTS
+
+_ENTITY = ["make", "model", "model_year"]
+
+# Contract table -> make, model, year.
+_IDENTITY = {
+    "complaints": ("source_make", "source_model", "model_year"),
+    "recalls": ("source_make", "source_model", "model_year"),
+    "investigations": ("source_make", "source_model", "model_year"),
+    "manufacturer_communications": ("source_make", "source_model", "model_year"),
+    "ncap_ratings": ("make", "model", "model_yr"),
+    "fuel_economy": ("make", "model", "year"),
+}
+# Contract table -> what makes a record, as SQL.
+_RECORD = {
+    "complaints": ["complaint_record_id"],
+    "recalls": ["recall_record_id"],
+    "investigations": ["trim(investigation_number)", "e_make", "e_model", "string(e_year)", "component_name"],
+    "manufacturer_communications": [
+        "trim(nhtsa_communication_id)", "trim(document_id)", "e_make", "e_model", "string(e_year)", "nhtsa_components",
+    ],
+    "ncap_ratings": CONTRACTS["ncap_ratings"],
+    "fuel_economy": ["id"],
+}
+
+
+def _yes(column: str) -> str:
+    return f"array_contains(array('y', 'yes', 'true', '1'), lower(trim({column})))"
+
+
+def _number(column: str) -> str:
+    return f"CASE WHEN trim({column}) RLIKE '^[+-]?[0-9]+$' THEN try_cast(trim({column}) AS BIGINT) END"
+
+
+def _words(column: str) -> str:
+    return f"array_join(filter(split(upper(coalesce({column}, '')), '[^A-Z0-9]+'), w -> w <> ''), ' ')"
+
+
+def _is_day(column: str) -> str:
+    return f"(trim({column}) RLIKE '^[0-9]{{8}}$' AND try_to_timestamp(trim({column}), 'yyyyMMdd') IS NOT NULL)"
+
+
+def _distinct(name: str, column: str, condition: str = "true") -> str:
+    return f"count(DISTINCT CASE WHEN {condition} THEN nullif(trim({column}), '') END) AS {name}"
+
+
+def _flagged(name: str, column: str, condition: str) -> str:
+    """Events for which the condition holds on some row; rows without an id are one event."""
+    return f"count(DISTINCT CASE WHEN {condition} THEN coalesce(trim({column}), '') END) AS {name}"
+
+
+def _median(name: str, column: str) -> str:
+    return f"percentile({_number(column)}, 0.5) AS {name}"
+
+
+_SEVERE = (
+    f"({_yes('crash_flag')} OR {_yes('fire_flag')} OR coalesce({_number('injury_count')}, 0) > 0 "
+    f"OR coalesce({_number('death_count')}, 0) > 0)"
+)
+# Contract table -> aggregates per entity.
+_AGGREGATES = {
+    "complaints": [
+        _distinct("complaint_reports", "complaint_id"),
+        _flagged("severe_complaint_reports", "complaint_id", _SEVERE),
+        _flagged("crash_reported_complaints", "complaint_id", _yes("crash_flag")),
+        _flagged("fire_reported_complaints", "complaint_id", _yes("fire_flag")),
+    ],
+    "recalls": [
+        _distinct("recall_campaigns", "campaign_number"),
+        _distinct("do_not_drive_campaigns", "campaign_number", _yes("do_not_drive_flag")),
+        _distinct("park_outside_campaigns", "campaign_number", _yes("park_outside_flag")),
+    ],
+    "investigations": [
+        _distinct("investigations", "investigation_number"),
+        _distinct("open_investigations", "investigation_number", f"NOT coalesce({_is_day('closed_date')}, false)"),
+    ],
+    "manufacturer_communications": [_distinct("manufacturer_documents", "document_id")],
+    "ncap_ratings": [
+        "count(DISTINCT coalesce(body_style, ''), coalesce(vehicle_type, ''), coalesce(drive_train, ''), "
+        "coalesce(num_of_seating, '')) AS ncap_tested_variants",
+        _median("median_overall_stars", "overall_stars"),
+    ],
+    "fuel_economy": [
+        _distinct("epa_variants", "id"),
+        _median("median_combined_mpg", "comb08"),
+        _median("median_annual_fuel_cost", "fuelCost08"),
+    ],
+}
 
 
 def by_system(silver: dict[str, DataFrame], settings: Settings = Settings()) -> dict[str, DataFrame]:
@@ -20,22 +112,80 @@ def by_system(silver: dict[str, DataFrame], settings: Settings = Settings()) ->
     return {label: silver[name] for name, label in settings.source_systems.items()}
 
 
-def entity_aggregates(silver: dict[str, DataFrame]) -> list[DataFrame]:
-    return [
-        m.complaint_agg(silver["complaints"]),
-        m.recall_agg(silver["recalls"]),
-        m.investigation_agg(silver["investigations"]),
-        m.communication_agg(silver["communications"]),
-        m.ncap_agg(silver["ratings"]),
-        m.fuel_agg(silver["variants"]),
-    ]
+def _records(landed: DataFrame, table: str, settings: Settings) -> DataFrame:
+    """Surviving records of a landed table with a valid identity."""
+    contract = CONTRACTS[table]
+    rows = landed.select(*contract)
+    if "product_type" in contract:
+        rows = rows.filter(F.col("product_type") == settings.product_value)
+    make, model, year = _IDENTITY[table]
+    named = rows.selectExpr(
+        "*", f"{_words(make)} AS e_make", f"{_words(model)} AS e_model", f"int({_number(year)}) AS e_year"
+    )
+    valid = f"e_make <> '' AND e_model <> '' AND e_year BETWEEN {settings.min_year} AND {settings.max_year}"
+    keys = [f"r{i}" for i in range(len(_RECORD[table]))]
+    keyed = named.selectExpr("*", *[f"coalesce({sql}, '') AS r{i}" for i, sql in enumerate(_RECORD[table])])
+    return dedup_by_key(keyed, keys, digest_of=contract).filter(valid).drop(*keys)
+
 
+def _severity_amounts(complaints: DataFrame) -> DataFrame:
+    """Injuries and deaths of an entity: the largest number any row of a complaint gives, added up."""
+    return (
+        complaints.selectExpr(
+            "e_make", "e_model", "e_year", "nullif(trim(complaint_id), '') AS event",
+            f"coalesce({_number('injury_count')}, 0) AS injured", f"coalesce({_number('death_count')}, 0) AS dead",
+        )
+        .groupBy("e_make", "e_model", "e_year", "event")
+        .agg(F.max("injured").alias("injured"), F.max("dead").alias("dead"))
+        .groupBy("e_make", "e_model", "e_year")
+        .agg(F.sum("injured").alias("reported_injuries"), F.sum("dead").alias("reported_deaths"))
+    )
 
-def baseline_mart(silver: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
-    bridge = identity_bridge(by_system(silver, settings), settings=settings)
-    return m.joined_mart(dim_entity(bridge), entity_aggregates(silver), settings)
+
+def baseline_mart(bronze: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+    """Landed tables (contract name -> rows) to the mart."""
+    # Source-system labels by contract table.
+    systems = dict(zip(_IDENTITY, settings.source_systems.values(), strict=True))
+    entity = ["e_make", "e_model", "e_year"]
+    records = {table: _records(bronze[table], table, settings) for table in _IDENTITY}
+    parts = [
+        records[table].groupBy(*entity).agg(*[F.expr(sql) for sql in sqls], F.lit(systems[table]).alias(f"in_{table}"))
+        for table, sqls in _AGGREGATES.items()
+    ]
+    parts.append(_severity_amounts(records["complaints"]))
+    # One row per entity on every side, all partitioned by the same columns.
+    wide = reduce(lambda a, b: a.join(b, entity, "full"), parts)
+    present = F.array_compact(F.array(*[F.col(f"in_{table}") for table in _AGGREGATES]))
+    matched = F.arrays_overlap(present, F.array(*[F.lit(s) for s in settings.reference_systems]))
+    counts = [c for part in parts for c in part.columns if c not in entity and not c.startswith(("in_", "median_"))]
+    described = wide.fillna(0, subset=counts).select(
+        F.expr("sha2(concat_ws('||', e_make, e_model, string(e_year)), 256)").alias("vehicle_key"),
+        *[F.col(own).alias(name) for own, name in zip(entity, _ENTITY, strict=True)],
+        F.size(present).cast("bigint").alias("source_system_count"),
+        matched.alias("reference_exact_match_flag"),
+        (F.col("e_year") >= settings.era_start).alias("reference_year_eligible"),
+        F.when(matched, "MATCHED").otherwise("UNRESOLVED").alias("reference_match_status"),
+        F.lit(settings.rule_version).alias("rule_version"),
+        F.lit(settings.threshold_status).alias("threshold_validation_status"),
+        F.expr("concat_ws(' ', string(e_year), e_make, e_model)").alias("vehicle_label"),
+        *[F.col(c).cast("bigint").alias(c) for c in counts],
+        *[c for part in parts for c in part.columns if c.startswith("median_")],
+    )
+    sources = " + ".join(
+        f"int({c} > 0)"
+        for c in (
+            "complaint_reports", "recall_campaigns", "investigations", "manufacturer_documents",
+            "ncap_tested_variants", "epa_variants",
+        )
+    )
+    derived = described.selectExpr(
+        "*",
+        "double(severe_complaint_reports) / nullif(complaint_reports, 0) AS severe_complaint_share",
+        f"{sources} AS evidence_source_count",
+    )
+    return with_review_rules(derived, settings)
 
 
-def ordered_baseline(silver: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+def ordered_baseline(bronze: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """The baseline in report order: make, model, year (a range-partitioned sort)."""
-    return baseline_mart(silver, settings).orderBy("make", "model", "model_year")
+    return baseline_mart(bronze, settings).orderBy(*_ENTITY)

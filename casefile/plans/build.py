@@ -7,6 +7,7 @@ dedup survivors.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,18 +57,35 @@ def prepare_extracts(spark: SparkSession, raw: dict[str, str], landing: str) ->
         readers.require_well_formed(lines, contracts.SOURCE_IDS[name])
     with ThreadPoolExecutor(max_workers=len(good)) as pool:
         list(pool.map(lambda n: writers.export(good[n], f"{landing}/{n}.csv.gz", fmt="csv.gz"), good))
+    # counted from what was written, so raw files are not read again
+    written = {name: readers.read_extract(spark, f"{landing}/{name}.csv.gz", df.columns) for name, df in good.items()}
     landed = readers.file_checksums(spark, f"{landing}/*.csv.gz")
-    manifest = writers.build_manifest(good, contracts.SOURCE_IDS, landed, malformed=malformed or None)
+    sources = {name: source_checksum(spark, path) for name, path in raw.items()}
+    manifest = writers.build_manifest(written, contracts.SOURCE_IDS, landed, sources)
     created = spark.sql("SELECT string(current_timestamp())").first()[0]
     writers.write_manifest(manifest, f"{landing}/manifest.json", project="casefile", created_at_utc=created)
     return readers.read_manifest(spark, f"{landing}/manifest.json")
 
 
+def source_checksum(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a raw file; of several part files, of their checksums in name order."""
+    parts = readers.file_checksums(spark, path).filter("file_name NOT LIKE '\\_%' AND file_name NOT LIKE '.%'")
+    listed = F.array_sort(F.collect_list(F.struct("file_name", "sha256")))  # one short row per part file
+    row = parts.agg(
+        F.when(F.count("*") == 1, F.max("sha256")).otherwise(F.sha2(F.array_join(F.transform(listed, lambda x: x["sha256"]), ""), 256))
+    ).first()
+    return row[0]
+
+
 def ingest(
     spark: SparkSession, landing: str, out: str, batch: str, ingested_at: Column | None = None, **csv_options
 ) -> dict[str, DataFrame]:
     """Bronze tables of one batch. The audit row is always kept; any contract failure stops the run.
 
+    Files whose checksum is not the manifest's stop the run before anything is read. Every attempt at a
+    batch has a folder and audit rows of its own, and only they decide about it: a corrected batch passes,
+    and the audit keeps both attempts.
+
     Each extract is read once: it is staged as Parquet with its provenance, and the row
     counts the contract is checked on come from the staged files' footers. Later layers
     only see a batch whose tables all passed.
@@ -76,7 +94,9 @@ def ingest(
     manifest = readers.read_manifest(spark, f"{landing}/manifest.json")
     expected = list(contracts.CONTRACTS)
     quality.gate(quality.missing_tables(manifest, expected), F.lit(True), "table_name", "Manifest completeness")
+    quality.gate(verify_files(spark, landing), ~F.col("checksum_matches"), "table_name", "Checksum")
     entries = {row["table_name"]: row for row in manifest.collect()}  # one row per extract
+    attempt = f"batch={batch}/attempt={uuid.uuid4().hex}"
     headers, staged = {}, {}
     for name in expected:
         entry, path = entries[name], f"{landing}/{name}.csv.gz"
@@ -90,12 +110,12 @@ def ingest(
             batch,
             moment,
         )
-    bronze = write_tables(spark, staged, f"{out}/bronze/batch={batch}")
+    bronze = write_tables(spark, staged, f"{out}/bronze/{attempt}")
     audit = quality.check_contract(quality.observe(spark, bronze, headers), manifest, batch, moment)
+    audit = write_tables(spark, {"audit": audit}, f"{out}/attempts/{attempt}")["audit"]
     writers.append(audit, f"{out}/audit_bronze_ingestion")
     writers.append(manifest.withColumn("_batch_id", F.lit(batch)), f"{out}/bronze_manifest")
-    written = spark.read.parquet(f"{out}/audit_bronze_ingestion").filter(F.col("batch_id") == batch)
-    quality.gate_contract(written)
+    quality.gate_contract(audit)
     return bronze
 
 
@@ -116,12 +136,11 @@ def conform(spark: SparkSession, bronze: dict[str, DataFrame], out: str, setting
 def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Bridge, queues, dimensions, facts, mart and quality checks; a failed check stops the run after it is written."""
     folder = f"{out}/gold"
+    systems = list(settings.source_systems.values())
     first = write_tables(
         spark,
         {
-            "silver_vehicle_identity_bridge": identity.identity_bridge(
-                baseline.by_system(silver, settings), settings=settings
-            ),
+            "silver_vehicle_identity": identity.entity_sources(baseline.by_system(silver, settings), settings),
             "gold_dim_date": star.calendar(silver),
             "gold_dim_evidence_topic": star.dim_topic(spark, settings.topic_rules, settings.default_topic),
             "gold_agg_vehicle_evidence": mart.evidence_mart(silver, settings),
@@ -129,11 +148,13 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, sett
         },
         folder,
     )
-    bridge, evidence = first["silver_vehicle_identity_bridge"], first["gold_agg_vehicle_evidence"]
+    masks, evidence = first["silver_vehicle_identity"], first["gold_agg_vehicle_evidence"]
+    bridge = identity.bridge_of(masks, systems, settings=settings)
     second = write_tables(
         spark,
         {
-            "silver_vehicle_alias_review_queue": identity.alias_review_queue(bridge),
+            "silver_vehicle_identity_bridge": bridge,
+            "silver_vehicle_alias_review_queue": identity.alias_review_queue(masks, systems, settings=settings),
             "audit_silver_entity_match_quality": identity.match_quality(bridge),
             "gold_dim_vehicle": star.dim_entity(bridge),
             "gold_vehicle_review_queue": rules.review_queue(evidence),
@@ -151,7 +172,7 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, sett
     return tables
 
 
-def export_curated(spark: SparkSession, gold: dict[str, DataFrame], out: str) -> None:
+def export_curated(spark: SparkSession, gold: dict[str, DataFrame], out: str, audit_path: str) -> None:
     """The three curated exports."""
     writers.export(
         gold["gold_agg_vehicle_evidence"], f"{out}/export/evidence_summary.parquet", reports.EVIDENCE_SUMMARY_COLUMNS
@@ -159,25 +180,41 @@ def export_curated(spark: SparkSession, gold: dict[str, DataFrame], out: str) ->
     writers.export(
         gold["gold_alias_work_queue"], f"{out}/export/alias_work_queue.parquet", reports.ALIAS_EXPORT_COLUMNS
     )
-    audit = spark.read.parquet(f"{out}/audit_bronze_ingestion")
+    audit = spark.read.parquet(audit_path)
     trust = reports.data_trust(audit, gold["audit_silver_entity_match_quality"])
     writers.export(trust, f"{out}/export/data_trust.parquet")
 
 
-def reconcile(silver: dict[str, DataFrame], gold: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
-    """The written mart against the mart computed by the other route."""
+def reconcile(bronze: dict[str, DataFrame], gold: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+    """The written mart against the mart computed from the landed rows by the other route."""
     return quality.reconcile(
         quality.mart_metrics(gold["gold_agg_vehicle_evidence"]),
-        quality.mart_metrics(baseline.baseline_mart(silver, settings)),
+        quality.mart_metrics(baseline.baseline_mart(bronze, settings)),
     )
 
 
+def publish(spark: SparkSession, out: str, folder: str, batch: str) -> None:
+    """Point readers to a finished snapshot: one row in `<out>/current`, replaced last of all."""
+    writers.replace(spark.createDataFrame([(batch, folder)], "batch_id string, folder string"), f"{out}/current")
+
+
+def current(spark: SparkSession, out: str) -> str:
+    """Folder of the published snapshot, with silver, gold and export below it."""
+    return spark.read.parquet(f"{out}/current").first()["folder"]
+
+
 def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Settings = Settings(), **csv_options) -> dict[str, DataFrame]:
-    """Landing folder to reconciled gold tables; raises where a contract, check or reconciliation fails."""
+    """Landing folder to reconciled gold tables; raises where a contract, check or reconciliation fails.
+
+    The snapshot is written to a folder of its own and published after the last check, so readers never
+    see a failed or half-written one.
+    """
     bronze = ingest(spark, landing, out, batch, **csv_options)
-    silver = conform(spark, bronze, out, settings)
-    gold = build_gold(spark, silver, out, settings)
-    export_curated(spark, gold, out)
-    result = write_tables(spark, {"reconciliation": reconcile(silver, gold, settings)}, f"{out}/gold")["reconciliation"]
+    folder = f"{out}/snapshots/{batch}-{uuid.uuid4().hex}"
+    silver = conform(spark, bronze, folder, settings)
+    gold = build_gold(spark, silver, folder, settings)
+    export_curated(spark, gold, folder, f"{out}/audit_bronze_ingestion")
+    result = write_tables(spark, {"reconciliation": reconcile(bronze, gold, settings)}, f"{folder}/gold")["reconciliation"]
     quality.gate(result, ~F.col("passed"), "metric", "Reconciliation")
+    publish(spark, out, folder, batch)
     return {**gold, "reconciliation": result}

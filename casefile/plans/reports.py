@@ -35,10 +35,6 @@ def _side_by_side(parts: list[DataFrame], by) -> DataFrame:
     return union.groupBy(*by).agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts])
 
 
-def _with_entity(fact: DataFrame, entity: DataFrame, *columns: str) -> DataFrame:
-    return fact.join(entity.select("vehicle_key", *columns), "vehicle_key")
-
-
 # --- executive ------------------------------------------------------------------------------
 
 
@@ -177,8 +173,8 @@ def entity_drillthrough(model: dict[str, DataFrame], chosen: DataFrame) -> DataF
     """
     parts = [
         ("complaint", "complaint_record_id", "received_date_key", "evidence_topic", "component_name"),
-        ("recall", "recall_record_id", "report_received_date_key", "evidence_topic", "consequence_summary"),
-        ("investigation", "investigation_record_key", "opened_date_key", "evidence_topic", "subject"),
+        ("recall", "recall_record_id", "report_received_date_key", "evidence_topic", "consequence_summary corrective_action"),
+        ("investigation", "investigation_record_key", "opened_date_key", "evidence_topic", "subject summary"),
         ("communication", "communication_record_key", "communication_date_key", "evidence_topic", "summary"),
         ("ncap", "ncap_variant_key", None, None, "body_style"),
         ("fuel", "epa_vehicle_id", None, None, "vehicle_class"),
@@ -192,12 +188,22 @@ def entity_drillthrough(model: dict[str, DataFrame], chosen: DataFrame) -> DataF
                 F.col(record).cast("string").alias("record_id"),
                 (F.col(key) if key else F.lit(None).cast("int")).alias("date_key"),
                 (F.col(topic) if topic else F.lit(None).cast("string")).alias("evidence_topic"),
-                F.col(detail).alias("detail"),
+                F.concat_ws(" | ", *detail.split()).alias("detail"),
             )
         )
     return reduce(DataFrame.unionByName, frames).join(F.broadcast(chosen.select("vehicle_key")), "vehicle_key")
 
 
+def entity_header(mart: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Identity, match status, labels with their reasons, and counts of the chosen entity; `chosen` as above."""
+    columns = (
+        "vehicle_key vehicle_label make model model_year reference_match_status reference_year_eligible "
+        "review_priority review_reason alias_priority alias_reason complaint_reports severe_complaint_reports "
+        "recall_campaigns open_investigations manufacturer_documents ncap_tested_variants epa_variants rule_version"
+    ).split()
+    return mart.select(*columns).join(F.broadcast(chosen.select("vehicle_key")), "vehicle_key")
+
+
 def first_critical(mart: DataFrame) -> DataFrame:
     """One row: the smallest key among the critical entities."""
     return mart.filter(F.col("review_priority") == "CRITICAL").agg(F.min("vehicle_key").alias("vehicle_key"))
@@ -206,18 +212,19 @@ def first_critical(mart: DataFrame) -> DataFrame:
 # --- recalls and investigations -------------------------------------------------------------
 
 
-def topic_make_matrix(model: dict[str, DataFrame]) -> DataFrame:
-    """Distinct campaigns and investigations per topic, make and model."""
+_MAKE_MODEL = ("normalized_make AS make", "normalized_model AS model")
+
+
+def _identified(silver: DataFrame, *columns) -> DataFrame:
+    """Rows that name an entity. Silver rows carry its make, model and year, so no dimension is joined."""
+    return silver.filter("vehicle_key IS NOT NULL").selectExpr(*columns)
+
+
+def topic_make_matrix(recalls: DataFrame, investigations: DataFrame) -> DataFrame:
+    """Distinct campaigns and investigations per topic, make and model, from silver rows."""
     by = ["evidence_topic", "make", "model"]
-    campaigns = _with_entity(
-        model["recall"].select("vehicle_key", "evidence_topic", "campaign_number"), model["entity"], "make", "model"
-    )
-    openings = _with_entity(
-        model["investigation"].select("vehicle_key", "evidence_topic", "investigation_number"),
-        model["entity"],
-        "make",
-        "model",
-    )
+    campaigns = _identified(recalls, "evidence_topic", *_MAKE_MODEL, "campaign_number")
+    openings = _identified(investigations, "evidence_topic", *_MAKE_MODEL, "investigation_number")
     return _side_by_side(
         [
             _distinct_ids(campaigns, by, "campaign_number", "recall_campaigns"),
@@ -228,8 +235,8 @@ def topic_make_matrix(model: dict[str, DataFrame]) -> DataFrame:
 
 
 def campaign_table(recall: DataFrame) -> DataFrame:
-    """One row per campaign; texts and flags are maxima over its rows."""
-    return recall.groupBy("campaign_number").agg(
+    """One row per campaign; texts and flags are maxima over its rows. Records without a number are none."""
+    return recall.filter("campaign_number IS NOT NULL").groupBy("campaign_number").agg(
         F.max("filing_manufacturer").alias("filing_manufacturer"),
         F.max("consequence_summary").alias("consequence_summary"),
         F.max("corrective_action").alias("corrective_action"),
@@ -280,22 +287,44 @@ def topic_pareto(complaint: DataFrame) -> DataFrame:
     )
 
 
-def matrix_min_reports(model: dict[str, DataFrame], min_reports: int = 10) -> DataFrame:
-    """Distinct complaints, severe complaints and entities per make and model with enough reports."""
-    events = (
-        _with_entity(
-            model["complaint"].select("vehicle_key", "complaint_id", "severe_report_flag"),
-            model["entity"],
-            "make",
-            "model",
-        )
-        .filter(F.col("complaint_id").isNotNull())
-        .groupBy("make", "model", "complaint_id")
-        .agg(F.max(F.col("severe_report_flag").cast("int")).alias("severe"))
+def component_pareto(complaint: DataFrame) -> DataFrame:
+    """Components of each topic by distinct complaints with their cumulative share of the topic.
+
+    The window is partitioned by topic and runs over one row per component.
+    """
+    per_component = _distinct_ids(complaint, ["evidence_topic", "component_name"], "complaint_id", "complaint_reports")
+    topic = Window.partitionBy("evidence_topic")
+    order = topic.orderBy(F.desc("complaint_reports"), "component_name")
+    running = F.sum("complaint_reports").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return per_component.select(
+        "evidence_topic",
+        "component_name",
+        "complaint_reports",
+        F.row_number().over(order).alias("rank"),
+        running.alias("cumulative_reports"),
+        ratio(running, F.sum("complaint_reports").over(topic)).alias("cumulative_share"),
     )
+
+
+def matrix_min_reports(complaints: DataFrame, min_reports: int = 10) -> DataFrame:
+    """Distinct complaints, severe complaints and entities per make and model with enough reports, from silver rows."""
+    by = ["make", "model"]
+    rows = _identified(complaints, *_MAKE_MODEL, "model_year_int", "complaint_id", "severe_report_flag")
+    rows = rows.filter("complaint_id IS NOT NULL")
+    events = rows.groupBy(*by, "complaint_id").agg(F.max(F.col("severe_report_flag").cast("int")).alias("severe"))
+    years = rows.select(*by, "model_year_int").distinct()
+    counted = [
+        events.select(*by, F.lit(1).alias("complaint"), "severe"),
+        years.select(*by, F.lit(1).alias("entity")),
+    ]
     return (
-        events.groupBy("make", "model")
-        .agg(F.count("*").alias("complaint_reports"), F.sum("severe").alias("severe_complaint_reports"))
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted)
+        .groupBy(*by)
+        .agg(
+            F.count("complaint").alias("complaint_reports"),
+            F.sum("severe").alias("severe_complaint_reports"),
+            F.count("entity").alias("entities"),
+        )
         .filter(F.col("complaint_reports") >= min_reports)
         .withColumn("severe_complaint_share", ratio("severe_complaint_reports", "complaint_reports"))
     )
@@ -318,25 +347,20 @@ def communication_topics(communication: DataFrame) -> DataFrame:
     )
 
 
-def topic_decomposition(model: dict[str, DataFrame]) -> DataFrame:
-    """Distinct documents from topic to component to make and model."""
-    rows = _with_entity(
-        model["communication"].select("vehicle_key", "evidence_topic", "nhtsa_components", "document_id"),
-        model["entity"],
-        "make",
-        "model",
-    )
-    return _distinct_ids(rows, ["evidence_topic", "nhtsa_components", "make", "model"], "document_id", "documents")
+def topic_decomposition(communications: DataFrame) -> DataFrame:
+    """Distinct documents from topic to system to component to make and model, from silver rows."""
+    by = ["evidence_topic", "manufacturer_system", "nhtsa_components"]
+    rows = _identified(communications, *by, *_MAKE_MODEL, "document_id")
+    return _distinct_ids(rows, [*by, "make", "model"], "document_id", "documents")
 
 
 # --- vehicle context ------------------------------------------------------------------------
 
 
-def rating_distribution(model: dict[str, DataFrame]) -> DataFrame:
-    """Tested variants per model year and star rating."""
-    rated = _with_entity(
-        model["ncap"].select("vehicle_key", "ncap_variant_key", "overall_stars"), model["entity"], "model_year"
-    )
+def rating_distribution(ratings: DataFrame) -> DataFrame:
+    """Tested variants per model year and star rating, from silver rows."""
+    columns = ("model_year_int AS model_year", "overall_stars_int AS overall_stars", "ncap_variant_key")
+    rated = _identified(ratings, *columns)
     return _distinct_ids(rated, ["model_year", "overall_stars"], "ncap_variant_key", "variants")
 
 
@@ -345,14 +369,11 @@ def mpg_cost(fuel: DataFrame) -> DataFrame:
     return fuel.groupBy("fuel_type", "combined_mpg", "annual_fuel_cost").agg(F.count("*").alias("variants"))
 
 
-def variant_table(model: dict[str, DataFrame]) -> DataFrame:
-    """Configurations with drivetrain, transmission, class and how many variants share them."""
-    rows = _with_entity(
-        model["fuel"].select("vehicle_key", "drive", "trany", "vehicle_class", "epa_vehicle_id"),
-        model["entity"],
-        "vehicle_label",
-    )
-    return _distinct_ids(rows, ["vehicle_label", "drive", "trany", "vehicle_class"], "epa_vehicle_id", "variants")
+def variant_table(variants: DataFrame) -> DataFrame:
+    """Configurations with drivetrain, transmission, class and how many variants share them, from silver rows."""
+    label = "concat_ws(' ', string(model_year_int), normalized_make, normalized_model) AS vehicle_label"
+    rows = _identified(variants, label, "drive", "trany", "VClass AS vehicle_class", "id_int")
+    return _distinct_ids(rows, ["vehicle_label", "drive", "trany", "vehicle_class"], "id_int", "variants")
 
 
 def fuel_spread(fuel: DataFrame) -> DataFrame:

@@ -38,12 +38,15 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def _quoted(spark: SparkSession, sep: str = ",", multi_line: bool = True):
-    # Gzip files are one task each anyway; for plain CSV without line breaks inside
-    # quotes pass multi_line=False, so that Spark splits the files.
-    return spark.read.options(
-        header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST"
-    )
+def _quoted(spark: SparkSession, sep: str = ",", multi_line: bool = False, mode: str = "FAILFAST"):
+    # Spark splits plain files; pass multi_line=True for line breaks inside quotes, which
+    # makes every file one task. Gzip files are one task each anyway.
+    return spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line, mode=mode)
+
+
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """A catalog table or view by name."""
+    return spark.read.table(name)
 
 
 def header_columns(spark: SparkSession, path, **options) -> list[str]:
@@ -107,21 +110,42 @@ def require_well_formed(malformed: DataFrame, source_id: str) -> None:
         raise ValueError(f"{source_id}: {count} malformed rows, extract not approved")
 
 
-def read_named(
-    spark: SparkSession, path, layout: list[tuple[str, str]], encoding: str = "ISO-8859-1", **options
-) -> DataFrame:
-    """Quoted CSV by header name; layout is (output name, header name). A missing header raises."""
-    reader = _quoted(spark, **options).option("encoding", encoding)
+def _named(spark: SparkSession, path, layout, encoding: str, **options) -> DataFrame:
+    """Rows of a file with a header, short and long rows included, which _irregular_ tells."""
+    reader = _quoted(spark, mode="PERMISSIVE", **options).option("encoding", encoding)
     header = reader.csv(path).columns
     missing = [name for _, name in layout if name not in header]
     if missing:
         raise ValueError(f"missing expected fields: {missing}")
-    landed = reader.schema(text_schema(header)).csv(path)
-    return landed.select(
+    schema = text_schema([*header, "_irregular_"])
+    # a pruned line is not counted field by field, so every column is parsed
+    return reader.schema(schema).options(columnNameOfCorruptRecord="_irregular_", columnPruning=False).csv(path)
+
+
+def read_named(
+    spark: SparkSession, path, layout: list[tuple[str, str]], encoding: str = "ISO-8859-1", **options
+) -> DataFrame:
+    """Quoted CSV by header name; layout is (output name, header name). A missing header raises.
+
+    Trailing fields that a short row lacks are empty text; fields beyond the header are left out.
+    `count_irregular` tells how many such rows there are.
+    """
+    return _named(spark, path, layout, encoding, **options).select(
         *[F.trim(F.coalesce(F.col(f"`{source}`"), F.lit(""))).alias(name) for name, source in layout]
     )
 
 
+def count_irregular(
+    spark: SparkSession, path, layout: list[tuple[str, str]], encoding: str = "ISO-8859-1", **options
+) -> DataFrame:
+    """One row: rows, irregular_rows (more or fewer fields than the header) of a file read by header name."""
+    rows = _named(spark, path, layout, encoding, **options)
+    # Spark answers no query on the column of irregular rows alone, so another column takes part
+    parsed = F.pmod(F.xxhash64(F.col(f"`{layout[0][1]}`")), F.lit(2)) < 2
+    irregular = F.col("_irregular_").isNotNull() & parsed
+    return rows.agg(F.count("*").alias("rows"), F.count_if(irregular).alias("irregular_rows"))
+
+
 def read_manifest(spark: SparkSession, path) -> DataFrame:
     """One row per extract of the nested manifest document."""
     document = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)

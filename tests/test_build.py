@@ -39,16 +39,18 @@ def test_full_build(spark, landing, tmp_path):
     assert gold["reconciliation"].filter("NOT passed").count() == 0
     fact = gold["gold_fact_complaint"]
     assert fact.select("_source_id", "_batch_id").distinct().collect() == [(contracts.SOURCE_IDS["complaints"], BATCH)]
-    exported = spark.read.parquet(f"{out}/export/evidence_summary.parquet")
+    published = build.current(spark, out)
+    exported = spark.read.parquet(f"{published}/export/evidence_summary.parquet")
     entities = mart.count()
     assert len(exported.columns) == 27 and exported.count() == entities
-    assert len(spark.read.parquet(f"{out}/export/alias_work_queue.parquet").columns) == 13
+    assert len(spark.read.parquet(f"{published}/export/alias_work_queue.parquet").columns) == 13
     audit = spark.read.parquet(f"{out}/audit_bronze_ingestion")
     assert audit.count() == 7 and audit.filter("status = 'FAIL'").count() == 0
 
     # a second batch replaces the snapshot and adds to the audit
     again = build.run(spark, landing, out, "20260102T000000Z", queries.SETTINGS)
     assert again["gold_agg_vehicle_evidence"].count() == entities
+    assert build.current(spark, out) != published
     assert spark.read.parquet(f"{out}/audit_bronze_ingestion").count() == 14
 
 
@@ -79,7 +81,24 @@ def test_a_broken_contract_stops_the_run_and_stays_in_the_audit(spark, landing,
         build.run(spark, folder, out, BATCH, queries.SETTINGS)
     failed = spark.read.parquet(f"{out}/audit_bronze_ingestion").filter("status = 'FAIL'")
     assert [r["table_name"] for r in failed.collect()] == [what]
-    assert not (tmp_path / "out" / "silver").exists()
+    assert not (tmp_path / "out" / "snapshots").exists() and not (tmp_path / "out" / "current").exists()
+
+    # the corrected batch passes under the same id, and the audit keeps both attempts
+    corrected = copy(landing, tmp_path / "again")
+    build.ingest(spark, corrected, out, BATCH)
+    audit = spark.read.parquet(f"{out}/audit_bronze_ingestion")
+    assert audit.filter("status = 'FAIL'").count() == 1 and audit.count() == 14
+
+
+def test_a_changed_file_stops_the_run(spark, landing, tmp_path):
+    """Same header and row count, other content."""
+    folder = copy(landing, tmp_path)
+    changed = adapter.recalls(spark, SF_DIR).withColumn("do_not_drive_flag", F.lit("Yes"))
+    queries.writers.export(changed, f"{folder}/recalls.csv.gz", fmt="csv.gz")
+    out = tmp_path / "out"
+    with pytest.raises(ValueError, match="Checksum failed for: .'recalls'"):
+        build.run(spark, folder, str(out), BATCH, queries.SETTINGS)
+    assert not out.exists()
 
 
 def test_a_missing_manifest_entry_stops_the_run(spark, landing, tmp_path):
@@ -128,6 +147,7 @@ def test_raw_files_become_approved_extracts(spark, tmp_path):
     manifest = {r["table_name"]: r for r in build.prepare_extracts(spark, raw, landing).collect()}
     assert manifest["complaints"]["rows"] == padded.count()
     assert manifest["complaints"]["columns"] == contracts.CONTRACTS["complaints"]
+    assert all(len(r["source_sha256"]) == 64 for r in manifest.values())
     assert [r["checksum_matches"] for r in build.verify_files(spark, landing).collect()] == [True, True]
     extract = queries.readers.read_extract(spark, f"{landing}/complaints.csv.gz", contracts.CONTRACTS["complaints"])
     assert extract.filter("manufacturer_name LIKE 'Société Brand%'").count() == padded.count()

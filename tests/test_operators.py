@@ -24,7 +24,7 @@ TRUCK = {"source_make": "Volvo", "source_model": "FH", "model_year": "2021"}
 
 
 @pytest.fixture(scope="module")
-def silver(spark):
+def bronze(spark):
     complaint = {"product_type": "V", "complaint_received_date": "20240105", "component_name": "BRAKES"}
     rows = {
         "complaints": [
@@ -65,9 +65,12 @@ def silver(spark):
             {"year": "2020", "state": " new york", "category": "auto ", "registration_type": "x", "vehicles": "8"},
         ],
     }
-    return {
-        name: job(landed(spark, table, rows[name])) for name, (table, job) in conform.CONFORM_JOBS.items()
-    }
+    return {table: landed(spark, table, rows[name]) for name, (table, _) in conform.CONFORM_JOBS.items()}
+
+
+@pytest.fixture(scope="module")
+def silver(bronze):
+    return {name: job(bronze[table]) for name, (table, job) in conform.CONFORM_JOBS.items()}
 
 
 def test_conform_keeps_every_vehicle_row(silver):
@@ -128,7 +131,9 @@ def test_bridge(silver):
     assert rows["NHTSA_RECALL", "FORD"]["reference_match_status"] == "MATCHED"
     assert rows["NHTSA_RECALL", "FIAT"]["match_confidence"] == "UNRESOLVED"
     assert not rows["NHTSA_RECALL", "FIAT"]["reference_year_eligible"]
-    queue = {r["normalized_make"]: r for r in identity.alias_review_queue(bridge).collect()}
+    sources = baseline.by_system(silver)
+    masks = identity.entity_sources(sources)
+    queue = {r["normalized_make"]: r for r in identity.alias_review_queue(masks, list(sources)).collect()}
     assert set(queue) == {"FIAT", "VOLVO"}
     assert queue["FIAT"]["source_systems"] == ["NHTSA_COMPLAINT", "NHTSA_INVESTIGATION", "NHTSA_RECALL"]
     (rates,) = identity.match_quality(bridge, by=[]).collect()
@@ -145,14 +150,31 @@ def test_match_rates_of_nothing_are_null(spark, silver):
 def test_alias_what_if(spark, silver):
     bridge = identity.identity_bridge(baseline.by_system(silver))
     keys = {r["normalized_make"]: r["vehicle_key"] for r in bridge.collect()}
-    mapping = spark.createDataFrame(
-        [(keys["FIAT"], keys["FORD"], "reviewer", "typo")],
-        "vehicle_key string, canonical_vehicle_key string, reviewer string, rationale string",
-    )
-    (row,) = identity.alias_what_if(bridge, mapping, silver["complaints"]).collect()
+    def mapping(*rows):
+        return spark.createDataFrame(rows, identity.ALIAS_MAPPING)
+
+    def decision(key, target, status="APPROVED", day=1, reviewer="r. viewer", rationale="typo"):
+        return key, target, status, reviewer, datetime.datetime(2026, 1, day), rationale, "HIGH"
+
+    fiat, ford, volvo = keys["FIAT"], keys["FORD"], keys["VOLVO"]
+    records = [silver["complaints"], silver["recalls"]]
+    counted = sum(df.filter(F.col("vehicle_key") == fiat).count() for df in records)
+    (row,) = identity.alias_what_if(bridge, mapping(decision(fiat, ford)), records).collect()
     assert row.asDict() == {
-        "keys_before": 3, "keys_after": 2, "matched_keys_before": 1, "keys_connected": 1, "records_connected": 1,
+        "keys_before": 3, "keys_after": 2, "matched_keys_before": 1, "keys_connected": 1, "records_connected": counted,
     }
+    # the newest decision counts; a rejected or pending one changes nothing
+    withdrawn = mapping(decision(fiat, ford), decision(fiat, ford, "REJECTED", 2), decision(volvo, ford, "PENDING"))
+    assert identity.alias_what_if(bridge, withdrawn, records).first()["keys_after"] == 3
+    for refused, what in [
+        (mapping(decision(fiat, ford), decision(fiat, volvo)), "twice"),
+        (mapping(decision(fiat, volvo), decision(volvo, ford)), "itself mapped"),
+        (mapping(decision(fiat, fiat)), "no other target"),
+        (mapping(decision(fiat, ford, "MAYBE")), "unknown status"),
+        (mapping(decision(fiat, ford, reviewer=" ")), "without reviewer"),
+    ]:
+        with pytest.raises(ValueError, match=what):
+            identity.apply_alias(bridge, refused)
 
 
 def by_make(frame):
@@ -176,14 +198,31 @@ def test_mart(silver):
     assert volvo["median_combined_mpg"] is None and volvo["epa_variants"] == 0
 
 
-def test_both_routes_give_the_same_mart(silver):
-    one, other = mart.evidence_mart(silver), baseline.baseline_mart(silver)
+def test_both_routes_give_the_same_mart(bronze, silver):
+    one, other = mart.evidence_mart(silver), baseline.baseline_mart(bronze)
     columns = sorted(one.columns)
     assert sorted(other.columns) == columns
     assert dict(one.dtypes) == dict(other.dtypes)
     assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, other.select(columns).collect()))
 
 
+@pytest.mark.parametrize(
+    ("source", "column", "value"),
+    [
+        ("complaints", "severe_report_flag", "false"),
+        ("recalls", "normalized_make", "'OTHER'"),
+        ("investigations", "open_investigation_flag", "false"),
+        ("ratings", "overall_stars_int", "1"),
+    ],
+)
+def test_a_fault_in_one_conform_job_shows(bronze, silver, source, column, value):
+    faulty = {**silver, source: silver[source].withColumn(column, F.expr(value))}
+    compared = quality.reconcile(
+        quality.mart_metrics(mart.evidence_mart(faulty)), quality.mart_metrics(baseline.baseline_mart(bronze))
+    )
+    assert compared.filter("NOT passed").count() > 0
+
+
 def test_empty_sources(spark, silver):
     nothing = {name: df.limit(0) for name, df in silver.items()}
     assert mart.evidence_mart(nothing).count() == 0
@@ -261,6 +300,21 @@ def test_every_measure_evaluates(model):
         assert measures.measure(name, model).count() == 1, name
 
 
+def test_an_unrelated_filter_leaves_a_measure_as_it_is(model):
+    names = ["registration_records", "failed_data_quality_checks"]
+    plain = tuple(measures.measures(names, model).first())
+    assert tuple(measures.measures(names, model, where="park_outside", where_entity="make = 'FIAT'").first()) == plain
+    (row,) = measures.measures(names, model, by=["make"]).collect()
+    assert (row["make"], *tuple(row)[1:]) == (None, *plain)
+
+
+def test_rows_without_an_entity_keep_out_of_the_join(model):
+    rows = {r["make"]: r[1] for r in measures.measure("complaint_reports", model, by=["make"]).collect()}
+    assert rows == {"FORD": 2, "FIAT": 1, None: 1}
+    kept = measures.measure("complaint_reports", model, where_entity="true").first()[0]
+    assert kept == 3
+
+
 def test_calendar(model):
     days = model["calendar"].orderBy("date_key").collect()
     assert (days[0]["date_key"], days[-1]["date_key"], len(days)) == (20240101, 20240201, 32)
@@ -301,7 +355,7 @@ def test_profile_of_dirty_rows(spark):
     malformed = spark.createDataFrame([("broken",)], "line string")
     row = profiling.profile(frame, spec, malformed).first().asDict()
     assert row == {
-        "source_id": "s", "rows": 6, "malformed_rows": 1, "malformed_rate": 1 / 6, "exact_duplicate_rows": 1,
+        "source_id": "s", "columns": 6, "rows": 6, "malformed_rows": 1, "malformed_rate": 1 / 6, "exact_duplicate_rows": 1,
         "distinct_business_ids": 2, "rows_per_business_id": 3.0, "vehicle_rows": 3, "valid_vehicle_rows": 2,
         "missing_make_rate": 1 / 3, "missing_model_rate": 0.0, "invalid_or_missing_year_rate": 1 / 3,
         "distinct_normalized_vehicle_keys": 1, "min_year": 2020, "max_year": 2020,

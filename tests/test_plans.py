@@ -39,9 +39,9 @@ def stored(spark, tmp_path_factory):
 
 def test_no_python_and_no_cartesian_product_anywhere(spark):
     eager = ("export", "scan", "manifest", "bronze", "ingest", "audit", "snapshot", "build", "malformed")
-    staged = ("dq_", "measures_", "potential_units", "reconcile", "entity_drill", "profile_reconcile", "alias_what", "evidence_base")
+    eager += ("irregular", "verify", "profile_reconcile")  # these read files they write; the others run nothing here
     for name, query in queries.QUERIES.items():
-        if name.startswith(eager + staged):
+        if name.startswith(eager):
             continue
         text = plan(query(spark, SF_DIR))
         assert not re.search("Python|Pandas|Arrow", text), name
@@ -87,8 +87,8 @@ def test_bridge_needs_one_shuffle_for_all_sources(stored):
 
 def test_conditional_distinct_counts_do_not_expand_rows(stored):
     for frame in (
-        mart.recall_agg(stored["recalls"]),
-        mart.investigation_agg(stored["investigations"]),
+        mart.entity_counts(stored["recalls"], "recalls"),
+        mart.entity_counts(stored["investigations"], "investigations"),
         reports.reports_by_state(stored["complaints"].withColumnRenamed("received_date", "d")),
     ):
         assert "Expand" not in plan(frame)
@@ -110,7 +110,7 @@ def test_orphans_are_found_in_one_shuffle_without_a_join(stored):
 
 def test_filters_reach_the_scan(spark):
     text = plan(adapter.recalls(spark, SF_DIR))
-    assert "GreaterThanOrEqual(l_discount,0.085)" in text and "EqualTo(l_returnflag,A)" in text
+    assert "EqualTo(l_linestatus,F)" in text and "EqualTo(l_returnflag,A)" in text
 
 
 def test_a_hot_key_gives_the_same_rows(spark):

@@ -12,7 +12,7 @@ def test_quoted_extract_roundtrip(spark, tmp_path):
     rows = [("1", 'a "quoted", text'), ("2", "two\nlines"), ("3", None), ("4", "  blanks  ")]
     frame = spark.createDataFrame(rows, "id string, text string")
     writers.export(frame, str(tmp_path / "t.csv.gz"), fmt="csv.gz")
-    read = readers.read_extract(spark, str(tmp_path / "t.csv.gz"), ["id", "text"])
+    read = readers.read_extract(spark, str(tmp_path / "t.csv.gz"), ["id", "text"], multi_line=True)
     assert sorted(map(tuple, read.collect())) == rows
 
 
@@ -25,6 +25,15 @@ def test_header_is_part_of_the_contract(spark, tmp_path):
         readers.read_extract(spark, str(path), ["a", "b"]).collect()
 
 
+def test_named_rows_of_wrong_length_are_filled_cut_and_counted(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text("a,b,c\n1,2,3\n4,5\n6\n7,8,9,10\n")
+    layout = [("first", "a"), ("last", "c")]
+    rows = sorted(map(tuple, readers.read_named(spark, str(path), layout).collect()))
+    assert rows == [("1", "3"), ("4", ""), ("6", ""), ("7", "9")]
+    assert tuple(readers.count_irregular(spark, str(path), layout).first()) == (4, 3)
+
+
 def test_positional_rows_of_wrong_length_are_kept_apart(spark, tmp_path):
     path = tmp_path / "raw.txt"
     path.write_bytes('1\tCitro\xebn \t"x\t\n2\tshort\n\n3\ta\tb\tc\textra\r\n4\t \t\tend\n'.encode("latin-1"))

@@ -59,19 +59,29 @@ def _audit(batch: str, spoil: bool) -> str:
 
 
 _RAW_BAD = "count(*) FILTER (WHERE l_linenumber IN (6, 7))"
-_QUALITY = """
-  SELECT source_system, count(DISTINCT vehicle_key) AS distinct_vehicle_keys,
-    count(DISTINCT CASE WHEN reference_exact_match_flag THEN vehicle_key END) AS reference_exact_match_keys,
-    count(DISTINCT CASE WHEN reference_year_eligible THEN vehicle_key END) AS era_eligible_vehicle_keys,
-    count(DISTINCT CASE WHEN reference_year_eligible AND reference_exact_match_flag THEN vehicle_key END)
-      AS era_eligible_reference_exact_match_keys,
-    CAST(count(DISTINCT CASE WHEN reference_exact_match_flag THEN vehicle_key END) AS DOUBLE)
-      / nullif(count(DISTINCT vehicle_key), 0) AS reference_exact_match_rate,
-    CAST(count(DISTINCT CASE WHEN reference_year_eligible AND reference_exact_match_flag THEN vehicle_key END)
-      AS DOUBLE) / nullif(count(DISTINCT CASE WHEN reference_year_eligible THEN vehicle_key END), 0)
-      AS era_eligible_reference_exact_match_rate
-  FROM bridge GROUP BY source_system
-"""
+
+
+def _quality(by: str = "") -> str:
+    """Match rates over keys made distinct first, per source system or overall."""
+    group = f"{by}, " if by else ""
+    return f"""
+  SELECT {group}count(*) AS distinct_vehicle_keys, count(*) FILTER (WHERE m) AS reference_exact_match_keys,
+    count(*) FILTER (WHERE e) AS era_eligible_vehicle_keys, count(*) FILTER (WHERE m AND e) AS era_eligible_reference_exact_match_keys,
+    CAST(count(*) FILTER (WHERE m) AS DOUBLE) / nullif(count(*), 0) AS reference_exact_match_rate,
+    CAST(count(*) FILTER (WHERE m AND e) AS DOUBLE) / nullif(count(*) FILTER (WHERE e), 0) AS era_eligible_reference_exact_match_rate
+  FROM (SELECT {group}vehicle_key, bool_or(reference_exact_match_flag) AS m, bool_or(reference_year_eligible) AS e
+        FROM bridge GROUP BY {group}vehicle_key) {f"GROUP BY {by}" if by else ""}"""
+
+
+_QUALITY = _quality("source_system")
+
+
+def _of_source(system: str, columns: str) -> str:
+    return (
+        f"SELECT vehicle_key, {columns} FROM counts JOIN middles USING (vehicle_key) "
+        f"WHERE list_contains(systems, '{system}')"
+    )
+
 
 _SUMMARY = (
     "vehicle_key, vehicle_label, make, model, model_year, review_priority, review_reason, alias_priority, "
@@ -99,6 +109,13 @@ FILES = {
     "scan_named": with_tables(
         "SELECT " + ", ".join(f"trim({c}) AS {c}" for c in C_REGISTRATIONS.split()) + " FROM b_registrations"
     ),
+    "table_by_name": "SELECT * FROM nation",
+    "irregular_rows": "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id % 10 IN (3, 7)) AS irregular_rows FROM events",
+    "scan_irregular": "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, "
+    "CASE user_id % 10 WHEN 3 THEN '' WHEN 7 THEN 'click' ELSE event_type END AS event_type FROM events",
+    "verify_checksums": "SELECT *, table_name <> 'state_registrations' AS checksum_matches FROM (VALUES "
+    + ", ".join(f"('{t}')" for t, *_ in _EXTRACTS)
+    + ") t(table_name) WHERE EXISTS (SELECT 1 FROM nation WHERE n_name ILIKE '%a%')",
     "malformed_rows": f"SELECT count(*) AS rows, {_RAW_BAD} AS malformed_rows FROM lineitem",
     "build_manifest": with_tables(
         _manifest_rows()
@@ -113,7 +130,9 @@ FILES = {
     "bronze_contract": with_tables(_audit("20260101T000000Z", True)),
     "ingest_audit": with_tables(_audit("20251201T000000Z", True) + " UNION ALL " + _audit("20260101T000000Z", False)),
     "audit_latest_batch": with_tables(
-        "SELECT *, CAST(2 AS BIGINT) AS batches FROM (" + _audit("20260101T000000Z", False) + ")"
+        "SELECT *, CAST(2 AS BIGINT) AS batches, true AS has_extract_checksum, batch_id AS ingested_batch FROM ("
+        + _audit("20260101T000000Z", False)
+        + ")"
     ),
     "bronze_lineage": with_tables(
         "SELECT recall_record_id, 'nhtsa_recalls_post_2010' AS _source_id, 'recalls.csv.gz' AS _source_file, "
@@ -225,7 +244,7 @@ mapping AS (
   SELECT u.vehicle_key, m.vehicle_key AS target FROM ent u JOIN ent m
     ON u.normalized_make = m.normalized_make AND u.normalized_model = m.normalized_model
     AND u.model_year_int = m.model_year_int - 1
-  WHERE NOT u.reference_exact_match_flag AND m.reference_exact_match_flag),
+  WHERE NOT u.reference_exact_match_flag AND m.reference_exact_match_flag AND u.model_year_int % 3 <> 0),
 remapped AS (
   SELECT e.vehicle_key, e.reference_exact_match_flag AS matched, coalesce(m.target, e.vehicle_key) AS canonical,
     m.target IS NOT NULL AS moved
@@ -236,22 +255,18 @@ IDENTITY = {
     "identity_bridge": with_tables("SELECT * FROM bridge"),
     "reference_keys": with_tables("SELECT * FROM ref_keys"),
     "alias_review_queue": with_tables(
-        "SELECT vehicle_key, normalized_make, normalized_model, model_year_int, "
-        "count(DISTINCT source_system) AS source_system_count, "
-        "array_to_string(list_sort(list(DISTINCT source_system)), ',') AS source_systems, "
-        "bool_or(reference_year_eligible) AS reference_year_eligible, 'UNREVIEWED' AS review_status, "
+        f"SELECT {', '.join(['vehicle_key', 'normalized_make', 'normalized_model', 'model_year_int'])}, "
+        "count(*) AS source_system_count, string_agg(source_system, ',' ORDER BY source_system) AS source_systems, "
+        "model_year_int >= 1984 AS reference_year_eligible, 'UNREVIEWED' AS review_status, "
         "'No exact EPA or NCAP make/model/year reference match' AS review_reason "
-        "FROM bridge WHERE NOT reference_exact_match_flag "
-        "GROUP BY vehicle_key, normalized_make, normalized_model, model_year_int"
+        "FROM judged WHERE NOT matched GROUP BY ALL"
     ),
     "match_quality": with_tables(_QUALITY),
-    "match_rates": with_tables(
-        _QUALITY.replace("SELECT source_system, ", "SELECT ").replace(" GROUP BY source_system", "")
-    ),
+    "match_rates": with_tables(_quality()),
     "alias_what_if": with_tables(
         "SELECT count(*) AS keys_before, count(DISTINCT canonical) AS keys_after, "
         "count(*) FILTER (WHERE matched) AS matched_keys_before, count(*) FILTER (WHERE moved) AS keys_connected, "
-        "(SELECT count(*) FROM s_complaints WHERE vehicle_key IN (SELECT vehicle_key FROM mapping)) "
+        "(SELECT count(*) FROM mentions WHERE vehicle_key IN (SELECT vehicle_key FROM mapping)) "
         "AS records_connected FROM remapped",
         _REMAPPED,
     ),
@@ -284,13 +299,28 @@ STAR = {
         for name in ("complaint", "recall", "investigation", "communication", "ncap", "fuel", "registration")
     },
     "orphan_keys": with_tables(_ORPHANS),
-    "complaint_event": with_tables("SELECT * FROM complaint_event"),
-    "complaint_agg": with_tables("SELECT * FROM a_complaints"),
-    "recall_agg": with_tables("SELECT * FROM a_recalls"),
-    "investigation_agg": with_tables("SELECT * FROM a_investigations"),
-    "communication_agg": with_tables("SELECT * FROM a_communications"),
-    "ncap_agg": with_tables("SELECT * FROM a_ratings"),
-    "fuel_agg": with_tables("SELECT * FROM a_variants"),
+    "complaint_event": with_tables(
+        "SELECT vehicle_key, event AS complaint_id, CAST(event IS NOT NULL AS INTEGER) AS complaint_reports, "
+        "CAST(a AS INTEGER) AS severe_complaint_reports, CAST(b AS INTEGER) AS crash_reported_complaints, "
+        "CAST(c AS INTEGER) AS fire_reported_complaints, i AS reported_injuries, d AS reported_deaths "
+        "FROM per_event WHERE source_system = 'NHTSA_COMPLAINT'"
+    ),
+    "complaint_agg": with_tables(
+        _of_source(
+            "NHTSA_COMPLAINT",
+            "complaint_reports, severe_complaint_reports, crash_reported_complaints, fire_reported_complaints, "
+            "reported_injuries, reported_deaths",
+        )
+    ),
+    "recall_agg": with_tables(
+        _of_source("NHTSA_RECALL", "recall_campaigns, do_not_drive_campaigns, park_outside_campaigns")
+    ),
+    "investigation_agg": with_tables(_of_source("NHTSA_INVESTIGATION", "investigations, open_investigations")),
+    "communication_agg": with_tables(_of_source("NHTSA_MANUFACTURER_COMMUNICATION", "manufacturer_documents")),
+    "ncap_agg": with_tables(_of_source("NHTSA_NCAP", "ncap_tested_variants, median_overall_stars")),
+    "fuel_agg": with_tables(
+        _of_source("EPA_FUEL_ECONOMY", "epa_variants, median_combined_mpg, median_annual_fuel_cost")
+    ),
     "approx_median": with_tables(
         "SELECT vehicle_key, quantile_disc(comb08_int, 0.5) AS median_combined_mpg, "
         "quantile_disc(fuelCost08_int, 0.5) AS median_annual_fuel_cost FROM s_variants "
@@ -342,8 +372,15 @@ _METRIC_COLUMNS = [
     "era_eligible_reference_exact_match_vehicle_keys",
     *_TOTALS,
 ]
+_MEDIANS = ("median_overall_stars", "median_combined_mpg", "median_annual_fuel_cost")
 _METRICS = " UNION ALL ".join(
     [f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS v FROM (SELECT {_ONE_TOTAL} FROM mart)" for c in _METRIC_COLUMNS]
+    + [
+        f"SELECT '{c}' AS metric, CAST(sum({c}) AS DOUBLE) AS v FROM mart"
+        for c in ("crash_reported_complaints", "fire_reported_complaints", "reported_injuries", "reported_deaths")
+    ]
+    + [f"SELECT '{c}' AS metric, coalesce(sum({c}), 0) AS v FROM mart" for c in _MEDIANS]
+    + [f"SELECT '{c}_known' AS metric, CAST(count({c}) AS DOUBLE) AS v FROM mart" for c in _MEDIANS]
     + [
         f"SELECT '{c}=' || {c} AS metric, CAST(count(*) AS DOUBLE) AS v FROM mart GROUP BY {c}"
         for c in ("review_priority", "review_reason", "alias_priority")
@@ -352,18 +389,19 @@ _METRICS = " UNION ALL ".join(
 
 # source id, bronze table, id, date, make, model, year, is a vehicle row
 _PROFILED = [
-    ("nhtsa_complaints_2025_2026", "b_complaints", "complaint_id", "incident_date", "source_make", "source_model",
-     "model_year", "product_type = 'V'"),
-    ("nhtsa_recalls_post_2010", "b_recalls", "campaign_number", "report_received_date", "source_make",
+    ("nhtsa_complaints_2025_2026", "b_complaints", "complaint_record_id", "complaint_received_date", "source_make",
+     "source_model", "model_year", "product_type = 'V'"),
+    ("nhtsa_recalls_post_2010", "b_recalls", "recall_record_id", "report_received_date", "source_make",
      "source_model", "model_year", "product_type = 'V'"),
     ("nhtsa_investigations_all", "b_investigations", "investigation_number", "opened_date", "source_make",
      "source_model", "model_year", "true"),
-    ("nhtsa_tsbs_2025_2026", "b_communications", "document_id", "manufacturer_communication_date", "source_make",
+    ("nhtsa_tsbs_2025_2026", "b_communications", "nhtsa_communication_id", "date_added", "source_make",
      "source_model", "model_year", "true"),
     ("nhtsa_ncap_ratings", "b_ratings", None, None, "make", "model", "model_yr", "true"),
     ("epa_fuel_economy_vehicles", "b_variants", "id", None, "make", "model", "year", "true"),
-    ("fhwa_state_registrations", "b_registrations", None, None, None, None, "year", "false"),
+    ("fhwa_state_registrations", "b_registrations", "state", None, None, None, "year", "false"),
 ]
+_WIDTH = {b: len(c.split()) for _, _, b, c in _EXTRACTS}
 
 
 def _valid_year(year: str) -> str:
@@ -384,7 +422,7 @@ def _profile(source, table, id_col, date, make, model, year, vehicle) -> str:
         else "CAST(0 AS BIGINT)"
     )
     return (
-        f"SELECT '{source}' AS source_id, count(*) AS rows, CAST(0 AS BIGINT) AS malformed_rows, "
+        f"SELECT '{source}' AS source_id, {_WIDTH[table]} AS columns, count(*) AS rows, CAST(0 AS BIGINT) AS malformed_rows, "
         f"CAST(0 AS DOUBLE) / nullif(count(*), 0) AS malformed_rate, "
         f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {table})) AS exact_duplicate_rows, "
         f"{ids} AS distinct_business_ids, CAST(count(*) AS DOUBLE) / nullif({ids}, 0) AS rows_per_business_id, "
@@ -434,14 +472,31 @@ QUALITY = {
         "('GOLD_FACT_MANUFACTURER_COMMUNICATION_ORPHAN_KEYS'), ('GOLD_FACT_NCAP_VARIANT_ORPHAN_KEYS'), "
         "('GOLD_FACT_FUEL_ECONOMY_VARIANT_ORPHAN_KEYS'), ('ALIAS_QUEUE_CONTAINS_ONLY_P0_P1')) t(check_name)"
     ),
+    "dq_checks_failing": with_tables(
+        "SELECT *, CAST(0 AS BIGINT) AS expected_value, actual_value = 0 AS passed FROM ("
+        "SELECT 'DIM_VEHICLE_UNIQUENESS' AS check_name, count(*) FILTER (WHERE reference_exact_match_flag AND model_year % 2 = 0) "
+        "AS actual_value FROM entity UNION ALL SELECT upper(label) || '_ORPHAN_KEYS', count(o.vehicle_key) FROM ("
+        "SELECT unnest(['gold_fact_complaint', 'gold_fact_recall', 'gold_fact_investigation', "
+        "'gold_fact_manufacturer_communication', 'gold_fact_ncap_variant', 'gold_fact_fuel_economy_variant']) AS label) "
+        f"LEFT JOIN ({_ORPHANS}) o ON fact_name = label GROUP BY label "
+        "UNION ALL SELECT 'ALIAS_QUEUE_CONTAINS_ONLY_P0_P1', count(*) FILTER (WHERE alias_priority = 'P2') FROM mart)"
+    ),
     "dq_status": with_tables(
         "SELECT count(DISTINCT fact_name) AS failed_data_quality_checks, CASE WHEN count(*) = 0 THEN 'PASS' "
         f"ELSE 'STOP AND INVESTIGATE' END AS data_quality_status FROM ({_ORPHANS})"
     ),
     "dq_semantic": with_tables(
-        "SELECT 'MART_COMPLAINTS_EQUAL_FACT' AS check_name, abs((SELECT CAST(sum(complaint_reports) AS BIGINT) "
-        "FROM mart) - (SELECT count(*) FROM (SELECT DISTINCT vehicle_key, complaint_id FROM f_complaint "
-        "WHERE vehicle_key IS NOT NULL))) AS actual_value, CAST(0 AS BIGINT) AS expected_value, true AS passed "
+        " UNION ALL ".join(
+            f"SELECT 'MART_{column.upper()}_EQUAL_FACT' AS check_name, abs((SELECT CAST(sum({column}) AS BIGINT) "
+            f"FROM mart) - (SELECT count(*) FROM (SELECT DISTINCT vehicle_key, {event} FROM {fact} "
+            f"WHERE vehicle_key IS NOT NULL AND {event} IS NOT NULL))) AS actual_value, CAST(0 AS BIGINT) AS "
+            "expected_value, true AS passed"
+            for column, event, fact in (
+                ("complaint_reports", "complaint_id", "f_complaint"),
+                ("recall_campaigns", "campaign_number", "f_recall"),
+            )
+        )
+        + " "
         "UNION ALL SELECT 'CRITICAL_HAS_URGENCY_FLAG', count(*) FILTER (WHERE review_priority = 'CRITICAL' AND "
         "do_not_drive_campaigns + park_outside_campaigns = 0), 0, true FROM mart "
         "UNION ALL SELECT 'DATE_KEYS_IN_CALENDAR', count(*), 0, true FROM ("
@@ -449,6 +504,11 @@ QUALITY = {
         "UNION SELECT incident_date_key FROM f_complaint) WHERE k NOT IN (SELECT date_key FROM calendar)"
     ),
     "reconcile": with_tables(f"SELECT metric, v AS actual_value, v AS expected_value, true AS passed FROM ({_METRICS})"),
+    "reconcile_failing": with_tables(
+        "SELECT metric, a.v AS actual_value, e.v AS expected_value, coalesce(abs(a.v - e.v) <= 1e-9, false) AS passed "
+        f"FROM ({_METRICS.replace('FROM mart', 'FROM short')}) a FULL JOIN ({_METRICS}) e USING (metric)",
+        "short AS (SELECT * FROM mart WHERE do_not_drive_campaigns = 0 AND park_outside_campaigns = 0)",
+    ),
     "product_row_counts": with_tables(
         "SELECT 'complaints' AS table_name, count(*) AS rows, count(*) FILTER (WHERE product_type = 'V') "
         "AS product_rows FROM b_complaints UNION ALL SELECT 'recalls', count(*), "
@@ -465,6 +525,11 @@ QUALITY = {
         "SELECT source_id, rows AS profiled_rows, malformed_rows, rows AS manifest_rows, true AS passed "
         f"FROM ({_PROFILES})"
     ),
+    "profile_reconcile_failing": with_tables(
+        "SELECT source_id, rows AS profiled_rows, malformed_rows, rows + CAST(wrong AS BIGINT) AS manifest_rows, "
+        "NOT wrong AS passed "
+        f"FROM (SELECT *, source_id = 'nhtsa_recalls_post_2010' AS wrong FROM ({_PROFILES}))"
+    ),
     "profile_match_coverage": with_tables(
         f"SELECT source_id, {_COVER} FROM (SELECT *, (a, b, c) IN (SELECT (a, b, c) FROM ({_REFERENCE_KEYS})) AS hit "
         f"FROM ({_OPERATIONAL_KEYS})) GROUP BY source_id"
@@ -516,7 +581,7 @@ def _context() -> str:
             f"tested_ncap_variants, CAST(median(overall_stars) AS DOUBLE) AS median_overall_stars FROM ({ncap}) "
             f"GROUP BY g) n FULL JOIN (SELECT {by} AS g, count(DISTINCT epa_vehicle_id) AS epa_vehicle_variants, "
             f"CAST(median(combined_mpg) AS DOUBLE) AS median_combined_mpg, CAST(median(annual_fuel_cost) AS DOUBLE) "
-            f"AS median_annual_fuel_cost FROM ({fuel}) GROUP BY g) f ON n.g = f.g"
+            f"AS median_annual_fuel_cost FROM ({fuel}) GROUP BY g) f ON n.g IS NOT DISTINCT FROM f.g"
         )
 
     return with_tables(one("make") + " UNION ALL " + one("'(all)'"))
@@ -570,6 +635,17 @@ MEASURES = {
         "avg(evidence_source_count) AS average_evidence_sources",
         "SELECT * FROM mart",
     ),
+    "measures_filtered": with_tables(
+        "SELECT make, coalesce(complaint_reports, 0) AS complaint_reports, "
+        "coalesce(severe_complaint_reports, 0) AS severe_complaint_reports, "
+        "coalesce(recall_campaigns, 0) AS recall_campaigns, coalesce(registration_records, 0) AS registration_records "
+        f"FROM (SELECT make, {_distinct('complaint_id')} AS complaint_reports, "
+        f"{_distinct('complaint_id', 'severe_report_flag')} AS severe_complaint_reports FROM f_complaint "
+        "JOIN entity USING (vehicle_key) WHERE incident_state LIKE 'S1%' AND model_year >= 2000 GROUP BY make) "
+        f"FULL JOIN (SELECT make, {_distinct('campaign_number')} AS recall_campaigns FROM f_recall "
+        "JOIN entity USING (vehicle_key) WHERE model_year >= 2000 GROUP BY make) USING (make) "
+        "FULL JOIN (SELECT CAST(NULL AS VARCHAR) AS make, count(*) AS registration_records FROM f_registration) USING (make)"
+    ),
     "measures_registrations": _grains(
         "count(*) AS registration_records, CAST(sum(registered_vehicles) AS BIGINT) AS registered_vehicles",
         "SELECT * FROM f_registration",
@@ -629,9 +705,9 @@ REPORTS = {
                 _drill("complaint", "f_complaint", "complaint_record_id", "received_date_key", "evidence_topic",
                        "component_name"),
                 _drill("recall", "f_recall", "recall_record_id", "report_received_date_key", "evidence_topic",
-                       "consequence_summary"),
+                       "consequence_summary || ' | ' || corrective_action"),
                 _drill("investigation", "f_investigation", "investigation_record_key", "opened_date_key",
-                       "evidence_topic", "subject"),
+                       "evidence_topic", "subject || ' | ' || summary"),
                 _drill("communication", "f_communication", "communication_record_key", "communication_date_key",
                        "evidence_topic", "summary"),
                 _drill("ncap", "f_ncap", "ncap_variant_key", "NULL", "NULL", "body_style"),
@@ -639,6 +715,12 @@ REPORTS = {
             ]
         )
     ),
+    "entity_header": with_tables(
+        "SELECT vehicle_key, vehicle_label, make, model, model_year, reference_match_status, reference_year_eligible, "
+        "review_priority, review_reason, alias_priority, alias_reason, complaint_reports, severe_complaint_reports, "
+        "recall_campaigns, open_investigations, manufacturer_documents, ncap_tested_variants, epa_variants, "
+        "rule_version FROM mart WHERE review_priority = 'CRITICAL' ORDER BY vehicle_key LIMIT 1"
+    ),
     "queue_unresolved_share": with_tables(
         "SELECT *, CAST(unresolved_vehicles AS DOUBLE) / nullif(queue_vehicles, 0) AS unresolved_share FROM ("
         "SELECT count(*) AS queue_vehicles, count(*) FILTER (WHERE NOT reference_exact_match_flag) AS "
@@ -675,7 +757,7 @@ REPORTS = {
         "SELECT campaign_number, max(filing_manufacturer) AS filing_manufacturer, max(consequence_summary) AS "
         "consequence_summary, max(corrective_action) AS corrective_action, bool_or(do_not_drive) AS do_not_drive, "
         "bool_or(park_outside) AS park_outside, max(potential_units_affected_int) AS potential_units_affected, "
-        "count(*) AS records FROM f_recall GROUP BY campaign_number"
+        "count(*) AS records FROM f_recall WHERE campaign_number IS NOT NULL GROUP BY campaign_number"
     ),
     "star_monthly_topic": with_tables(_monthly("received_date_key") + " UNION ALL " + _monthly("incident_date_key")),
     "topic_pareto": with_tables(
@@ -686,8 +768,17 @@ REPORTS = {
         "GROUP BY evidence_topic) WINDOW w AS (ORDER BY complaint_reports DESC, evidence_topic "
         "ROWS UNBOUNDED PRECEDING)"
     ),
+    "component_pareto": with_tables(
+        "SELECT evidence_topic, component_name, complaint_reports, CAST(row_number() OVER w AS INTEGER) AS rank, "
+        "CAST(sum(complaint_reports) OVER w AS BIGINT) AS cumulative_reports, CAST(sum(complaint_reports) OVER w AS "
+        "DOUBLE) / sum(complaint_reports) OVER (PARTITION BY evidence_topic) AS cumulative_share FROM ("
+        "SELECT evidence_topic, component_name, count(DISTINCT complaint_id) AS complaint_reports FROM f_complaint "
+        "GROUP BY ALL) WINDOW w AS (PARTITION BY evidence_topic ORDER BY complaint_reports DESC, component_name "
+        "ROWS UNBOUNDED PRECEDING)"
+    ),
     "matrix_min_reports": with_tables(
-        "SELECT make, model, count(DISTINCT complaint_id) AS complaint_reports, count(DISTINCT CASE WHEN "
+        "SELECT make, model, count(DISTINCT t.vehicle_key) AS entities, "
+        "count(DISTINCT complaint_id) AS complaint_reports, count(DISTINCT CASE WHEN "
         "severe_report_flag THEN complaint_id END) AS severe_complaint_reports, CAST(count(DISTINCT CASE WHEN "
         "severe_report_flag THEN complaint_id END) AS DOUBLE) / count(DISTINCT complaint_id) AS "
         f"severe_complaint_share FROM f_complaint t {_JOINED} GROUP BY make, model "
@@ -702,8 +793,8 @@ REPORTS = {
         "count(DISTINCT document_id) AS documents FROM f_communication GROUP BY ALL"
     ),
     "topic_decomposition": with_tables(
-        "SELECT evidence_topic, nhtsa_components, make, model, count(DISTINCT document_id) AS documents "
-        f"FROM f_communication t {_JOINED} GROUP BY evidence_topic, nhtsa_components, make, model"
+        "SELECT evidence_topic, manufacturer_system, nhtsa_components, make, model, count(DISTINCT document_id) "
+        f"AS documents FROM s_communications t {_JOINED} GROUP BY ALL"
     ),
     "rating_distribution": with_tables(
         "SELECT e.model_year, overall_stars, count(DISTINCT ncap_variant_key) AS variants "

@@ -74,25 +74,25 @@ def fact(spark, sf, name: str) -> DataFrame:
 
 
 class Model(dict):
-    """Model tables, planned when first asked for.
+    """Model tables, planned when first asked for; only the sources they need are read.
 
-    `staged` writes the silver tables to the shared scratch folder first: for queries that
-    read a source several times (facts, dimension and mart at once), so that its scan and
-    dedup run once.
+    `staged` writes each silver table that is asked for to the shared scratch folder first: for queries
+    over whole records of a few sources that read them several times. Without it nothing runs while a
+    query is built, and every scan reads the columns the query needs.
     """
 
     def __init__(self, spark, sf, staged: bool = False):
         super().__init__()
-        self.spark, self.sf = spark, sf
-        self.silver = {name: silver(spark, sf, name, lineage=True) for name in IDENTITY_SOURCES} if staged else {}
-        if staged:
-            self.silver = build.write_tables(spark, self.silver, scratch_path(spark, "silver"))
+        self.spark, self.sf, self.staged = spark, sf, staged
+        self.silver = {}
 
     def silvers(self, names=None) -> dict[str, DataFrame]:
-        for name in names or IDENTITY_SOURCES:
-            if name not in self.silver:
-                self.silver[name] = silver(self.spark, self.sf, name, lineage=True)
-        return {name: self.silver[name] for name in names or IDENTITY_SOURCES}
+        names = list(names or IDENTITY_SOURCES)
+        new = {n: silver(self.spark, self.sf, n, lineage=True) for n in names if n not in self.silver}
+        if new and self.staged:
+            new = build.write_tables(self.spark, new, scratch_path(self.spark, "silver"))
+        self.silver |= new
+        return {name: self.silver[name] for name in names}
 
     def __missing__(self, name: str) -> DataFrame:
         if name in FACT_NAMES:
@@ -127,7 +127,13 @@ def scan_csv_contract(spark, sf):
         F.col("doc_id").cast("string").alias("doc_id"), "lang", "source", "text"
     )
     writers.export(documents, path, fmt="csv.gz")
-    return readers.read_extract(spark, path, ["doc_id", "lang", "source", "text"])
+    return readers.read_extract(spark, path, ["doc_id", "lang", "source", "text"], multi_line=True)
+
+
+def table_by_name(spark, sf):
+    """A catalog view read by its name."""
+    adapter.table(spark, sf, "nation").createOrReplaceTempView("casefile_nation")
+    return readers.read_table(spark, "casefile_nation")
 
 
 def _raw_lines(spark, sf) -> DataFrame:
@@ -190,6 +196,29 @@ def scan_named(spark, sf):
     return readers.read_named(spark, path, REGISTRATION_HEADER)
 
 
+IRREGULAR_HEADER = [("event_id", "event"), ("user_id", "user"), ("event_type", "type")]
+
+
+def _raw_events(spark, sf) -> str:
+    """Events as named CSV; some rows lack their last field, some have one too many. Returns the folder."""
+    path = scratch_path(spark, "raw-events")
+    events = adapter.table(spark, sf, "events")
+    tail = F.when(F.col("user_id") % 10 == 3, "").when(F.col("user_id") % 10 == 7, ",click,extra")
+    line = F.concat(F.concat_ws(",", "event_id", "user_id"), tail.otherwise(F.concat(F.lit(","), "event_type")))
+    # one column, whose name is the header line of every part file
+    events.select(line.alias("event,user,type")).write.options(header=True, sep="\u0001").csv(path)
+    return path
+
+
+def irregular_rows(spark, sf):
+    return readers.count_irregular(spark, _raw_events(spark, sf), IRREGULAR_HEADER)
+
+
+def scan_irregular(spark, sf):
+    """A field that a short row lacks is empty text; one too many is left out."""
+    return readers.read_named(spark, _raw_events(spark, sf), IRREGULAR_HEADER)
+
+
 def land(spark, sf, tables=tuple(contracts.CONTRACTS)) -> str:
     """Write the extracts as gzip CSV into a new folder and return it."""
     folder = scratch_path(spark, "landing")
@@ -203,10 +232,11 @@ def land(spark, sf, tables=tuple(contracts.CONTRACTS)) -> str:
     return folder
 
 
-def write_manifest(spark, sf, folder, tables=tuple(contracts.CONTRACTS)) -> str:
-    """The manifest of landed extracts, from the tables they were written from."""
+def write_manifest(spark, sf, folder, tables=tuple(contracts.CONTRACTS), landed: bool = True) -> str:
+    """The manifest of extracts, from the tables they were written from; with their checksums if they are landed."""
     extracts = {name: adapter.bronze(spark, sf, name) for name in tables}
-    manifest = writers.build_manifest(extracts, contracts.SOURCE_IDS)
+    checksums = readers.file_checksums(spark, f"{folder}/*.csv.gz") if landed else None
+    manifest = writers.build_manifest(extracts, contracts.SOURCE_IDS, checksums)
     path = f"{folder}/manifest.json"
     writers.write_manifest(manifest, path, project="casefile", created_at_utc="2026-01-01T00:00:00Z")
     return path
@@ -235,7 +265,7 @@ def build_manifest(spark, sf):
 
 def manifest_explode(spark, sf):
     """Nested manifest document, one row per extract, stamped with the batch and stored."""
-    path = write_manifest(spark, sf, scratch_path(spark, "landing"))
+    path = write_manifest(spark, sf, scratch_path(spark, "landing"), landed=False)
     stored = scratch_path(spark, "manifest-table")
     writers.replace(readers.read_manifest(spark, path).withColumn("_batch_id", F.lit(adapter.BATCH)), stored)
     table = spark.read.parquet(stored)
@@ -245,7 +275,7 @@ def manifest_explode(spark, sf):
 def manifest_missing(spark, sf):
     """Landed tables the manifest does not list, with their rows."""
     listed = [t for t in contracts.CONTRACTS if t not in ("recalls", "state_registrations")]
-    path = write_manifest(spark, sf, scratch_path(spark, "landing"), listed)
+    path = write_manifest(spark, sf, scratch_path(spark, "landing"), listed, landed=False)
     missing = quality.missing_tables(readers.read_manifest(spark, path), list(contracts.CONTRACTS))
     landed = {t: adapter.bronze(spark, sf, t) for t in contracts.CONTRACTS}
     observed = quality.observe(spark, landed, {t: df.columns for t, df in landed.items()})
@@ -300,7 +330,20 @@ def ingest_audit(spark, sf):
 
 
 def audit_latest_batch(spark, sf):
-    return quality.latest_batch(_audit_history(spark, sf)).select(*AUDIT_SHOWN, "batches")
+    """Newest audit row per table with its time and whether the extract's checksum is kept."""
+    return quality.latest_batch(_audit_history(spark, sf)).select(
+        *AUDIT_SHOWN, "batches", (F.length("extract_sha256") == 64).alias("has_extract_checksum"),
+        quality.batch_id(F.col("ingested_at")).alias("ingested_batch"),
+    )
+
+
+def verify_checksums(spark, sf):
+    """Landed extracts against their manifest after one of them was written anew with fewer rows."""
+    folder = land(spark, sf)
+    write_manifest(spark, sf, folder)
+    less = adapter.registrations(spark, sf).filter("state NOT LIKE '%a%'")
+    writers.export(less, f"{folder}/state_registrations.csv.gz", fmt="csv.gz")
+    return build.verify_files(spark, folder).select("table_name", "checksum_matches")
 
 
 def bronze_lineage(spark, sf):
@@ -526,7 +569,9 @@ def reference_keys(spark, sf):
 
 
 def alias_review_queue(spark, sf):
-    queue = identity.alias_review_queue(the_bridge(spark, sf))
+    sources = baseline.by_system(silvers(spark, sf), SETTINGS)
+    masks = identity.entity_sources(sources, SETTINGS)
+    queue = identity.alias_review_queue(masks, list(sources), settings=SETTINGS)
     return queue.withColumn("source_systems", F.array_join("source_systems", ","))
 
 
@@ -538,17 +583,37 @@ def match_rates(spark, sf):
     return identity.match_quality(the_bridge(spark, sf), by=[])
 
 
-def alias_what_if(spark, sf):
-    """Approved aliases: an unresolved entity to the matched one of the same make and model a year later."""
-    sources = Model(spark, sf, staged=True).silvers()
-    bridge = identity.identity_bridge(baseline.by_system(sources, SETTINGS), settings=SETTINGS)
+def _decisions(bridge: DataFrame) -> DataFrame:
+    """Review decisions: an unresolved entity is the matched one of the same make and model a year later.
+
+    Each was pending first; every third model year was then rejected, the others approved.
+    """
     described = ["normalized_make", "normalized_model", "model_year_int"]
     entities = bridge.select("vehicle_key", *described, "reference_exact_match_flag").distinct()
     target = entities.filter("reference_exact_match_flag").selectExpr(
         "vehicle_key AS canonical_vehicle_key", *described[:2], "model_year_int - 1 AS model_year_int"
     )
-    mapping = entities.filter("NOT reference_exact_match_flag").join(target, described)
-    return identity.alias_what_if(bridge, mapping, sources["complaints"].select("vehicle_key"))
+    pairs = entities.filter("NOT reference_exact_match_flag").join(target, described)
+    final = "if(model_year_int % 3 = 0, 'REJECTED', 'APPROVED')"
+    return pairs.selectExpr(
+        "vehicle_key",
+        "canonical_vehicle_key",
+        f"explode(array(struct('PENDING' AS status, 1 AS day), struct({final} AS status, 2 AS day))) AS d",
+    ).selectExpr(
+        "vehicle_key", "canonical_vehicle_key", "d.status AS status", "'reviewer' AS reviewer",
+        "timestamp(make_date(2026, 1, d.day)) AS reviewed_at", "'same vehicle, next year' AS rationale",
+        "'HIGH' AS confidence",
+    )
+
+
+def alias_what_if(spark, sf):
+    """Before and after approved aliases, over the records of all sources."""
+    sources = silvers(spark, sf)
+    bridge = identity.identity_bridge(baseline.by_system(sources, SETTINGS), settings=SETTINGS)
+    mapping = scratch_path(spark, "alias-mapping")
+    writers.replace(_decisions(bridge), mapping)
+    records = [df.select("vehicle_key") for df in sources.values()]
+    return identity.alias_what_if(bridge, spark.read.parquet(mapping), records)
 
 
 # --- star schema ----------------------------------------------------------------------------
@@ -573,7 +638,8 @@ def orphan_keys(spark, sf):
 
 
 def complaint_event(spark, sf):
-    return mart.complaint_events(silver(spark, sf, "complaints"))
+    keyed = silver(spark, sf, "complaints").filter("vehicle_key IS NOT NULL")
+    return mart.event_rows(keyed, ["vehicle_key"], mart.BY_SOURCE["complaints"])
 
 
 def approx_median(spark, sf):
@@ -597,21 +663,30 @@ def _labels(spark, sf, *names):
 
 
 def dq_checks(spark, sf):
-    model = Model(spark, sf, staged=True)
+    model = Model(spark, sf)
     facts = {FACT_TABLES[n]: model[n] for n in FACT_TABLES}
     return quality.dq_checks(model["entity"], facts, model["alias_queue"])
 
 
+def dq_checks_failing(spark, sf):
+    """A dimension with some rows twice and without the unresolved entities, and a queue that kept P2."""
+    model = Model(spark, sf)
+    matched = model["entity"].filter("reference_exact_match_flag")
+    twice = matched.unionByName(matched.filter("model_year % 2 = 0"))
+    facts = {FACT_TABLES[n]: model[n] for n in FACT_TABLES}
+    return quality.dq_checks(twice, facts, model["mart"].filter("alias_priority <> 'NONE'"))
+
+
 def dq_status(spark, sf):
     """Status under a dimension that lacks the unresolved entities."""
-    model = Model(spark, sf, staged=True)
+    model = Model(spark, sf)
     matched = model["entity"].filter("reference_exact_match_flag")
     facts = {FACT_TABLES[n]: model[n] for n in FACT_TABLES}
     return quality.dq_status(quality.dq_checks(matched, facts, model["alias_queue"]))
 
 
 def dq_semantic(spark, sf):
-    model = Model(spark, sf, staged=True)
+    model = Model(spark, sf)
     keys = {
         "incident_date_key": model["complaint"],
         "received_date_key": model["complaint"],
@@ -620,14 +695,29 @@ def dq_semantic(spark, sf):
         "closed_date_key": model["investigation"],
         "communication_date_key": model["communication"],
     }
-    return quality.dq_semantic(model["mart"], model["complaint"], model["calendar"], keys)
+    counted = {
+        "complaint_reports": (model["complaint"], "complaint_id"),
+        "recall_campaigns": (model["recall"], "campaign_number"),
+    }
+    return quality.dq_semantic(model["mart"], counted, model["calendar"], keys)
+
+
+def _bronze(spark, sf) -> dict[str, DataFrame]:
+    return {table: adapter.bronze(spark, sf, table) for table in contracts.CONTRACTS}
 
 
 def reconcile(spark, sf):
-    frames = Model(spark, sf, staged=True).silvers()
     return quality.reconcile(
-        quality.mart_metrics(mart.evidence_mart(frames, SETTINGS)),
-        quality.mart_metrics(baseline.baseline_mart(frames, SETTINGS)),
+        quality.mart_metrics(the_mart(spark, sf)),
+        quality.mart_metrics(baseline.baseline_mart(_bronze(spark, sf), SETTINGS)),
+    )
+
+
+def reconcile_failing(spark, sf):
+    """A mart without its critical entities against the baseline: what differs, and labels that are missing."""
+    short = the_mart(spark, sf).filter("review_priority <> 'CRITICAL'")
+    return quality.reconcile(
+        quality.mart_metrics(short), quality.mart_metrics(baseline.baseline_mart(_bronze(spark, sf), SETTINGS))
     )
 
 
@@ -637,26 +727,27 @@ def product_row_counts(spark, sf):
 
 # --- profiles -------------------------------------------------------------------------------
 
+# Which column is a source's record id and which its date.
 PROFILE_SPECS = {
     "complaints": profiling.ProfileSpec(
-        "nhtsa_complaints_2025_2026", "complaint_id", "incident_date", "source_make", "source_model", "model_year",
-        "product_type",
+        "nhtsa_complaints_2025_2026", "complaint_record_id", "complaint_received_date", "source_make", "source_model",
+        "model_year", "product_type",
     ),
     "recalls": profiling.ProfileSpec(
-        "nhtsa_recalls_post_2010", "campaign_number", "report_received_date", "source_make", "source_model",
+        "nhtsa_recalls_post_2010", "recall_record_id", "report_received_date", "source_make", "source_model",
         "model_year", "product_type",
     ),
     "investigations": profiling.ProfileSpec(
         "nhtsa_investigations_all", "investigation_number", "opened_date", "source_make", "source_model", "model_year"
     ),
     "manufacturer_communications": profiling.ProfileSpec(
-        "nhtsa_tsbs_2025_2026", "document_id", "manufacturer_communication_date", "source_make", "source_model",
-        "model_year",
+        "nhtsa_tsbs_2025_2026", "nhtsa_communication_id", "date_added", "source_make", "source_model", "model_year",
     ),
+    # the approved extract has no test number, which is the id of the raw file
     "ncap_ratings": profiling.ProfileSpec("nhtsa_ncap_ratings", None, None, "make", "model", "model_yr"),
     "fuel_economy": profiling.ProfileSpec("epa_fuel_economy_vehicles", "id", None, "make", "model", "year"),
-    "state_registrations": profiling.ProfileSpec("fhwa_state_registrations", year="year"),
-}
+    "state_registrations": profiling.ProfileSpec("fhwa_state_registrations", "state", year="year"),
+}
 OPERATIONAL = ("complaints", "recalls", "investigations", "manufacturer_communications")
 REFERENCE = ("ncap_ratings", "fuel_economy")
 
@@ -670,10 +761,16 @@ def profile_summary(spark, sf):
 
 
 def profile_reconcile(spark, sf):
-    path = write_manifest(spark, sf, scratch_path(spark, "landing"))
+    path = write_manifest(spark, sf, scratch_path(spark, "landing"), landed=False)
     return profiling.profile_reconcile(profile_source(spark, sf), readers.read_manifest(spark, path))
 
 
+def profile_reconcile_failing(spark, sf):
+    """Profiles against a manifest with one wrong row count."""
+    path = write_manifest(spark, sf, scratch_path(spark, "landing"), landed=False)
+    return profiling.profile_reconcile(profile_source(spark, sf), _spoiled(readers.read_manifest(spark, path)))
+
+
 def _profile_keys(spark, sf, names):
     return {
         PROFILE_SPECS[n].source_id: profiling.profile_keys(adapter.bronze(spark, sf, n), PROFILE_SPECS[n])
@@ -694,7 +791,7 @@ def profile_union_coverage(spark, sf):
 
 def _both_grains(spark, sf, names, by="make"):
     """The measures without grouping, under the label (all), and per value of one column."""
-    model = Model(spark, sf, staged=by == "make")
+    model = Model(spark, sf)
     grouped = measures.measures(names, model, by=[by]).withColumn(by, F.col(by).cast("string"))
     overall = measures.measures(names, model).withColumn(by, F.lit("(all)"))
     return grouped.unionByName(overall)
@@ -721,6 +818,13 @@ MEASURE_GROUPS = {
 }
 
 
+def measures_filtered(spark, sf):
+    """Measures per make under a filter on facts and one on entities; tables without the columns stay unfiltered."""
+    names = ["complaint_reports", "severe_complaint_reports", "recall_campaigns", "registration_records"]
+    where = "incident_state LIKE 'S1%'"
+    return measures.measures(names, Model(spark, sf), by=["make"], where=where, where_entity="model_year >= 2000")
+
+
 def measures_registrations(spark, sf):
     return _both_grains(spark, sf, ["registration_records", "registered_vehicles"], "state_name")
 
@@ -744,8 +848,16 @@ def _whole_model(report):
     return lambda spark, sf: report(Model(spark, sf))
 
 
-def _aggregate(build, source):
-    return lambda spark, sf: build(silver(spark, sf, source))
+def _of_source(report, *sources):
+    return lambda spark, sf: report(*[silver(spark, sf, source) for source in sources])
+
+
+def _counts(source):
+    return _of_source(lambda df: mart.entity_counts(df, source), source)
+
+
+def _context(source):
+    return _of_source(lambda df: mart.entity_context(df, source), source)
 
 
 def star_monthly_topic(spark, sf):
@@ -753,7 +865,7 @@ def star_monthly_topic(spark, sf):
 
 
 def evidence_baseline(spark, sf):
-    return baseline.ordered_baseline(Model(spark, sf, staged=True).silvers(), SETTINGS)
+    return baseline.ordered_baseline(_bronze(spark, sf), SETTINGS)
 
 
 def entity_drillthrough(spark, sf):
@@ -761,8 +873,17 @@ def entity_drillthrough(spark, sf):
     return reports.entity_drillthrough(model, reports.first_critical(model["mart"]))
 
 
+def entity_header(spark, sf):
+    evidence = the_mart(spark, sf)
+    return reports.entity_header(evidence, reports.first_critical(evidence))
+
+
 QUERIES = {
     "scan_csv_contract": scan_csv_contract,
+    "table_by_name": table_by_name,
+    "irregular_rows": irregular_rows,
+    "scan_irregular": scan_irregular,
+    "verify_checksums": verify_checksums,
     "scan_positional": scan_positional,
     "scan_named": scan_named,
     "manifest_explode": manifest_explode,
@@ -817,12 +938,12 @@ QUERIES = {
     "fact_registration": _fact("registration"),
     "orphan_keys": orphan_keys,
     "complaint_event": complaint_event,
-    "complaint_agg": _aggregate(mart.complaint_agg, "complaints"),
-    "recall_agg": _aggregate(mart.recall_agg, "recalls"),
-    "investigation_agg": _aggregate(mart.investigation_agg, "investigations"),
-    "communication_agg": _aggregate(mart.communication_agg, "communications"),
-    "ncap_agg": _aggregate(mart.ncap_agg, "ratings"),
-    "fuel_agg": _aggregate(mart.fuel_agg, "variants"),
+    "complaint_agg": _counts("complaints"),
+    "recall_agg": _counts("recalls"),
+    "investigation_agg": _counts("investigations"),
+    "communication_agg": _counts("communications"),
+    "ncap_agg": _context("ratings"),
+    "fuel_agg": _context("variants"),
     "approx_median": approx_median,
     "evidence_mart": the_mart,
     "evidence_baseline": evidence_baseline,
@@ -838,9 +959,11 @@ QUERIES = {
     "priority_counts": _of_model(reports.priority_counts, "mart"),
     "business_totals": business_totals,
     "dq_checks": dq_checks,
+    "dq_checks_failing": dq_checks_failing,
     "dq_status": dq_status,
     "dq_semantic": dq_semantic,
     "reconcile": reconcile,
+    "reconcile_failing": reconcile_failing,
     "product_row_counts": product_row_counts,
     "dedup_by_key": dedup_by_key,
     "dedup_rows": dedup_rows,
@@ -849,31 +972,35 @@ QUERIES = {
     "profile_source": profile_source,
     "profile_summary": profile_summary,
     "profile_reconcile": profile_reconcile,
+    "profile_reconcile_failing": profile_reconcile_failing,
     "profile_match_coverage": profile_match_coverage,
     "profile_union_coverage": profile_union_coverage,
     **{
         name: (lambda spark, sf, names=names: _both_grains(spark, sf, names))
         for name, names in MEASURE_GROUPS.items()
     },
+    "measures_filtered": measures_filtered,
     "measures_registrations": measures_registrations,
     "priority_by_reason": _of_model(reports.priority_by_reason, "mart"),
     "top20_queue": _of_model(reports.top_queue, "review_queue"),
     "scatter_severity": _of_model(reports.scatter_severity, "mart"),
     "entity_drillthrough": entity_drillthrough,
+    "entity_header": entity_header,
     "queue_unresolved_share": _of_model(reports.queue_unresolved_share, "mart"),
     "trend_by_family": _whole_model(reports.trend_by_family),
     "entity_matrix": _of_model(reports.entity_matrix, "mart"),
     "formal_timeline": _whole_model(reports.formal_timeline),
-    "topic_make_matrix": _whole_model(reports.topic_make_matrix),
+    "topic_make_matrix": _of_source(reports.topic_make_matrix, "recalls", "investigations"),
     "campaign_table": _of_model(reports.campaign_table, "recall"),
     "star_monthly_topic": star_monthly_topic,
     "topic_pareto": _of_model(reports.topic_pareto, "complaint"),
-    "matrix_min_reports": _whole_model(reports.matrix_min_reports),
+    "component_pareto": _of_model(reports.component_pareto, "complaint"),
+    "matrix_min_reports": _of_source(reports.matrix_min_reports, "complaints"),
     "reports_by_state": _of_model(reports.reports_by_state, "complaint"),
     "communication_topics": _of_model(reports.communication_topics, "communication"),
-    "topic_decomposition": _whole_model(reports.topic_decomposition),
-    "rating_distribution": _whole_model(reports.rating_distribution),
+    "topic_decomposition": _of_source(reports.topic_decomposition, "communications"),
+    "rating_distribution": _of_source(reports.rating_distribution, "ratings"),
     "mpg_cost": _of_model(reports.mpg_cost, "fuel"),
-    "variant_table": _whole_model(reports.variant_table),
+    "variant_table": _of_source(reports.variant_table, "variants"),
     "fuel_spread": _of_model(reports.fuel_spread, "fuel"),
 }
