@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile import functions as fx
-from casefile.functions.labels import ALIAS_ORDER, PRIORITY_ORDER
 from casefile.operators import dedup, identity, mart, measures, profiling, quality, rules, star
-from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS, STAR_COLUMNS
+from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS
 from casefile.plans import baseline, build, reports
 from casefile.session import scratch_path
 from casefile.sources import contracts, readers, writers
