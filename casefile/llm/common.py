@@ -23,11 +23,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Bytes of a record batch that Spark hands to Python, which bounds what a worker holds at once.
+BATCH_BYTES = "16m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, as `--py-files` would; once per Spark context.
+    """Bound record batches in this session, and give executors this package, as `--py-files` would, once per context.
 
     The archive (below 1 MB) is the driver's own upload copy; executors fetch it from Spark.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_casefile_shipped", False):
         return
@@ -68,7 +73,7 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20) -> Iterable[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterable[pa.RecordBatch]:
     """The batch in runs of rows with about `limit` bytes of text each; a longer text is a run of its own."""
     import pyarrow.compute as pc
 

@@ -103,7 +103,7 @@ class LanguageModel:
 class _WordRows(dict):
     """Word -> its row of scores. Rows are scored together, once per batch; all are forgotten at `limit` words."""
 
-    def __init__(self, model: LanguageModel, limit: int = 400_000):
+    def __init__(self, model: LanguageModel, limit: int = 200_000):
         super().__init__()
         self.model, self.limit, self.new = model, limit, []
         self.scores = np.zeros((0, max(len(model.languages), 1)), np.float32)

@@ -149,6 +149,7 @@ def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text") ->
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = list_array(flat, map(len, ids), pa.int32())
             yield record_batch(_ENCODED, batch.column(0), [len(x) for x in ids], lists, same)
+        codec.memo.forget()
 
     chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return map_arrow(chosen, run, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")

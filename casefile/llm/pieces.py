@@ -71,6 +71,11 @@ class UnitMemo(dict):
             self[unit] = value
         return value
 
+    def forget(self) -> None:
+        """At the end of a task: the worker lives on and may serve other work."""
+        self.clear()
+        self.older = {}
+
 
 def split_units(table: PieceTable):
     return re.compile(table.unit).findall
