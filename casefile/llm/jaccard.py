@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casefile.llm.common import bytes_of, list_array, map_arrow, record_batch, slices, staged
+from casefile.llm.common import bytes_of, carried_schema, list_array, map_arrow, record_batch, slices, staged, with_columns
 
 
 @dataclass(frozen=True)
@@ -297,7 +297,7 @@ def _sketch_rows(plan: JaccardPlan):
                 shingles = shingle_set(text, plan.words)
                 digests.append(_digest(shingles) if len(shingles) else None)
                 signatures.append(signature(shingles, plan.values, plan.seed).tobytes() if len(shingles) else None)
-            yield record_batch(schema, batch.column(0), digests, signatures)
+            yield with_columns(record_batch(schema, batch.column(0), digests, signatures), batch, 2)
 
     return run
 
@@ -328,10 +328,14 @@ def _band_rows(plan: JaccardPlan):
     return run
 
 
-def link_entries(df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", text_col="text") -> tuple[DataFrame, DataFrame]:
-    """(documents, entries): doc_id with its entry; entry with copies, first id, links to other entries, and class."""
+def link_entries(
+    df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", text_col="text", carry: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, entries): doc_id with its entry and carried columns; entry with copies, first id, links, class."""
     chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sketches = staged(map_arrow(chosen, _sketch_rows(plan), "doc_id long, entry binary, sig binary"), "sketches")
+    carrying = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    schema = carried_schema("doc_id long, entry binary, sig binary", df, carry)
+    sketches = staged(map_arrow(carrying, _sketch_rows(plan), schema), "sketches")
     entries = sketches.where("entry IS NOT NULL").groupBy("entry").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.any_value("sig").alias("sig")
     )
@@ -365,7 +369,7 @@ def link_entries(df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_i
     labels = components(verified.select("entry", "hub"))
     links = verified.groupBy("entry").agg(F.sum("n_links").alias("n_links"), F.sum("n_text_links").alias("n_text_links"))
     linked = links.join(labels, "entry")
-    return sketches.select("doc_id", "entry"), entries.drop("sig").join(linked, "entry", "left")
+    return sketches.select("doc_id", "entry", *carry), entries.drop("sig").join(linked, "entry", "left")
 
 
 def _shingles_of(chosen: DataFrame, asked: DataFrame, plan: JaccardPlan) -> DataFrame:
@@ -406,8 +410,10 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"classes have not settled after {most_rounds} rounds")
 
 
-def classes(df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", text_col="text") -> DataFrame:
-    """doc_id, class_id, n_links, n_text_links of every row.
+def classes(
+    df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", text_col="text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, class_id, n_links, n_text_links of every row, and the columns named in `carry`.
 
     Documents are linked when the Jaccard similarity of their sets of five-word shingles is at least the
     threshold; a text of fewer words is one shingle. `class_id` is the smallest id of those connected
@@ -419,7 +425,7 @@ def classes(df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", t
     What can be missed, by choice of the parameters: a pair at the threshold that agrees in no band (1.9
     in a million), or whose posterior falls below the tolerance (about one in a million).
     """
-    documents, entries = link_entries(df, plan, id_col, text_col)
+    documents, entries = link_entries(df, plan, id_col, text_col, carry)
     entries = entries.withColumn("root", F.coalesce("root", "entry"))
     entries = staged(entries, "classes")
     least = entries.groupBy("root").agg(F.min("first_id").alias("class_id"))
@@ -434,4 +440,5 @@ def classes(df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", t
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("text_links", F.lit(0)).cast("long").alias("n_text_links"),
+        *carry,
     )

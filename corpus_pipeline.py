@@ -35,13 +35,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of near copies the document with the smallest id stays, once.
 
-    Documents without a word, which line dedup can leave, are each their own class. Rows without an id
-    cannot be named by a class and stay.
+    Documents without a word, which line dedup can leave, are each their own class. Rows that share an id
+    are told apart by their texts. Rows without an id cannot be named by a class and stay.
     """
-    going = jaccard.classes(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(going, "doc_id", "left_anti")
-    digest = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2")]
-    once = named.select(*COLUMNS, *digest).dropDuplicates(["doc_id", "t1", "t2"]).select(*COLUMNS)
+    key = ("doc_id", "t1", "t2")
+    told = docs.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
+    going = jaccard.classes(told, carry=key[1:]).where("doc_id <> class_id").select(*key).distinct()
+    named = told.where("doc_id IS NOT NULL").join(going, list(key), "left_anti")
+    once = named.dropDuplicates(list(key)).select(*COLUMNS)
     return once.unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 

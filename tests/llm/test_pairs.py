@@ -283,6 +283,14 @@ def test_pipeline_stage_by_stage(spark):
     assert len(before) == len(after) and all(r["round_trip"] for r in after)
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    one, other = (" ".join(f"{w}{i}" for i in range(80)) for w in "ab")
+    rows = [(1, one), (5, one), (5, other), (5, other), (None, other)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_copies(spark, docs, SF_DIR).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", one), ("5", other), ("None", other)])
+
+
 def test_pipeline_of_odd_and_of_no_rows(spark):
     documents = odd_documents(spark).withColumn("n_chars", ann.F.lit(None).cast("long")).select("doc_id", "text", "lang", "source", "n_chars")
     for docs in (documents, empty(documents), documents.withColumn("lang", ann.F.lit("en"))):
