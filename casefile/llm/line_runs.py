@@ -182,9 +182,12 @@ def dedup_lines(
     spark = df.sparkSession
     hashes = line_hashes(df, id_col, text_col, min_chars, batches)
     runs = LineRuns(spark, min_docs)
+    # Counted and written before the anti-join: Spark would otherwise move the join below the grouping and
+    # shuffle every row of a line that very many documents share.
+    counts = hashes.groupBy("batch", "h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = staged(counts, "line-counts", partition_by="batch")
     for number in range(batches):
-        rows = hashes.where(F.col("batch") == number)
-        runs.add(rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs")))
+        runs.add(counts.where(F.col("batch") == number).select("h1", "h2", "n_docs"))
     # Equal texts lose equal lines: a text with very many copies is one group here, and its set is made
     # from partial sets.
     going = hashes.join(runs.frequent(), ["h1", "h2"]).select(
