@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import casefile
 from casefile.session import scratch_path
@@ -63,6 +64,11 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, n_rows: int, limit: int = 20_000) -> DataFrame:
+    """Broadcast a frame of up to `limit` counted rows (about 100 bytes each); beyond, Spark chooses the join."""
+    return F.broadcast(df) if n_rows <= limit else df
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings, null as empty text."""
     return ["" if x is None else x for x in column.to_pylist()]

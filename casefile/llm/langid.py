@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casefile.llm.common import carried_schema, map_arrow, record_batch, slices, staged, texts_of, with_columns
+from casefile.llm.common import carried_schema, map_arrow, record_batch, slices, small, staged, texts_of, with_columns
 
 UNDETERMINED = "und"
 
@@ -230,17 +230,27 @@ def held_out(id_column: Column, folds: int = 5) -> Column:
 def fit(
     labelled: DataFrame, text_col="text", lang_col="lang", order_col="doc_id", per_language: int = 1500, max_grams: int = 150_000
 ) -> LanguageModel:
-    """Learn from at most `per_language` rows of each language, those whose hashed id comes first.
+    """Learn from at most `per_language` texts of each language, those whose hash with the id comes first.
 
-    Rows with a null text or language are not used. The cluster counts the grams; the `max_grams` most
+    Rows with a null text or language are not used; a repeated row counts once. The cluster counts the grams; the `max_grams` most
     frequent go to the driver. No row gives a model without languages.
     """
-    place = F.xxhash64(F.col(order_col))
+    place = F.xxhash64(F.col(order_col), F.col(text_col))
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), place.alias("place"))
     rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
-    # Spark keeps the first rows per language in every map task, before the shuffle.
+    # Hashes are uniform, so a place below which about twice the wanted rows lie follows from the count.
+    # Only hashes below it are ranked, and texts are picked by one place per language; no text is sorted.
+    counts = rows.groupBy("lang").count().collect()  # one row per language
+    bounds = [(r["lang"], int(-(2**63) + (2**64 - 1) * min(1.0, 2 * per_language / r["count"]))) for r in counts]
+    spark = labelled.sparkSession
+    bounded = small(spark.createDataFrame([(x, min(y, 2**63 - 1)) for x, y in bounds], "lang string, bound long"), len(bounds))
+    near = rows.join(bounded, "lang").where("place <= bound")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
-    sample = rows.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "text")
+    first = near.select("lang", "place").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language)
+    last = first.groupBy("lang").agg(F.max("place").alias("last")).collect()
+    picks = small(spark.createDataFrame(last, "lang string, last long"), len(last))
+    sample = rows.join(picks, "lang").where("place <= last")
+    sample = sample.dropDuplicates(["lang", "place"]).select("lang", "text")
     sample = sample.repartition(16, F.xxhash64("text"))
 
     def count(batches):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casefile.llm.common import staged
+from casefile.llm.common import small, staged
 from casefile.llm.text_stats import word_array
 
 
@@ -165,7 +165,7 @@ def _mixed(spark, rows: DataFrame, plan: MixPlan, carry: tuple[str, ...] = ()) -
     counts = [(r["source"], max(1, math.ceil(r["words"] / per_shard))) for r in totals]
     shards = spark.createDataFrame(counts, "s_source string, n_shards int")
     order = F.xxhash64("doc_id", F.lit(plan.seed))
-    placed = rows.join(_small(shards, len(counts)), F.col("source").eqNullSafe(F.col("s_source")))
+    placed = rows.join(small(shards, len(counts)), F.col("source").eqNullSafe(F.col("s_source")))
     placed = placed.withColumn("shard", F.pmod(order, F.col("n_shards")).cast("int")).drop("s_source", "n_shards")
     shard_sizes = placed.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()
     planned = spark.createDataFrame(plan_mix([tuple(r) for r in shard_sizes], plan), _PLAN)
@@ -174,7 +174,7 @@ def _mixed(spark, rows: DataFrame, plan: MixPlan, carry: tuple[str, ...] = ()) -
         "ends", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     chosen = ended.join(
-        _small(planned, len(shard_sizes)), F.col("source").eqNullSafe(F.col("p_source")) & (F.col("shard") == F.col("p_shard"))
+        small(planned, len(shard_sizes)), F.col("source").eqNullSafe(F.col("p_source")) & (F.col("shard") == F.col("p_shard"))
     )
     b = plan.block_words
     parts = F.expr(
@@ -191,11 +191,6 @@ def _mixed(spark, rows: DataFrame, plan: MixPlan, carry: tuple[str, ...] = ()) -
     return chosen.withColumn("parts", parts).select(*kept, "source_size", "target", taken.alias("taken"), "parts", *carry)
 
 
-def _small(df: DataFrame, n_rows: int, limit: int = 20_000) -> DataFrame:
-    """Broadcast up to `limit` rows (about 100 bytes each); beyond, Spark chooses the join."""
-    return F.broadcast(df) if n_rows <= limit else df
-
-
 def taken_texts(mixed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, copy, text and carried columns: one row for the parts taken at least once, one more for each further time.
 
