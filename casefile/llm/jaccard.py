@@ -332,12 +332,17 @@ def link_entries(
     df: DataFrame, plan: JaccardPlan = JaccardPlan(), id_col="doc_id", text_col="text", carry: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, entries): doc_id with its entry and carried columns; entry with copies, first id, links, class."""
-    chosen = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    carrying = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
-    schema = carried_schema("doc_id long, entry binary, sig binary", df, carry)
+    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    row_key = F.xxhash64(doc, text).alias("row_key_")  # never null, whatever the id
+    chosen = df.select(row_key, text.alias("text"))
+    carrying = df.select(doc.alias("doc_id"), text.alias("text"), row_key, *carry)
+    schema = carried_schema("doc_id long, entry binary, sig binary, row_key_ long", df, carry)
     sketches = staged(map_arrow(carrying, _sketch_rows(plan), schema), "sketches")
     entries = sketches.where("entry IS NOT NULL").groupBy("entry").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.any_value("sig").alias("sig")
+        F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("first_id"),
+        F.min("row_key_").alias("row_key_"),
+        F.any_value("sig").alias("sig"),
     )
     entries = staged(entries, "entries")
 
@@ -360,8 +365,8 @@ def link_entries(
     candidates = staged(map_arrow(grouped, _candidate_rows(plan), key_schema), "candidates")
 
     # Shingle sets of the entries in question, from one document each.
-    asked = entries.join(candidates.select("entry").distinct(), "entry").select("entry", "first_id", "sig", "copies")
-    sets = staged(_shingles_of(chosen, asked.select("entry", "first_id"), plan), "shingles")
+    asked = entries.join(candidates.select("entry").distinct(), "entry").select("entry", "row_key_", "sig", "copies")
+    sets = staged(_shingles_of(chosen, asked.select("entry", "row_key_"), plan), "shingles")
     full = candidates.join(asked.select("entry", "sig", "copies"), "entry").join(sets, "entry")
     full = full.select(*_KEY, "side", "entry", "sig", "copies", "shingles").repartition(*_KEY).sortWithinPartitions(*order)
     out = "entry binary, hub binary, n_links long, n_text_links long"
@@ -369,19 +374,19 @@ def link_entries(
     labels = components(verified.select("entry", "hub"))
     links = verified.groupBy("entry").agg(F.sum("n_links").alias("n_links"), F.sum("n_text_links").alias("n_text_links"))
     linked = links.join(labels, "entry")
-    return sketches.select("doc_id", "entry", *carry), entries.drop("sig").join(linked, "entry", "left")
+    return sketches.select("doc_id", "entry", *carry), entries.drop("sig", "row_key_").join(linked, "entry", "left")
 
 
 def _shingles_of(chosen: DataFrame, asked: DataFrame, plan: JaccardPlan) -> DataFrame:
-    """entry, shingles of the entries asked for, read again from the document that came first.
+    """entry, shingles of the entries asked for, read again from the rows with the least key.
 
-    Only documents whose hashed id is among those asked for are shuffled: 2**18 hash values at most are
-    broadcast, whatever the number of entries.
+    Only rows whose key's slot is among those asked for are shuffled: 2**18 slots at most are broadcast,
+    whatever the number of entries. Rows of equal id (or none) and text share a key and are all read.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 18)).alias("slot")
-    slots = asked.select(F.col("first_id").alias("doc_id")).select(slot).distinct()
+    slot = F.pmod("row_key_", F.lit(1 << 18)).alias("slot")
+    slots = asked.select(slot).distinct()
     near = chosen.withColumn("slot", slot).join(F.broadcast(slots), "slot", "left_semi").drop("slot")
-    texts = near.join(asked.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    texts = near.join(asked.select("row_key_").distinct(), "row_key_", "left_semi").select("text")
     sets = map_arrow(texts, _set_rows(plan), "entry binary, shingles binary")
     return sets.join(asked.select("entry"), "entry", "left_semi").groupBy("entry").agg(F.any_value("shingles").alias("shingles"))
 

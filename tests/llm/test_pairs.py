@@ -155,6 +155,14 @@ def test_odd_rows_of_the_join(spark):
     assert jaccard.classes(empty(documents)).collect() == []
 
 
+def test_near_copies_without_ids_are_linked(spark):
+    rows = near_copies(6, 5, seed=3)
+    rows = [(None if g % 3 == 0 or (g % 3 == 1 and i % 2) else d, t) for d, t in rows for g, i in [divmod(d, 5)]]
+    truth = brute_classes(rows)
+    assert any(d == c == "None" and texts for d, c, _, texts in truth) and any(d == "None" != c and texts for d, c, _, texts in truth)
+    assert found_classes(spark.createDataFrame(rows, "doc_id long, text string")) == truth
+
+
 def test_word_hashes_depend_on_the_word_alone():
     text = "alpha beta\tgamma  alpha\nβeta x alpha".encode()
     hashes = jaccard.word_hashes(text)
