@@ -95,6 +95,10 @@ class LanguageModel:
         total[[self._candidates(word) is None for word in words]] = 0
         return total.astype(np.float32)
 
+    def votes(self, words: list[str]) -> np.ndarray:
+        """Which words are in a script that a learned language uses."""
+        return np.array([self._candidates(word) is not None for word in words], bool)
+
     def _candidates(self, word: str) -> tuple[bool, ...] | None:
         own = self.scripts.get("latin" if word.isascii() else script_of(word))
         return own if own and any(own) else None
@@ -107,21 +111,25 @@ class _WordRows(dict):
         super().__init__()
         self.model, self.limit, self.new = model, limit, []
         self.scores = np.zeros((0, max(len(model.languages), 1)), np.float32)
+        self.votes = np.zeros(0, bool)
 
     def __missing__(self, word: str) -> int:
         self[word] = row = len(self)
         self.new.append(word)
         return row
 
-    def rows(self, words: list[list[str]], n_words: int) -> np.ndarray:
+    def rows(self, words: list[list[str]], n_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of every word its scores, and whether it votes."""
         if len(self) > self.limit:
             self.clear()
-            self.scores = self.scores[:0]
+            self.scores, self.votes = self.scores[:0], self.votes[:0]
         flat = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(words)), np.int64, n_words)
         for start in range(0, len(self.new), 50_000):
-            self.scores = np.concatenate([self.scores, self.model.word_scores(self.new[start : start + 50_000])])
+            new = self.new[start : start + 50_000]
+            self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
+            self.votes = np.concatenate([self.votes, self.model.votes(new)])
         self.new = []
-        return self.scores[flat]
+        return self.scores[flat], self.votes[flat]
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
@@ -194,7 +202,8 @@ def predict(
     """doc_id, lang_pred, score, spans of every row, and the columns named in `carry`.
 
     `spans` are maximal runs of words (runs of letters) in one language; `lang_pred` has most words, ties to
-    the language that sorts first; `score` is its share of the words. Null texts and texts without a letter
+    the language that sorts first; `score` is its share of the words. Words in a script of no learned language
+    are in a span but vote for none: they only lower the score, to 0 if there are no others. Null texts and texts without a letter
     are "und" with score 0 and no span; so is every text for a model without languages. Whole texts of any
     length are labelled; a null id stays null; repeated rows are labelled each; an empty table gives no
     rows; other columns are not read. Rows need no shuffle. Carried names must not be those above.
@@ -210,9 +219,11 @@ def predict(
             if not known.languages:
                 words = [[] for _ in words]
             lengths = np.fromiter(map(len, words), np.int64, len(words))
-            labels = viterbi(word_rows.rows(words, int(lengths.sum())), lengths, penalty)
+            scores, voting = word_rows.rows(words, int(lengths.sum()))
+            labels = viterbi(scores, lengths, penalty)
             of = np.repeat(np.arange(len(words)), lengths)
-            votes = np.bincount(of * n_languages + labels, minlength=len(words) * n_languages).reshape(-1, n_languages)
+            ballots = (of * n_languages + labels)[voting]
+            votes = np.bincount(ballots, minlength=len(words) * n_languages).reshape(-1, n_languages)
             winner = votes.argmax(axis=1)
             share = votes[np.arange(len(words)), winner] / np.maximum(lengths, 1)
             names = [known.languages[w] if n else UNDETERMINED for w, n in zip(winner, lengths, strict=True)]

@@ -20,7 +20,7 @@ LEAST_SHARE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter or without a main language go; a missing language is filled in."""
+    """Documents without a letter or without a main language go, so those in scripts not learned; a missing language is filled in."""
     found = langid.predict(docs, language_model(docs), carry=COLUMNS[1:])
     kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)

@@ -180,6 +180,22 @@ def test_scripts_narrow_the_candidates():
     assert table[0].argmax() == 0 and table[1].argmax() == 1 and (table[2] == 0).all()
 
 
+def test_scripts_not_learned_give_no_score(spark, model):
+    import corpus_pipeline
+
+    latin = read(spark, SF_DIR, "documents").where("lang = 'en' AND n_chars > 500").first()["text"]
+    words = langid.WORDS.findall(latin)[:30]
+    texts = ["Ελληνικά και άλλα λόγια", "ещё одно русское слово", "漢字 仮名", " ".join([*words[:10], *["слово"] * 20]), " ".join([*words, *["слово"] * 20])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(langid.predict(frame, model).collect(), key=lambda r: r["doc_id"])
+    assert [r["score"] for r in rows] == pytest.approx([0, 0, 0, 10 / 30, 30 / 50])
+    assert rows[4]["lang_pred"] == "en" and all(r["lang_pred"] in model.languages for r in rows)
+    docs = read(spark, SF_DIR, "documents").selectExpr("doc_id + 100 AS doc_id", "text", "lang", "source", "n_chars")
+    odd = frame.selectExpr("doc_id", "text", "CAST(NULL AS string) AS lang", "'s' AS source", "CAST(length(text) AS long) AS n_chars")
+    kept = corpus_pipeline.language(spark, docs.unionByName(odd), SF_DIR).where("doc_id < 5").collect()
+    assert [(r["doc_id"], r["lang"]) for r in kept] == [(4, "en")]
+
+
 def test_language_of_odd_rows(spark, model):
     rows = langid.predict(odd_documents(spark), model, carry=("h1",)).collect()
     assert len(rows) == 13 and {r["h1"] for r in rows} == {"clash"}
