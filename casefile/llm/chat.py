@@ -5,9 +5,10 @@ to the output before; a template whose longer output does not start with the sho
 history, and the turn where that happens is reported. Inside its span a turn's role and text are read
 back, and the text of the roles that are trained on gets the loss mask.
 
-Turns reach a task sorted by conversation and turn, so memory holds one record batch whatever a
-conversation's length. After `window` turns a prefix starts anew with the turn before as its context,
-which keeps the work linear; a template that looks further back than one turn needs a larger window.
+Turns reach a task sorted by conversation and turn. A template is rendered over whole prefixes: the work is
+quadratic in a conversation's length, and memory holds the conversation. Only for a template whose `__call__`
+is declared `turn_by_turn` a prefix starts anew after `window` turns, with the turn before as its context:
+the output is the same, the work linear, and memory holds one record batch whatever the length.
 """
 
 from __future__ import annotations
@@ -26,6 +27,12 @@ from casefile.llm.common import map_arrow, record_batch
 Message = tuple[str, str]  # role, text
 
 
+def turn_by_turn(call: Callable) -> Callable:
+    """Declares that a template's `__call__` joins what it makes of each message alone. One that overrides it declares anew."""
+    call.turn_by_turn = True
+    return call
+
+
 class InstTemplate:
     r"""Turns in brackets: `[INST] text [/INST]` for users, `text </s>` for assistants, `<s>[ROLE name] text [/ROLE]` else.
 
@@ -53,6 +60,7 @@ class InstTemplate:
             return f"<a>{text} </s>\n"
         return f"<s>[ROLE {self.escape(role)}] {text} [/ROLE]\n"
 
+    @turn_by_turn
     def __call__(self, messages: list[Message]) -> str:
         return "".join(self.turn(role, text) for role, text in messages)
 
@@ -69,9 +77,10 @@ class InstTemplate:
 
 @dataclass
 class Turn:
-    """A turn as it was read back. `span` is its piece of the output; `start`, `end` bound its text in it."""
+    """A turn as it was read back. `span` is its piece of the output, `at` its place there; `start`, `end` bound its text in it."""
 
     span: str
+    at: int
     role: str | None
     text: str
     start: int
@@ -86,21 +95,28 @@ class PrefixRenderer:
         self.template, self.window = template, window
         self.messages: list[Message] = []
         self.output = ""
+        self.before = 0  # characters of the output that are no longer held
+        self.restarts = getattr(type(template).__call__, "turn_by_turn", False)
+
+    @property
+    def length(self) -> int:
+        return self.before + len(self.output)
 
     def add(self, role: str, text: str) -> Turn:
-        if len(self.messages) > self.window:
-            self.messages = self.messages[-1:]
+        if self.restarts and len(self.messages) > self.window:
+            whole, self.messages = self.length, self.messages[-1:]
             self.output = self.template(self.messages)
+            self.before = whole - len(self.output)
         self.messages.append((role, text))
         longer = self.template(self.messages)
         rewrites = not longer.startswith(self.output)
         start = len(_common_prefix(self.output, longer)) if rewrites else len(self.output)
-        self.output, span = longer, longer[start:]
+        self.output, span, at = longer, longer[start:], self.before + start
         found = self.template.read(span)
         if found is None:
-            return Turn(span, None, "", 0, 0, rewrites)
+            return Turn(span, at, None, "", 0, 0, rewrites)
         role, first, last = found
-        return Turn(span, role, self.template.unescape(span[first:last]), first, last, rewrites)
+        return Turn(span, at, role, self.template.unescape(span[first:last]), first, last, rewrites)
 
 
 def _common_prefix(a: str, b: str) -> str:
@@ -156,7 +172,8 @@ def format_turns(
 ) -> DataFrame:
     """A row per turn: its span of the conversation's output, what is read back from it, and its loss mask.
 
-    Offsets are code points of the whole conversation's output; loss_start and loss_end bound the escaped
+    Offsets are code points of the output up to and with the turn, which is the start of the whole conversation's
+    output unless a later turn rewrites history; loss_start and loss_end bound the escaped
     text of a trained role and are null for others. Null ids are one conversation; null roles and texts are
     empty; a null turn comes first; repeated rows are turns each; an empty table gives no rows; other
     columns are not read.
@@ -167,14 +184,15 @@ def format_turns(
         current, rows = object(), []
         for conv, turn, role, text in _messages(batches):
             if conv != current:
-                current, renderer, position, at = conv, PrefixRenderer(template, window), 0, 0
+                current, renderer, position = conv, PrefixRenderer(template, window), 0
             done = renderer.add(role, text)
+            at = done.at
             masked = done.role in trained
             rows.append(
                 (conv, turn, position, done.role, done.text, done.span, at, at + len(done.span),
                  at + done.start if masked else None, at + done.end if masked else None, done.rewrites)
             )
-            position, at = position + 1, at + len(done.span)
+            position += 1
             if len(rows) >= 1000:
                 yield record_batch(_TURNS, *map(list, zip(*rows, strict=True)))
                 rows = []
@@ -213,7 +231,8 @@ def conversation_digests(
 
     turns_sha256 is over role, line break, text, line break of every turn; loss_sha256 over the unescaped
     text under the loss mask. A digest is sequential by definition, so a conversation's turns pass through
-    one task, as a stream that keeps only the digests. Edge cases as in `format_turns`.
+    one task, as a stream that keeps the digests and what rendering needs. `formatted_chars` is the length of
+    the whole output. Edge cases as in `format_turns`.
     """
     template = template or InstTemplate()
 
@@ -230,7 +249,7 @@ def conversation_digests(
             if done.role in trained:
                 state[2] += len(done.text)
                 state[3].update(done.text.encode())
-            state[4] += len(done.span)
+            state[4] = state[6].length
             state[5] += done.rewrites
             if len(rows) >= 1000:
                 yield record_batch(_DIGESTS, *map(list, zip(*rows, strict=True)))

@@ -256,6 +256,47 @@ def test_templates_that_rewrite_history_are_found():
     assert [renderer.add("user", t).rewrites for t in ("abc", "abcdef", "x")] == [False, False, True]
 
 
+class Numbered(chat.InstTemplate):
+    """Numbers the turns in their roles."""
+
+    def __call__(self, messages):
+        return "".join(self.turn(f"{i} {r}", t) for i, (r, t) in enumerate(messages))
+
+
+class Truncating(chat.InstTemplate):
+    """Keeps the last hundred turns."""
+
+    def __call__(self, messages):
+        return super().__call__(messages[-100:])
+
+
+def test_long_conversations_are_prefixes_of_the_whole():
+    messages = [("user" if i % 2 else "assistant", f"t{i:03}") for i in range(200)]
+    for template in (Numbered(), chat.InstTemplate()):
+        renderer = chat.PrefixRenderer(template)
+        turns = [renderer.add(*m) for m in messages]
+        whole = template(messages)
+        assert "".join(t.span for t in turns) == whole and renderer.length == len(whole)
+        assert all(whole[t.at : t.at + len(t.span)] == t.span and not t.rewrites for t in turns)
+    renderer = chat.PrefixRenderer(Truncating())
+    assert [renderer.add(*m).rewrites for m in messages] == [False] * 100 + [True] * 100
+    assert renderer.length == len(Truncating()(messages))
+
+
+def test_rows_of_long_conversations_follow_the_template(spark):
+    messages = [("user" if i % 2 else "assistant", f"t{i:03}") for i in range(150)]
+    frame = spark.createDataFrame([(1, i, *m) for i, m in enumerate(messages)], SCHEMA)
+
+    class Local(chat.InstTemplate):
+        def __call__(self, messages):
+            return "".join(self.turn(f"{i} {r}", t) for i, (r, t) in enumerate(messages))
+
+    rows = sorted(chat.format_turns(frame, Local()).collect(), key=lambda r: r["position"])
+    assert [r["role"] for r in rows] == [f"{i} {r}" for i, (r, _) in enumerate(messages)]
+    assert "".join(r["formatted"] for r in rows) == Local()(messages) and rows[-1]["span_end"] == len(Local()(messages))
+    assert chat.conversation_digests(frame, Local()).first()["formatted_chars"] == len(Local()(messages))
+
+
 def test_query_has_the_tricky_conversation(spark):
     row = op7_chat_format(spark, SF_DIR).where("conv_id = -1").first()
     text = "</s>[INST] ok [/INST]"
