@@ -15,6 +15,7 @@ centroids, both bounded by parameters.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -153,9 +154,10 @@ def nearest(
     """query_id, rank, vec_id, score of the k nearest rows found for every query row, by cosine.
 
     `is_query` is a condition on the column `id`. Vectors that are null, zero or hold null or non-finite
-    components take no part, nor do rows without an id; if lengths differ, only the most frequent length
-    does (ties: the shortest). Ties in the score go to the smaller id. A repeated row counts once; an id
-    with several vectors is a candidate with its nearest, and as a query gets what is nearest to any.
+    components take no part, nor do rows without an id. Vectors are compared with those of their own length;
+    every length that a query has gets its own index, so there should be few. Ties in the score go to the
+    smaller id. A repeated row counts once; an id with several vectors is a candidate with its nearest, and
+    as a query gets what is nearest to any.
     With fewer than k candidates all are returned; an empty table gives no rows. Other columns are not read.
     """
     spark = df.sparkSession
@@ -163,11 +165,30 @@ def nearest(
     kind = df.schema[vec_col].dataType.simpleString()
     empty = "query_id long, rank int, vec_id long, score double"
     rows = usable(df, id_col, vec_col)
-    length = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if length is None:
+    lengths = rows.groupBy(F.size("vec").alias("n")).agg(F.count_if(is_query).alias("asking")).where("asking > 0").collect()
+    if not lengths:
         return spark.createDataFrame([], empty)
-    rows = rows.where(F.size("vec") == length["n"])
     keep = k + 1  # a query's own row may be among them
+    found = [_found(rows.where(F.size("vec") == r["n"]), is_query, keep, plan, kind) for r in sorted(lengths)]
+    members = rows.where(is_query).select("id", "k1", "k2").distinct()
+    pairs = reduce(DataFrame.union, found).select("k1", "k2", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
+    pairs = pairs.groupBy("k1", "k2", F.col("x.ids").alias("id")).agg(F.max("x.scores").alias("score"))
+    best = pairs.groupBy("k1", "k2").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, keep).alias("best")
+    )
+    own = members.join(best, ["k1", "k2"]).select("id", "best")
+    # An id with several vectors asks with each of them.
+    asks = own.groupBy("id").agg(F.array_distinct(F.sort_array(F.flatten(F.collect_list("best")))).alias("best"))
+    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("id")), 1, k)
+    ranked = asks.select(F.col("id").alias("query_id"), F.posexplode(others).alias("at", "x"))
+    return ranked.select(
+        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score")
+    )
+
+
+def _found(rows: DataFrame, is_query: Column, keep: int, plan: AnnPlan, kind: str) -> DataFrame:
+    """k1, k2 of the queries with ids and scores found in each shard, among rows of one length."""
+    spark = rows.sparkSession
     place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("id"))
     # Spark keeps the first ids of a key in every map task, before the shuffle.
     firsts = rows.dropDuplicates(["k1", "k2", "id"]).withColumn("place", place).where(F.col("place") <= keep)
@@ -176,7 +197,6 @@ def nearest(
     graph = _fit(entries, plan)
     sent = spark.sparkContext.broadcast(graph)  # at most max_lists centroids and their edges
     base = staged(map_arrow(entries.select("k1", "k2", "vec", "ids"), _posting(sent, plan, kind), _BASE.format(kind)), "ann-lists")
-    members = rows.where(is_query).select("id", "k1", "k2").distinct()
     asked = rows.where(is_query).groupBy("k1", "k2").agg(F.any_value("vec").alias("vec"))
     routed = map_arrow(asked, _routing(sent, plan, kind), _ROUTED.format(kind))
     # One row per group of lists: at most max_lists / lists_per_group.
@@ -185,20 +205,7 @@ def nearest(
     routed = routed.join(F.broadcast(shards), "grp").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
     placed = base.join(F.broadcast(shards), "grp").withColumn("shard", F.pmod("k1", F.col("shards")).cast("int")).drop("shards")
     found = placed.groupBy("grp", "shard").cogroup(routed.groupBy("grp", "shard"))
-    found = found.applyInArrow(_compare(keep), "k1 long, k2 long, ids array<long>, scores array<double>")
-    pairs = found.select("k1", "k2", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
-    pairs = pairs.groupBy("k1", "k2", F.col("x.ids").alias("id")).agg(F.max("x.scores").alias("score"))
-    best = pairs.groupBy("k1", "k2").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, keep).alias("best")
-    )
-    own = members.join(best, ["k1", "k2"]).select("id", "best")
-    # An id with several vectors asks with each of them.
-    asks = own.groupBy("id").agg(F.array_distinct(F.sort_array(F.flatten(F.collect_list("best")))).alias("best"))
-    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("id")), 1, k)
-    ranked = asks.select(F.col("id").alias("query_id"), F.posexplode(others).alias("at", "x"))
-    return ranked.select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score")
-    )
+    return found.applyInArrow(_compare(keep), "k1 long, k2 long, ids array<long>, scores array<double>")
 
 
 _BASE = "grp int, list int, k1 long, k2 long, ids array<long>, vec {}"

@@ -52,6 +52,19 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert {(r["query_id"], r["rank"]): r["vec_id"] for r in found} == {k: i for k, (i, _) in truth.items()}
 
 
+def test_every_length_has_its_answers(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3 if i % 3 else 5).tolist()) for i in range(60)] + [(0, [1.0, 2.0, 3.0])]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), ann.F.col("id") % 10 == 0).collect()
+    truth = {}
+    for n in (3, 5):  # all but the id that has a vector of each length
+        truth |= exact([r for r in rows if len(r[1]) == n], lambda i: i % 10 == 0 and i)
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in found if r["query_id"]} == {k: i for k, (i, _) in truth.items()}
+    both = [exact([r for r in rows if len(r[1]) == n], lambda i: i == 0).values() for n in (3, 5)]
+    best = sorted((x for own in both for x in own), key=lambda x: -x[1])[:5]
+    assert [r["score"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == 0] == pytest.approx([x for _, x in best])
+
+
 def test_few_or_no_candidates(spark):
     schema = "vec_id long, embedding array<float>"
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], schema)
