@@ -35,7 +35,6 @@ class AnnPlan:
     replica_ratio: float = 1.3  # of the distance to the nearest centroid
     probe_ratio: float = 1.28
     min_probes: int = 8
-    max_probes: int = 1024
     lists_per_group: int = 16
     shard_rows: int = 8192
     degree: int = 24
@@ -72,7 +71,7 @@ class CentroidGraph:
         seen[at, ids] = True
         distances = self._distances(queries, ids)
         done = np.zeros(ids.shape, bool)
-        width = 4 if beam <= 64 else 16
+        width = 4 if beam <= 64 else 16 if beam <= 1024 else 64
         while True:
             order = np.argsort(distances, axis=1, kind="stable")[:, :beam]
             ids, distances, done = (np.take_along_axis(x, order, 1) for x in (ids, distances, done))
@@ -249,7 +248,7 @@ def _routing(sent, plan: AnnPlan, kind: str):
 
     def run(batches):
         for batch in _blocks(batches):
-            lists, _ = sent.value.search(_unit(_matrix(batch.column(2))), plan.max_probes, plan.probe_ratio, plan.min_probes)
+            lists, _ = sent.value.search(_unit(_matrix(batch.column(2))), plan.max_lists, plan.probe_ratio, plan.min_probes)
             row, at = np.nonzero(lists >= 0)
             own = lists[row, at]
             order = np.lexsort((own, row))

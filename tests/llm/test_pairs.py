@@ -88,6 +88,22 @@ def test_graph_search_finds_the_nearest_centroids():
     assert all(len(set(row[row >= 0])) == (row >= 0).sum() >= 8 for row in ids)
 
 
+def test_a_query_asks_all_lists_within_the_ratio():
+    rng = np.random.default_rng(8)
+    centroids, query = ann._unit(rng.normal(size=(3000, 64))), rng.normal(size=64)
+    plan, graph = ann.AnnPlan(), ann.CentroidGraph(centroids, ann.AnnPlan.degree)
+
+    class Sent:
+        value = graph
+
+    kind = ann.pa.list_(ann.pa.float64())
+    batch = ann.pa.RecordBatch.from_arrays([ann.pa.array([1]), ann.pa.array([2]), ann.pa.array([query.tolist()], kind)], names=["k1", "k2", "vec"])
+    asked = [x for part in ann._routing(Sent, plan, "array<double>")([batch]) for own in part.column(3).to_pylist() for x in own]
+    distances = np.linalg.norm(ann._unit(query[None]) - centroids, axis=1)
+    wanted = np.flatnonzero(distances <= plan.probe_ratio * distances.min())
+    assert len(wanted) > 1024 and len(set(asked) & set(wanted.tolist())) >= 0.99 * len(wanted)
+
+
 # --- Jaccard join ----------------------------------------------------------------------------
 
 
