@@ -8,7 +8,7 @@ in double precision.
 
 Equal vectors are one entry with its smallest ids, which loses no answer, so a vector that a third of
 all rows share is one entry. Lists are handled in groups of neighbouring lists; a group with many
-vectors is cut into shards, and a query goes to every shard. The driver holds the sample and the
+vectors is cut into shards, one with many queries into blocks, and every block goes to every shard. The driver holds the sample and the
 centroids, both bounded by parameters.
 """
 
@@ -37,6 +37,7 @@ class AnnPlan:
     min_probes: int = 8
     lists_per_group: int = 16
     shard_rows: int = 8192
+    block_rows: int = 8192  # queries of a group that meet a shard in one task
     degree: int = 24
 
 
@@ -197,16 +198,25 @@ def _found(rows: DataFrame, is_query: Column, keep: int, plan: AnnPlan, kind: st
     sent = spark.sparkContext.broadcast(graph)  # at most max_lists centroids and their edges
     base = staged(map_arrow(entries.select("k1", "k2", "vec", "ids"), _posting(sent, plan, kind), _BASE.format(kind)), "ann-lists")
     asked = rows.where(is_query).groupBy("k1", "k2").agg(F.any_value("vec").alias("vec"))
-    routed = map_arrow(asked, _routing(sent, plan, kind), _ROUTED.format(kind))
-    # One row per group of lists: at most max_lists / lists_per_group.
-    sizes = base.groupBy("grp").count().collect()
-    shards = spark.createDataFrame([(r["grp"], -(-r["count"] // plan.shard_rows)) for r in sizes], "grp int, shards int")
-    routed = routed.join(F.broadcast(shards), "grp").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
-    placed = base.join(F.broadcast(shards), "grp").withColumn("shard", F.pmod("k1", F.col("shards")).cast("int")).drop("shards")
-    found = placed.groupBy("grp", "shard").cogroup(routed.groupBy("grp", "shard"))
+    routed = staged(map_arrow(asked, _routing(sent, plan, kind), _ROUTED.format(kind)), "ann-routed")
+    placed, routed = _cut(base, routed, plan)
+    found = placed.groupBy("grp", "shard", "block").cogroup(routed.groupBy("grp", "shard", "block"))
     return found.applyInArrow(_compare(keep), "k1 long, k2 long, ids array<long>, scores array<double>")
 
 
+def _cut(base: DataFrame, routed: DataFrame, plan: AnnPlan) -> tuple[DataFrame, DataFrame]:
+    """Both sides with shard and block, by which they meet: every query of a group meets every row once, in bounded parts."""
+    # One row per group of lists: at most max_lists / lists_per_group.
+    rows = {r["grp"]: r["count"] for r in base.groupBy("grp").count().collect()}
+    queries = {r["grp"]: r["count"] for r in routed.groupBy("grp").count().collect()}
+    parts = [(g, -(-n // plan.shard_rows), -(-queries[g] // plan.block_rows)) for g, n in rows.items() if g in queries]
+    parts = F.broadcast(base.sparkSession.createDataFrame(parts, "grp int, shards int, blocks int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    placed = base.join(parts, "grp").withColumn("shard", F.pmod("k1", F.col("shards")).cast("int")).withColumn("block", each("blocks"))
+    asking = routed.join(parts, "grp").withColumn("block", F.pmod("k2", F.col("blocks")).cast("int")).withColumn("shard", each("shards"))
+    return placed.drop("shards", "blocks"), asking.drop("shards", "blocks")
+
+
 _BASE = "grp int, list int, k1 long, k2 long, ids array<long>, vec {}"
 _ROUTED = "grp int, k1 long, k2 long, lists array<int>, vec {}"
 

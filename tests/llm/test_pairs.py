@@ -104,6 +104,25 @@ def test_a_query_asks_all_lists_within_the_ratio():
     assert len(wanted) > 1024 and len(set(asked) & set(wanted.tolist())) >= 0.99 * len(wanted)
 
 
+def test_both_sides_of_a_group_are_cut(spark):
+    """Also with a group that has no query, and one that has no row."""
+    rows = spark.range(2000).selectExpr("CAST(id % 3 AS int) AS grp", "xxhash64(id) AS k1", "xxhash64(id, 1) AS k2")
+    asked = spark.range(3000).selectExpr("CAST(1 + id % 3 AS int) AS grp", "xxhash64(id) AS k1", "xxhash64(id, 1) AS k2")
+    placed, routed = ann._cut(rows, asked, ann.AnnPlan(shard_rows=100, block_rows=100))
+    key = ["grp", "shard", "block"]
+    for side in (placed, routed):
+        assert side.groupBy(*key).count().agg({"count": "max"}).first()[0] < 200
+    met = placed.select(*key, ann.F.col("k1").alias("row")).join(routed, key)
+    assert met.count() == met.select("grp", "row", "k1").distinct().count() == 666 * 1000 + 667 * 1000
+
+
+def test_cut_groups_give_the_same_answers(spark):
+    rng = np.random.default_rng(9)
+    frame = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    whole, cut = (sorted(ann.nearest(frame, ann.F.col("id") % 3 == 0, plan=p).collect()) for p in (ann.AnnPlan(), ann.AnnPlan(shard_rows=50, block_rows=10)))
+    assert cut == whole and len(cut) == 500
+
+
 # --- Jaccard join ----------------------------------------------------------------------------
 
 
