@@ -1,6 +1,6 @@
-"""Approximate nearest neighbours by balanced posting lists.
+"""Approximate nearest neighbours by posting lists, balanced as far as the sample shows.
 
-Centroids come from a balanced k-means over a bounded sample. Every vector goes to the lists of its
+Centroids come from a balanced k-means over a bounded sample; lists of a tight cluster can be far longer than others. Every vector goes to the lists of its
 nearest centroids, up to `replicas` of them, as long as their distance is within a ratio of the nearest:
 vectors at a boundary are in several lists. A query searches the graph of centroids, keeps the lists
 within another ratio of its nearest centroid, and compares itself with all vectors in them, exactly and
