@@ -81,45 +81,57 @@ class Automaton:
 
 
 class Codec:
-    """encode(text) -> int32 array, decode(ids) -> text."""
+    """encode(text) -> int32 array, decode(ids) -> text.
 
-    def __init__(self, table: PieceTable):
-        self.table = table
+    An exact codec writes a literal U+2581 as its bytes' pieces, so it differs from a space; else it becomes one.
+    """
+
+    def __init__(self, table: PieceTable, exact: bool = False):
+        self.table, self.exact = table, exact
         self.automaton = Automaton(table.ids, table.scores)
         self.unknown = min(table.scores.values()) - UNKNOWN_PENALTY
         self.units = split_units(table)
         self.memo = UnitMemo(self._unit, limit=300_000)
         byte_of = {number: bytes([b]) for b, number in enumerate(table.byte_ids)}
         self.spelled = [
-            byte_of.get(i, piece.encode("utf-8") if piece in table.ids else b"") for i, piece in enumerate(table.pieces)
+            byte_of.get(i, piece.replace(SPACE_MARK, " ").encode("utf-8") if piece in table.ids else b"") for i, piece in enumerate(table.pieces)
         ]
+        self.mark = np.array([table.byte_ids[b] for b in SPACE_MARK.encode("utf-8")], np.int32).tobytes()
 
     def _unit(self, unit: str) -> bytes:
         numbers = []
         for start, _, number in self.automaton.segment(unit, self.unknown):
             if number < 0:
-                numbers += [self.table.byte_ids[b] for b in unit[start].encode("utf-8")]
+                char = " " if self.exact and unit[start] == SPACE_MARK else unit[start]  # a vocabulary without the mark
+                numbers += [self.table.byte_ids[b] for b in char.encode("utf-8")]
             else:
                 numbers.append(number)
         return np.array(numbers, dtype=np.int32).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.units(prepared(text)))), dtype=np.int32)
+        if self.exact and SPACE_MARK in text:
+            first, *rest = text.split(SPACE_MARK)
+            parts = [prepared(first) or SPACE_MARK, *(part.replace(" ", SPACE_MARK) for part in rest)]
+            return np.frombuffer(self.mark.join(map(self._pieces, parts)), dtype=np.int32)
+        return np.frombuffer(self._pieces(prepared(text)), dtype=np.int32)
+
+    def _pieces(self, whole: str) -> bytes:
+        return b"".join(map(self.memo.__getitem__, self.units(whole)))
 
     def decode(self, ids) -> str:
         """The text again; control pieces spell nothing, bytes that are no UTF-8 become U+FFFD."""
         numbers = ids.tolist() if isinstance(ids, np.ndarray) else ids
         text = b"".join(map(self.spelled.__getitem__, numbers)).decode("utf-8", "replace")
-        return text.replace(SPACE_MARK, " ")[1:]
+        return (text if self.exact else text.replace(SPACE_MARK, " "))[1:]
 
 
-_CODECS: dict[str, Codec] = {}  # one per Python worker and vocabulary
+_CODECS: dict[tuple[str, bool], Codec] = {}  # one per Python worker, vocabulary and kind
 
 
-def _codec(vocabulary: str, table) -> Codec:
-    if vocabulary not in _CODECS:
-        _CODECS[vocabulary] = Codec(table.value)
-    return _CODECS[vocabulary]
+def _codec(vocabulary: str, table, exact: bool) -> Codec:
+    if (vocabulary, exact) not in _CODECS:
+        _CODECS[vocabulary, exact] = Codec(table.value, exact)
+    return _CODECS[vocabulary, exact]
 
 
 _ENCODED = [
@@ -130,22 +142,22 @@ _ENCODED = [
 ]
 
 
-def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text") -> DataFrame:
+def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text", exact: bool = False) -> DataFrame:
     """doc_id, n_tokens, token_ids, and round_trip: whether decoding the ids gives the text again.
 
-    A text that itself holds U+2581 decodes to spaces there, as the vocabulary cannot tell them apart;
-    round_trip compares with that. Null and empty texts have no tokens; a null id stays null; repeated
+    With `exact` a literal U+2581 is kept, as bytes, and round_trip compares with the text itself. Without,
+    it decodes to a space and round_trip compares with that. `decode` needs the same choice. Null and empty texts have no tokens; a null id stays null; repeated
     rows are encoded each; an empty table gives no rows; other columns are not read. Whole texts of any
     length are encoded; rows need no shuffle.
     """
     table = df.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))  # as large as the vocabulary
 
     def run(batches):
-        codec = _codec(vocabulary, table)
+        codec = _codec(vocabulary, table, exact)
         for batch in (part for whole in batches for part in slices(whole, 1)):
             texts = texts_of(batch.column(1))
             ids = [codec.encode(text) for text in texts]
-            same = [codec.decode(x) == t.replace(SPACE_MARK, " ") for x, t in zip(ids, texts, strict=True)]
+            same = [codec.decode(x) == (t if exact else t.replace(SPACE_MARK, " ")) for x, t in zip(ids, texts, strict=True)]
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = list_array(flat, map(len, ids), pa.int32())
             yield record_batch(_ENCODED, batch.column(0), [len(x) for x in ids], lists, same)
@@ -155,12 +167,12 @@ def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text") ->
     return map_arrow(chosen, run, "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
-def decode(df: DataFrame, vocabulary: str, id_col="doc_id", ids_col="token_ids") -> DataFrame:
+def decode(df: DataFrame, vocabulary: str, id_col="doc_id", ids_col="token_ids", exact: bool = False) -> DataFrame:
     """doc_id and text of rows of token ids; null ids give an empty text. Ids outside the vocabulary raise."""
     table = df.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))
 
     def run(batches):
-        codec = _codec(vocabulary, table)
+        codec = _codec(vocabulary, table, exact)
         for batch in batches:
             texts = [codec.decode(x or []) for x in batch.column(1).to_pylist()]
             yield record_batch([("doc_id", pa.int64()), ("text", pa.string())], batch.column(0), texts)

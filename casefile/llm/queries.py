@@ -31,7 +31,7 @@ def op3_toxicity(spark, sf_dir):
 
 def op4_piece_codec(spark, sf_dir):
     """Every whole document as piece ids, and whether they decode to the text again."""
-    return piece_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return piece_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), exact=True)
 
 
 def language_model(documents):

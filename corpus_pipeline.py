@@ -54,7 +54,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts as piece ids, with a check that they decode to the texts again."""
-    return piece_codec.encode(docs, public_tokenizers.path(PIECES))
+    return piece_codec.encode(docs, public_tokenizers.path(PIECES), exact=True)
 
 
 STAGES = [

@@ -97,6 +97,22 @@ def test_round_trip(table):
         assert codec.decode(codec.encode(text)) == text.replace("▁", " ")
 
 
+def test_exact_round_trip(spark, table):
+    import corpus_pipeline
+
+    codec, plain = piece_codec.Codec(table, exact=True), piece_codec.Codec(table)
+    texts = [*random_texts(1000, 60, 5), "▁", "▁ ▁", "a▁b", " ▁", "▁▁a", ""]
+    for text in texts:
+        assert codec.decode(codec.encode(text)) == text
+        if "▁" not in text:
+            assert codec.encode(text).tolist() == plain.encode(text).tolist()
+    documents = odd_documents(spark).select("doc_id", "text")
+    encoded = corpus_pipeline.pieces(spark, documents, SF_DIR)
+    assert all(r["round_trip"] for r in encoded.collect())
+    again = piece_codec.decode(encoded, PATH, exact=True).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in again) == sorted((str(r["doc_id"]), r["text"] or "") for r in documents.collect())
+
+
 def test_encode_and_decode_tables(spark):
     documents = odd_documents(spark)
     encoded = piece_codec.encode(documents, PATH)
