@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, ordinal, piece_codec
+from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, ordinal, piece_codec, spelling
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -79,4 +79,9 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts)}
+def op13_spelling(spark, sf_dir):
+    """Every repeated word of seven letters or more with its neighbours one edit away, its form and the last of its forms."""
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts, op13_spelling)}
