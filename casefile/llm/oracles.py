@@ -61,3 +61,25 @@ FROM documents d JOIN class k ON k.a = d.doc_id JOIN texts own ON own.doc_id = d
 LEFT JOIN links l ON l.a = d.doc_id LEFT JOIN texts t ON t.doc_id = l.b
 GROUP BY 1, 2
 """
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH rows_ AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, a.label = b.label AS same, b.rid AS item, b.vec_id,
+    CAST(list_inner_product(a.vec, b.vec) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.rid <> b.rid AND len(a.vec) = len(b.vec) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT rid, item AS p_item, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id, item) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM scored JOIN positives USING (rid)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY rid, p_item ORDER BY score DESC, vec_id, item)
+QUALIFY row_number() OVER w <= 10
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, ordinal, piece_codec, spelling
+from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, negatives, ordinal, piece_codec, spelling
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -79,9 +79,15 @@ def op10_token_counts(spark, sf_dir):
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), limit=4096)
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Of every hundredth row the five best of its label, with ten hard negatives each; every seventh row has a wrong label."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=wrong)
+
+
 def op13_spelling(spark, sf_dir):
     """Every repeated word of seven letters or more with its neighbours one edit away, its form and the last of its forms."""
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts, op13_spelling)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts, op11_hard_negatives, op13_spelling)}
