@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, negatives, ordinal, piece_codec, spelling
+from casefile.llm import ann, bpe_count, chat, decision_list, jaccard, langid, line_runs, mixing, negatives, ngram_filter, ordinal, piece_codec, spelling
 from casefile.llm.common import read
 
 PIECES = "piece_bpe_32k.model"
@@ -85,9 +85,17 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=wrong)
 
 
+def op12_lm_score(spark, sf_dir):
+    """Log probability of every whole document, from a model that has not seen the held-out ones."""
+    documents = read(spark, sf_dir, "documents")
+    held_out = ngram_filter.held_out(F.col("doc_id"))
+    model = ngram_filter.fit(documents.where(~held_out))
+    return ngram_filter.score(documents, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_spelling(spark, sf_dir):
     """Every repeated word of seven letters or more with its neighbours one edit away, its form and the last of its forms."""
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts, op11_hard_negatives, op13_spelling)}
+QUERIES = {f.__name__: f for f in (op1_ann, op2_quality_rules, op3_toxicity, op4_piece_codec, op5_language_id, op6_source_mix, op7_chat_format, op8_jaccard_join, op9_line_dedup, op10_token_counts, op11_hard_negatives, op12_lm_score, op13_spelling)}
