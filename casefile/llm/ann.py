@@ -148,6 +148,13 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by a power of two that brings its largest component near 1: the cosine is the same to the last bit,
+    and squares of very large or small components neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def nearest(
     df: DataFrame, is_query: Column, k: int = 5, plan: AnnPlan = AnnPlan(), id_col="vec_id", vec_col="embedding"
 ) -> DataFrame:
@@ -284,13 +291,13 @@ def _compare(keep: int):
         k2 = base["k2"].to_numpy()
         _, first, entry = np.unique(np.stack([k1, k2], 1), axis=0, return_index=True, return_inverse=True)
         entry = entry.reshape(-1)
-        vectors = _matrix(base["vec"].chunk(0))[first]
+        vectors = _scaled(_matrix(base["vec"].chunk(0))[first])
         ids = [base["ids"][int(i)].as_py() for i in first]
         lists, local = np.unique(base["list"].to_numpy(), return_inverse=True)
         held = np.zeros((len(lists), len(first)), bool)  # list x entry
         held[local.reshape(-1), entry] = True
         norms = np.linalg.norm(vectors, axis=1)
-        queries = _matrix(asked["vec"].chunk(0))
+        queries = _scaled(_matrix(asked["vec"].chunk(0)))
         probes = asked["lists"].to_pylist()
         out: list[tuple] = []
         for start in range(0, len(queries), 256):

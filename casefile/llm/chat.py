@@ -104,8 +104,10 @@ class PrefixRenderer:
 
     def add(self, role: str, text: str) -> Turn:
         if self.restarts and len(self.messages) > self.window:
-            whole, self.messages = self.length, self.messages[-1:]
+            whole, joined, self.messages = self.length, self.output, self.messages[-1:]
             self.output = self.template(self.messages)
+            if not joined.endswith(self.output):
+                raise ValueError("the template is declared turn by turn, but a turn's output depends on earlier ones")
             self.before = whole - len(self.output)
         self.messages.append((role, text))
         longer = self.template(self.messages)
@@ -174,7 +176,7 @@ def format_turns(
 
     Offsets are code points of the output up to and with the turn, which is the start of the whole conversation's
     output unless a later turn rewrites history; loss_start and loss_end bound the escaped
-    text of a trained role and are null for others. Null ids are one conversation; null roles and texts are
+    text of a trained role and are null for others; a span that the template cannot read back has a null role. Null ids are one conversation; null roles and texts are
     empty; a null turn comes first; repeated rows are turns each; an empty table gives no rows; other
     columns are not read.
     """
@@ -204,7 +206,7 @@ def format_turns(
 
 _DIGEST_SCHEMA = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
-    "n_rewrites long"
+    "n_rewrites long, unreadable_turns long"
 )
 _DIGESTS = [
     ("conv_id", pa.int64()),
@@ -214,6 +216,7 @@ _DIGESTS = [
     ("loss_sha256", pa.string()),
     ("formatted_chars", pa.int64()),
     ("n_rewrites", pa.int64()),
+    ("unreadable_turns", pa.int64()),
 ]
 
 
@@ -232,7 +235,9 @@ def conversation_digests(
     turns_sha256 is over role, line break, text, line break of every turn; loss_sha256 over the unescaped
     text under the loss mask. A digest is sequential by definition, so a conversation's turns pass through
     one task, as a stream that keeps the digests and what rendering needs. `formatted_chars` is the length of
-    the whole output. Edge cases as in `format_turns`.
+    the whole output. `unreadable_turns` counts turns whose span the template cannot read back; what such a
+    conversation holds is not known, so its digests and loss_chars are null. A template declared turn by turn
+    whose turns depend on earlier ones raises. Other edge cases as in `format_turns`.
     """
     template = template or InstTemplate()
 
@@ -242,9 +247,10 @@ def conversation_digests(
             if conv != current:
                 if state:
                     rows.append(_finish(current, state))
-                current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, PrefixRenderer(template, window)]
+                current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, PrefixRenderer(template, window), 0]
             done = state[6].add(role, text)
             state[0] += 1
+            state[7] += done.role is None
             state[1].update(f"{done.role}\n{done.text}\n".encode())
             if done.role in trained:
                 state[2] += len(done.text)
@@ -263,5 +269,7 @@ def conversation_digests(
 
 
 def _finish(conv, state) -> tuple:
-    n, turns, chars, loss, formatted, rewrites, _ = state
-    return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted, rewrites
+    n, turns, chars, loss, formatted, rewrites, _, unreadable = state
+    if unreadable:
+        return conv, n, None, None, None, formatted, rewrites, unreadable
+    return conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted, rewrites, 0

@@ -47,6 +47,13 @@ _STARTS = [low for low, _, _ in _RANGES]
 WORDS = re.compile(r"[^\W\d_]+")  # runs of letters
 
 
+def _lettered(words: list[str]) -> list[str]:
+    """The words, or none if no letter is among them: number signs such as one half pass for letters in a pattern."""
+    if any(map(str.isalpha, words)) or any(char.isalpha() for word in words for char in word):
+        return words
+    return []
+
+
 def script_of(word: str) -> str:
     """Script of the word's first letter that is in a range; "other" if none is."""
     for char in word:
@@ -203,7 +210,7 @@ def predict(
 
     `spans` are maximal runs of words (runs of letters) in one language; `lang_pred` has most words, ties to
     the language that sorts first; `score` is its share of the words. Words in a script of no learned language
-    are in a span but vote for none: they only lower the score, to 0 if there are no others. Null texts and texts without a letter
+    are in a span but vote for none: they only lower the score, to 0 if there are no others. Null texts and texts without a letter (Unicode category L)
     are "und" with score 0 and no span; so is every text for a model without languages. Whole texts of any
     length are labelled; a null id stays null; repeated rows are labelled each; an empty table gives no
     rows; other columns are not read. Rows need no shuffle. Carried names must not be those above.
@@ -215,7 +222,7 @@ def predict(
         word_rows = _WordRows(known)
         n_languages = max(len(known.languages), 1)
         for batch in (part for whole in batches for part in slices(whole, 1)):
-            words = [WORDS.findall(text.lower()) for text in texts_of(batch.column(1))]
+            words = [_lettered(WORDS.findall(text.lower())) for text in texts_of(batch.column(1))]
             if not known.languages:
                 words = [[] for _ in words]
             lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -261,8 +268,8 @@ def fit(
     last = first.groupBy("lang").agg(F.max("place").alias("last")).collect()
     picks = small(spark.createDataFrame(last, "lang string, last long"), len(last))
     sample = rows.join(picks, "lang").where("place <= last")
-    sample = sample.dropDuplicates(["lang", "place"]).select("lang", "text")
-    sample = sample.repartition(16, F.xxhash64("text"))
+    # dealt by place, so that texts with very many copies spread
+    sample = sample.dropDuplicates(["lang", "place"]).repartition(16, "place").select("lang", "text")
 
     def count(batches):
         words: dict[str, Counter] = {}

@@ -193,7 +193,9 @@ def dedup_lines(
     going = hashes.join(runs.frequent(), ["h1", "h2"]).select(
         "d1", "d2", F.unhex(F.concat(_hex("h1"), _hex("h2"))).alias("h")
     )
-    going = going.groupBy("d1", "d2").agg(F.collect_set("h").alias("gone"))
+    # Written before it meets the texts: a join in the stage of its grouping could not be split by Spark, and
+    # the rows of a text with very many copies would meet in one task.
+    going = staged(going.groupBy("d1", "d2").agg(F.collect_set("h").alias("gone")), "line-going")
     ids, texts = F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     marked_schema = carried_schema("doc_id long, text string, d1 long, d2 long", df, carry)
     marked = map_arrow(df.select(ids, texts, *carry), _digest_rows, marked_schema)

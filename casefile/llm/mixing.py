@@ -132,9 +132,9 @@ def mix(
 
     `parts` lists what is taken: (first word, words, times) in order, empty if nothing is. `taken` is
     words x times, at most `repeats` x size. Null and empty texts have size 0 and give nothing. A null
-    source is a source of its own, the last; null ids share a shard of their source. Repeated rows are
-    documents each; which of them gives more is open, as they are equal. The order in a shard is by a
-    seeded hash of the id, so reruns agree. An empty table gives no rows; other columns are not read.
+    source is a source of its own, the last. Repeated rows are documents each; which of them gives more is
+    open, as they are equal. Shards, and the order in one, are by a seeded hash of id and text, so reruns
+    agree and rows that share an id, or have none, are many groups. An empty table gives no rows; other columns are not read.
     """
     spark = df.sparkSession
     text = F.col(text_col).cast("string")
@@ -143,6 +143,7 @@ def mix(
         F.col(source_col).cast("string").alias("source"),
         text.alias("text"),
         F.size(word_array(text)).cast("long").alias("size"),
+        *_text_hashes(text),
         *carry,
     )
     return _mixed(spark, rows, plan, carry)
@@ -154,22 +155,28 @@ def mix_sizes(df: DataFrame, plan: MixPlan = MixPlan(), id_col="doc_id", text_co
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.size(word_array(F.col(text_col).cast("string"))).cast("long").alias("size"),
+        *_text_hashes(F.col(text_col).cast("string")),
     )
     return _mixed(df.sparkSession, staged(sizes, "mix-sizes"), plan).drop("parts")
 
 
+def _text_hashes(text) -> list:
+    """128 bits that tell the rows of one id apart."""
+    return [F.xxhash64(text).alias("t1_"), F.xxhash64(F.lit(1), text).alias("t2_")]
+
+
 def _mixed(spark, rows: DataFrame, plan: MixPlan, carry: tuple[str, ...] = ()) -> DataFrame:
     totals = rows.groupBy("source").agg(F.sum("size").alias("words")).collect()  # one row per source
     all_words = max(sum(r["words"] for r in totals), 1)
     per_shard = max(plan.shard_words, all_words / plan.max_shards)
     counts = [(r["source"], max(1, math.ceil(r["words"] / per_shard))) for r in totals]
     shards = spark.createDataFrame(counts, "s_source string, n_shards int")
-    order = F.xxhash64("doc_id", F.lit(plan.seed))
+    order = F.xxhash64("doc_id", "t1_", F.lit(plan.seed))
     placed = rows.join(small(shards, len(counts)), F.col("source").eqNullSafe(F.col("s_source")))
     placed = placed.withColumn("shard", F.pmod(order, F.col("n_shards")).cast("int")).drop("s_source", "n_shards")
     shard_sizes = placed.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()
     planned = spark.createDataFrame(plan_mix([tuple(r) for r in shard_sizes], plan), _PLAN)
-    in_shard = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size")
+    in_shard = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size", "t1_", "t2_")
     ended = placed.withColumn("place", F.xxhash64(order)).withColumn(
         "ends", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )

@@ -37,7 +37,7 @@ class LmPlan:
     order: int = 2
     base: float = 1.5  # of the quantising logarithm
     hashes: int = 5  # bits of an item
-    mass: float = 4.0  # of the shorter context's probability
+    mass: float = 16.0  # of the shorter context's probability
     broadcast_bytes: int = 128 << 20
     frequent: int = 1 << 17  # words whose counts every worker gets
     frequent_bytes: int = 64  # of such a word at most

@@ -121,7 +121,7 @@ def fit(
     """Fit on at most `fit_rows` labelled documents, those whose hashed id comes first.
 
     Labels are 0 (clean) or 1 (toxic), several for a document count as the highest; rows with a null id
-    or label are not used. Toxic texts are graded by the rate of their most frequent telling feature, in
+    or label are not used. Of several texts of one id the one with the smallest hash is used. Toxic texts are graded by the rate of their most frequent telling feature, in
     equal parts; those without any are grade 1. Features are chosen by chi-squared over contexts:
     occurrences after the same word count once in a class, so that many copies of one text do not make its
     words telling. The driver holds the sample's entries in the `max_features` chosen features. Without
@@ -131,7 +131,9 @@ def fit(
     known = known.agg((F.max(label_col) > 0).cast("int").alias("toxic"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sampled = texts.join(F.broadcast(sample), "id").dropDuplicates(["id"]).repartition(16, "id")
+    place = F.struct(F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"), "text")
+    one = texts.join(F.broadcast(sample), "id").groupBy("id", "toxic").agg(F.min(place)["text"].alias("text"))
+    sampled = one.repartition(16, "id")
     sampled = staged(sampled.select("id", "toxic", "text"), "toxic-sample")
 
     def contexts(batches):

@@ -96,6 +96,9 @@ class Codec:
         self.spelled = [
             byte_of.get(i, piece.replace(SPACE_MARK, " ").encode("utf-8") if piece in table.ids else b"") for i, piece in enumerate(table.pieces)
         ]
+        # the space that encoding puts in front: of pieces that begin with the mark, or as bytes if there is no such piece
+        self.leads = [piece.startswith(SPACE_MARK) for piece in table.pieces]
+        self.no_mark = SPACE_MARK not in table.ids
         self.mark = np.array([table.byte_ids[b] for b in SPACE_MARK.encode("utf-8")], np.int32).tobytes()
 
     def _unit(self, unit: str) -> bytes:
@@ -119,10 +122,16 @@ class Codec:
         return b"".join(map(self.memo.__getitem__, self.units(whole)))
 
     def decode(self, ids) -> str:
-        """The text again; control pieces spell nothing, bytes that are no UTF-8 become U+FFFD."""
+        """The text of any ids; control pieces spell nothing, bytes that are no UTF-8 become U+FFFD.
+
+        A space goes only where the first piece that spells anything begins with it, as the library has it.
+        """
         numbers = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        first = next((i for i in numbers if self.spelled[i]), None)
         text = b"".join(map(self.spelled.__getitem__, numbers)).decode("utf-8", "replace")
-        return (text if self.exact else text.replace(SPACE_MARK, " "))[1:]
+        text = text if self.exact else text.replace(SPACE_MARK, " ")
+        put = first is not None and (self.leads[first] or self.no_mark)
+        return text[1:] if put and text.startswith(" ") else text
 
 
 _CODECS: dict[tuple[str, bool], Codec] = {}  # one per Python worker, vocabulary and kind
@@ -168,7 +177,10 @@ def encode(df: DataFrame, vocabulary: str, id_col="doc_id", text_col="text", exa
 
 
 def decode(df: DataFrame, vocabulary: str, id_col="doc_id", ids_col="token_ids", exact: bool = False) -> DataFrame:
-    """doc_id and text of rows of token ids; null ids give an empty text. Ids outside the vocabulary raise."""
+    """doc_id and text of rows of token ids; null ids give an empty text. Ids outside the vocabulary raise.
+
+    Any ids decode, as the library does it: also a slice of a text's, or another encoder's.
+    """
     table = df.sparkSession.sparkContext.broadcast(load_pieces(vocabulary))
 
     def run(batches):

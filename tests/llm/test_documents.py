@@ -110,6 +110,37 @@ def test_severity_of_odd_rows(spark):
     assert ordinal.severity(empty(documents), nothing).collect() == []
 
 
+def test_severity_fit_does_not_depend_on_the_order_of_rows(spark):
+    """Several texts of one id."""
+    rng = np.random.default_rng(2)
+    bad, good = [f"vile{i}" for i in range(40)], [f"kind{i}" for i in range(40)]
+    rows = [(i % 30, " ".join(rng.choice([bad, good][rng.random() < (0.5 if i % 2 else 0.98)]) for _ in range(30))) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [ordinal.fit(part, labels, least_contexts=2) for part in (frame, frame.orderBy("text"), frame.orderBy(ordinal.F.desc("text")))]
+    assert len(models[0].weights) and all(m.index == models[0].index for m in models)
+    assert all(np.array_equal(m.weights, models[0].weights) and np.array_equal(m.thresholds, models[0].thresholds) for m in models)
+
+
+def test_severity_by_hand(spark):
+    """Expected grade: the sum over thresholds of the chance to be above, from rates and presence of the features."""
+    model = ordinal.OrdinalModel({"vile": 0, "^awf": 1}, np.array([1.5, 0.5, 2.0, -1.0]), np.array([0.5, 1.0, 2.5]))
+    log2 = np.log2
+    scores = {
+        "vile tea": 1.5 * log2(2) + 2.0 * log2(1 + 200 / 2),
+        "awful awfully Vile": 1.5 * log2(2) + 0.5 * log2(3) + 2.0 * log2(1 + 200 / 3) - log2(1 + 2 * 200 / 3),
+        "calm tea": 0.0,
+        "": 0.0,
+    }
+    frame = spark.createDataFrame(list(enumerate(scores)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in ordinal.severity(frame, model).collect()}
+    for i, score in enumerate(scores.values()):
+        above = [1 / (1 + np.exp(t - score)) for t in (0.5, 1.0, 2.5)]
+        chances = np.array([1 - above[0], above[0] - above[1], above[1] - above[2], above[2]])
+        assert found[i]["severity"] == pytest.approx(sum(g * p for g, p in enumerate(chances)))
+        assert found[i]["p_toxic"] == pytest.approx(above[0]) and found[i]["grade"] == chances.argmax()
+
+
 def test_ordinal_fit_orders_grades_and_shares_weights():
     rng = np.random.default_rng(1)
     x = rng.normal(size=400)
@@ -211,6 +242,12 @@ def test_language_of_odd_rows(spark, model):
 # --- mixing ----------------------------------------------------------------------------------
 
 
+def test_number_signs_are_no_letters(spark, model):
+    texts = ["½ ① ² Ⅷ", "12 ½", "½ the", "٣"]
+    rows = langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in rows} == {0: True, 1: True, 2: False, 3: True}
+
+
 def test_sainte_lague_equals_one_seat_at_a_time():
     rng = np.random.default_rng(5)
     for _ in range(200):
@@ -251,6 +288,19 @@ def test_mix_comes_near_its_targets_and_repeats_itself(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
+def test_mix_of_one_id_repeats_itself(spark):
+    """Rows of one id and one size, or of none, in any order; they are not one shard."""
+    rows = [(key, "s", " ".join(f"{chr(97 + i % 26)}{i:03}" for _ in range(40))) for i in range(60) for key in (1, None)]
+    frame, plan = spark.createDataFrame(rows, "doc_id long, source string, text string"), mixing.MixPlan(block_words=7, shard_words=300)
+    results = [
+        sorted((str(r["doc_id"]), r["text"], r["taken"], str(r["parts"])) for r in mixing.mix(part, plan).collect())
+        for part in (frame, frame.repartition(5), frame.orderBy("text"))
+    ]
+    assert results[0] == results[1] == results[2] and len(results[0]) == 120
+    sizes = [sorted(map(tuple, mixing.mix_sizes(part, plan).collect()), key=str) for part in (frame, frame.orderBy("text"))]
+    assert sizes[0] == sizes[1]
+
+
 def test_texts_hold_exactly_the_words_taken(spark):
     documents = read(spark, SF_DIR, "documents")
     mixed = mixing.mix(documents).cache()

@@ -37,8 +37,8 @@ def test_recall_on_the_given_vectors(spark):
     found = op1_ann(spark, "/root/testdata/sf0.1").collect()
     pairs = {(q, i) for (q, _), (i, _) in truth.items()}
     assert len({(r["query_id"], r["vec_id"]) for r in found} & pairs) >= 0.95 * len(pairs)
-    score = {(q, i): s for (q, _), (i, s) in truth.items()}
-    assert all(abs(r["score"] - score.get((r["query_id"], r["vec_id"]), r["score"])) < 1e-12 for r in found)
+    vectors = {i: np.array(v, float) / np.linalg.norm(v) for i, v in rows}
+    assert all(abs(r["score"] - vectors[r["query_id"]] @ vectors[r["vec_id"]]) < 1e-12 for r in found)
 
 
 def test_copies_ties_and_unusable_vectors(spark):
@@ -75,6 +75,15 @@ def test_few_or_no_candidates(spark):
     assert ann.nearest(empty(two), ann.F.col("id") == 0).collect() == []
 
 
+def test_components_that_are_tiny_or_huge(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=6) * 10.0 ** [0, 200, -200, -310][i % 4]).tolist()) for i in range(60)]
+    found = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), ann.F.col("id") % 5 == 0).collect()
+    truth = exact([(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in rows], lambda i: i % 5 == 0)
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in found} == {k: i for k, (i, _) in truth.items()}
+    assert all(r["score"] == pytest.approx(truth[r["query_id"], r["rank"]][1], abs=1e-9) for r in found)
+
+
 def test_graph_search_finds_the_nearest_centroids():
     rng = np.random.default_rng(2)
     centroids = rng.normal(size=(600, 16))
@@ -353,6 +362,34 @@ def test_query_has_the_tricky_conversation(spark):
     assert row["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
 
 
+def test_unreadable_turns_are_counted_not_hashed(spark):
+    class Local(chat.InstTemplate):
+        def __call__(self, messages):
+            return "".join(self.turn(r, t) for r, t in messages[-2:])
+
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(6)] + [(2, 0, "user", "a"), (2, 1, "assistant", "b")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = {r["conv_id"]: r for r in chat.conversation_digests(frame, Local()).collect()}
+    expected = digest_rows(rows)
+    assert found[1]["unreadable_turns"] > 0 and found[1]["n_turns"] == 6
+    assert found[1]["turns_sha256"] is found[1]["loss_sha256"] is found[1]["loss_chars"] is None
+    assert tuple(found[2][1:5]) == expected[2] and found[2]["unreadable_turns"] == 0
+    turns = chat.format_turns(frame, Local()).where("conv_id = 1").collect()
+    assert sum(r["role"] is None for r in turns) == found[1]["unreadable_turns"]
+
+
+def test_a_wrong_declaration_raises():
+    class Declared(chat.InstTemplate):
+        @chat.turn_by_turn
+        def __call__(self, messages):
+            return "".join(self.turn(f"{i} {r}", t) for i, (r, t) in enumerate(messages))
+
+    renderer = chat.PrefixRenderer(Declared(), window=5)
+    with pytest.raises(ValueError, match="declared turn by turn"):
+        for i in range(8):
+            renderer.add("user", f"t{i}")
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 
