@@ -4,9 +4,10 @@
    range that hold about as many n-grams each, whatever the corpus.
 2. A count c is quantised to the level 1 + floor(log c / log base). An n-gram of level q enters the filter
    as the q items (n-gram, 1) to (n-gram, q). To look it up is to probe for one level after the other until
-   one is absent: the levels present tell the count. A false positive raises it by one level with the chance
-   of 2**-hashes, by two with the square of that. A segment has bits in proportion to its items, so this
-   chance is the same at every size.
+   one is absent: the levels present tell the count. All bits of an item lie in one word of 64 bits, so a
+   probe is one look-up. A false positive raises a count by one level with a chance of 3 to 4 in a hundred,
+   by two with the square of that. A segment has bits in proportion to its items, so this chance is the same
+   at every size.
 3. A filter of up to `broadcast_bytes`, by the segments' sizes, is sent to every worker. A larger one stays
    in its segments: texts are dealt into chunks, a chunk's n-grams go to their segments, and the levels found
    go back to the chunk. Both ways probe the same bits, so the scores do not depend on the way.
@@ -20,8 +21,10 @@ by a parameter, are sent to the workers; a text's other words meet their counts
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,14 @@ from casefile.llm.common import bytes_of, map_arrow, record_batch, slices, stage
 class LmPlan:
     order: int = 2
     base: float = 1.5  # of the quantising logarithm
-    hashes: int = 5  # bits of an item
+    item_bits: int = 8  # of the filter for each item
+    hashes: int = 4  # of them that an item sets; 5 at most
     mass: float = 16.0  # of the shorter context's probability
     broadcast_bytes: int = 128 << 20
     frequent: int = 1 << 17  # words whose counts every worker gets
     frequent_bytes: int = 64  # of such a word at most
     segment_grams: int = 1 << 21  # occurrences of n-grams in a segment
+    gram_bytes: int = 6 << 20  # of text whose n-grams a worker counts at once
     chunk_bytes: int = 8 << 20  # of text, where the filter is too large to send
 
 
@@ -86,22 +91,28 @@ class Grams:
         self.tokens = np.concatenate(owned) if owned else np.zeros(0, np.int32)
         self.lengths = np.array(lengths, np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.doc = np.repeat(np.arange(len(texts)), self.lengths)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.lengths)
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
-        self.place = np.arange(len(self.tokens)) - self.starts[self.doc]  # in the text
+        self.first = np.zeros(len(self.tokens), bool)  # of its text
+        self.first[self.starts] = True
         own = hashes[self.tokens]
         begun = _scramble(np.full(1, _BEGIN))[0]
-        self.keys = [_scramble(own)]  # of n-grams of 1, 2, … ending at each token
+        self.word_keys = _scramble(hashes)
+        self.keys = [self.word_keys[self.tokens]]  # of n-grams of 1, 2, … ending at each token
         before = begun  # of n - 1 marks of the beginning
         for _ in range(1, order):
             left = np.concatenate([[before], self.keys[-1][:-1]]) if len(own) else self.keys[-1]
-            left = np.where(self.place == 0, before, left)
+            left = np.where(self.first, before, left)
             self.keys.append(_scramble(left * _STEP + own))
             before = _scramble(np.array([before * _STEP + _BEGIN]))[0]
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct keys of all orders, and how often each is met."""
-        return np.unique(np.concatenate(self.keys), return_counts=True)
+        found = [(self.word_keys, np.bincount(self.tokens, minlength=len(self.words)))]
+        found += [np.unique(keys, return_counts=True) for keys in self.keys[1:]]
+        keys, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(keys)
+        return keys[order], counts[order]
 
 
 np.seterr(over="ignore")  # hashes wrap around
@@ -131,35 +142,37 @@ def expected_counts(base: float) -> np.ndarray:
     return np.concatenate([[0.0], (edges[:-1] + np.maximum(edges[1:] - 1, edges[:-1])) / 2, [float(edges[-1])]])
 
 
-def _item_hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """First position and step of the items (key, level); the i-th bit is at first + i step + (i^3 - i) / 6."""
+def _items(keys: np.ndarray, level: int, hashes: int, n_words) -> tuple[np.ndarray, np.ndarray]:
+    """The word of the items (key, level) in a segment, and their bits in it."""
     mixed = _scramble(keys + np.uint64(level) * _BEGIN)
-    return mixed >> np.uint64(32), mixed & np.uint64(0xFFFFFFFF) | np.uint64(1)
+    mask = np.zeros(len(keys), np.uint64)
+    for i in range(hashes):
+        mask |= np.uint64(1) << ((mixed >> np.uint64(6 * i)) & np.uint64(63))
+    return ((mixed >> np.uint64(32)) * n_words) >> np.uint64(32), mask
 
 
-def fill(keys: np.ndarray, levels: np.ndarray, hashes: int) -> tuple[int, bytes]:
-    """(bits, the bits as bytes) of a segment of the filter; about half of the bits end up set."""
-    size = max(int(levels.sum() * hashes / np.log(2)), 64)
-    bits = np.zeros(size, bool)
+def fill(keys: np.ndarray, levels: np.ndarray, plan: LmPlan) -> bytes:
+    """A segment of the filter."""
+    n_words = max(int(levels.sum()) * plan.item_bits // 64, 1)
+    words = np.zeros(n_words, np.uint64)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        at, step = _item_hashes(keys[levels >= level], level)
-        for i in range(hashes):
-            bits[(at + np.uint64(i) * step + np.uint64((i**3 - i) // 6)) % np.uint64(size)] = True
-    return size, np.packbits(bits, bitorder="little").tobytes()
+        word, mask = _items(keys[levels >= level], level, plan.hashes, np.uint64(n_words))
+        np.bitwise_or.at(words, word, mask)
+    return words.tobytes()
 
 
 class LogFilter:
-    """Segments of the filter (number, bits, the bits as bytes), by the first bits of the key."""
+    """Segments of the filter (number, words as bytes), by the first bits of the key."""
 
     def __init__(self, segments, n_segments: int, hashes: int):
         self.hashes, self.n_segments = hashes, n_segments
         self.sizes, self.offsets = np.zeros(n_segments, np.uint64), np.zeros(n_segments, np.uint64)
         parts, at = [], 0
-        for number, size, bits in segments:
-            self.sizes[number], self.offsets[number] = size, at
-            parts.append(bits)
-            at += 8 * len(bits)
-        self.bits = np.frombuffer(b"".join(parts), np.uint8)
+        for number, words in segments:
+            self.sizes[number], self.offsets[number] = len(words) // 8, at
+            parts.append(words)
+            at += len(words) // 8
+        self.words = np.frombuffer(b"".join(parts), np.uint64)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels of the keys: probes go on to the next level while all bits of the last were set."""
@@ -169,11 +182,8 @@ class LogFilter:
         alive, level = np.flatnonzero(sizes > 0), 0
         while len(alive) and level < 255:
             level += 1
-            at, step = _item_hashes(keys[alive], level)
-            for i in range(self.hashes):
-                spot = offsets[alive] + (at + np.uint64(i) * step + np.uint64((i**3 - i) // 6)) % sizes[alive]
-                kept = (self.bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                alive, at, step = alive[kept], at[kept], step[kept]
+            word, mask = _items(keys[alive], level, self.hashes, sizes[alive])
+            alive = alive[self.words[word + offsets[alive]] & mask == mask]
             found[alive] = level
         return found
 
@@ -188,20 +198,12 @@ def segment_of(keys: np.ndarray, n_segments: int) -> np.ndarray:
 
 
 def _word_rows(batches):
+    """(token, n) of every batch."""
     schema = [("token", pa.binary()), ("n", pa.int64())]
     for batch in batches:
-        numbers, counts = _Numbers(), np.zeros(0, np.int64)
-        numbers[END]
-        for text in bytes_of(batch.column(0)):
-            words = text.lower().split()
-            own = np.bincount(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), minlength=len(numbers))
-            if len(own) > len(counts):
-                counts = np.concatenate([counts, np.zeros(len(own) - len(counts), np.int64)])
-            counts[: len(own)] += own
-        counts = np.concatenate([counts, np.zeros(len(numbers) - len(counts), np.int64)])
-        counts[0] += batch.num_rows
-        met = counts > 0
-        yield record_batch(schema, [w for w, m in zip(numbers, met, strict=True) if m], counts[met])
+        if batch.num_rows:
+            found = Counter(chain.from_iterable(text.lower().split() for text in bytes_of(batch.column(0))))
+            yield record_batch(schema, [END, *found], [batch.num_rows, *found.values()])
 
 
 def _gram_rows(plan: LmPlan, n_segments: int):
@@ -209,7 +211,8 @@ def _gram_rows(plan: LmPlan, n_segments: int):
     schema = [("segment", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 
     def run(batches):
-        for batch in batches:
+        # about 20 bytes of memory for a byte of text
+        for batch in (part for whole in batches for part in slices(whole, 0, plan.gram_bytes)):
             keys, counts = Grams(bytes_of(batch.column(0)), plan.order).distinct()
             yield record_batch(schema, *_split(keys, n_segments, keys, counts.astype(np.uint32)))
 
@@ -225,15 +228,15 @@ def _split(keys: np.ndarray, n_segments: int, *columns: np.ndarray) -> tuple:
 
 
 def _filter_rows(plan: LmPlan):
-    schema = [("segment", pa.int32()), ("size", pa.int64()), ("bits", pa.binary())]
+    schema = [("segment", pa.int32()), ("bits", pa.binary())]
 
     def run(table: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint64)
         counts = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32)
         distinct, at = np.unique(keys, return_inverse=True)
         totals = np.bincount(at, weights=counts).astype(np.int64)
-        size, bits = fill(distinct, levels_of(totals, plan.base), plan.hashes)
-        return pa.Table.from_batches([record_batch(schema, [table["segment"][0].as_py()], [size], [bits])])
+        bits = fill(distinct, levels_of(totals, plan.base), plan)
+        return pa.Table.from_batches([record_batch(schema, [table["segment"][0].as_py()], [bits])])
 
     return run
 
@@ -246,7 +249,7 @@ class NgramModel:
     n_types: int
     frequent: dict  # word -> count; at most plan.frequent words of plan.frequent_bytes
     words: DataFrame  # token, n of every word
-    segments: DataFrame  # segment, size, bits
+    segments: DataFrame  # segment, bits
     n_segments: int
 
 
@@ -259,7 +262,7 @@ def fit(training: DataFrame, plan: LmPlan = LmPlan(), text_col="text") -> NgramM
     n_tokens = total["tokens"] or 0
     n_segments = 1 << max(0, int(np.ceil(np.log2(max(plan.order * n_tokens / plan.segment_grams, 1)))))
     rows = map_arrow(text, _gram_rows(plan, n_segments), "segment int, keys binary, counts binary")
-    segments = staged(rows.groupBy("segment").applyInArrow(_filter_rows(plan), "segment int, size long, bits binary"), "lm-filter")
+    segments = staged(rows.groupBy("segment").applyInArrow(_filter_rows(plan), "segment int, bits binary"), "lm-filter")
     short = words.where(F.length("token") <= plan.frequent_bytes)
     frequent = short.orderBy(F.desc("n"), "token").limit(plan.frequent).toArrow()
     counts = dict(zip(frequent["token"].to_pylist(), frequent["n"].to_pylist(), strict=True))
@@ -287,12 +290,14 @@ class _Scorer:
         counts = np.fromiter((self.frequent.get(w, -1) for w in grams.words), np.int64, len(grams.words))[grams.tokens]
         frequent = counts >= 0
         known = np.add.reduceat(frequent, grams.starts, dtype=np.int64)
-        base = np.add.reduceat(np.where(frequent, np.log10((counts + 1.0) / self.n_classes), 0.0), grams.starts)
+        base = np.add.reduceat(np.where(frequent, np.log10((np.maximum(counts, 0) + 1.0) / self.n_classes), 0.0), grams.starts)
         score = np.add.reduceat(np.log10(self._probabilities(grams, lookup)), grams.starts)
-        rare = [[] for _ in texts]
-        pairs, times = np.unique(np.stack([grams.doc[~frequent], grams.tokens[~frequent]]), axis=1, return_counts=True)
-        for doc, word, n in zip(*pairs.tolist(), times.tolist(), strict=True):
-            rare[doc].append({"token": grams.words[word], "times": n})
+        # the other words of each text with their times, text by text
+        pairs, times = np.unique(grams.doc[~frequent].astype(np.int64) * len(grams.words) + grams.tokens[~frequent], return_counts=True)
+        doc, word = np.divmod(pairs, max(len(grams.words), 1))
+        structs = pa.StructArray.from_arrays([pa.array(grams.words, pa.binary()).take(pa.array(word)), pa.array(times, pa.int64())], ["token", "times"])
+        edges = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))])
+        rare = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), structs)
         return record_batch(_SCORED, ids, copies, grams.lengths, known, base, score, rare)
 
     def _probabilities(self, grams: Grams, lookup) -> np.ndarray:
@@ -302,10 +307,10 @@ class _Scorer:
             distinct, at = np.unique(keys, return_inverse=True)
             return means[lookup(distinct)][at]
 
-        shorter = count(grams.keys[0])
+        shorter = means[lookup(grams.word_keys)][grams.tokens]
         p = (shorter + 1) / self.n_classes
         for keys in grams.keys[1:]:
-            context = np.where(grams.place == 0, self.n_docs, np.concatenate([[0.0], shorter[:-1]]))
+            context = np.where(grams.first, self.n_docs, np.concatenate([[0.0], shorter[:-1]]))
             both = np.minimum(np.minimum(count(keys), context), shorter)
             p = (both + self.plan.mass * p) / (context + self.plan.mass)
             shorter = both
@@ -338,7 +343,7 @@ def _answer_rows(plan: LmPlan, n_segments: int):
     schema = [("chunk", pa.int64()), ("segment", pa.int32()), ("levels", pa.binary())]
 
     def run(asked: pa.Table, segment: pa.Table) -> pa.Table:
-        held = LogFilter(zip(*(segment[c].to_pylist() for c in ("segment", "size", "bits")), strict=True), n_segments, plan.hashes)
+        held = LogFilter(zip(*(segment[c].to_pylist() for c in ("segment", "bits")), strict=True), n_segments, plan.hashes)
         levels = [held.levels(np.frombuffer(x.as_py(), np.uint64)).tobytes() for chunk in asked["keys"].chunks for x in chunk]
         return pa.Table.from_batches([record_batch(schema, asked["chunk"].combine_chunks(), asked["segment"].combine_chunks(), levels)])
 
@@ -390,7 +395,7 @@ def score(df: DataFrame, model: NgramModel, id_col="doc_id", text_col="text") ->
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = model.segments.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
     if size <= model.plan.broadcast_bytes:
-        held = [(r["segment"], r["size"], bytes(r["bits"])) for r in model.segments.collect()]
+        held = [(r["segment"], bytes(r["bits"])) for r in model.segments.collect()]
         sent = spark.sparkContext.broadcast(LogFilter(held, model.n_segments, model.plan.hashes))
         found = map_arrow(rows, _sent_rows(scorer, sent), _SCORED_SCHEMA)
     else:
