@@ -10,15 +10,15 @@ with a zero denominator is NULL.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casefile.functions import ratio
-from casefile.operators.mart import median_by
+from casefile.operators.mart import counted_medians, median_by, value_counts
 
 
 @dataclass(frozen=True)
@@ -84,24 +84,49 @@ MEASURES = {
 }
 
 
-def _applies(df: DataFrame, where: str) -> bool:
-    """Does the table have the columns of the condition?"""
-    try:
-        df.filter(where).schema  # noqa: B018  analysis only, no job
-    except AnalysisException:
-        return False
-    return True
+_TEXT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"")
+_NAME = re.compile(r"`([^`]+)`|\b([A-Za-z_]\w*)\b(?!\s*\()")
 
 
-def _in_context(model, table: str, by, where, where_entity) -> DataFrame:
+def filter_columns(where: str, tables: dict[str, DataFrame]) -> set[str]:
+    """The columns of the tables that a condition names, in lower case.
+
+    Raises what Spark says of a condition that is no condition on them: an unknown column or function, a
+    syntax error, types that do not fit.
+    """
+    kinds = {}
+    for df in tables.values():
+        for name, kind in df.dtypes:
+            kinds.setdefault(name.lower(), kind)
+    spark = next(iter(tables.values())).sparkSession
+    probe = spark.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in kinds.items()))
+    probe.filter(where).schema  # noqa: B018  analysis only, no job
+    named = {(quoted or plain).lower() for quoted, plain in _NAME.findall(_TEXT.sub(" ", where))}
+    return named & set(kinds)
+
+
+def _check_filters(model, tables, where: str | None, where_entity: str | None) -> set[str]:
+    """Columns of `where`; raises if it, or `where_entity`, is no condition that one of the asked tables can take."""
+    if where_entity is not None:
+        filter_columns(where_entity, {"entity": model["entity"]})
+    if where is None:
+        return set()
+    asked = {table: model[table] for table in tables}
+    columns = filter_columns(where, asked)
+    if not any(columns <= {c.lower() for c in df.columns} for df in asked.values()):
+        raise ValueError(f"the filter {where!r} applies to none of {sorted(asked)}")
+    return columns
+
+
+def _in_context(model, table: str, by, where, where_entity, needed: set[str] = frozenset()) -> DataFrame:
     """The table under the caller's filters, with the grouping columns it lacks taken from the entity dimension.
 
-    A filter on columns that the table lacks, or on entities where it has none, leaves it as it is; a
-    grouping column it cannot get is NULL there. Rows without an entity do not take part in the join: they
+    A filter on columns that the table lacks (`needed`), or on entities where it has none, leaves it as it is; a
+    grouping column it cannot get is NULL there. Rows without an entity match nothing in the join: they
     have NULL attributes, and no entity filter keeps them.
     """
     df = model[table]
-    if where is not None and _applies(df, where):
+    if where is not None and needed <= {c.lower() for c in df.columns}:
         df = df.filter(where)
     borrowed = [c for c in by if c not in df.columns]
     if table == "entity":
@@ -114,52 +139,117 @@ def _in_context(model, table: str, by, where, where_entity) -> DataFrame:
         return df.withColumns({c: F.lit(None).cast(kinds.get(c, "string")) for c in borrowed})
     known = [c for c in borrowed if c in kinds]
     chosen = (entity if where_entity is None else entity.filter(where_entity)).select("vehicle_key", *known)
-    keyed = df.filter("vehicle_key IS NOT NULL").join(chosen, "vehicle_key", "left" if where_entity is None else "inner")
-    keyed = keyed.withColumns({c: F.lit(None).cast("string") for c in borrowed if c not in kinds})
+    absent = {c: F.lit(None).cast("string") for c in borrowed if c not in kinds}
     if where_entity is not None:
-        return keyed
-    unkeyed = df.filter("vehicle_key IS NULL").withColumns(
-        {c: F.lit(None).cast(kinds.get(c, "string")) for c in borrowed}
-    )
-    return keyed.unionByName(unkeyed)
+        return df.filter("vehicle_key IS NOT NULL").join(chosen, "vehicle_key").withColumns(absent)
+    # rows without an entity are dealt by their own id, under keys that no entity has
+    spread = F.concat(F.lit("#"), F.pmod(F.xxhash64(F.col(df.columns[0])), F.lit(4096)).cast("string"))
+    keyed = df.withColumn("_key", F.coalesce("vehicle_key", spread))
+    return keyed.join(chosen.withColumnRenamed("vehicle_key", "_key"), "_key", "left").drop("_key").withColumns(absent)
 
 
 def _condition(where: str | None) -> Column:
     return F.lit(True) if where is None else F.coalesce(F.expr(where), F.lit(False))
 
 
-def _distinct(df: DataFrame, by: list[str], column: str, named: dict[str, Measure]) -> DataFrame:
-    per_id = df.groupBy(*by, F.col(column).alias("_id")).agg(
+#: Name of the column that tells grouping sets apart, as Spark numbers them.
+GROUPING = "grouping_id"
+
+
+class Contexts:
+    """The groupings of a call: one list of columns, or several that are made from one finest grouping.
+
+    Each family of measures is grouped once to its finest grain: every column of every set, and the id or
+    value if it has one. That grain is what the sets are made from, so a table is scanned once and its rows
+    are never multiplied; what is, after the first partial grouping, is the rows of the grain.
+    """
+
+    def __init__(self, by):
+        by = list(by)
+        self.several = any(not isinstance(x, str) for x in by)
+        self.sets = [list(x) for x in by] if self.several else [by]
+        self.columns = list(dict.fromkeys(c for own in self.sets for c in own))
+        self.by = [*self.columns, GROUPING] if self.several else self.columns
+
+    def group(self, grain: DataFrame, more: list[str], *aggregates: Column) -> DataFrame:
+        """Aggregates of the grain by each set and by the columns in `more`."""
+        if not self.several:
+            return grain.groupBy(*self.columns, *more).agg(*aggregates)
+        if not self.columns:  # sets without a column are the same group, numbered 0
+            return grain.groupBy(*more).agg(*aggregates).withColumn(GROUPING, F.lit(0).cast("bigint"))
+        # the columns in `more` are in every set, so they add the same to every number: they come first and are shifted out
+        named = [F.col(c) for c in [*more, *self.columns]]
+        sets = [[F.col(c) for c in [*more, *own]] for own in self.sets]
+        return grain.groupingSets(sets, *named).agg(F.grouping_id().alias(GROUPING), *aggregates)
+
+
+def _distinct(df: DataFrame, contexts: Contexts, column: str, named: dict[str, Measure]) -> DataFrame:
+    per_id = df.groupBy(*contexts.columns, F.col(column).alias("_id")).agg(
         *[F.max(_condition(m.where).cast("int")).alias(name) for name, m in named.items()]
     )
-    return per_id.groupBy(*by).agg(
+    if contexts.several:
+        per_id = contexts.group(per_id, ["_id"], *[F.max(name).alias(name) for name in named])
+    return per_id.groupBy(*contexts.by).agg(
         *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in named]
     )
 
 
-def _max_then_sum(df: DataFrame, by: list[str], column: str, named: dict[str, Measure]) -> DataFrame:
-    per_id = df.groupBy(*by, F.col(column).alias("_id")).agg(
+def _max_then_sum(df: DataFrame, contexts: Contexts, column: str, named: dict[str, Measure]) -> DataFrame:
+    per_id = df.groupBy(*contexts.columns, F.col(column).alias("_id")).agg(
         *[F.max(m.value).alias(name) for name, m in named.items()]
     )
-    return per_id.groupBy(*by).agg(*[F.sum(name).cast("bigint").alias(name) for name in named])
+    if contexts.several:
+        per_id = contexts.group(per_id, ["_id"], *[F.max(name).alias(name) for name in named])
+    return per_id.groupBy(*contexts.by).agg(*[F.sum(name).cast("bigint").alias(name) for name in named])
+
 
+def _median(df: DataFrame, contexts: Contexts, named: dict[str, Measure]) -> DataFrame:
+    columns = {name: m.column for name, m in named.items()}
+    if not contexts.several:
+        return median_by(df, contexts.columns, columns)
+    grain = value_counts(df, contexts.columns, columns)
+    counted = contexts.group(grain, ["measure", "value"], F.sum("n").alias("n"))
+    return counted_medians(counted, contexts.by, columns)
 
-def _plain(df: DataFrame, by: list[str], named: dict[str, Measure]) -> DataFrame:
+
+def _plain(df: DataFrame, contexts: Contexts, named: dict[str, Measure]) -> DataFrame:
     def one(m: Measure) -> Column:
         if m.kind == "count":
             return F.count_if(_condition(m.where))
         return {"sum": F.sum, "avg": F.avg, "max": F.max}[m.kind](m.column)
 
-    return df.groupBy(*by).agg(*[one(m).alias(name) for name, m in named.items()])
+    if not contexts.several:
+        return df.groupBy(*contexts.columns).agg(*[one(m).alias(name) for name, m in named.items()])
+    # a mean is kept as its sum and count
+    parts = []
+    for name, m in named.items():
+        parts += [F.sum(m.column).alias(f"{name}:sum"), F.count(m.column).alias(f"{name}:n")] if m.kind == "avg" else [one(m).alias(name)]
+    grain = df.groupBy(*contexts.columns).agg(*parts)
+    wanted = []
+    for name, m in named.items():
+        if m.kind == "avg":
+            wanted.append((F.sum(F.col(f"`{name}:sum`")) / F.sum(F.col(f"`{name}:n`"))).alias(name))
+        else:
+            total = F.max(name) if m.kind == "max" else F.sum(name)
+            wanted.append((F.coalesce(total, F.lit(0)) if m.kind == "count" else total).alias(name))
+    return contexts.group(grain, [], *wanted)
 
 
 def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity=None) -> DataFrame:
     """Several measures side by side, one row per group (one row in all without `by`).
 
+    `by` is a list of columns, or a list of such lists: then every one of them is a grouping of the result,
+    made in one pass, and `grouping_id` tells them apart as Spark numbers grouping sets (a bit for each
+    column that a set lacks, the last column lowest). A column that a set lacks is NULL there.
+
     Measures over the same table and id share one scan and one grouping. Their results
     meet in a union that is grouped once more, so groups missing from one table stay.
+
+    `where` and `where_entity` are SQL conditions on rows of the facts and of the entity dimension. A table
+    that lacks a column of `where` stays unfiltered. A condition that names a column of none of the tables
+    asked, that Spark cannot read, or that applies to none of the tables, raises.
     """
-    names, by = list(names), list(by)
+    names, contexts = list(names), Contexts(by)
     base: dict[str, Measure] = {}
     for name in names:
         for part in MEASURES[name].parts or (name,):
@@ -169,22 +259,26 @@ def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity
         kind = m.kind if m.kind in ("distinct", "max_then_sum", "median") else "plain"
         column = m.column if kind in ("distinct", "max_then_sum") else ""
         families.setdefault((m.table, kind, column), {})[name] = m
+    needed = _check_filters(model, {table for table, _, _ in families}, where, where_entity)
     parts = []
     for (table, kind, column), named in families.items():
-        df = _in_context(model, table, by, where, where_entity)
+        df = _in_context(model, table, contexts.columns, where, where_entity, needed)
         if kind == "distinct":
-            parts.append(_distinct(df, by, column, named))
+            parts.append(_distinct(df, contexts, column, named))
         elif kind == "max_then_sum":
-            parts.append(_max_then_sum(df, by, column, named))
+            parts.append(_max_then_sum(df, contexts, column, named))
         elif kind == "median":
-            parts.append(median_by(df, by, {name: m.column for name, m in named.items()}))
+            parts.append(_median(df, contexts, named))
         else:
-            parts.append(_plain(df, by, named))
+            parts.append(_plain(df, contexts, named))
+    if contexts.several and [] in contexts.sets:  # the whole has a row, as without `by`, if no table has any
+        whole = [(2 ** len(contexts.columns) - 1,)]
+        parts.append(parts[0].sparkSession.createDataFrame(whole, f"{GROUPING} bigint"))
     merged = parts[0]
     if len(parts) > 1:
         union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         counted = [n for n, m in base.items() if m.kind in ("distinct", "count")]
-        merged = union.groupBy(*by).agg(*[F.max(name).alias(name) for name in base]).fillna(0, subset=counted)
+        merged = union.groupBy(*contexts.by).agg(*[F.max(name).alias(name) for name in base]).fillna(0, subset=counted)
     derived = {}
     for name in names:
         m = MEASURES[name]
@@ -193,7 +287,7 @@ def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity
         elif m.kind == "status":
             # Fixed values
             derived[name] = F.when(F.col(m.parts[0]) == 0, "PASS").otherwise("STOP AND INVESTIGATE")
-    return merged.withColumns(derived).select(*by, *names)
+    return merged.withColumns(derived).select(*contexts.by, *names)
 
 
 def measure(name: str, model: dict[str, DataFrame], by=(), where=None, where_entity=None) -> DataFrame:

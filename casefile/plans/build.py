@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from casefile.operators import identity, mart, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS
 from casefile.plans import baseline, reports
 from casefile.settings import Settings
-from casefile.sources import contracts, readers, writers
+from casefile.sources import contracts, intake, readers, writers
 
 # Gold fact table -> silver name.
 GOLD_FACTS = {
@@ -38,30 +41,42 @@ def write_tables(spark: SparkSession, frames: dict[str, DataFrame], folder: str)
     return {name: spark.read.parquet(f"{folder}/{name}") for name in frames}
 
 
-def prepare_extracts(spark: SparkSession, raw: dict[str, str], landing: str) -> DataFrame:
+def raw_file(table: str, path: str) -> intake.RawFile:
+    """How the raw file of a contract table is read."""
+    if table in contracts.RAW_HEADERS:
+        return intake.RawFile(table, contracts.SOURCE_IDS[table], path, tuple(contracts.RAW_HEADERS[table].items()))
+    return intake.RawFile(table, contracts.SOURCE_IDS[table], path, tuple(contracts.raw_layout(table)), contracts.RAW_FIELD_COUNTS[table])
+
+
+def prepare_extracts(spark: SparkSession, raw: dict[str, str], landing: str, review: str | None = None) -> DataFrame:
     """Raw files (contract table -> path) to approved extracts and their manifest.
 
-    Only contract columns are written, trimmed. A raw file with a line of the wrong field
-    count, or without an expected header, stops the run before anything is written.
+    Only contract columns are written, trimmed. Each raw file is parsed once; its rows, its rejected lines
+    and their counts come from that pass, below `review` (by default beside the landing folder), where every
+    attempt keeps its audit rows (`audit_intake`) and its rejected lines (`rejected_lines`). A file with a
+    line of the wrong field count then stops the run before anything is landed; one without an expected
+    header stops it before anything is written.
     """
-    good, malformed = {}, {}
-    for name, path in raw.items():
-        if name in contracts.RAW_HEADERS:
-            good[name] = readers.read_named(spark, path, list(contracts.RAW_HEADERS[name].items()))
-        else:
-            good[name], malformed[name] = readers.read_positional(
-                spark, path, contracts.raw_layout(name), contracts.RAW_FIELD_COUNTS[name]
-            )
-        good[name] = quality.project_allowed(good[name], contracts.CONTRACTS[name])
-    for name, lines in malformed.items():
-        readers.require_well_formed(lines, contracts.SOURCE_IDS[name])
+    review = review or f"{landing.rstrip('/')}-review"
+    attempt = uuid.uuid4().hex
+    files = [raw_file(name, path) for name, path in raw.items()]
+    with ThreadPoolExecutor(max_workers=len(files)) as pool:  # the bytes' checksums beside the rows
+        sources = {name: pool.submit(source_checksum, spark, path) for name, path in raw.items()}
+        received = intake.receive_all(spark, files, f"{review}/received/{attempt}")
+        sources = {name: found.result() for name, found in sources.items()}
+    audit = intake.audit(spark, received, attempt, sources)
+    writers.append(audit, f"{review}/audit_intake")
+    spoiled = [r for r in received if r.rejected_rows]
+    if spoiled:
+        lines = reduce(DataFrame.unionByName, [r.rejects(spark) for r in spoiled])
+        writers.append(lines.withColumn("attempt", F.lit(attempt)), f"{review}/rejected_lines")
+        raise ValueError("; ".join(f"{r.raw.source_id}: {r.rejected_rows} malformed rows, extract not approved" for r in spoiled))
+    good = {r.raw.table: quality.project_allowed(r.approved(spark), contracts.CONTRACTS[r.raw.table]) for r in received}
     with ThreadPoolExecutor(max_workers=len(good)) as pool:
         list(pool.map(lambda n: writers.export(good[n], f"{landing}/{n}.csv.gz", fmt="csv.gz"), good))
-    # counted from what was written, so raw files are not read again
-    written = {name: readers.read_extract(spark, f"{landing}/{name}.csv.gz", df.columns) for name, df in good.items()}
     landed = readers.file_checksums(spark, f"{landing}/*.csv.gz")
-    sources = {name: source_checksum(spark, path) for name, path in raw.items()}
-    manifest = writers.build_manifest(written, contracts.SOURCE_IDS, landed, sources)
+    counts = {r.raw.table: (r.rows, r.rejected_rows) for r in received}
+    manifest = writers.build_manifest(good, contracts.SOURCE_IDS, landed, sources, counts=counts)
     created = spark.sql("SELECT string(current_timestamp())").first()[0]
     writers.write_manifest(manifest, f"{landing}/manifest.json", project="casefile", created_at_utc=created)
     return readers.read_manifest(spark, f"{landing}/manifest.json")
@@ -87,7 +102,7 @@ def ingest(
     and the audit keeps both attempts.
 
     Each extract is read once: it is staged as Parquet with its provenance, and the row
-    counts the contract is checked on come from the staged files' footers. Later layers
+    counts the contract is checked on are observed on that write. Later layers
     only see a batch whose tables all passed.
     """
     moment = F.current_timestamp() if ingested_at is None else ingested_at
@@ -97,12 +112,14 @@ def ingest(
     quality.gate(verify_files(spark, landing), ~F.col("checksum_matches"), "table_name", "Checksum")
     entries = {row["table_name"]: row for row in manifest.collect()}  # one row per extract
     attempt = f"batch={batch}/attempt={uuid.uuid4().hex}"
-    headers, staged = {}, {}
-    for name in expected:
+    folder = f"{out}/bronze/{attempt}"
+
+    def stage(name: str) -> tuple[list[str], int]:
+        """Header and rows of an extract, staged with its provenance."""
         entry, path = entries[name], f"{landing}/{name}.csv.gz"
-        headers[name] = readers.header_columns(spark, path, **csv_options)
-        staged[name] = quality.with_lineage(
-            readers.read_extract(spark, path, headers[name], **csv_options),
+        header = readers.header_columns(spark, path, **csv_options)
+        rows = quality.with_lineage(
+            readers.read_extract(spark, path, header, **csv_options),
             entry["source_id"],
             entry["output_file"],
             entry["source_sha256"],
@@ -110,8 +127,14 @@ def ingest(
             batch,
             moment,
         )
-    bronze = write_tables(spark, staged, f"{out}/bronze/{attempt}")
-    audit = quality.check_contract(quality.observe(spark, bronze, headers), manifest, batch, moment)
+        return header, intake.observed_write(rows, f"{folder}/{name}", {"rows": F.count(F.lit(1))})["rows"]
+
+    with ThreadPoolExecutor(max_workers=len(expected)) as pool:  # header probes and writes side by side
+        observed = dict(zip(expected, pool.map(stage, expected), strict=True))
+    bronze = {name: spark.read.parquet(f"{folder}/{name}") for name in expected}
+    seen = [(name, header, rows) for name, (header, rows) in observed.items()]  # one row per table
+    seen = spark.createDataFrame(seen, "table_name string, actual_columns array<string>, actual_rows long")
+    audit = quality.check_contract(seen, manifest, batch, moment)
     audit = write_tables(spark, {"audit": audit}, f"{out}/attempts/{attempt}")["audit"]
     writers.append(audit, f"{out}/audit_bronze_ingestion")
     writers.append(manifest.withColumn("_batch_id", F.lit(batch)), f"{out}/bronze_manifest")
@@ -193,14 +216,62 @@ def reconcile(bronze: dict[str, DataFrame], gold: dict[str, DataFrame], settings
     )
 
 
-def publish(spark: SparkSession, out: str, folder: str, batch: str) -> None:
-    """Point readers to a finished snapshot: one row in `<out>/current`, replaced last of all."""
-    writers.replace(spark.createDataFrame([(batch, folder)], "batch_id string, folder string"), f"{out}/current")
+POINTER = "version long, batch_id string, folder string, parent long, published_at timestamp"
+
+
+def pointers(spark: SparkSession, out: str) -> DataFrame:
+    """The published snapshots in order: version, batch_id, folder, parent, run, published_at.
+
+    A row counts if its parent is the version before it; of several with one parent the first counts. Rows
+    are added and never replaced, so a reader sees the newest version whatever a writer is doing.
+    """
+    rows = _claims(spark, out)
+    first = Window.partitionBy("version").orderBy("published_at", "run")
+    kept = rows.where("parent = version - 1").withColumn("place", F.row_number().over(first)).where("place = 1")
+    return kept.drop("place")
+
+
+def _claims(spark: SparkSession, out: str) -> DataFrame:
+    """Every pointer row that was written, each in a folder of its own, which only its run writes to."""
+    schema = f"{POINTER}, run string"
+    try:
+        return spark.read.schema(schema).parquet(f"{out}/published")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def newest(spark: SparkSession, out: str) -> tuple[int, str | None]:
+    """Version and folder of the newest snapshot; (0, None) if there is none."""
+    row = pointers(spark, out).orderBy(F.desc("version")).select("version", "folder").first()
+    return (row["version"], row["folder"]) if row else (0, None)
+
+
+def publish(spark: SparkSession, out: str, folder: str, batch: str, parent: int) -> int:
+    """Point readers to a finished snapshot by one added row, last of all; returns its version.
+
+    `parent` is the version the run started from. If another run has published since, or claims the same
+    version first, this one is refused and readers keep the other.
+    """
+    started, _ = newest(spark, out)
+    if started != parent:
+        raise ValueError(f"refused: version {started} was published after this run started from {parent}")
+    name = uuid.uuid4().hex
+    row = spark.createDataFrame([(parent + 1, batch, folder, parent)], "version long, batch_id string, folder string, parent long")
+    writers.append(row.withColumn("published_at", F.current_timestamp()).coalesce(1), f"{out}/published/run={name}")
+    won = pointers(spark, out).where(F.col("version") == parent + 1).first()
+    if won["run"] != name:
+        raise ValueError(f"refused: another run published version {parent + 1} first")
+    return parent + 1
 
 
 def current(spark: SparkSession, out: str) -> str:
     """Folder of the published snapshot, with silver, gold and export below it."""
-    return spark.read.parquet(f"{out}/current").first()["folder"]
+    version, folder = newest(spark, out)
+    if not version:
+        raise ValueError(f"nothing is published below {out}")
+    return folder
 
 
 def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Settings = Settings(), **csv_options) -> dict[str, DataFrame]:
@@ -209,6 +280,7 @@ def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Setti
     The snapshot is written to a folder of its own and published after the last check, so readers never
     see a failed or half-written one.
     """
+    parent, _ = newest(spark, out)
     bronze = ingest(spark, landing, out, batch, **csv_options)
     folder = f"{out}/snapshots/{batch}-{uuid.uuid4().hex}"
     silver = conform(spark, bronze, folder, settings)
@@ -216,5 +288,5 @@ def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Setti
     export_curated(spark, gold, folder, f"{out}/audit_bronze_ingestion")
     result = write_tables(spark, {"reconciliation": reconcile(bronze, gold, settings)}, f"{folder}/gold")["reconciliation"]
     quality.gate(result, ~F.col("passed"), "metric", "Reconciliation")
-    publish(spark, out, folder, batch)
+    publish(spark, out, folder, batch, parent)
     return {**gold, "reconciliation": result}

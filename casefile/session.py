@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Approved rows and rejected lines are written apart by one task without sorting the rows for it.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Without it PySpark notes the Python call site of every column expression, which makes
     # building a plan of some thousand expressions several times slower.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

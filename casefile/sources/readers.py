@@ -64,15 +64,15 @@ def read_extract(spark: SparkSession, path, columns=None, **options) -> DataFram
     return _quoted(spark, **options).schema(text_schema(names)).option("enforceSchema", False).csv(path)
 
 
-def _fields(spark: SparkSession, path, sep: str, encoding: str) -> DataFrame:
-    """Raw lines with their fields. No quoting: a field is what lies between two separators.
+def split_lines(spark: SparkSession, path, sep: str, encoding: str, *more) -> DataFrame:
+    """Raw lines with their fields, and more columns of the scan. No quoting: a field is what lies between two separators.
 
     The text source keeps the bytes of a line as they are, so they can be decoded here; it
     splits plain files and, unlike the CSV source, does not drop blank lines.
     """
     line = F.decode(F.col("value").cast("binary"), encoding)
     return (
-        spark.read.text(path).select(line.alias("line")).withColumn("fields", F.split("line", f"\\Q{sep}\\E", -1))
+        spark.read.text(path).select(line.alias("line"), *more).withColumn("fields", F.split("line", f"\\Q{sep}\\E", -1))
     )
 
 
@@ -89,7 +89,7 @@ def read_positional(
     Returns (good rows with the laid-out columns trimmed, rows whose field count is wrong
     as whole lines).
     """
-    lines = _fields(spark, path, sep, encoding)
+    lines = split_lines(spark, path, sep, encoding)
     good = lines.filter(F.size("fields") == n_fields).selectExpr(
         *[f"trim(fields[{position}]) AS `{name}`" for name, position in layout]
     )
@@ -98,7 +98,7 @@ def read_positional(
 
 def count_fields(spark: SparkSession, path, n_fields: int, sep: str = "\t", encoding: str = "ISO-8859-1") -> DataFrame:
     """One row from one scan: rows, malformed_rows."""
-    return _fields(spark, path, sep, encoding).agg(
+    return split_lines(spark, path, sep, encoding).agg(
         F.count("*").alias("rows"), F.count_if(F.size("fields") != n_fields).alias("malformed_rows")
     )
 
@@ -110,7 +110,7 @@ def require_well_formed(malformed: DataFrame, source_id: str) -> None:
         raise ValueError(f"{source_id}: {count} malformed rows, extract not approved")
 
 
-def _named(spark: SparkSession, path, layout, encoding: str, **options) -> DataFrame:
+def named_rows(spark: SparkSession, path, layout, encoding: str, **options) -> DataFrame:
     """Rows of a file with a header, short and long rows included, which _irregular_ tells."""
     reader = _quoted(spark, mode="PERMISSIVE", **options).option("encoding", encoding)
     header = reader.csv(path).columns
@@ -130,7 +130,7 @@ def read_named(
     Trailing fields that a short row lacks are empty text; fields beyond the header are left out.
     `count_irregular` tells how many such rows there are.
     """
-    return _named(spark, path, layout, encoding, **options).select(
+    return named_rows(spark, path, layout, encoding, **options).select(
         *[F.trim(F.coalesce(F.col(f"`{source}`"), F.lit(""))).alias(name) for name, source in layout]
     )
 
@@ -139,7 +139,7 @@ def count_irregular(
     spark: SparkSession, path, layout: list[tuple[str, str]], encoding: str = "ISO-8859-1", **options
 ) -> DataFrame:
     """One row: rows, irregular_rows (more or fewer fields than the header) of a file read by header name."""
-    rows = _named(spark, path, layout, encoding, **options)
+    rows = named_rows(spark, path, layout, encoding, **options)
     # Spark answers no query on the column of irregular rows alone, so another column takes part
     parsed = F.pmod(F.xxhash64(F.col(f"`{layout[0][1]}`")), F.lit(2)) < 2
     irregular = F.col("_irregular_").isNotNull() & parsed

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,18 +45,25 @@ def build_manifest(
     checksums: DataFrame | None = None,
     source_checksums: dict[str, str] | None = None,
     malformed: dict[str, DataFrame] | None = None,
+    counts: dict[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """One row per extract: rows, ordered columns, file checksum, malformed rows.
 
-    Row counts of all extracts run in one job. `checksums` is the output of file_checksums
+    `counts` are the (rows, malformed rows) that were observed when the extracts were written; without them
+    the row counts of all extracts run in one job. `checksums` is the output of file_checksums
     for the extract folders; an extract of several part files gets the checksum of its
     parts' checksums in name order.
     """
     spark = next(iter(extracts.values())).sparkSession
-    counts = None
-    for name, df in extracts.items():
-        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        counts = one if counts is None else counts.unionByName(one)
+    if counts is not None:
+        known = [(name, *counts[name]) for name in extracts]  # one row per extract
+        counted = spark.createDataFrame(known, "table_name string, rows long, malformed_rows long")
+    else:
+        counted = _counted(extracts, "rows")
+        if malformed:
+            counted = counted.join(F.broadcast(_counted(malformed, "malformed_rows")), "table_name", "left")  # one row per extract
+        else:
+            counted = counted.withColumn("malformed_rows", F.lit(0).cast("bigint"))
     described = spark.createDataFrame(
         [
             (name, source_ids.get(name, name), (source_checksums or {}).get(name), f"{name}.csv.gz", df.columns)
@@ -62,23 +71,19 @@ def build_manifest(
         ],
         "table_name string, source_id string, source_sha256 string, output_file string, columns array<string>",
     )
-    manifest = described.join(F.broadcast(counts), "table_name")  # one row per extract
-    if malformed:
-        bad = None
-        for name, df in malformed.items():
-            one = df.agg(F.count("*").alias("malformed_rows")).select(
-                F.lit(name).alias("table_name"), "malformed_rows"
-            )
-            bad = one if bad is None else bad.unionByName(one)
-        manifest = manifest.join(F.broadcast(bad), "table_name", "left")
-    else:
-        manifest = manifest.withColumn("malformed_rows", F.lit(0).cast("bigint"))
+    manifest = described.join(F.broadcast(counted), "table_name")  # one row per extract
     manifest = manifest.fillna({"malformed_rows": 0})
     if checksums is None:
         return manifest.withColumn("output_sha256", F.lit(None).cast("string"))
     return manifest.join(extract_checksums(checksums), "output_file", "left")
 
 
+def _counted(frames: dict[str, DataFrame], what: str) -> DataFrame:
+    """table_name and the number of rows of each frame, in one job."""
+    each = [df.agg(F.count("*").alias(what)).select(F.lit(name).alias("table_name"), what) for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 def extract_checksums(checksums: DataFrame) -> DataFrame:
     """Checksum per extract from the checksums of its files.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from casefile.plans import build
 from casefile.session import scratch_path, scratch_root
-from casefile.sources import contracts
+from casefile.sources import contracts, intake
 from workload import adapter, queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -81,7 +81,7 @@ def test_a_broken_contract_stops_the_run_and_stays_in_the_audit(spark, landing,
         build.run(spark, folder, out, BATCH, queries.SETTINGS)
     failed = spark.read.parquet(f"{out}/audit_bronze_ingestion").filter("status = 'FAIL'")
     assert [r["table_name"] for r in failed.collect()] == [what]
-    assert not (tmp_path / "out" / "snapshots").exists() and not (tmp_path / "out" / "current").exists()
+    assert not (tmp_path / "out" / "snapshots").exists() and not (tmp_path / "out" / "published").exists()
 
     # the corrected batch passes under the same id, and the audit keeps both attempts
     corrected = copy(landing, tmp_path / "again")
@@ -152,7 +152,86 @@ def test_raw_files_become_approved_extracts(spark, tmp_path):
     extract = queries.readers.read_extract(spark, f"{landing}/complaints.csv.gz", contracts.CONTRACTS["complaints"])
     assert extract.filter("manufacturer_name LIKE 'Société Brand%'").count() == padded.count()
 
-    (tmp_path / "raw-complaints" / "broken.csv").write_text("too\tshort\n")
-    with pytest.raises(ValueError, match="1 malformed"):
-        build.prepare_extracts(spark, raw, str(tmp_path / "second"))
-    assert not (tmp_path / "second").exists()
+    audit = spark.read.parquet(str(tmp_path / "landing-review" / "audit_intake"))
+    assert {(r["table_name"], r["rows"], r["rejected_rows"], r["status"]) for r in audit.collect()} == {
+        (t, m["rows"], 0, "PASS") for t, m in manifest.items()
+    }
+
+
+def test_rejected_lines_are_kept_and_counted_before_the_run_stops(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    good = "\t".join(f" v{i} " for i in range(51))
+    (raw / "a.txt").write_text("\n".join([good] * 3 + ["too\tshort", ""]) + "\n", encoding="latin-1")
+    (raw / "b.txt").write_text(good + "\tone too many é\n" + good + "\n", encoding="latin-1")
+    landing = str(tmp_path / "landing")
+    with pytest.raises(ValueError, match="3 malformed rows"):
+        build.prepare_extracts(spark, {"complaints": str(raw)}, landing)
+    assert not (tmp_path / "landing").exists()
+    audit = spark.read.parquet(f"{landing}-review/audit_intake").first()
+    assert (audit["rows"], audit["rejected_rows"], audit["irregular_rows"], audit["status"]) == (4, 3, 0, "FAIL")
+    assert len(audit["source_sha256"]) == 64
+    lines = spark.read.parquet(f"{landing}-review/rejected_lines").collect()
+    assert sorted((r["part"], r["n_fields"], r["line"]) for r in lines) == [
+        ("a.txt", 1, ""), ("a.txt", 2, "too\tshort"), ("b.txt", 52, good + "\tone too many é"),
+    ]
+    assert {(r["attempt"], r["table_name"]) for r in lines} == {(audit["attempt"], "complaints")}
+
+
+def test_one_scan_of_a_raw_file_gives_rows_rejects_and_counts(spark, tmp_path):
+    """The tasks that read the raw text read it once."""
+    path = str(tmp_path / "raw")
+    tail = F.when(F.col("id") % 100 == 0, F.concat("id", F.lit("\t"))).otherwise(F.col("id").cast("string"))
+    spark.range(20_000).select(F.concat_ws("\t", "id", "id", tail).alias("value")).write.text(path)
+    raw = intake.RawFile("lines", "lines", path, (("first", 0), ("last", 2)), 3)
+    plan = intake.parse(spark, raw)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+    received = intake.receive(spark, raw, str(tmp_path / "received"))
+    assert (received.rows, received.rejected_rows) == (19_800, 200)
+    assert received.approved(spark).count() == 19_800 and received.rejects(spark).count() == 200
+    assert received.approved(spark).where("first <> last").count() == 0 and received.approved(spark).columns == ["first", "last"]
+    assert sorted(p.name for p in (tmp_path / "received").iterdir() if p.is_dir()) == ["_rejected=false", "_rejected=true"]
+
+
+def pointer(spark, out):
+    return build.newest(spark, str(out))
+
+
+def test_publishing_never_hides_the_snapshot_before(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    assert pointer(spark, out) == (0, None)
+    with pytest.raises(ValueError, match="nothing is published"):
+        build.current(spark, out)
+    assert build.publish(spark, out, "first", "b1", 0) == 1
+    assert build.publish(spark, out, "second", "b2", 1) == 2
+
+    def stop(df, path):  # a writer that dies after it has begun
+        (tmp_path / "out" / "published" / "run=dead" / "_temporary").mkdir(parents=True)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(build.writers, "append", stop)
+        with pytest.raises(RuntimeError):
+            build.publish(spark, out, "third", "b3", 2)
+    assert build.current(spark, out) == "second"
+    assert build.publish(spark, out, "third", "b3", 2) == 3
+    assert [(r["version"], r["folder"], r["parent"]) for r in build.pointers(spark, out).orderBy("version").collect()] == [
+        (1, "first", 0), (2, "second", 1), (3, "third", 2),
+    ]
+
+
+def test_of_two_runs_at_once_one_is_refused(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    build.publish(spark, out, "first", "b1", 0)
+    # both started from version 1; the second finds the first's row
+    assert build.publish(spark, out, "mine", "b2", 1) == 2
+    with pytest.raises(ValueError, match="version 2 was published after"):
+        build.publish(spark, out, "yours", "b2", 1)
+    # both pass the check before either has written: the row that was there first counts
+    with monkeypatch.context() as patch:
+        real = build.newest
+        patch.setattr(build, "newest", lambda spark, out: (1, None))
+        with pytest.raises(ValueError, match="published version 2 first"):
+            build.publish(spark, out, "theirs", "b2", 1)
+        assert real(spark, out) == (2, "mine")
+    assert build.current(spark, out) == "mine" and build.publish(spark, out, "next", "b3", 2) == 3

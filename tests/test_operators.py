@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from casefile.operators import conform, dedup, identity, mart, measures, profiling, quality, rules, star
@@ -300,12 +301,66 @@ def test_every_measure_evaluates(model):
         assert measures.measure(name, model).count() == 1, name
 
 
-def test_an_unrelated_filter_leaves_a_measure_as_it_is(model):
-    names = ["registration_records", "failed_data_quality_checks"]
-    plain = tuple(measures.measures(names, model).first())
-    assert tuple(measures.measures(names, model, where="park_outside", where_entity="make = 'FIAT'").first()) == plain
-    (row,) = measures.measures(names, model, by=["make"]).collect()
-    assert (row["make"], *tuple(row)[1:]) == (None, *plain)
+def test_a_filter_leaves_tables_without_its_columns_as_they_are(model):
+    names = ["registration_records", "failed_data_quality_checks", "recall_campaigns"]
+    plain = measures.measures(names, model).first()
+    filtered = measures.measures(names, model, where="`PARK_outside` AND 'x' <> 'incident_state'", where_entity="make = 'FIAT'").first()
+    assert tuple(filtered)[:2] == tuple(plain)[:2] and filtered["recall_campaigns"] < plain["recall_campaigns"]
+    (row,) = measures.measures(names[:2], model, by=["make"]).collect()
+    assert (row["make"], *tuple(row)[1:]) == (None, *tuple(plain)[:2])
+
+
+@pytest.mark.parametrize(
+    ("filters", "error"),
+    [
+        ({"where": "park_outsid"}, AnalysisException),  # a misspelt column
+        ({"where": "alias_priorty = 'P0'"}, AnalysisException),
+        ({"where": "nosuch(park_outside)"}, AnalysisException),
+        ({"where": "park_outside = = 1"}, ParseException),
+        ({"where": "campaign_number"}, AnalysisException),  # no condition
+        ({"where": "mileage_at_failure_int > 1"}, AnalysisException),  # of a table not asked
+        ({"where": "state_name = 'x' AND park_outside"}, ValueError),  # no table has both
+        ({"where_entity": "mke = 'FIAT'"}, AnalysisException),
+    ],
+)
+def test_a_filter_that_cannot_apply_raises(model, filters, error):
+    with pytest.raises(error):
+        measures.measures(["recall_campaigns", "registration_records"], model, **filters)
+
+
+SETS = [["make", "model"], ["make"], []]
+
+
+def test_several_groupings_equal_one_call_each(model):
+    names = [n for n in measures.MEASURES if n not in ("rule_version", "threshold_validation_status")]
+    both = measures.measures(names, model, by=SETS, where_entity="model_year > 1000").collect()
+    for by in SETS:
+        number = sum(1 << i for i, c in enumerate(reversed(["make", "model"])) if c not in by)
+        once = measures.measures(names, model, by=by, where_entity="model_year > 1000").collect()
+        key = lambda r: str([r[c] for c in by])
+        mine = sorted((r for r in both if r["grouping_id"] == number), key=key)
+        assert [[r[c] for c in [*by, *names]] for r in mine] == [[r[c] for c in [*by, *names]] for r in sorted(once, key=key)]
+        assert all(r[c] is None for r in mine for c in ("make", "model") if c not in by)
+    assert len(both) == sum(measures.measures(names, model, by=by, where_entity="model_year > 1000").count() for by in SETS)
+
+
+def test_several_groupings_scan_a_fact_once(spark, model, tmp_path):
+    stored = {}
+    for name in ("complaint", "entity"):
+        model[name].write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    frame = measures.measures(["complaint_reports", "severe_complaint_share"], stored, by=SETS)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.find("Initial Plan") + 1 :]
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    # the rows of the grain are expanded, no others
+    assert len(scans) == 2 and plan.count("Expand") == 1
+
+
+def test_sets_of_empty_tables_have_a_row_for_the_whole(model):
+    nothing = {name: df.limit(0) for name, df in model.items()}
+    rows = measures.measures(["complaint_reports", "median_combined_mpg"], nothing, by=SETS).collect()
+    assert [tuple(r) for r in rows] == [(None, None, 3, 0, None)]
 
 
 def test_rows_without_an_entity_keep_out_of_the_join(model):

@@ -58,6 +58,11 @@ def _audit(batch: str, spoil: bool) -> str:
     return " UNION ALL ".join(rows)
 
 
+# The raw line of a line item up to its last field, tab-delimited.
+_RAW_HEAD = (
+    "concat_ws(chr(9), l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, 'open', 'a \"quoted word', '', "
+    "l_linestatus, strftime(l_shipdate, '%Y%m%d'))"
+)
 _RAW_BAD = "count(*) FILTER (WHERE l_linenumber IN (6, 7))"
 
 
@@ -113,6 +118,16 @@ FILES = {
     "irregular_rows": "SELECT count(*) AS rows, count(*) FILTER (WHERE user_id % 10 IN (3, 7)) AS irregular_rows FROM events",
     "scan_irregular": "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, "
     "CASE user_id % 10 WHEN 3 THEN '' WHEN 7 THEN 'click' ELSE event_type END AS event_type FROM events",
+    "rejected_lines": "SELECT 'raw_lines' AS table_name, 'raw_lines' AS source_id, CASE l_linenumber WHEN 7 THEN 10 ELSE 12 END AS n_fields, "
+    + f"{_RAW_HEAD} || CASE l_linenumber WHEN 7 THEN '' ELSE chr(9) || 'end' || chr(9) || 'extra' END AS line "
+    + "FROM lineitem WHERE l_linenumber IN (6, 7)",
+    "approved_lines": "SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS line_id, "
+    "'a \"quoted word' AS note, '' AS blank, strftime(l_shipdate, '%Y%m%d') AS ship_day, 'end' AS \"last\" "
+    "FROM lineitem WHERE l_linenumber NOT IN (6, 7)",
+    "intake_audit": "SELECT 'raw_lines' AS table_name, count(*) FILTER (WHERE l_linenumber NOT IN (6, 7)) AS rows, "
+    "count(*) FILTER (WHERE l_linenumber IN (6, 7)) AS rejected_rows, CAST(0 AS BIGINT) AS irregular_rows, "
+    "CASE WHEN count(*) FILTER (WHERE l_linenumber IN (6, 7)) > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM lineitem "
+    "UNION ALL SELECT 'raw_events', count(*), 0, count(*) FILTER (WHERE user_id % 10 IN (3, 7)), 'PASS' FROM events",
     "verify_checksums": "SELECT *, table_name <> 'state_registrations' AS checksum_matches FROM (VALUES "
     + ", ".join(f"('{t}')" for t, *_ in _EXTRACTS)
     + ") t(table_name) WHERE EXISTS (SELECT 1 FROM nation WHERE n_name ILIKE '%a%')",
@@ -587,6 +602,44 @@ def _context() -> str:
     return with_tables(one("make") + " UNION ALL " + one("'(all)'"))
 
 
+def _sets() -> str:
+    """Measures by make and model, by make and in all; grouping_id is 0, 1 and 3."""
+
+    def part(aggregates: str, source: str) -> str:
+        return (
+            f"SELECT make, model, CAST(GROUPING(make, model) AS BIGINT) AS g, {aggregates} FROM ({source}) "
+            "GROUP BY GROUPING SETS ((make, model), (make), ())"
+        )
+
+    def of(table: str) -> str:
+        return f"SELECT t.*, e.make, e.model FROM {table} t LEFT JOIN entity e ON t.vehicle_key = e.vehicle_key"
+
+    units = (
+        "SELECT make, model, g, CAST(sum(u) AS BIGINT) AS units FROM (SELECT make, model, CAST(GROUPING(make, model) AS BIGINT) AS g, "
+        f"campaign_number, max(potential_units_affected_int) AS u FROM ({of('f_recall')}) "
+        "GROUP BY GROUPING SETS ((make, model, campaign_number), (make, campaign_number), (campaign_number))) GROUP BY ALL"
+    )
+    parts = {
+        "a": part(f"{_distinct('complaint_id')} AS n, {_distinct('complaint_id', 'severe_report_flag')} AS severe", of("f_complaint")),
+        "b": part(f"{_distinct('campaign_number')} AS n", of("f_recall")),
+        "c": units,
+        "d": part("CAST(median(combined_mpg) AS DOUBLE) AS n", of("f_fuel")),
+        "e": part("avg(evidence_source_count) AS n", "SELECT * FROM mart"),
+        "f": part("count(*) AS n", "SELECT *, CAST(NULL AS VARCHAR) AS make, CAST(NULL AS VARCHAR) AS model FROM f_registration"),
+    }
+    every = " UNION ".join(f"SELECT make, model, g FROM ({p})" for p in parts.values())
+    joins = "".join(
+        f" LEFT JOIN ({p}) {name} ON {name}.make IS NOT DISTINCT FROM k.make AND {name}.model IS NOT DISTINCT FROM k.model AND {name}.g = k.g"
+        for name, p in parts.items()
+    )
+    return with_tables(
+        "SELECT k.make, k.model, k.g AS grouping_id, coalesce(a.n, 0) AS complaint_reports, "
+        "CAST(coalesce(a.severe, 0) AS DOUBLE) / nullif(coalesce(a.n, 0), 0) AS severe_complaint_share, "
+        "coalesce(b.n, 0) AS recall_campaigns, c.units AS potential_units_affected, d.n AS median_combined_mpg, "
+        f"e.n AS average_evidence_sources, coalesce(f.n, 0) AS registration_records FROM ({every}) k{joins}"
+    )
+
+
 _ENTITY_MEASURES = (
     "count(*) AS vehicle_keys, count(*) FILTER (WHERE review_priority = 'CRITICAL') AS critical_review_vehicles, "
     "count(*) FILTER (WHERE review_priority = 'HIGH') AS high_review_vehicles, "
@@ -635,6 +688,7 @@ MEASURES = {
         "avg(evidence_source_count) AS average_evidence_sources",
         "SELECT * FROM mart",
     ),
+    "measures_sets": _sets(),
     "measures_filtered": with_tables(
         "SELECT make, coalesce(complaint_reports, 0) AS complaint_reports, "
         "coalesce(severe_complaint_reports, 0) AS severe_complaint_reports, "

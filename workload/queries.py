@@ -12,7 +12,7 @@ from casefile.operators import dedup, identity, mart, measures, profiling, quali
 from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS
 from casefile.plans import baseline, build, reports
 from casefile.session import scratch_path
-from casefile.sources import contracts, readers, writers
+from casefile.sources import contracts, intake, readers, writers
 from workload import adapter
 
 SETTINGS = adapter.SETTINGS
@@ -218,6 +218,31 @@ def scan_irregular(spark, sf):
     return readers.read_named(spark, _raw_events(spark, sf), IRREGULAR_HEADER)
 
 
+def _taken_in(spark, sf) -> list[intake.Received]:
+    """Raw lines by position and raw events by name, each taken in by one pass."""
+    lines = scratch_path(spark, "raw-lines")
+    _raw_lines(spark, sf).write.text(lines)
+    files = [
+        intake.RawFile("raw_lines", "raw_lines", lines, tuple(RAW_LAYOUT), 11),
+        intake.RawFile("raw_events", "raw_events", _raw_events(spark, sf), tuple(IRREGULAR_HEADER)),
+    ]
+    return intake.receive_all(spark, files, scratch_path(spark, "received"))
+
+
+def rejected_lines(spark, sf):
+    """Whole lines with a wrong number of fields, kept by the pass that writes the good ones."""
+    return _taken_in(spark, sf)[0].rejects(spark).drop("part")
+
+
+def approved_lines(spark, sf):
+    return _taken_in(spark, sf)[0].approved(spark)
+
+
+def intake_audit(spark, sf):
+    """Counts observed on the writes of both files."""
+    return intake.audit(spark, _taken_in(spark, sf), "first", {}).select("table_name", "rows", "rejected_rows", "irregular_rows", "status")
+
+
 def land(spark, sf, tables=tuple(contracts.CONTRACTS)) -> str:
     """Write the extracts as gzip CSV into a new folder and return it."""
     folder = scratch_path(spark, "landing")
@@ -824,6 +849,18 @@ def measures_filtered(spark, sf):
     return measures.measures(names, Model(spark, sf), by=["make"], where=where, where_entity="model_year >= 2000")
 
 
+SETS = [["make", "model"], ["make"], []]
+
+
+def measures_sets(spark, sf):
+    """Distinct, weighted, counted, averaged and median measures by make and model, by make and in all, in one pass."""
+    names = [
+        "complaint_reports", "severe_complaint_share", "recall_campaigns", "potential_units_affected", "median_combined_mpg",
+        "average_evidence_sources", "registration_records",
+    ]
+    return measures.measures(names, Model(spark, sf), by=SETS)
+
+
 def measures_registrations(spark, sf):
     return _both_grains(spark, sf, ["registration_records", "registered_vehicles"], "state_name")
 
@@ -882,6 +919,9 @@ QUERIES = {
     "table_by_name": table_by_name,
     "irregular_rows": irregular_rows,
     "scan_irregular": scan_irregular,
+    "rejected_lines": rejected_lines,
+    "approved_lines": approved_lines,
+    "intake_audit": intake_audit,
     "verify_checksums": verify_checksums,
     "scan_positional": scan_positional,
     "scan_named": scan_named,
@@ -978,6 +1018,7 @@ QUERIES = {
         name: (lambda spark, sf, names=names: _both_grains(spark, sf, names))
         for name, names in MEASURE_GROUPS.items()
     },
+    "measures_sets": measures_sets,
     "measures_filtered": measures_filtered,
     "measures_registrations": measures_registrations,
     "priority_by_reason": _of_model(reports.priority_by_reason, "mart"),
