@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from casefile.operators import identity, mart, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS
-from casefile.plans import baseline, reports
+from casefile.plans import baseline, lookup, reports
 from casefile.settings import Settings
 from casefile.sources import contracts, intake, readers, writers
 
@@ -35,9 +35,20 @@ GOLD_FACTS = {
 
 
 def write_tables(spark: SparkSession, frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write independent tables side by side, so that one table's last tasks do not idle the cluster; read them back."""
+    """Write independent tables side by side, so that one table's last tasks do not idle the cluster; read them back.
+
+    Facts are clustered by entity, for lookups.
+    """
+    records = dict(lookup.CLUSTERED.values())
+
+    def write(name: str) -> None:
+        if name in records:
+            lookup.write_clustered(frames[name], f"{folder}/{name}", records[name])
+        else:
+            writers.replace(frames[name], f"{folder}/{name}")
+
     with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
-        list(pool.map(lambda name: writers.replace(frames[name], f"{folder}/{name}"), frames))
+        list(pool.map(write, frames))
     return {name: spark.read.parquet(f"{folder}/{name}") for name in frames}
 
 
@@ -274,6 +285,11 @@ def current(spark: SparkSession, out: str) -> str:
     return folder
 
 
+def evidence_of(spark: SparkSession, out: str, keys: list[str] | DataFrame) -> DataFrame:
+    """All evidence of the entities in the published snapshot: by conditions on its clustered facts for a few keys."""
+    return reports.entity_drillthrough(lookup.facts(spark, f"{current(spark, out)}/gold"), keys)
+
+
 def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Settings = Settings(), **csv_options) -> dict[str, DataFrame]:
     """Landing folder to reconciled gold tables; raises where a contract, check or reconciliation fails.
 

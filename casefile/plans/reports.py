@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from casefile.functions import label_rank, ratio
 from casefile.functions.labels import ALIAS_ORDER, PRIORITY_ORDER
 from casefile.operators.mart import median_by
+from casefile.plans.lookup import of_entities
 
 
 def _distinct_ids(df: DataFrame, by, id_col: str, name: str) -> DataFrame:
@@ -166,10 +167,10 @@ def formal_timeline(model: dict[str, DataFrame]) -> DataFrame:
     return trend_by_family(model, ("recalls", "investigations"))
 
 
-def entity_drillthrough(model: dict[str, DataFrame], chosen: DataFrame) -> DataFrame:
-    """All evidence of the chosen entity as one timeline.
+def entity_drillthrough(model: dict[str, DataFrame], keys: list[str] | DataFrame) -> DataFrame:
+    """All evidence of the chosen entities as one timeline.
 
-    `chosen` is one row with vehicle_key (an aggregate), the only thing broadcast.
+    `keys` are a few vehicle keys, which become conditions of every fact's scan, or a frame of many.
     """
     parts = [
         ("complaint", "complaint_record_id", "received_date_key", "evidence_topic", "component_name"),
@@ -182,7 +183,7 @@ def entity_drillthrough(model: dict[str, DataFrame], chosen: DataFrame) -> DataF
     frames = []
     for table, record, key, topic, detail in parts:
         frames.append(
-            model[table].select(
+            of_entities(model[table], keys).select(
                 "vehicle_key",
                 F.lit(table).alias("source_family"),
                 F.col(record).cast("string").alias("record_id"),
@@ -191,11 +192,11 @@ def entity_drillthrough(model: dict[str, DataFrame], chosen: DataFrame) -> DataF
                 F.concat_ws(" | ", *detail.split()).alias("detail"),
             )
         )
-    return reduce(DataFrame.unionByName, frames).join(F.broadcast(chosen.select("vehicle_key")), "vehicle_key")
+    return reduce(DataFrame.unionByName, frames)
 
 
 def entity_header(mart: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Identity, match status, labels with their reasons, and counts of the chosen entity; `chosen` as above."""
+    """Identity, match status, labels with their reasons, and counts of the chosen entity, one row with its vehicle_key."""
     columns = (
         "vehicle_key vehicle_label make model model_year reference_match_status reference_year_eligible "
         "review_priority review_reason alias_priority alias_reason complaint_reports severe_complaint_reports "

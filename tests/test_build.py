@@ -47,6 +47,12 @@ def test_full_build(spark, landing, tmp_path):
     audit = spark.read.parquet(f"{out}/audit_bronze_ingestion")
     assert audit.count() == 7 and audit.filter("status = 'FAIL'").count() == 0
 
+    # the evidence of one entity, from the published facts
+    key = mart.where("complaint_reports > 1").selectExpr("min(vehicle_key)").first()[0]
+    evidence = build.evidence_of(spark, out, [key]).collect()
+    assert evidence and {r["vehicle_key"] for r in evidence} == {key}
+    assert sum(r["source_family"] == "complaint" for r in evidence) == fact.where(F.col("vehicle_key") == key).count()
+
     # a second batch replaces the snapshot and adds to the audit
     again = build.run(spark, landing, out, "20260102T000000Z", queries.SETTINGS)
     assert again["gold_agg_vehicle_evidence"].count() == entities

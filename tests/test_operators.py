@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from casefile.operators import conform, dedup, identity, mart, measures, profiling, quality, rules, star
-from casefile.plans import baseline, reports
+from casefile.plans import baseline, lookup, reports
 from casefile.settings import SOURCE_SYSTEMS, Settings
 from casefile.sources.contracts import CONTRACTS
 
@@ -428,7 +428,7 @@ def test_pareto_and_top(model):
 
 
 def test_drillthrough(model):
-    rows = reports.entity_drillthrough(model, model["entity"].filter("make = 'FIAT'").agg(F.min("vehicle_key").alias("vehicle_key")))
+    rows = reports.entity_drillthrough(model, lookup.listed(model["entity"].filter("make = 'FIAT'")))
     assert sorted(r["source_family"] for r in rows.collect()) == ["complaint", "investigation", "investigation",
                                                                   "investigation", "recall", "recall"]
 

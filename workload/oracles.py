@@ -731,11 +731,40 @@ def _monthly(role: str) -> str:
     )
 
 
-def _drill(label: str, table: str, record: str, key: str, topic: str, detail: str) -> str:
+def _drill(label: str, table: str, record: str, key: str, topic: str, detail: str, most: int) -> str:
     return (
         f"SELECT t.vehicle_key, '{label}' AS source_family, CAST({record} AS VARCHAR) AS record_id, "
         f"{key} AS date_key, {topic} AS evidence_topic, {detail} AS detail FROM {table} t "
-        "WHERE t.vehicle_key = (SELECT min(vehicle_key) FROM mart WHERE review_priority = 'CRITICAL')"
+        f"WHERE t.vehicle_key IN (SELECT vehicle_key FROM mart WHERE review_priority = 'CRITICAL' ORDER BY vehicle_key LIMIT {most})"
+    )
+
+
+def _evidence(most: int) -> str:
+    """All evidence of the critical entities with the smallest keys."""
+    facts = [
+        ("complaint", "f_complaint", "complaint_record_id", "received_date_key", "evidence_topic", "component_name"),
+        ("recall", "f_recall", "recall_record_id", "report_received_date_key", "evidence_topic",
+         "consequence_summary || ' | ' || corrective_action"),
+        ("investigation", "f_investigation", "investigation_record_key", "opened_date_key", "evidence_topic", "subject || ' | ' || summary"),
+        ("communication", "f_communication", "communication_record_key", "communication_date_key", "evidence_topic", "summary"),
+        ("ncap", "f_ncap", "ncap_variant_key", "NULL", "NULL", "body_style"),
+        ("fuel", "f_fuel", "epa_vehicle_id", "NULL", "NULL", "vehicle_class"),
+    ]
+    return with_tables(" UNION ALL ".join(_drill(*one, most) for one in facts))
+
+
+def _rollup(table: str, date: str, counts: dict[str, tuple[str, str | None]]) -> str:
+    """Distinct ids, a missing one as one value, by (year, make), (year, month), topic, make and in all."""
+    columns = "year, make, month, evidence_topic"
+    totals = ", ".join(
+        f"count(DISTINCT CASE WHEN {c} THEN coalesce({i}, '(missing)') END) AS {n}" if c else f"count(DISTINCT coalesce({i}, '(missing)')) AS {n}"
+        for n, (i, c) in counts.items()
+    )
+    return with_tables(
+        f"SELECT {columns}, CAST(GROUPING({columns}) AS BIGINT) AS grouping_id, {totals} FROM (SELECT t.*, e.make, "
+        f"CAST({date} // 10000 AS INTEGER) AS year, CAST(({date} // 100) % 100 AS INTEGER) AS month "
+        f"FROM {table} t LEFT JOIN entity e ON t.vehicle_key = e.vehicle_key) "
+        "GROUP BY GROUPING SETS ((year, make), (year, month), (evidence_topic), (make), ())"
     )
 
 
@@ -753,21 +782,17 @@ REPORTS = {
         "SELECT vehicle_key, vehicle_label, review_priority, complaint_reports, severe_complaint_share, "
         "recall_campaigns FROM mart WHERE complaint_reports > 0"
     ),
-    "entity_drillthrough": with_tables(
-        " UNION ALL ".join(
-            [
-                _drill("complaint", "f_complaint", "complaint_record_id", "received_date_key", "evidence_topic",
-                       "component_name"),
-                _drill("recall", "f_recall", "recall_record_id", "report_received_date_key", "evidence_topic",
-                       "consequence_summary || ' | ' || corrective_action"),
-                _drill("investigation", "f_investigation", "investigation_record_key", "opened_date_key",
-                       "evidence_topic", "subject || ' | ' || summary"),
-                _drill("communication", "f_communication", "communication_record_key", "communication_date_key",
-                       "evidence_topic", "summary"),
-                _drill("ncap", "f_ncap", "ncap_variant_key", "NULL", "NULL", "body_style"),
-                _drill("fuel", "f_fuel", "epa_vehicle_id", "NULL", "NULL", "vehicle_class"),
-            ]
-        )
+    "entity_drillthrough": _evidence(1),
+    "entity_lookup": _evidence(5),
+    "distinct_rollup_complaints": _rollup(
+        "f_complaint",
+        "received_date_key",
+        {"complaint_reports": ("complaint_id", None), "severe_complaint_reports": ("complaint_id", "severe_report_flag")},
+    ),
+    "distinct_rollup_recalls": _rollup(
+        "f_recall",
+        "report_received_date_key",
+        {"recall_campaigns": ("campaign_number", None), "do_not_drive_campaigns": ("campaign_number", "do_not_drive")},
     ),
     "entity_header": with_tables(
         "SELECT vehicle_key, vehicle_label, make, model, model_year, reference_match_status, reference_year_eligible, "

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile import functions as fx
-from casefile.operators import dedup, identity, mart, measures, profiling, quality, rules, star
+from casefile.operators import dedup, distinct_states, identity, mart, measures, profiling, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS
-from casefile.plans import baseline, build, reports
+from casefile.plans import baseline, build, lookup, reports
 from casefile.session import scratch_path
 from casefile.sources import contracts, intake, readers, writers
 from workload import adapter
@@ -905,8 +905,54 @@ def evidence_baseline(spark, sf):
 
 
 def entity_drillthrough(spark, sf):
-    model = Model(spark, sf, staged=True)
-    return reports.entity_drillthrough(model, reports.first_critical(model["mart"]))
+    """The key first, then each source under a condition on it; nothing is staged."""
+    model = Model(spark, sf)
+    return reports.entity_drillthrough(model, lookup.listed(reports.first_critical(model["mart"])))
+
+
+def entity_lookup(spark, sf):
+    """Evidence of the five critical entities with the smallest keys, from facts written for lookups."""
+    model, gold = Model(spark, sf), scratch_path(spark, "gold")
+    for name, (table, record) in lookup.CLUSTERED.items():
+        lookup.write_clustered(model[name], f"{gold}/{table}", record)
+    critical = model["mart"].where("review_priority = 'CRITICAL'").select("vehicle_key").orderBy("vehicle_key").limit(5)
+    return reports.entity_drillthrough(lookup.facts(spark, gold), lookup.listed(critical))
+
+
+STATES = {
+    "complaint": distinct_states.DistinctState("complaint_reports", "complaint_id", {"severe_complaint_reports": "severe_report_flag"}),
+    "recall": distinct_states.DistinctState("recall_campaigns", "campaign_number", {"do_not_drive_campaigns": "do_not_drive"}),
+}
+STATE_CONTEXTS = [["year", "make"], ["year", "month"], ["evidence_topic"], ["make"], []]
+
+
+def _distinct_state(spark, sf, name: str, date: str):
+    """States of one fact at the grain topic, month, make, stored for two batches: records of even and of odd years."""
+    state, model = STATES[name], Model(spark, sf)
+    entity = model["entity"].select("vehicle_key", "make")
+    dated = model[name].join(entity, "vehicle_key", "left").select(
+        "*", F.expr(f"{date} DIV 10000").cast("int").alias("year"), F.expr(f"({date} DIV 100) % 100").cast("int").alias("month")
+    )
+    rows = scratch_path(spark, "dated")
+    writers.replace(dated.select("evidence_topic", "year", "month", "make", state.id_col, *state.flags.values()), rows)
+    rows, grain, numbers, parts = spark.read.parquet(rows), ["evidence_topic", "year", "month", "make"], None, []
+    for batch in (0, 1):
+        own = rows.where(F.coalesce(F.col("year"), F.lit(0)) % 2 == batch)
+        numbers = distinct_states.number_ids(own, state.id_col, scratch_path(spark, "numbers"), numbers)
+        stored = scratch_path(spark, "distinct-states")
+        writers.replace(distinct_states.states(own, numbers, state, grain), stored)
+        parts.append(spark.read.parquet(stored))
+    return distinct_states.counts(distinct_states.merged(parts, state, grain), state, STATE_CONTEXTS)
+
+
+def distinct_rollup_complaints(spark, sf):
+    """Distinct complaints, and severe ones, by five contexts from stored states of two batches."""
+    return _distinct_state(spark, sf, "complaint", "received_date_key")
+
+
+def distinct_rollup_recalls(spark, sf):
+    """Distinct campaigns, and urgent ones, by five contexts from stored states of two batches."""
+    return _distinct_state(spark, sf, "recall", "report_received_date_key")
 
 
 def entity_header(spark, sf):
@@ -1025,6 +1071,9 @@ QUERIES = {
     "top20_queue": _of_model(reports.top_queue, "review_queue"),
     "scatter_severity": _of_model(reports.scatter_severity, "mart"),
     "entity_drillthrough": entity_drillthrough,
+    "entity_lookup": entity_lookup,
+    "distinct_rollup_complaints": distinct_rollup_complaints,
+    "distinct_rollup_recalls": distinct_rollup_recalls,
     "entity_header": entity_header,
     "queue_unresolved_share": _of_model(reports.queue_unresolved_share, "mart"),
     "trend_by_family": _whole_model(reports.trend_by_family),
