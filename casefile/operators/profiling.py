@@ -68,7 +68,9 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
     """One row of 18 metrics for a landed source, from one scan.
 
     Rows are grouped by their digest together with their id and identity, which are functions of the row;
-    every count, the distinct ones too, is then taken from that smaller frame.
+    every count is then taken from that smaller frame. Ids and identities are told apart by a grouping each,
+    over the same shuffled frame, so no row is expanded. What these give is one row each, brought together
+    by a union.
     """
     vehicle, year, n = F.col("_vehicle"), F.col("_year"), F.col("n")
     make = _present(spec.make) if spec.make else F.lit(False)
@@ -85,7 +87,8 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
         make.alias("make"),
         model.alias("model"),
     )
-    per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    # the condition keeps the count in the grouping of every branch, so that they are one grouping to Spark
+    per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).filter("n > 0")
 
     def rows_where(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
@@ -93,8 +96,6 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
     counted = per_row.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count("*").alias("distinct_rows"),
-        F.count_distinct("id").alias("distinct_business_ids"),
-        F.count_distinct("identity").alias("distinct_normalized_vehicle_keys"),
         rows_where(vehicle).alias("vehicle_rows"),
         rows_where(F.col("identity").isNotNull()).alias("valid_vehicle_rows"),
         rows_where(vehicle & ~F.col("make")).alias("missing_make"),
@@ -105,10 +106,15 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
         F.min("day").alias("min_source_date"),
         F.max("day").alias("max_source_date"),
     )
-    bad = F.lit(0).cast("bigint")
-    if malformed is not None:
-        counted = counted.crossJoin(F.broadcast(malformed.agg(F.count("*").alias("bad"))))  # one row each
-        bad = F.col("bad")
+    singles = [
+        counted,
+        per_row.filter("id IS NOT NULL").groupBy("id").agg(F.max("n")).agg(F.count("*").alias("distinct_business_ids")),
+        per_row.filter("identity IS NOT NULL").groupBy("identity").agg(F.max("n")).agg(F.count("*").alias("distinct_normalized_vehicle_keys")),
+    ]
+    singles.append((rows.limit(0) if malformed is None else malformed).agg(F.count("*").alias("bad")))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
+    counted = together.agg(*[F.max(c).alias(c) for c in together.columns])
+    bad = F.col("bad")
     total = F.col("rows") + bad
     return counted.select(
         F.lit(spec.source_id).alias("source_id"),

@@ -1,8 +1,8 @@
 """The mart computed a second time, from the landed text rows, to reconcile against.
 
 Nothing of the main route's identity, flags, casts, events, aggregates or medians is used: names are
-normalised by splitting instead of replacing, events are conditional distinct counts over rows instead
-of maxima over events, medians run over rows instead of value counts, and sources are joined to the
+normalised by splitting instead of replacing, events are those with a number of matching rows instead
+of maxima of flags, medians run over rows instead of value counts, and sources are joined to the
 entity list instead of united. Shared are the choice of the surviving record (`dedup_by_key`) and the
 rules that turn counts into labels.
 """
@@ -59,15 +59,6 @@ def _is_day(column: str) -> str:
     return f"(trim({column}) RLIKE '^[0-9]{{8}}$' AND try_to_timestamp(trim({column}), 'yyyyMMdd') IS NOT NULL)"
 
 
-def _distinct(name: str, column: str, condition: str = "true") -> str:
-    return f"count(DISTINCT CASE WHEN {condition} THEN nullif(trim({column}), '') END) AS {name}"
-
-
-def _flagged(name: str, column: str, condition: str) -> str:
-    """Events for which the condition holds on some row; rows without an id are one event."""
-    return f"count(DISTINCT CASE WHEN {condition} THEN coalesce(trim({column}), '') END) AS {name}"
-
-
 def _median(name: str, column: str) -> str:
     return f"percentile({_number(column)}, 0.5) AS {name}"
 
@@ -76,31 +67,45 @@ _SEVERE = (
     f"({_yes('crash_flag')} OR {_yes('fire_flag')} OR coalesce({_number('injury_count')}, 0) > 0 "
     f"OR coalesce({_number('death_count')}, 0) > 0)"
 )
-# Contract table -> aggregates per entity.
+# Contract table -> id of its events, and count -> (condition on a row, do rows without an id make an event).
+_EVENTS = {
+    "complaints": (
+        "complaint_id",
+        {
+            "complaint_reports": ("true", False),
+            "severe_complaint_reports": (_SEVERE, True),
+            "crash_reported_complaints": (_yes("crash_flag"), True),
+            "fire_reported_complaints": (_yes("fire_flag"), True),
+        },
+    ),
+    "recalls": (
+        "campaign_number",
+        {
+            "recall_campaigns": ("true", False),
+            "do_not_drive_campaigns": (_yes("do_not_drive_flag"), False),
+            "park_outside_campaigns": (_yes("park_outside_flag"), False),
+        },
+    ),
+    "investigations": (
+        "investigation_number",
+        {
+            "investigations": ("true", False),
+            "open_investigations": (f"NOT coalesce({_is_day('closed_date')}, false)", False),
+        },
+    ),
+}
+# Contract table -> largest amount of an event, added up over events.
+_AMOUNTS = {"complaints": {"reported_injuries": "injury_count", "reported_deaths": "death_count"}}
+# Contract table -> aggregates over the rows of an entity; one distinct count each.
 _AGGREGATES = {
-    "complaints": [
-        _distinct("complaint_reports", "complaint_id"),
-        _flagged("severe_complaint_reports", "complaint_id", _SEVERE),
-        _flagged("crash_reported_complaints", "complaint_id", _yes("crash_flag")),
-        _flagged("fire_reported_complaints", "complaint_id", _yes("fire_flag")),
-    ],
-    "recalls": [
-        _distinct("recall_campaigns", "campaign_number"),
-        _distinct("do_not_drive_campaigns", "campaign_number", _yes("do_not_drive_flag")),
-        _distinct("park_outside_campaigns", "campaign_number", _yes("park_outside_flag")),
-    ],
-    "investigations": [
-        _distinct("investigations", "investigation_number"),
-        _distinct("open_investigations", "investigation_number", f"NOT coalesce({_is_day('closed_date')}, false)"),
-    ],
-    "manufacturer_communications": [_distinct("manufacturer_documents", "document_id")],
+    "manufacturer_communications": ["count(DISTINCT nullif(trim(document_id), '')) AS manufacturer_documents"],
     "ncap_ratings": [
         "count(DISTINCT coalesce(body_style, ''), coalesce(vehicle_type, ''), coalesce(drive_train, ''), "
         "coalesce(num_of_seating, '')) AS ncap_tested_variants",
         _median("median_overall_stars", "overall_stars"),
     ],
     "fuel_economy": [
-        _distinct("epa_variants", "id"),
+        "count(DISTINCT nullif(trim(id), '')) AS epa_variants",
         _median("median_combined_mpg", "comb08"),
         _median("median_annual_fuel_cost", "fuelCost08"),
     ],
@@ -128,34 +133,43 @@ def _records(landed: DataFrame, table: str, settings: Settings) -> DataFrame:
     return dedup_by_key(keyed, keys, digest_of=contract).filter(valid).drop(*keys)
 
 
-def _severity_amounts(complaints: DataFrame) -> DataFrame:
-    """Injuries and deaths of an entity: the largest number any row of a complaint gives, added up."""
-    return (
-        complaints.selectExpr(
-            "e_make", "e_model", "e_year", "nullif(trim(complaint_id), '') AS event",
-            f"coalesce({_number('injury_count')}, 0) AS injured", f"coalesce({_number('death_count')}, 0) AS dead",
-        )
-        .groupBy("e_make", "e_model", "e_year", "event")
-        .agg(F.max("injured").alias("injured"), F.max("dead").alias("dead"))
-        .groupBy("e_make", "e_model", "e_year")
-        .agg(F.sum("injured").alias("reported_injuries"), F.sum("dead").alias("reported_deaths"))
-    )
+_ENTITY_KEY = ["e_make", "e_model", "e_year"]
+
+
+def _event_counts(records: DataFrame, table: str) -> DataFrame:
+    """Counts per entity: rows that meet a condition are counted per event, then events that have any. No row is expanded."""
+    id_col, named = _EVENTS[table]
+    amounts = _AMOUNTS.get(table, {})
+    rows = records.selectExpr(
+        *_ENTITY_KEY,
+        f"nullif(trim({id_col}), '') AS event",
+        *[f"{condition} AS {name}" for name, (condition, _) in named.items()],
+        *[f"coalesce({_number(column)}, 0) AS {name}" for name, column in amounts.items()],
+    )
+    per_event = rows.groupBy(*_ENTITY_KEY, "event").agg(
+        *[F.count_if(name).alias(name) for name in named], *[F.max(name).alias(name) for name in amounts]
+    )
+    without_id = {name: F.lit(counts) for name, (_, counts) in named.items()}
+    return per_event.groupBy(*_ENTITY_KEY).agg(
+        *[F.count_if((F.col(name) > 0) & (F.col("event").isNotNull() | without_id[name])).alias(name) for name in named],
+        *[F.sum(name).alias(name) for name in amounts],
+    )
 
 
 def baseline_mart(bronze: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """Landed tables (contract name -> rows) to the mart."""
     # Source-system labels by contract table.
     systems = dict(zip(_IDENTITY, settings.source_systems.values(), strict=True))
-    entity = ["e_make", "e_model", "e_year"]
+    entity = _ENTITY_KEY
     records = {table: _records(bronze[table], table, settings) for table in _IDENTITY}
-    parts = [
+    parts = [_event_counts(records[table], table).withColumn(f"in_{table}", F.lit(systems[table])) for table in _EVENTS]
+    parts += [
         records[table].groupBy(*entity).agg(*[F.expr(sql) for sql in sqls], F.lit(systems[table]).alias(f"in_{table}"))
         for table, sqls in _AGGREGATES.items()
     ]
-    parts.append(_severity_amounts(records["complaints"]))
     # One row per entity on every side, all partitioned by the same columns.
     wide = reduce(lambda a, b: a.join(b, entity, "full"), parts)
-    present = F.array_compact(F.array(*[F.col(f"in_{table}") for table in _AGGREGATES]))
+    present = F.array_compact(F.array(*[F.col(f"in_{table}") for table in _IDENTITY]))
     matched = F.arrays_overlap(present, F.array(*[F.lit(s) for s in settings.reference_systems]))
     counts = [c for part in parts for c in part.columns if c not in entity and not c.startswith(("in_", "median_"))]
     described = wide.fillna(0, subset=counts).select(

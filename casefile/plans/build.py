@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casefile.operators import identity, mart, quality, rules, star
+from casefile.operators import fingerprints, identity, mart, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS
 from casefile.plans import baseline, lookup, reports
 from casefile.settings import Settings
@@ -34,6 +35,15 @@ GOLD_FACTS = {
 }
 
 
+# Gold fact table -> its date keys.
+DATE_KEYS = {
+    "gold_fact_complaint": ["incident_date_key", "received_date_key"],
+    "gold_fact_recall": ["report_received_date_key"],
+    "gold_fact_investigation": ["opened_date_key", "closed_date_key"],
+    "gold_fact_manufacturer_communication": ["communication_date_key"],
+}
+
+
 def write_tables(spark: SparkSession, frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """Write independent tables side by side, so that one table's last tasks do not idle the cluster; read them back.
 
@@ -167,8 +177,19 @@ def conform(spark: SparkSession, bronze: dict[str, DataFrame], out: str, setting
     return write_tables(spark, frames, f"{out}/silver")
 
 
-def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """Bridge, queues, dimensions, facts, mart and quality checks; a failed check stops the run after it is written."""
+def build_gold(
+    spark: SparkSession,
+    silver: dict[str, DataFrame],
+    out: str,
+    settings: Settings = Settings(),
+    mapping: DataFrame | None = None,
+    moment: datetime | None = None,
+) -> dict[str, DataFrame]:
+    """Bridge, queues, dimensions, facts, mart and quality checks; a failed check stops the run after it is written.
+
+    With a mapping of reviewed aliases the bridge's canonical keys follow the decisions in force at `moment`,
+    which are written beside it. Whether an entity matches a reference is decided by its own identity only.
+    """
     folder = f"{out}/gold"
     systems = list(settings.source_systems.values())
     first = write_tables(
@@ -183,7 +204,11 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, sett
         folder,
     )
     masks, evidence = first["silver_vehicle_identity"], first["gold_agg_vehicle_evidence"]
-    bridge = identity.bridge_of(masks, systems, settings=settings)
+    bridge, in_force = identity.bridge_of(masks, systems, settings=settings), {}
+    if mapping is not None:
+        aliases = identity.approved_aliases(mapping, moment)
+        in_force = write_tables(spark, {"silver_vehicle_alias_in_force": aliases}, folder)
+        bridge = identity.with_canonical(bridge, in_force["silver_vehicle_alias_in_force"])
     second = write_tables(
         spark,
         {
@@ -196,11 +221,18 @@ def build_gold(spark: SparkSession, silver: dict[str, DataFrame], out: str, sett
         },
         folder,
     )
-    tables = {**first, **second}
+    tables = {**first, **second, **in_force}
     facts = {t: tables[t] for t in GOLD_FACTS if "vehicle_key" in tables[t].columns}
     checks = quality.dq_checks(
         tables["gold_dim_vehicle"], facts, tables["gold_alias_work_queue"], F.current_timestamp()
     )
+    semantic = quality.dq_semantic(
+        evidence,
+        {"complaint_reports": (tables["gold_fact_complaint"], "complaint_id"), "recall_campaigns": (tables["gold_fact_recall"], "campaign_number")},
+        tables["gold_dim_date"],
+        {column: tables[table] for table, columns in DATE_KEYS.items() for column in columns},
+    )
+    checks = checks.unionByName(semantic.withColumn("checked_at", F.current_timestamp()))
     tables |= write_tables(spark, {"gold_data_quality_checks": checks}, folder)
     quality.gate_checks(tables["gold_data_quality_checks"])
     return tables
@@ -219,12 +251,23 @@ def export_curated(spark: SparkSession, gold: dict[str, DataFrame], out: str, au
     writers.export(trust, f"{out}/export/data_trust.parquet")
 
 
-def reconcile(bronze: dict[str, DataFrame], gold: dict[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
-    """The written mart against the mart computed from the landed rows by the other route."""
-    return quality.reconcile(
-        quality.mart_metrics(gold["gold_agg_vehicle_evidence"]),
-        quality.mart_metrics(baseline.baseline_mart(bronze, settings)),
-    )
+def reconcile(spark: SparkSession, bronze: dict[str, DataFrame], gold: dict[str, DataFrame], folder: str, settings: Settings = Settings()) -> DataFrame:
+    """The written mart against the mart computed from the landed rows by the other route; a difference stops the run.
+
+    Totals are compared metric by metric, then entities by fingerprints, which find errors that cancel in the
+    totals and name their entities. The other mart, both results and the differences are written first.
+    """
+    mart = gold["gold_agg_vehicle_evidence"]
+    other = write_tables(spark, {"mart": baseline.baseline_mart(bronze, settings)}, f"{folder}/baseline")["mart"]
+    found = {
+        "reconciliation": quality.reconcile(quality.mart_metrics(mart), quality.mart_metrics(other)),
+        "reconciliation_differences": fingerprints.differences(mart, other, "vehicle_key"),
+    }
+    found = write_tables(spark, found, f"{folder}/gold")
+    quality.gate(found["reconciliation"], ~F.col("passed"), "metric", "Reconciliation")
+    columns = found["reconciliation_differences"].select("column").distinct()  # at most one row a column
+    quality.gate(columns, F.lit(True), "column", "Reconciliation of entities")
+    return found["reconciliation"]
 
 
 POINTER = "version long, batch_id string, folder string, parent long, published_at timestamp"
@@ -290,9 +333,25 @@ def evidence_of(spark: SparkSession, out: str, keys: list[str] | DataFrame) -> D
     return reports.entity_drillthrough(lookup.facts(spark, f"{current(spark, out)}/gold"), keys)
 
 
-def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Settings = Settings(), **csv_options) -> dict[str, DataFrame]:
+def batch_moment(batch: str) -> datetime:
+    """The time that a batch id names."""
+    return datetime.strptime(batch, "%Y%m%dT%H%M%SZ").replace(tzinfo=UTC)
+
+
+def run(
+    spark: SparkSession,
+    landing: str,
+    out: str,
+    batch: str,
+    settings: Settings = Settings(),
+    aliases: DataFrame | None = None,
+    **csv_options,
+) -> dict[str, DataFrame]:
     """Landing folder to reconciled gold tables; raises where a contract, check or reconciliation fails.
 
+    `aliases` are review decisions (`identity.ALIAS_MAPPING`); those of the batch's time count, so an older
+    batch that is built again has the canonical keys of its day.
+
     The snapshot is written to a folder of its own and published after the last check, so readers never
     see a failed or half-written one.
     """
@@ -300,9 +359,8 @@ def run(spark: SparkSession, landing: str, out: str, batch: str, settings: Setti
     bronze = ingest(spark, landing, out, batch, **csv_options)
     folder = f"{out}/snapshots/{batch}-{uuid.uuid4().hex}"
     silver = conform(spark, bronze, folder, settings)
-    gold = build_gold(spark, silver, folder, settings)
+    gold = build_gold(spark, silver, folder, settings, aliases, batch_moment(batch) if aliases is not None else None)
     export_curated(spark, gold, folder, f"{out}/audit_bronze_ingestion")
-    result = write_tables(spark, {"reconciliation": reconcile(bronze, gold, settings)}, f"{folder}/gold")["reconciliation"]
-    quality.gate(result, ~F.col("passed"), "metric", "Reconciliation")
+    result = reconcile(spark, bronze, gold, folder, settings)
     publish(spark, out, folder, batch, parent)
     return {**gold, "reconciliation": result}

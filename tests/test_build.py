@@ -53,8 +53,15 @@ def test_full_build(spark, landing, tmp_path):
     assert evidence and {r["vehicle_key"] for r in evidence} == {key}
     assert sum(r["source_family"] == "complaint" for r in evidence) == fact.where(F.col("vehicle_key") == key).count()
 
-    # a second batch replaces the snapshot and adds to the audit
-    again = build.run(spark, landing, out, "20260102T000000Z", queries.SETTINGS)
+    # a second batch replaces the snapshot and adds to the audit; aliases decided by its time change its bridge
+    keys = [r[0] for r in gold["gold_dim_vehicle"].select("vehicle_key").orderBy("vehicle_key").limit(4).collect()]
+    day = build.batch_moment("20260101T120000Z")
+    rows = [(k, t, "APPROVED", "r", day if k != keys[2] else build.batch_moment("20260103T000000Z"), "why", "HIGH") for k, t in zip(keys, keys[1:], strict=False)]
+    decisions = spark.createDataFrame(rows, build.identity.ALIAS_MAPPING)
+    again = build.run(spark, landing, out, "20260102T000000Z", queries.SETTINGS, aliases=decisions)
+    remapped = again["silver_vehicle_identity_bridge"].filter("canonical_vehicle_key <> vehicle_key")
+    assert {tuple(r) for r in remapped.select("vehicle_key", "canonical_vehicle_key").collect()} == {(keys[0], keys[2]), (keys[1], keys[2])}
+    assert gold["silver_vehicle_identity_bridge"].filter("canonical_vehicle_key <> vehicle_key").count() == 0
     assert again["gold_agg_vehicle_evidence"].count() == entities
     assert build.current(spark, out) != published
     assert spark.read.parquet(f"{out}/audit_bronze_ingestion").count() == 14

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from casefile.operators import distinct_states, measures
+from casefile.operators import distinct_states, fingerprints, measures
 from casefile.plans import lookup
 from workload import queries
 
@@ -153,3 +153,51 @@ def test_states_of_the_given_facts_equal_the_measures(spark):
 def test_empty_states(spark, tmp_path):
     _, stored = stored_states(spark, tmp_path, [], 1)
     assert distinct_states.counts(stored, STATE, [["topic"], []]).collect() == []
+
+
+# --- where two tables differ -----------------------------------------------------------------
+
+PLAN = fingerprints.TreePlan(levels=2)
+
+
+def marts(spark, n=2000):
+    return spark.range(n).selectExpr("concat('k', id) AS key", "id AS a", "id % 7 AS b", "IF(id % 5 = 0, NULL, id / 3) AS c", "string(id % 3) AS d")
+
+
+def test_swapped_values_that_cancel_in_the_totals_are_named(spark):
+    good = marts(spark)
+    swapped = good.withColumn("a", F.when(F.col("key") == "k10", 20).when(F.col("key") == "k20", 10).otherwise(F.col("a")))
+    assert swapped.agg(F.sum("a")).first() == good.agg(F.sum("a")).first()
+    found = sorted(tuple(r) for r in fingerprints.differences(swapped, good, "key", plan=PLAN).collect())
+    assert found == [("k10", "a", "20", "10"), ("k20", "a", "10", "20")]
+
+
+def test_missing_rows_nulls_and_fractions(spark):
+    good = marts(spark)
+    bad = good.where("key <> 'k3'").withColumn("c", F.when(F.col("key") == "k5", 0.0).when(F.col("key") == "k7", F.col("c") + 1e-12).otherwise(F.col("c")))
+    bad = bad.unionByName(spark.createDataFrame([("new", 1, 2, None, None)], bad.schema))
+    found = sorted(tuple(r) for r in fingerprints.differences(bad, good, "key", plan=PLAN).collect())
+    assert found == [("k3", "(row)", "missing", "present"), ("k5", "c", "0.0", None), ("new", "(row)", "present", "missing")]
+    assert fingerprints.differences(good, good.repartition(7), "key", plan=PLAN).count() == 0
+    assert fingerprints.differences(good.limit(0), good.limit(0), "key", plan=PLAN).count() == 0
+
+
+def test_only_unequal_buckets_are_joined(spark, tmp_path):
+    good = marts(spark)
+    good.write.parquet(str(tmp_path / "good"))
+    good = spark.read.parquet(str(tmp_path / "good"))
+    bad = good.withColumn("b", F.when(F.col("key") == "k77", -1).otherwise(F.col("b")))
+    trees = [fingerprints.tree(fingerprints.leaves(df, "key", ["a", "b", "c", "d"], PLAN), PLAN) for df in (bad, good)]
+    assert [level.count() for level in trees[1]] == [1, 16, 256]
+    assert [level.agg(F.sum("n")).first()[0] for level in trees[1]] == [2000] * 3
+    assert fingerprints.unequal_buckets(*trees).count() == 1
+    same = fingerprints.unequal_buckets(trees[1], [level for level in trees[1]])
+    assert same.count() == 0
+
+
+def test_equal_and_repeated_rows_have_fingerprints_whatever_their_order(spark):
+    frame = marts(spark, 50)
+    one, other = (fingerprints.leaves(df, "key", ["a"], PLAN) for df in (frame.orderBy("a"), frame.orderBy(F.desc("a"))))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+    twice = fingerprints.leaves(frame.union(frame), "key", ["a"], PLAN)
+    assert fingerprints.unequal_buckets(fingerprints.tree(one, PLAN), fingerprints.tree(twice, PLAN)).count() == one.count()

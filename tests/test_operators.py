@@ -169,7 +169,7 @@ def test_alias_what_if(spark, silver):
     assert identity.alias_what_if(bridge, withdrawn, records).first()["keys_after"] == 3
     for refused, what in [
         (mapping(decision(fiat, ford), decision(fiat, volvo)), "twice"),
-        (mapping(decision(fiat, volvo), decision(volvo, ford)), "itself mapped"),
+        (mapping(decision(fiat, volvo), decision(volvo, ford), decision(ford, fiat)), "cycle"),
         (mapping(decision(fiat, fiat)), "no other target"),
         (mapping(decision(fiat, ford, "MAYBE")), "unknown status"),
         (mapping(decision(fiat, ford, reviewer=" ")), "without reviewer"),
@@ -178,6 +178,40 @@ def test_alias_what_if(spark, silver):
             identity.apply_alias(bridge, refused)
 
 
+def test_aliases_as_of_a_time_and_chains(spark):
+    def at(day):
+        return datetime.datetime(2026, 1, day, tzinfo=datetime.UTC)
+
+    def mapping(*rows):
+        full = [(k, t, status, "r", at(day), "why", "HIGH") for k, t, status, day in rows]
+        return spark.createDataFrame(full, identity.ALIAS_MAPPING)
+
+    keys = spark.createDataFrame([(k,) for k in "abcdexyz"], "vehicle_key string")
+
+    def canonical(decisions, moment=None):
+        rows = identity.apply_alias(keys, decisions, moment=moment).collect()
+        return {r["vehicle_key"]: r["canonical_vehicle_key"] for r in rows if r["vehicle_key"] != r["canonical_vehicle_key"]}
+
+    chain = mapping(*[(k, t, "APPROVED", i) for i, (k, t) in enumerate(["ab", "bc", "cd", "de", "xy"], 1)], ("c", "d", "REJECTED", 7))
+    assert canonical(chain, at(5)) == {"a": "e", "b": "e", "c": "e", "d": "e", "x": "y"}
+    assert canonical(chain) == canonical(chain, at(7)) == {"a": "c", "b": "c", "d": "e", "x": "y"}
+    assert canonical(chain, at(2)) == {"a": "c", "b": "c"} and canonical(chain, datetime.datetime(2025, 12, 31, tzinfo=datetime.UTC)) == {}
+    steps = identity.close_chains(identity.known_at(chain, at(5))).collect()
+    assert {r["vehicle_key"]: r["steps"] for r in steps} == {"a": 4, "b": 3, "c": 2, "d": 1, "x": 1}
+    assert identity.close_chains(chain.limit(0)).count() == 0
+
+    # cycles of every length, with a way that leads there; one decided later has no say before
+    for length in (2, 3, 4, 5):
+        ring = [("abcde"[i], "abcde"[(i + 1) % length], "APPROVED", i + 1) for i in range(length)]
+        with pytest.raises(ValueError, match="cycle"):
+            canonical(mapping(*ring, ("x", "a", "APPROVED", 1)))
+        assert canonical(mapping(*ring), at(length - 1)) == {k: "abcde"[length - 1] for k in "abcde"[: length - 1]}
+
+    found = identity.decisions_at(chain, {"old": at(6), "new": at(8)}).collect()
+    assert {r["vehicle_key"]: r["status"] for r in found if r["batch_id"] == "old"} == dict.fromkeys("abcdx", "APPROVED")
+    assert {r["vehicle_key"]: r["status"] for r in found if r["batch_id"] == "new"}["c"] == "REJECTED" and len(found) == 10
+
+
 def by_make(frame):
     return {r["make"]: r for r in frame.collect()}
 

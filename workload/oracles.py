@@ -266,7 +266,32 @@ remapped AS (
   FROM ent e LEFT JOIN mapping m ON e.vehicle_key = m.vehicle_key)
 """
 
+_CHAINED = """
+ent AS (SELECT DISTINCT vehicle_key, normalized_make, normalized_model, model_year_int AS y FROM bridge),
+pairs AS (SELECT u.vehicle_key, m.vehicle_key AS target, u.y FROM ent u JOIN ent m
+    ON u.normalized_make = m.normalized_make AND u.normalized_model = m.normalized_model AND u.y = m.y - 1),
+in_force AS (  -- by noon of the third; by the ninth
+  SELECT '20260103T120000Z' AS batch_id, vehicle_key, target, 'APPROVED' AS status FROM pairs WHERE 1 + y % 4 <= 3
+  UNION ALL SELECT '20260109T000000Z', vehicle_key, target, CASE WHEN y % 5 = 0 THEN 'REJECTED' ELSE 'APPROVED' END FROM pairs),
+chain AS (
+  SELECT batch_id, vehicle_key, target FROM in_force WHERE status = 'APPROVED'
+  UNION SELECT c.batch_id, c.vehicle_key, f.target FROM chain c JOIN in_force f
+    ON f.batch_id = c.batch_id AND f.vehicle_key = c.target WHERE f.status = 'APPROVED'),
+last AS (SELECT c.batch_id, c.vehicle_key, c.target FROM chain c WHERE NOT EXISTS (
+  SELECT 1 FROM in_force f WHERE f.batch_id = c.batch_id AND f.vehicle_key = c.target AND f.status = 'APPROVED'))
+"""
+
 IDENTITY = {
+    "bridge_as_of": with_tables(
+        "SELECT k.batch_id, b.* REPLACE (coalesce(l.target, b.vehicle_key) AS canonical_vehicle_key) FROM "
+        "(SELECT unnest(['20260103T120000Z', '20260109T000000Z']) AS batch_id) k, bridge b "
+        "LEFT JOIN last l ON l.vehicle_key = b.vehicle_key AND l.batch_id = k.batch_id",
+        _CHAINED,
+        recursive=True,
+    ),
+    "alias_decisions_as_of": with_tables(
+        "SELECT batch_id, status, count(*) AS decisions FROM in_force GROUP BY ALL", _CHAINED, recursive=True
+    ),
     "identity_bridge": with_tables("SELECT * FROM bridge"),
     "reference_keys": with_tables("SELECT * FROM ref_keys"),
     "alias_review_queue": with_tables(
@@ -784,6 +809,16 @@ REPORTS = {
     ),
     "entity_drillthrough": _evidence(1),
     "entity_lookup": _evidence(5),
+    "reconcile_rows": with_tables(
+        "SELECT m.vehicle_key, 'complaint_reports' AS column, CAST(o.complaint_reports AS VARCHAR) AS actual_value, "
+        "CAST(m.complaint_reports AS VARCHAR) AS expected_value FROM mart m JOIN mart o ON m.vehicle_key <> o.vehicle_key "
+        "WHERE m.complaint_reports <> o.complaint_reports AND "
+        "((m.vehicle_key = (SELECT arg_max(vehicle_key, (complaint_reports, vehicle_key)) FROM mart) "
+        "AND o.vehicle_key = (SELECT arg_min(vehicle_key, (complaint_reports, vehicle_key)) FROM mart)) "
+        "OR (o.vehicle_key = (SELECT arg_max(vehicle_key, (complaint_reports, vehicle_key)) FROM mart) "
+        "AND m.vehicle_key = (SELECT arg_min(vehicle_key, (complaint_reports, vehicle_key)) FROM mart)))"
+    ),
+    "reconcile_routes": with_tables("SELECT count(*) AS entities, CAST(0 AS BIGINT) AS differing_values FROM mart"),
     "distinct_rollup_complaints": _rollup(
         "f_complaint",
         "received_date_key",

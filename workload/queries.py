@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile import functions as fx
-from casefile.operators import dedup, distinct_states, identity, mart, measures, profiling, quality, rules, star
+from casefile.operators import dedup, distinct_states, fingerprints, identity, mart, measures, profiling, quality, rules, star
 from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS
 from casefile.plans import baseline, build, lookup, reports
 from casefile.session import scratch_path
@@ -640,6 +640,44 @@ def alias_what_if(spark, sf):
     return identity.alias_what_if(bridge, spark.read.parquet(mapping), records)
 
 
+def _chained_decisions(bridge: DataFrame) -> DataFrame:
+    """An entity is the one of the same make and model a year later; every fifth was rejected again a week later."""
+    entities = bridge.select("vehicle_key", "normalized_make", "normalized_model", "model_year_int").distinct()
+    next_year = entities.selectExpr("vehicle_key AS canonical_vehicle_key", "normalized_make", "normalized_model", "model_year_int - 1 AS model_year_int")
+    pairs = entities.join(next_year, ["normalized_make", "normalized_model", "model_year_int"])
+    first = "struct('APPROVED' AS status, 1 + model_year_int % 4 AS day)"
+    steps = f"if(model_year_int % 5 = 0, array({first}, struct('REJECTED' AS status, 8 AS day)), array({first}))"
+    return pairs.selectExpr("vehicle_key", "canonical_vehicle_key", f"explode({steps}) AS d").selectExpr(
+        "vehicle_key", "canonical_vehicle_key", "d.status AS status", "'reviewer' AS reviewer",
+        "timestamp(make_date(2026, 1, d.day)) AS reviewed_at", "'same vehicle, next year' AS rationale", "'HIGH' AS confidence",
+    )
+
+
+ALIAS_BATCHES = ("20260103T120000Z", "20260109T000000Z")
+
+
+def bridge_as_of(spark, sf):
+    """The bridge of an older and of a newer batch, each with the canonical keys of its time, chains closed."""
+    bridge = the_bridge(spark, sf)
+    stored, mapping = scratch_path(spark, "bridge"), scratch_path(spark, "alias-mapping")
+    writers.replace(bridge, stored)
+    bridge = spark.read.parquet(stored)
+    writers.replace(_chained_decisions(bridge), mapping)
+    decisions = spark.read.parquet(mapping)
+    parts = [
+        identity.apply_alias(bridge, decisions, moment=build.batch_moment(batch)).select(F.lit(batch).alias("batch_id"), *bridge.columns)
+        for batch in ALIAS_BATCHES
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def alias_decisions_as_of(spark, sf):
+    """Decisions in force at each batch."""
+    decisions = _chained_decisions(the_bridge(spark, sf))
+    rows = identity.decisions_at(decisions, {batch: build.batch_moment(batch) for batch in ALIAS_BATCHES})
+    return rows.groupBy("batch_id", "status").agg(F.count("*").alias("decisions"))
+
+
 # --- star schema ----------------------------------------------------------------------------
 
 
@@ -710,7 +748,8 @@ def dq_status(spark, sf):
 
 
 def dq_semantic(spark, sf):
-    model = Model(spark, sf)
+    """On one written set of silver tables, which mart, facts and calendar all read."""
+    model = Model(spark, sf, staged=True)
     keys = {
         "incident_date_key": model["complaint"],
         "received_date_key": model["complaint"],
@@ -737,6 +776,31 @@ def reconcile(spark, sf):
     )
 
 
+def reconcile_rows(spark, sf):
+    """Where a mart differs from one with the complaint counts of two entities exchanged: the totals agree, the rows are named."""
+    good = scratch_path(spark, "mart")
+    writers.replace(the_mart(spark, sf), good)
+    good = spark.read.parquet(good)
+    count = F.struct("complaint_reports", "vehicle_key")
+    most, least = good.agg(F.max(count), F.min(count)).first()  # one row
+    exchanged = F.when(F.col("vehicle_key") == most["vehicle_key"], least["complaint_reports"])
+    exchanged = exchanged.when(F.col("vehicle_key") == least["vehicle_key"], most["complaint_reports"]).otherwise(F.col("complaint_reports"))
+    return fingerprints.differences(good.withColumn("complaint_reports", exchanged), good, "vehicle_key")
+
+
+def reconcile_routes(spark, sf):
+    """Entities per bucket of a tree, from the mart and from the baseline: how many buckets agree."""
+    trees = []
+    for frame in (the_mart(spark, sf), baseline.baseline_mart(_bronze(spark, sf), SETTINGS)):
+        stored = scratch_path(spark, "mart")
+        writers.replace(frame, stored)
+        trees.append(spark.read.parquet(stored))
+    wrong = fingerprints.differences(*trees, "vehicle_key").agg(F.count("*").alias("differing_values"))
+    return trees[0].agg(F.count("*").alias("entities")).unionByName(wrong, allowMissingColumns=True).agg(
+        F.max("entities").alias("entities"), F.max("differing_values").alias("differing_values")
+    )
+
+
 def reconcile_failing(spark, sf):
     """A mart without its critical entities against the baseline: what differs, and labels that are missing."""
     short = the_mart(spark, sf).filter("review_priority <> 'CRITICAL'")
@@ -1072,6 +1136,10 @@ QUERIES = {
     "scatter_severity": _of_model(reports.scatter_severity, "mart"),
     "entity_drillthrough": entity_drillthrough,
     "entity_lookup": entity_lookup,
+    "reconcile_rows": reconcile_rows,
+    "reconcile_routes": reconcile_routes,
+    "bridge_as_of": bridge_as_of,
+    "alias_decisions_as_of": alias_decisions_as_of,
     "distinct_rollup_complaints": distinct_rollup_complaints,
     "distinct_rollup_recalls": distinct_rollup_recalls,
     "entity_header": entity_header,
