@@ -83,3 +83,37 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 WINDOW w AS (PARTITION BY rid, p_item ORDER BY score DESC, vec_id, item)
 QUALIFY row_number() OVER w <= 10
 """
+
+ORACLES["op13_spelling"] = r"""
+WITH RECURSIVE steps AS (  -- the checksum's table, from its polynomial
+  SELECT i AS byte, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (SELECT list(c ORDER BY byte) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents) GROUP BY ALL
+), summed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(id || ':' || run, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)] ELSE [195::BIGINT, unicode(ch) - 64] END))),
+    lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) AS h FROM runs, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM summed
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (  -- every word with each of its characters taken out, and as it is
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n FROM words w LEFT JOIN best USING (word)
+), reach AS (
+  SELECT word, form AS root FROM formed WHERE form IS NOT NULL
+  UNION SELECT r.word, f.form FROM reach r JOIN formed f ON f.word = r.root WHERE f.form IS NOT NULL
+), ends AS (SELECT word, root FROM reach r WHERE NOT EXISTS (SELECT 1 FROM formed f WHERE f.word = r.root AND f.form IS NOT NULL))
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM formed f LEFT JOIN ends e ON e.word = f.word
+"""

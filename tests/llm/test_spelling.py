@@ -7,8 +7,10 @@ from collections import Counter
 
 import numpy as np
 
-from casefile.llm import spelling
+from casefile.llm import oracles, spelling
 from casefile.llm.common import read
+from casefile.llm.queries import op13_spelling
+from tests.compare import connect, difference
 from tests.llm.helpers import SF_DIR, empty, odd_documents
 
 RUNS = re.compile("[A-Za-zÀ-ÿ]+")
@@ -66,6 +68,11 @@ def test_given_words_against_every_pair(spark):
     assert set(mine) == brute_by_deletions(words)
 
 
+def test_query_equals_sql(spark):
+    problem = difference(op13_spelling(spark, "/root/testdata/sf0.01"), connect("/root/testdata/sf0.01"), oracles.ORACLES["op13_spelling"])
+    assert problem is None, problem
+
+
 def brute_by_deletions(words):
     """As `brute`, comparing only words that share a deletion: every pair one edit apart does."""
     sharing = {}
