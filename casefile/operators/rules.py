@@ -98,19 +98,22 @@ def with_review_rules(mart: DataFrame, settings: Settings = Settings()) -> DataF
     return apply_rules(reviewed, alias_rules(settings), ALIAS_DEFAULT, "alias_priority", "alias_reason")
 
 
-REVIEW_QUEUE_COLUMNS = (
-    "vehicle_key vehicle_label review_priority review_reason complaint_reports "
-    "severe_complaint_reports recall_campaigns do_not_drive_campaigns park_outside_campaigns "
-    "open_investigations manufacturer_documents ncap_tested_variants epa_variants "
-    "reference_exact_match_flag reference_year_eligible reference_match_status rule_version "
-    "threshold_validation_status"
-).split()
-
-ALIAS_QUEUE_COLUMNS = (
-    "vehicle_key vehicle_label alias_priority alias_reason source_system_count complaint_reports "
-    "severe_complaint_reports recall_campaigns do_not_drive_campaigns park_outside_campaigns "
-    "open_investigations manufacturer_documents rule_version threshold_validation_status"
-).split()
+# Ordered column names.
+REVIEW_QUEUE_COLUMNS = [
+    "vehicle_key", "vehicle_label", "review_priority", "review_reason", "complaint_reports",
+    "severe_complaint_reports", "recall_campaigns", "do_not_drive_campaigns", "park_outside_campaigns",
+    "open_investigations", "manufacturer_documents", "ncap_tested_variants", "epa_variants",
+    "reference_exact_match_flag", "reference_year_eligible", "reference_match_status", "rule_version",
+    "threshold_validation_status",
+]
+
+# Ordered column names.
+ALIAS_QUEUE_COLUMNS = [
+    "vehicle_key", "vehicle_label", "alias_priority", "alias_reason", "source_system_count",
+    "complaint_reports", "severe_complaint_reports", "recall_campaigns", "do_not_drive_campaigns",
+    "park_outside_campaigns", "open_investigations", "manufacturer_documents", "rule_version",
+    "threshold_validation_status",
+]
 
 
 def review_queue(mart: DataFrame) -> DataFrame:

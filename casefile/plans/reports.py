@@ -410,16 +410,18 @@ def data_trust(audit: DataFrame, quality: DataFrame) -> DataFrame:
 
 
 # Curated export: approved columns of the mart and of the alias queue.
-EVIDENCE_SUMMARY_COLUMNS = (
-    "vehicle_key vehicle_label make model model_year review_priority review_reason alias_priority "
-    "complaint_reports severe_complaint_reports crash_reported_complaints fire_reported_complaints "
-    "recall_campaigns do_not_drive_campaigns park_outside_campaigns investigations open_investigations "
-    "manufacturer_documents ncap_tested_variants epa_variants severe_complaint_share "
-    "evidence_source_count source_system_count reference_match_status reference_year_eligible "
-    "rule_version threshold_validation_status"
-).split()
-ALIAS_EXPORT_COLUMNS = (
-    "vehicle_key vehicle_label alias_priority alias_reason source_system_count complaint_reports "
-    "severe_complaint_reports recall_campaigns do_not_drive_campaigns park_outside_campaigns "
-    "open_investigations manufacturer_documents review_status"
-).split()
+# Ordered column names.
+EVIDENCE_SUMMARY_COLUMNS = [
+    "vehicle_key", "vehicle_label", "make", "model", "model_year", "review_priority", "review_reason",
+    "alias_priority", "complaint_reports", "severe_complaint_reports", "crash_reported_complaints",
+    "fire_reported_complaints", "recall_campaigns", "do_not_drive_campaigns", "park_outside_campaigns",
+    "investigations", "open_investigations", "manufacturer_documents", "ncap_tested_variants", "epa_variants",
+    "severe_complaint_share", "evidence_source_count", "source_system_count", "reference_match_status",
+    "reference_year_eligible", "rule_version", "threshold_validation_status",
+]
+# Ordered column names.
+ALIAS_EXPORT_COLUMNS = [
+    "vehicle_key", "vehicle_label", "alias_priority", "alias_reason", "source_system_count",
+    "complaint_reports", "severe_complaint_reports", "recall_campaigns", "do_not_drive_campaigns",
+    "park_outside_campaigns", "open_investigations", "manufacturer_documents", "review_status",
+]

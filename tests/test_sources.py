@@ -88,7 +88,7 @@ def test_replace_changes_the_schema_and_append_keeps_rows(spark, tmp_path):
 
 def test_contract_shapes():
     assert [len(c) for c in contracts.CONTRACTS.values()] == [22, 18, 11, 14, 37, 27, 5]
-    for table in contracts.RAW_POSITIONS:
+    for table in contracts.RAW_LAYOUTS:
         assert len(contracts.raw_layout(table)) == len(contracts.CONTRACTS[table])
     for columns in contracts.CONTRACTS.values():
         assert set(columns).isdisjoint(contracts.FORBIDDEN_COLUMNS)
