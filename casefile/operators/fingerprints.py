@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from casefile.session import scratch_path
+
 FAN_OUT = 16
 
 
@@ -60,31 +62,44 @@ def tree(bottom: DataFrame, plan: TreePlan = TreePlan()) -> list[DataFrame]:
     return list(reversed(reduce(lambda done, _: [*done, upper(done[-1])], range(plan.levels), [bottom])))
 
 
-def unequal_buckets(mine: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
-    """Leaves (bucket) that differ; a level is looked at only below nodes that differ above."""
-    suspects = None
+def unequal_buckets(mine: list[DataFrame], theirs: list[DataFrame]) -> list[int]:
+    """Leaves that differ; a level is looked at only below nodes that differ above.
+
+    At most the plan's number of buckets, as numbers, reach the driver; of equal trees the root's comparison only.
+    """
+    suspects: list[int] | None = None
     for a, b in zip(mine, theirs, strict=True):
         if suspects is not None:
-            below = suspects.select(F.explode(F.sequence(F.col("bucket") * FAN_OUT, F.col("bucket") * FAN_OUT + FAN_OUT - 1)).alias("bucket"))
-            a, b = a.join(below, "bucket", "left_semi"), b.join(below, "bucket", "left_semi")
+            below = F.col("bucket").isin([FAN_OUT * node + i for node in suspects for i in range(FAN_OUT)])
+            a, b = a.filter(below), b.filter(below)
         both = a.join(b.toDF("bucket", "n_", "mixed_", "total_"), "bucket", "full")
         same = F.col("n").eqNullSafe(F.col("n_")) & F.col("mixed").eqNullSafe(F.col("mixed_")) & F.col("total").eqNullSafe(F.col("total_"))
-        suspects = both.filter(~same).select("bucket")
-    return suspects
+        suspects = sorted(r[0] for r in both.filter(~same).select("bucket").collect())
+        if not suspects:
+            break
+    return suspects or []
 
 
 def differences(actual: DataFrame, expected: DataFrame, key: str, columns=None, plan: TreePlan = TreePlan()) -> DataFrame:
     """(key, column, actual_value, expected_value) of every value that differs, as text.
 
     A key that one side lacks has one row, with the column `(row)` and `missing` or `present` as values.
-    Both sides have at most one row a key; `columns` are all that both have, unless given.
+    Both sides have at most one row a key; `columns` are all that both have, unless given. The leaves of both
+    sides are written to the shared folder and compared at once.
     """
+    spark = actual.sparkSession
     columns = [c for c in (columns or actual.columns) if c in expected.columns and c != key]
-    trees = [tree(leaves(df, key, columns, plan), plan) for df in (actual, expected)]
-    buckets = unequal_buckets(*trees)
+
+    def stored(df: DataFrame) -> list[DataFrame]:
+        path = scratch_path(spark, "fingerprints")
+        bottom = leaves(df, key, columns, plan)
+        bottom.write.parquet(path)  # one short row a bucket
+        return tree(spark.read.schema(bottom.schema).parquet(path), plan)
+
+    buckets = unequal_buckets(stored(actual), stored(expected))
 
     def chosen(df: DataFrame, prefix: str) -> DataFrame:
-        rows = df.withColumn("_bucket", _bucket(key, plan)).join(buckets.withColumnRenamed("bucket", "_bucket"), "_bucket", "left_semi")
+        rows = df.filter(_bucket(key, plan).isin(buckets)) if buckets else df.limit(0)
         return rows.select(key, F.lit(True).alias(f"{prefix}_here"), *[_text(df, c, plan).alias(f"{prefix}_{c}") for c in columns])
 
     both = chosen(actual, "a").join(chosen(expected, "e"), key, "full")

@@ -7,12 +7,12 @@ dedup survivors.
 
 from __future__ import annotations
 
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -287,13 +287,10 @@ def pointers(spark: SparkSession, out: str) -> DataFrame:
 
 def _claims(spark: SparkSession, out: str) -> DataFrame:
     """Every pointer row that was written, each in a folder of its own, which only its run writes to."""
-    schema = f"{POINTER}, run string"
-    try:
+    schema, folder = f"{POINTER}, run string", spark._jvm.org.apache.hadoop.fs.Path(f"{out}/published")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.read.schema(schema).parquet(f"{out}/published")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def newest(spark: SparkSession, out: str) -> tuple[int, str | None]:
@@ -345,22 +342,31 @@ def run(
     batch: str,
     settings: Settings = Settings(),
     aliases: DataFrame | None = None,
+    steps: dict[str, float] | None = None,
     **csv_options,
 ) -> dict[str, DataFrame]:
     """Landing folder to reconciled gold tables; raises where a contract, check or reconciliation fails.
 
     `aliases` are review decisions (`identity.ALIAS_MAPPING`); those of the batch's time count, so an older
-    batch that is built again has the canonical keys of its day.
+    batch that is built again has the canonical keys of its day. `steps` receives the seconds of every step.
 
     The snapshot is written to a folder of its own and published after the last check, so readers never
     see a failed or half-written one.
     """
+    def timed(name: str, step, *arguments, **options):
+        start = time.perf_counter()
+        result = step(spark, *arguments, **options)
+        if steps is not None:
+            steps[name] = round(time.perf_counter() - start, 3)
+        return result
+
     parent, _ = newest(spark, out)
-    bronze = ingest(spark, landing, out, batch, **csv_options)
+    moment = batch_moment(batch) if aliases is not None else None
+    bronze = timed("ingest", ingest, landing, out, batch, **csv_options)
     folder = f"{out}/snapshots/{batch}-{uuid.uuid4().hex}"
-    silver = conform(spark, bronze, folder, settings)
-    gold = build_gold(spark, silver, folder, settings, aliases, batch_moment(batch) if aliases is not None else None)
-    export_curated(spark, gold, folder, f"{out}/audit_bronze_ingestion")
-    result = reconcile(spark, bronze, gold, folder, settings)
-    publish(spark, out, folder, batch, parent)
+    silver = timed("conform", conform, bronze, folder, settings)
+    gold = timed("gold", build_gold, silver, folder, settings, aliases, moment)
+    timed("export", export_curated, gold, folder, f"{out}/audit_bronze_ingestion")
+    result = timed("reconcile", reconcile, bronze, gold, folder, settings)
+    timed("publish", publish, out, folder, batch, parent)
     return {**gold, "reconciliation": result}
