@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casefile.functions import ratio
+from casefile.operators import frequent_keys
 from casefile.operators.mart import counted_medians, median_by, value_counts
 
 
@@ -118,7 +119,7 @@ def _check_filters(model, tables, where: str | None, where_entity: str | None) -
     return columns
 
 
-def _in_context(model, table: str, by, where, where_entity, needed: set[str] = frozenset()) -> DataFrame:
+def _in_context(model, table: str, by, where, where_entity, needed: set[str] = frozenset(), frequent: dict | None = None) -> DataFrame:
     """The table under the caller's filters, with the grouping columns it lacks taken from the entity dimension.
 
     A filter on columns that the table lacks (`needed`), or on entities where it has none, leaves it as it is; a
@@ -140,6 +141,9 @@ def _in_context(model, table: str, by, where, where_entity, needed: set[str] = f
     known = [c for c in borrowed if c in kinds]
     chosen = (entity if where_entity is None else entity.filter(where_entity)).select("vehicle_key", *known)
     absent = {c: F.lit(None).cast("string") for c in borrowed if c not in kinds}
+    if frequent is not None:
+        found = frequent_keys.attach(df, chosen.withColumn("_there", F.lit(True)), "vehicle_key", [*known, "_there"], **frequent)
+        return (found if where_entity is None else found.filter("_there")).drop("_there").withColumns(absent)
     if where_entity is not None:
         return df.filter("vehicle_key IS NOT NULL").join(chosen, "vehicle_key").withColumns(absent)
     # rows without an entity are dealt by their own id, under keys that no entity has
@@ -235,7 +239,7 @@ def _plain(df: DataFrame, contexts: Contexts, named: dict[str, Measure]) -> Data
     return contexts.group(grain, [], *wanted)
 
 
-def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity=None) -> DataFrame:
+def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity=None, frequent: dict | None = None) -> DataFrame:
     """Several measures side by side, one row per group (one row in all without `by`).
 
     `by` is a list of columns, or a list of such lists: then every one of them is a grouping of the result,
@@ -248,6 +252,9 @@ def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity
     `where` and `where_entity` are SQL conditions on rows of the facts and of the entity dimension. A table
     that lacks a column of `where` stays unfiltered. A condition that names a column of none of the tables
     asked, that Spark cannot read, or that applies to none of the tables, raises.
+
+    `frequent`, the settings of `frequent_keys` or {}, has entities with a large share of a fact's rows found by a
+    job beforehand and joined apart. Without it such entities are left to adaptive splitting. The result is the same.
     """
     names, contexts = list(names), Contexts(by)
     base: dict[str, Measure] = {}
@@ -262,7 +269,7 @@ def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity
     needed = _check_filters(model, {table for table, _, _ in families}, where, where_entity)
     parts = []
     for (table, kind, column), named in families.items():
-        df = _in_context(model, table, contexts.columns, where, where_entity, needed)
+        df = _in_context(model, table, contexts.columns, where, where_entity, needed, frequent)
         if kind == "distinct":
             parts.append(_distinct(df, contexts, column, named))
         elif kind == "max_then_sum":

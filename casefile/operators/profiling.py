@@ -64,20 +64,13 @@ def profile_keys(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     return rows.filter(valid).select(*_identity(spec)).distinct()
 
 
-def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None) -> DataFrame:
-    """One row of 18 metrics for a landed source, from one scan.
-
-    Rows are grouped by their digest together with their id and identity, which are functions of the row;
-    every count is then taken from that smaller frame. Ids and identities are told apart by a grouping each,
-    over the same shuffled frame, so no row is expanded. What these give is one row each, brought together
-    by a union.
-    """
-    vehicle, year, n = F.col("_vehicle"), F.col("_year"), F.col("n")
+def read_rows(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    """What a profile needs of every row: digest, id, identity, day, _vehicle, _year, and whether it has a make and a model."""
     make = _present(spec.make) if spec.make else F.lit(False)
     model = _present(spec.model) if spec.model else F.lit(False)
-    valid = vehicle & make & model & year.isNotNull()
+    valid = F.col("_vehicle") & make & model & F.col("_year").isNotNull()
     identity = F.when(valid, F.struct(*_identity(spec))) if spec.make else F.lit(None).cast("string")
-    rows = _profiled_rows(df, spec).select(
+    return _profiled_rows(df, spec).select(
         row_digest(df.columns).alias("digest"),
         (blank_to_null(spec.id_col) if spec.id_col else F.lit(None).cast("string")).alias("id"),
         identity.alias("identity"),
@@ -87,6 +80,44 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
         make.alias("make"),
         model.alias("model"),
     )
+
+
+def profile_columns(counted: DataFrame, source_id: str, n_columns: int) -> DataFrame:
+    """The metrics of a profile from its counts; `rows` are those read, `bad` the malformed ones."""
+    bad = F.col("bad")
+    total = F.col("rows") + bad
+    return counted.select(
+        F.lit(source_id).alias("source_id"),
+        F.lit(n_columns).alias("columns"),
+        total.alias("rows"),
+        bad.alias("malformed_rows"),
+        ratio(bad, total).alias("malformed_rate"),
+        (F.col("rows") - F.col("distinct_rows")).alias("exact_duplicate_rows"),
+        "distinct_business_ids",
+        ratio(total, "distinct_business_ids").alias("rows_per_business_id"),
+        "vehicle_rows",
+        "valid_vehicle_rows",
+        ratio("missing_make", "vehicle_rows").alias("missing_make_rate"),
+        ratio("missing_model", "vehicle_rows").alias("missing_model_rate"),
+        ratio("missing_year", "vehicle_rows").alias("invalid_or_missing_year_rate"),
+        "distinct_normalized_vehicle_keys",
+        "min_year",
+        "max_year",
+        "min_source_date",
+        "max_source_date",
+    )
+
+
+def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None) -> DataFrame:
+    """One row of 18 metrics for a landed source, from one scan.
+
+    Rows are grouped by their digest together with their id and identity, which are functions of the row;
+    every count is then taken from that smaller frame. Ids and identities are told apart by a grouping each,
+    over the same shuffled frame, so no row is expanded. What these give is one row each, brought together
+    by a union.
+    """
+    vehicle, year, n = F.col("_vehicle"), F.col("_year"), F.col("n")
+    rows = read_rows(df, spec)
     # the condition keeps the count in the grouping of every branch, so that they are one grouping to Spark
     per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).filter("n > 0")
 
@@ -114,28 +145,7 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
     singles.append((rows.limit(0) if malformed is None else malformed).agg(F.count("*").alias("bad")))
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
     counted = together.agg(*[F.max(c).alias(c) for c in together.columns])
-    bad = F.col("bad")
-    total = F.col("rows") + bad
-    return counted.select(
-        F.lit(spec.source_id).alias("source_id"),
-        F.lit(len(df.columns)).alias("columns"),
-        total.alias("rows"),
-        bad.alias("malformed_rows"),
-        ratio(bad, total).alias("malformed_rate"),
-        (F.col("rows") - F.col("distinct_rows")).alias("exact_duplicate_rows"),
-        "distinct_business_ids",
-        ratio(total, "distinct_business_ids").alias("rows_per_business_id"),
-        "vehicle_rows",
-        "valid_vehicle_rows",
-        ratio("missing_make", "vehicle_rows").alias("missing_make_rate"),
-        ratio("missing_model", "vehicle_rows").alias("missing_model_rate"),
-        ratio("missing_year", "vehicle_rows").alias("invalid_or_missing_year_rate"),
-        "distinct_normalized_vehicle_keys",
-        "min_year",
-        "max_year",
-        "min_source_date",
-        "max_source_date",
-    )
+    return profile_columns(counted, spec.source_id, len(df.columns))
 
 
 def profile_all(sources: dict[str, tuple[DataFrame, ProfileSpec]]) -> DataFrame:

@@ -134,6 +134,26 @@ def gate(checks: DataFrame, failed: Column | str, label: str, what: str) -> None
         raise ValueError(f"{what} failed for: {names}")
 
 
+def gate_outcomes(checks: dict[str, tuple[DataFrame, Column | str, str]]) -> DataFrame:
+    """What each gate would do: gate, checks, failed, failed_names in order, stops. Nothing is raised.
+
+    `checks` is gate -> (its check rows, which of them failed, the column that names them); a gate without check
+    rows does not stop.
+    """
+
+    def one(name: str, rows: DataFrame, failed: Column | str, label: str) -> DataFrame:
+        bad = F.coalesce(as_column(failed), F.lit(True))
+        flagged = rows.select(bad.alias("bad"), F.col(label).cast("string").alias("label"))
+        counted = flagged.agg(
+            F.count("*").alias("checks"),
+            F.count_if("bad").alias("failed"),
+            F.array_join(F.array_sort(F.collect_list(F.when(F.col("bad"), F.col("label")))), ", ").alias("failed_names"),
+        )
+        return counted.select(F.lit(name).alias("gate"), "*", (F.col("failed") > 0).alias("stops"))
+
+    return reduce(DataFrame.unionByName, [one(name, *rest) for name, rest in checks.items()])
+
+
 def gate_contract(audit: DataFrame) -> None:
     gate(audit, F.col("status") != "PASS", "table_name", "Bronze contract")
 

@@ -162,6 +162,20 @@ def trend_by_family(model: dict[str, DataFrame], families=tuple(FAMILIES)) -> Da
     return _distinct_ids(_dated_ids(model, families), ["source_family", "year_month"], "business_id", "events")
 
 
+def trend_without_gaps(model: dict[str, DataFrame], families=tuple(FAMILIES)) -> DataFrame:
+    """`trend_by_family` with a row for every month from a family's first to its last; months without events count 0.
+
+    The months come from each family's own first and last one, a row per family, not from the calendar times
+    the families.
+    """
+    trend = trend_by_family(model, families)
+    day = F.to_date(F.concat("year_month", F.lit("-01")))
+    ends = trend.groupBy("source_family").agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    months = ends.select("source_family", F.explode(F.expr("sequence(first, last, interval 1 month)")).alias("month"))
+    every = months.select("source_family", F.date_format("month", "yyyy-MM").alias("year_month"))
+    return every.join(trend, ["source_family", "year_month"], "left").fillna(0, subset="events")
+
+
 def formal_timeline(model: dict[str, DataFrame]) -> DataFrame:
     """Campaigns and investigation openings per month."""
     return trend_by_family(model, ("recalls", "investigations"))

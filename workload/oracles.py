@@ -580,6 +580,30 @@ QUALITY = {
     ),
 }
 
+def _gate(name: str, rows: str, failed: str, label: str) -> str:
+    return (
+        f"SELECT '{name}' AS gate, count(*) AS checks, count(*) FILTER (WHERE {failed}) AS failed, "
+        f"coalesce(string_agg({label}, ', ' ORDER BY {label}) FILTER (WHERE {failed}), '') AS failed_names, "
+        f"count(*) FILTER (WHERE {failed}) > 0 AS stops FROM ({rows})"
+    )
+
+
+QUALITY["gates"] = " UNION ALL ".join(
+    [
+        _gate("contract, spoiled manifest", with_tables(_audit("20251201T000000Z", True)), "status <> 'PASS'", "table_name"),
+        _gate("contract", with_tables(_audit("20260101T000000Z", False)), "status <> 'PASS'", "table_name"),
+        _gate("checks, spoiled tables", QUALITY["dq_checks_failing"], "NOT passed", "check_name"),
+        _gate("checks", QUALITY["dq_checks"], "NOT passed", "check_name"),
+        _gate("reconciliation, short mart", QUALITY["reconcile_failing"], "NOT passed", "metric"),
+    ]
+)
+_GROWING = " UNION ALL ".join(_profile(*p) for p in _PROFILED if p[1] in ("b_complaints", "b_investigations"))
+QUALITY["profile_batches"] = with_tables(_GROWING)
+QUALITY["profile_sketched"] = with_tables(
+    "SELECT source_id, rows, vehicle_rows, min_source_date, max_source_date, true AS distinct_business_ids_within, "
+    f"true AS distinct_normalized_vehicle_keys_within, true AS exact_duplicate_rows_within FROM ({_GROWING})"
+)
+
 # --- measures -------------------------------------------------------------------------------
 
 
@@ -928,6 +952,23 @@ REPORTS = {
     ),
 }
 
+MEASURES["measures_frequent"] = f"SELECT * FROM ({MEASURES['measures_complaints']}) WHERE make IS DISTINCT FROM '(all)'"
+MEASURES["median_rollup"] = with_tables(
+    " UNION ALL ".join(
+        f"SELECT make, model_year, CAST(GROUPING(make, model_year) AS BIGINT) AS grouping_id, '{name}' AS measure, count({column}) AS n, "
+        f"CASE WHEN count({column}) <= 4096 THEN CAST(quantile_disc({column}, 0.5) AS DOUBLE) END AS median, true AS within_error "
+        "FROM (SELECT t.*, e.make, e.model_year FROM f_fuel t LEFT JOIN entity e ON t.vehicle_key = e.vehicle_key) "
+        f"GROUP BY GROUPING SETS ((make, model_year), (make), ()) HAVING count({column}) > 0"
+        for name, column in (("median_combined_mpg", "combined_mpg"), ("median_annual_fuel_cost", "annual_fuel_cost"))
+    )
+)
+REPORTS["trend_without_gaps"] = (
+    f"WITH t AS ({REPORTS['trend_by_family']}), m AS (SELECT source_family, unnest(generate_series("
+    "min(CAST(year_month || '-01' AS DATE)), max(CAST(year_month || '-01' AS DATE)), INTERVAL 1 MONTH)) AS day FROM t GROUP BY source_family) "
+    "SELECT m.source_family, strftime(m.day, '%Y-%m') AS year_month, coalesce(events, 0) AS events FROM m LEFT JOIN t "
+    "ON t.source_family = m.source_family AND t.year_month = strftime(m.day, '%Y-%m')"
+)
+
 # file_checksums has no SQL counterpart: views hide the files. It is tested against hashlib.
 ORACLES = {
     **FILES,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casefile import functions as fx
-from casefile.operators import dedup, distinct_states, fingerprints, identity, mart, measures, profiling, quality, rules, star
+from casefile.operators import dedup, distinct_states, fingerprints, identity, mart, measures, profile_states, profiling
+from casefile.operators import quality, quantile_states, rules, star
 from casefile.operators.conform import CONFORM_JOBS, FUEL_DECIMALS, FUEL_INTEGERS
 from casefile.plans import baseline, build, lookup, reports
 from casefile.session import scratch_path
@@ -809,6 +811,21 @@ def reconcile_failing(spark, sf):
     )
 
 
+def gates(spark, sf):
+    """What the gates of a build would do: with a sound batch, a spoiled one, spoiled tables, and a mart that lacks entities."""
+    history = _audit_history(spark, sf)
+    contract, failed = (F.col("status") != "PASS", "table_name"), ~F.col("passed")
+    return quality.gate_outcomes(
+        {
+            "contract, spoiled manifest": (history.where("batch_id = '20251201T000000Z'"), *contract),
+            "contract": (history.where("batch_id = '20260101T000000Z'"), *contract),
+            "checks, spoiled tables": (dq_checks_failing(spark, sf), failed, "check_name"),
+            "checks": (dq_checks(spark, sf), failed, "check_name"),
+            "reconciliation, short mart": (reconcile_failing(spark, sf), failed, "metric"),
+        }
+    )
+
+
 def product_row_counts(spark, sf):
     return quality.product_row_counts({n: adapter.bronze(spark, sf, n) for n in ("complaints", "recalls")})
 
@@ -859,6 +876,46 @@ def profile_reconcile_failing(spark, sf):
     return profiling.profile_reconcile(profile_source(spark, sf), _spoiled(readers.read_manifest(spark, path)))
 
 
+#: Sources that arrive in batches.
+GROWING = ("complaints", "investigations")
+
+
+def _grown(spark, sf, name: str, exact) -> str:
+    """A store with the states of three batches of a source, dealt by their first column."""
+    store, landed = scratch_path(spark, "profile-states"), adapter.bronze(spark, sf, name)
+    rows = scratch_path(spark, "landed")
+    writers.replace(landed.withColumn("_batch", F.pmod(F.crc32(F.col(landed.columns[0])), F.lit(3))), rows)
+    for batch in range(3):
+        own = spark.read.parquet(rows).where(F.col("_batch") == batch).drop("_batch")
+        profile_states.add_batch(own, PROFILE_SPECS[name], store, str(batch), exact=exact)
+    return store
+
+
+def profile_batches(spark, sf):
+    """Profiles of two sources merged from the stored states of three batches each, with exact distinct counts."""
+    exact = tuple(profile_states.KINDS)
+    return reduce(
+        DataFrame.unionByName,
+        [profile_states.profile_of(spark, PROFILE_SPECS[n], _grown(spark, sf, n, exact), exact=exact) for n in GROWING],
+    )
+
+
+def profile_sketched(spark, sf):
+    """The same from sketches: the counts that add up, and whether the distinct ones are within the stated error."""
+    found = []
+    for name in GROWING:
+        spec, store = PROFILE_SPECS[name], _grown(spark, sf, name, ())
+        sketched = profile_states.profile_of(spark, spec, store)
+        exact = profiling.profile(adapter.bronze(spark, sf, name), spec)
+        within = []
+        for column, base in (("distinct_business_ids",) * 2, ("distinct_normalized_vehicle_keys",) * 2, ("exact_duplicate_rows", "rows")):
+            off = F.abs(F.col(f"s.{column}") - F.col(f"e.{column}"))
+            within.append((off <= F.greatest(F.lit(1.0), F.col(f"e.{base}") * profile_states.hll_error())).alias(f"{column}_within"))
+        both = sketched.alias("s").join(exact.alias("e"), "source_id")
+        found.append(both.select("source_id", "s.rows", "s.vehicle_rows", "s.min_source_date", "s.max_source_date", *within))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _profile_keys(spark, sf, names):
     return {
         PROFILE_SPECS[n].source_id: profiling.profile_keys(adapter.bronze(spark, sf, n), PROFILE_SPECS[n])
@@ -925,6 +982,52 @@ def measures_sets(spark, sf):
     return measures.measures(names, Model(spark, sf), by=SETS)
 
 
+def measures_frequent(spark, sf):
+    """The complaint measures per make, entities with a large share of the complaints joined apart."""
+    return measures.measures(MEASURE_GROUPS["measures_complaints"], Model(spark, sf), by=["make"], frequent={})
+
+
+MEDIANS = quantile_states.QuantileState({"median_combined_mpg": "combined_mpg", "median_annual_fuel_cost": "annual_fuel_cost"})
+MEDIAN_CONTEXTS = [["make", "model_year"], ["make"], []]
+
+
+def median_rollup(spark, sf):
+    """Medians by three contexts from stored sketches of two batches: rows of even and of odd years.
+
+    A sketch of at most k values is exact, and its median is shown; of every other it is checked against the
+    values that its rank is within the stated error.
+    """
+    model = Model(spark, sf)
+    attributes = model["entity"].select("vehicle_key", "make", "model_year")
+    fuel = model["fuel"].select("vehicle_key", *MEDIANS.columns.values()).join(attributes, "vehicle_key", "left")
+    rows, grain, parts = scratch_path(spark, "fuel"), ["make", "model_year"], []
+    writers.replace(fuel.drop("vehicle_key"), rows)
+    rows = spark.read.parquet(rows)
+    for batch in (0, 1):
+        own = rows.where(F.coalesce(F.col("model_year"), F.lit(0)) % 2 == batch)
+        stored = scratch_path(spark, "quantile-states")
+        writers.replace(quantile_states.states(own, MEDIANS, grain), stored)
+        parts.append(spark.read.parquet(stored))
+    # written once: which value a sketch gives beyond k depends on the order in which sketches meet
+    rolled = scratch_path(spark, "medians")
+    merged = quantile_states.rolled_up(quantile_states.merged(parts, MEDIANS, grain), MEDIANS, MEDIAN_CONTEXTS)
+    writers.replace(quantile_states.medians(merged, MEDIANS), rolled)
+    checked = []
+    for own in MEDIAN_CONTEXTS:
+        number = sum(1 << i for i, c in enumerate(reversed(grain)) if c not in own)
+        found = quantile_states.rank_errors(spark.read.parquet(rolled).where(F.col("grouping_id") == number), rows, MEDIANS, own)
+        checked.append(found.withColumn("grouping_id", F.lit(number).cast("bigint")))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), checked)
+    return every.select(
+        *grain,
+        "grouping_id",
+        "measure",
+        "n",
+        F.when(F.col("n") <= MEDIANS.k, F.col("median")).alias("median"),
+        (F.col("error") <= quantile_states.rank_error(MEDIANS.k)).alias("within_error"),
+    )
+
+
 def measures_registrations(spark, sf):
     return _both_grains(spark, sf, ["registration_records", "registered_vehicles"], "state_name")
 
@@ -1113,6 +1216,7 @@ QUERIES = {
     "dq_semantic": dq_semantic,
     "reconcile": reconcile,
     "reconcile_failing": reconcile_failing,
+    "gates": gates,
     "product_row_counts": product_row_counts,
     "dedup_by_key": dedup_by_key,
     "dedup_rows": dedup_rows,
@@ -1122,6 +1226,8 @@ QUERIES = {
     "profile_summary": profile_summary,
     "profile_reconcile": profile_reconcile,
     "profile_reconcile_failing": profile_reconcile_failing,
+    "profile_batches": profile_batches,
+    "profile_sketched": profile_sketched,
     "profile_match_coverage": profile_match_coverage,
     "profile_union_coverage": profile_union_coverage,
     **{
@@ -1130,6 +1236,8 @@ QUERIES = {
     },
     "measures_sets": measures_sets,
     "measures_filtered": measures_filtered,
+    "measures_frequent": measures_frequent,
+    "median_rollup": median_rollup,
     "measures_registrations": measures_registrations,
     "priority_by_reason": _of_model(reports.priority_by_reason, "mart"),
     "top20_queue": _of_model(reports.top_queue, "review_queue"),
@@ -1145,6 +1253,7 @@ QUERIES = {
     "entity_header": entity_header,
     "queue_unresolved_share": _of_model(reports.queue_unresolved_share, "mart"),
     "trend_by_family": _whole_model(reports.trend_by_family),
+    "trend_without_gaps": _whole_model(reports.trend_without_gaps),
     "entity_matrix": _of_model(reports.entity_matrix, "mart"),
     "formal_timeline": _whole_model(reports.formal_timeline),
     "topic_make_matrix": _of_source(reports.topic_make_matrix, "recalls", "investigations"),
