@@ -907,12 +907,16 @@ def profile_sketched(spark, sf):
         spec, store = PROFILE_SPECS[name], _grown(spark, sf, name, ())
         sketched = profile_states.profile_of(spark, spec, store)
         exact = profiling.profile(adapter.bronze(spark, sf, name), spec)
-        within = []
-        for column, base in (("distinct_business_ids",) * 2, ("distinct_normalized_vehicle_keys",) * 2, ("exact_duplicate_rows", "rows")):
-            off = F.abs(F.col(f"s.{column}") - F.col(f"e.{column}"))
-            within.append((off <= F.greatest(F.lit(1.0), F.col(f"e.{base}") * profile_states.hll_error())).alias(f"{column}_within"))
-        both = sketched.alias("s").join(exact.alias("e"), "source_id")
-        found.append(both.select("source_id", "s.rows", "s.vehicle_rows", "s.min_source_date", "s.max_source_date", *within))
+        compared = {"distinct_business_ids": "distinct_business_ids", "exact_duplicate_rows": "rows"}
+        compared["distinct_normalized_vehicle_keys"] = "distinct_normalized_vehicle_keys"
+        names = list(dict.fromkeys([*compared, *compared.values()]))
+        both = sketched.unionByName(exact.select("source_id", *[F.col(c).alias(f"{c}:exact") for c in names]), allowMissingColumns=True)
+        row = both.groupBy("source_id").agg(*[F.max(f"`{c}`").alias(c) for c in both.columns if c != "source_id"])
+        within = [
+            (F.abs(F.col(c) - F.col(f"`{c}:exact`")) <= F.greatest(F.lit(1.0), F.col(f"`{base}:exact`") * profile_states.hll_error())).alias(f"{c}_within")
+            for c, base in compared.items()
+        ]
+        found.append(row.select("source_id", "rows", "vehicle_rows", "min_source_date", "max_source_date", *within))
     return reduce(DataFrame.unionByName, found)
 
 
