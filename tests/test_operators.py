@@ -110,6 +110,13 @@ def test_dedup_does_not_depend_on_partitioning(spark):
     assert survivors[0] == survivors[1] == survivors[2]
 
 
+def test_digest_is_32_bytes_in_the_order_of_its_text(spark):
+    frame = spark.range(300).selectExpr("string(id) AS x").withColumn("d", dedup.row_digest(["x"]))
+    rows = frame.withColumn("text", F.expr("sha2(concat(length(x), ':', x), 256)")).collect()
+    assert {len(r["d"]) for r in rows} == {32}
+    assert [r["x"] for r in sorted(rows, key=lambda r: bytes(r["d"]))] == [r["x"] for r in sorted(rows, key=lambda r: r["text"])]
+
+
 def test_digest_tells_apart_what_a_separator_would_not(spark):
     frame = spark.createDataFrame([("a", None), ("a", ""), (None, "a"), ("", "a"), ("a:", "b"), ("a", ":b")], "x string, y string")
     assert frame.select(dedup.row_digest(["x", "y"])).distinct().count() == 6
