@@ -118,7 +118,8 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
     """
     vehicle, year, n = F.col("_vehicle"), F.col("_year"), F.col("n")
     rows = read_rows(df, spec)
-    # the condition keeps the count in the grouping of every branch, so that they are one grouping to Spark
+    # The condition keeps the count in the grouping of every branch, so that they are one grouping to Spark. A
+    # condition on a grouping column would be pushed below it, and its branch would scan the source again.
     per_row = rows.groupBy(*rows.columns).agg(F.count("*").alias("n")).filter("n > 0")
 
     def rows_where(condition: Column) -> Column:
@@ -139,8 +140,8 @@ def profile(df: DataFrame, spec: ProfileSpec, malformed: DataFrame | None = None
     )
     singles = [
         counted,
-        per_row.filter("id IS NOT NULL").groupBy("id").agg(F.max("n")).agg(F.count("*").alias("distinct_business_ids")),
-        per_row.filter("identity IS NOT NULL").groupBy("identity").agg(F.max("n")).agg(F.count("*").alias("distinct_normalized_vehicle_keys")),
+        per_row.groupBy("id").agg(F.max("n")).agg(F.count("id").alias("distinct_business_ids")),
+        per_row.groupBy("identity").agg(F.max("n")).agg(F.count("identity").alias("distinct_normalized_vehicle_keys")),
     ]
     singles.append((rows.limit(0) if malformed is None else malformed).agg(F.count("*").alias("bad")))
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
