@@ -150,3 +150,34 @@ def test_a_hot_entity_is_split_in_the_join_to_the_dimension(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     assert rows["hot"] == (133334, 66667)
     assert sum(n for n, _ in rows.values()) == 400_000
+
+
+@pytest.mark.parametrize("name", ["complaints", "recalls", "investigations", "manufacturer_communications", "state_registrations"])
+def test_tables_that_grow_are_not_sent_to_the_driver(spark, name):
+    broadcast = re.findall(r"BroadcastExchange.*\n.*\n.*\n.*", plan(adapter.bronze(spark, SF_DIR, name)))
+    assert not any(column in text for text in broadcast for column in ("p_partkey", "o_orderkey", "c_custkey"))
+
+
+def test_a_profile_scans_its_source_once(spark):
+    from casefile.operators import profiling
+
+    spec = queries.PROFILE_SPECS["complaints"]
+    profile = profiling.profile(adapter.complaints(spark, SF_DIR), spec, spark.range(0))
+    profile.collect()
+    final = plan(profile).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 2
+
+
+@pytest.mark.parametrize("name", ["dq_checks", "dq_checks_failing", "dq_status", "measures_sets", "alias_what_if", "entity_drillthrough"])
+def test_surviving_records_are_chosen_once(spark, name):
+    """What reads a source in several places reads its staged columns, so the query itself ranks no record any more."""
+    assert "row_number" not in plan(queries.QUERIES[name](spark, SF_DIR))
+
+
+def test_a_column_that_was_not_staged_is_not_silently_missing(spark):
+    model = queries.Model(spark, SF_DIR, needed={"variants": ["normalized_make", "normalized_model", "model_year_int"]})
+    fuel = model["fuel"]
+    keys = {r[0] for r in queries.fact(spark, SF_DIR, "fuel").select("vehicle_key").distinct().collect()}
+    assert {r[0] for r in fuel.select("vehicle_key").distinct().collect()} == keys
+    with pytest.raises(Exception, match="was not staged"):
+        fuel.select("drive").collect()
