@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from casefile.operators import frequent_keys, measures, profile_states, profiling, quality, quantile_states
+from casefile.operators import distinct_states, frequent_keys, measures, profile_states, profiling, quality, quantile_states
 from casefile.operators.mart import median_by
 from casefile.plans import reports
 from casefile.sources import writers
@@ -164,6 +164,13 @@ def test_a_batch_is_added_once_and_a_cut_off_one_again(spark, tmp_path):
         profile_states.add_batch(two, SPEC, store, "a/b")
 
 
+def test_rows_of_a_batch_are_read_once_for_all_kinds(spark, tmp_path, monkeypatch):
+    calls, rows = [], profile_states._rows
+    monkeypatch.setattr(profile_states, "_rows", lambda df, spec: calls.append(1) or rows(df, spec))
+    profile_states.add_batch(landed(spark, 50, 1), SPEC, str(tmp_path / "store"), "1", exact=EXACT)
+    assert len(calls) == 1
+
+
 def test_profile_states_without_identity(spark, tmp_path):
     spec, store = profiling.ProfileSpec("src", "id", year="year"), str(tmp_path / "store")
     df = landed(spark, 80, 5).select("id", "year")
@@ -171,6 +178,30 @@ def test_profile_states_without_identity(spark, tmp_path):
     assert profile_states.profile_of(spark, spec, store, exact=EXACT).collect() == profiling.profile(df, spec).collect()
 
 
+# --- distinct counts -------------------------------------------------------------------------
+
+
+def test_bitmaps_are_few_and_meet_in_partitions_of_buckets(spark, tmp_path):
+    """Ids of a month share buckets, no bitmap of a single id is shuffled, and contexts are counted where buckets lie."""
+    state = distinct_states.DistinctState("n", "id", {"odd": "id % 2 = 1"})
+    rows = spark.range(400_000, numPartitions=4).selectExpr("id", "CAST(pmod(xxhash64(id), 40) AS INT) AS month", "id % 3 AS k")
+    numbers = distinct_states.number_ids(rows, "id", str(tmp_path / "numbers"), near=F.col("month"))
+    stored = distinct_states.states(rows, numbers, state, ["month"])
+    text = stored._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_construct_agg" not in text[text.index("REPARTITION_BY_COL") :]
+    writers.replace(stored, str(tmp_path / "states"))
+    stored = spark.read.parquet(str(tmp_path / "states"))
+    assert stored.count() <= 2 * 40 + numbers.select(F.bitmap_bucket_number("number")).distinct().count()
+    merged = distinct_states.merged([stored], state, ["month"])
+    found = distinct_states.counts(merged, state, [["month"], []])
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange ") <= 2  # buckets, then counts
+    counted = {r["month"]: (r["n"], r["odd"]) for r in found.where("grouping_id = 0").collect()}
+    expected = rows.groupBy("month").agg(F.count("*"), F.expr("count_if(id % 2 = 1)")).collect()
+    assert counted == {r[0]: (r[1], r[2]) for r in expected}
+    assert [tuple(r) for r in found.where("grouping_id = 1").collect()] == [(None, 1, 400_000, 200_000)]
+
+
 # --- frequent keys ---------------------------------------------------------------------------
 
 
