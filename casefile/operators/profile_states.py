@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from casefile.operators import distinct_states
 from casefile.operators.profiling import ProfileSpec, profile_columns, read_rows
+from casefile.session import scratch_path
 from casefile.sources import writers
 
 #: Kind of value -> the count of a profile that it gives.
@@ -42,6 +43,8 @@ def hll_error(lg_k: int = LG_K, deviations: float = 3.0) -> float:
 
 def _text(kind: str) -> Column:
     """The value as text; parts of an identity with their lengths in front, so that no two share a text."""
+    if kind == "digest":
+        return F.lower(F.hex("digest"))
     if kind != "identity":
         return F.col(kind)
     return F.expr("concat(length(identity.k_make), ':', identity.k_make, length(identity.k_model), ':', identity.k_model, ':', identity.k_year)")
@@ -54,9 +57,13 @@ def _rows(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
 def counts(df: DataFrame, spec: ProfileSpec, malformed_rows: int = 0) -> DataFrame:
     """The state of one batch: one row."""
-    rows, vehicle = _rows(df, spec), F.col("_vehicle")
+    return _counted(_rows(df, spec), len(df.columns), malformed_rows)
+
+
+def _counted(rows: DataFrame, n_columns: int, malformed_rows: int) -> DataFrame:
+    vehicle = F.col("_vehicle")
     return rows.agg(
-        F.lit(len(df.columns)).alias("columns"),
+        F.lit(n_columns).alias("columns"),
         F.lit(malformed_rows).cast("bigint").alias("bad"),
         F.count("*").alias("rows"),
         F.count_if(vehicle).alias("vehicle_rows"),
@@ -95,7 +102,8 @@ def batches(spark: SparkSession, store: str) -> list[str]:
 def add_batch(df: DataFrame, spec: ProfileSpec, store: str, batch: str, malformed_rows: int = 0, exact=()) -> None:
     """Add a batch's state to the store. `malformed_rows` is what the intake observed.
 
-    `exact` names kinds whose distinct counts are to be exact; give the same for every batch of a store.
+    `exact` names kinds whose distinct counts are to be exact; give the same for every batch of a store. For them
+    the rows' digests, ids and identities are written to the shared folder first, as they are read several times.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"a batch is named by letters, digits, dots, lines and underscores: {batch!r}")
@@ -104,8 +112,14 @@ def add_batch(df: DataFrame, spec: ProfileSpec, store: str, batch: str, malforme
     if batch in there:
         raise ValueError(f"batch {batch} is in {store} already")
 
+    rows = _rows(df, spec)
+    if exact:
+        read = scratch_path(spark, "profiled-rows")
+        writers.replace(rows, read)
+        rows = spark.read.schema(rows.schema).parquet(read)
+
     def number(kind: str) -> None:
-        values = _rows(df, spec).select(_text(kind).alias("value")).where("value IS NOT NULL")
+        values = rows.select(_text(kind).alias("value")).where("value IS NOT NULL")
         known = _stored(spark, f"{store}/numbers/{kind}")
         if known is not None:  # not those of a batch that was cut off
             known = known.where(F.col("batch").isin(there)).select("id", "number")
@@ -114,7 +128,7 @@ def add_batch(df: DataFrame, spec: ProfileSpec, store: str, batch: str, malforme
 
     with ThreadPoolExecutor(len(KINDS)) as pool:  # the kinds are independent jobs
         list(pool.map(number, exact))
-    writers.replace(counts(df, spec, malformed_rows), _folder(f"{store}/counts", batch))
+    writers.replace(_counted(rows, len(df.columns), malformed_rows), _folder(f"{store}/counts", batch))
 
 
 def profile_of(spark: SparkSession, spec: ProfileSpec, store: str, chosen=None, exact=()) -> DataFrame:
