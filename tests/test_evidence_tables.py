@@ -67,6 +67,20 @@ def test_bloom_filters_exclude_keys_inside_a_range(spark, tmp_path):
     assert read <= 2  # one in a hundred passes the filter
 
 
+def test_columns_made_again_are_written_as_they_were(spark, tmp_path):
+    """Keys that are functions of other columns stay out of the shuffle; ranges, order and values are those of the keys."""
+    beside = queries.mart_columns()
+    for source, name in (("communications", "communication"), ("ratings", "ncap")):
+        record, path = lookup.CLUSTERED[name][1], str(tmp_path / name)
+        rows = queries.star.FACTS[source](queries.silver(spark, "/root/testdata/sf0.001", source), beside[source])
+        lookup.write_clustered(rows, path, record, lookup.Layout(files=3), made=queries.made_keys(source, queries.SETTINGS))
+        stored = spark.read.parquet(path)
+        assert stored.columns == rows.columns and stored.exceptAll(rows).count() == rows.exceptAll(stored).count() == 0
+        files = [pq.read_table(f).to_pylist() for f in sorted((tmp_path / name).glob("*.parquet"))]
+        order = [(r["vehicle_key"] or "", r[record]) for rows in files for r in rows]
+        assert len(files) == 3 and order == sorted(order)
+
+
 def test_a_hot_entity_spans_files(spark, tmp_path):
     frame = spark.range(30_000).selectExpr("IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, string(id))) AS vehicle_key", "string(id) AS record")
     lookup.write_clustered(frame, str(tmp_path / "facts"), "record", lookup.Layout(files=12))

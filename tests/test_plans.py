@@ -174,6 +174,24 @@ def test_surviving_records_are_chosen_once(spark, name):
     assert "row_number" not in plan(queries.QUERIES[name](spark, SF_DIR))
 
 
+def test_a_lookup_makes_its_mart_from_the_written_facts(spark, monkeypatch):
+    """The surviving records are chosen when the facts are written, and not once more for the mart."""
+    asked = []
+    listed = queries.lookup.listed
+    monkeypatch.setattr(queries.lookup, "listed", lambda chosen: asked.append(plan(chosen)) or listed(chosen))
+    found = queries.QUERIES["entity_lookup"](spark, SF_DIR).select("vehicle_key").distinct().count()
+    assert found <= 5 and len(asked) == 1 and "normalized_make" in asked[0]
+    assert "row_number" not in asked[0]
+
+
+def test_a_record_key_is_shuffled_as_bytes_without_the_entity_key(spark):
+    for name, key in (("communications", "communication_record_key"), ("investigations", "investigation_record_key")):
+        text = plan(queries.silver(spark, SF_DIR, name).select("vehicle_key", key))
+        before = text[text.index("Exchange hashpartitioning(_record"):]
+        project = before[before.index("Project ["):].split("\n")[0]
+        assert "_record" in project and "AS vehicle_key" not in project and key not in project
+
+
 def test_a_column_that_was_not_staged_is_not_silently_missing(spark):
     model = queries.Model(spark, SF_DIR, needed={"variants": ["normalized_make", "normalized_model", "model_year_int"]})
     fuel = model["fuel"]
