@@ -174,6 +174,15 @@ def test_surviving_records_are_chosen_once(spark, name):
     assert "row_number" not in plan(queries.QUERIES[name](spark, SF_DIR))
 
 
+def test_survivors_are_chosen_by_half_a_digest_in_the_order_of_the_whole(spark):
+    frame = spark.range(5000).selectExpr("string(id % 700) AS k", "string(id) AS a", "IF(id % 3 = 0, NULL, string(id % 11)) AS b")
+    kept = dedup.dedup_by_key(frame, "k")
+    least = frame.withColumn("d", dedup.row_digest(["a", "b"])).groupBy("k").agg(dedup.F.expr("min_by(struct(a, b), d)").alias("r"))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, least.select("k", "r.*").collect()))
+    before = plan(kept)[plan(kept).index("Exchange hashpartitioning(k"):]
+    assert "substring(unhex(sha2(" in before
+
+
 def test_a_lookup_makes_its_mart_from_the_written_facts(spark, monkeypatch):
     """The surviving records are chosen when the facts are written, and not once more for the mart."""
     asked = []
