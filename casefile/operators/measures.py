@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casefile.functions import ratio
@@ -165,7 +165,8 @@ class Contexts:
 
     Each family of measures is grouped once to its finest grain: every column of every set, and the id or
     value if it has one. That grain is what the sets are made from, so a table is scanned once and its rows
-    are never multiplied; what is, after the first partial grouping, is the rows of the grain.
+    are never multiplied; what is, after the first partial grouping, is the rows of the grain, or of measures
+    per id the sums of a finest group (`totals`).
     """
 
     def __init__(self, by):
@@ -186,25 +187,45 @@ class Contexts:
         sets = [[F.col(c) for c in [*more, *own]] for own in self.sets]
         return grain.groupingSets(sets, *named).agg(F.grouping_id().alias(GROUPING), *aggregates)
 
-
-def _distinct(df: DataFrame, contexts: Contexts, column: str, named: dict[str, Measure]) -> DataFrame:
+    def totals(self, grain: DataFrame, key: str, names: list[str]) -> DataFrame:
+        """Per set and group, the sums over keys of each column's maximum per key; the grain has a row per finest group and key.
+
+        A key's maximum in a group is counted at one of its rows there, for each set in a column of its own. So the
+        grain is shuffled once, by the key, and what the sets multiply are sums per finest group.
+        """
+        parts = {}
+        for i, own in enumerate(self.sets):
+            others = [c for c in self.columns if c not in own]
+            rows = Window.partitionBy(key, *own).orderBy(*others)
+            every = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            for name in names:  # in the finest set a key has one row for each group
+                first = F.lag(F.lit(True)).over(rows).isNull()
+                highest = F.when(first, F.max(name).over(every)) if others else F.col(name)
+                parts[f"{i}:{name}"] = highest
+        dealt = grain.repartition(key).select(*self.columns, *[part.alias(label) for label, part in parts.items()])
+        sums = dealt.groupBy(*self.columns).agg(*[F.sum(f"`{label}`").alias(label) for label in parts])
+        found = self.group(sums, [], *[F.sum(f"`{label}`").alias(label) for label in parts])
+        numbers = [sum(1 << n for n, c in enumerate(reversed(self.columns)) if c not in own) for own in self.sets]
+        chosen = [
+            F.coalesce(*[F.when(F.col(GROUPING) == number, F.col(f"`{i}:{name}`")) for i, number in enumerate(numbers)]).alias(name)
+            for name in names
+        ]
+        return found.select(*self.by, *chosen)
+
+
+def _per_id(df: DataFrame, contexts: Contexts, column: str, named: dict[str, Measure]) -> DataFrame:
+    """Measures that take one maximum per id and add them up: a distinct count adds up 0 and 1."""
+    counted = {name for name, m in named.items() if m.kind == "distinct"}
     per_id = df.groupBy(*contexts.columns, F.col(column).alias("_id")).agg(
-        *[F.max(_condition(m.where).cast("int")).alias(name) for name, m in named.items()]
+        *[F.max(_condition(m.where).cast("int") if name in counted else m.value).alias(name) for name, m in named.items()]
     )
     if contexts.several:
-        per_id = contexts.group(per_id, ["_id"], *[F.max(name).alias(name) for name in named])
-    return per_id.groupBy(*contexts.by).agg(
-        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in named]
-    )
-
-
-def _max_then_sum(df: DataFrame, contexts: Contexts, column: str, named: dict[str, Measure]) -> DataFrame:
-    per_id = df.groupBy(*contexts.columns, F.col(column).alias("_id")).agg(
-        *[F.max(m.value).alias(name) for name, m in named.items()]
+        totals = contexts.totals(per_id, "_id", list(named))
+    else:
+        totals = per_id.groupBy(*contexts.by).agg(*[F.sum(name).alias(name) for name in named])
+    return totals.withColumns(
+        {name: (F.coalesce(name, F.lit(0)) if name in counted else F.col(name)).cast("bigint") for name in named}
     )
-    if contexts.several:
-        per_id = contexts.group(per_id, ["_id"], *[F.max(name).alias(name) for name in named])
-    return per_id.groupBy(*contexts.by).agg(*[F.sum(name).cast("bigint").alias(name) for name in named])
 
 
 def _median(df: DataFrame, contexts: Contexts, named: dict[str, Measure]) -> DataFrame:
@@ -263,17 +284,15 @@ def measures(names, model: dict[str, DataFrame], by=(), where=None, where_entity
             base[part] = MEASURES[part]
     families: dict[tuple, dict[str, Measure]] = {}
     for name, m in base.items():
-        kind = m.kind if m.kind in ("distinct", "max_then_sum", "median") else "plain"
-        column = m.column if kind in ("distinct", "max_then_sum") else ""
+        kind = "per_id" if m.kind in ("distinct", "max_then_sum") else "median" if m.kind == "median" else "plain"
+        column = m.column if kind == "per_id" else ""
         families.setdefault((m.table, kind, column), {})[name] = m
     needed = _check_filters(model, {table for table, _, _ in families}, where, where_entity)
     parts = []
     for (table, kind, column), named in families.items():
         df = _in_context(model, table, contexts.columns, where, where_entity, needed, frequent)
-        if kind == "distinct":
-            parts.append(_distinct(df, contexts, column, named))
-        elif kind == "max_then_sum":
-            parts.append(_max_then_sum(df, contexts, column, named))
+        if kind == "per_id":
+            parts.append(_per_id(df, contexts, column, named))
         elif kind == "median":
             parts.append(_median(df, contexts, named))
         else:

@@ -385,6 +385,31 @@ def test_several_groupings_equal_one_call_each(model):
     assert len(both) == sum(measures.measures(names, model, by=by, where_entity="model_year > 1000").count() for by in SETS)
 
 
+def test_sets_that_are_not_nested_count_an_id_once_in_each(spark):
+    """Ids that come in several groups, a missing one and missing amounts among them."""
+    rows = [(f"M{i % 3}", f"T{i % 5}", None if i % 7 == 0 else str(i % 11), i % 4 == 0, None if i % 11 in (2, 5) else i) for i in range(200)]
+    shape = "make string, model string, campaign_number string, park_outside boolean, potential_units_affected_int long"
+    facts = {"recall": spark.createDataFrame(rows, shape)}
+    names = ["recall_campaigns", "park_outside_campaigns", "potential_units_affected"]
+    sets = [["make"], ["model"], ["make", "model"], []]
+    found = measures.measures(names, facts, by=sets).collect()
+    expected = set()
+    for own in sets:
+        groups = {}
+        for make, model_name, campaign, flagged, units in rows:
+            group = (make if "make" in own else None, model_name if "model" in own else None)
+            most, any_flag = groups.setdefault(group, {}).get(campaign, (None, False))
+            units = most if units is None else units if most is None else max(most, units)
+            groups[group][campaign] = (units, any_flag or flagged)
+        number = 2 * ("make" not in own) + ("model" not in own)
+        for group, ids in groups.items():
+            amounts = [u for u, _ in ids.values() if u is not None]
+            expected.add((*group, number, len(ids), sum(f for _, f in ids.values()), sum(amounts) if amounts else None))
+    assert len(found) == len(expected) and set(map(tuple, found)) == expected
+    text = measures.measures(names, facts, by=sets)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(_id") == 1  # flags and amounts of an id in one grouping
+
+
 def test_several_groupings_scan_a_fact_once(spark, model, tmp_path):
     stored = {}
     for name in ("complaint", "entity"):

@@ -208,3 +208,32 @@ def test_a_column_that_was_not_staged_is_not_silently_missing(spark):
     assert {r[0] for r in fuel.select("vehicle_key").distinct().collect()} == keys
     with pytest.raises(Exception, match="was not staged"):
         fuel.select("drive").collect()
+
+
+def test_facts_of_measures_by_set_are_shuffled_once_more_by_their_id(spark):
+    """Attributes come from a fact's own identity, not by a join, and sets multiply sums of groups, not ids."""
+    text = plan(queries.QUERIES["measures_sets"](spark, SF_DIR))
+    assert "Join" not in text
+    expanded = re.findall(r"Expand \[.*", text)
+    assert expanded and not any("_id" in line.replace("grouping_id", "") for line in expanded)
+
+
+def test_described_facts_have_the_attributes_of_the_entity_dimension(spark):
+    named = ["make", "model", "model_year"]
+    model = queries.Model(spark, SF_DIR, described=tuple(named))
+    entity = queries.the_dim(spark, SF_DIR).select("vehicle_key", *named)
+    for name in ("complaint", "fuel"):
+        rows = model[name].select("vehicle_key", *named)
+        joined = rows.select("vehicle_key").join(entity, "vehicle_key", "left")
+        assert rows.where("vehicle_key IS NULL").count() > 0
+        assert sorted(map(str, rows.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_half_of_a_record_key_is_shuffled_unless_the_key_is_read(spark):
+    frame = queries.silver(spark, SF_DIR, "communications")
+    key = queries.fx.record_key("nhtsa_communication_id", "document_id", "vehicle_key", "nhtsa_components")
+    for columns, rest in ((["document_id"], False), (["document_id", "communication_record_key"], True)):
+        text = plan(frame.select(*columns))
+        project = text[text.index("Exchange hashpartitioning(_record"):].split("Project [")[1].split("\n")[0]
+        assert ("_record_rest" in project) == rest and ", 1, 16) AS _record" in project
+    assert frame.where(frame["communication_record_key"] != key).count() == 0 < frame.count()
