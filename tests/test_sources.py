@@ -77,6 +77,43 @@ def test_checksums_of_one_file_and_of_parts(spark, tmp_path):
     assert sums["many.csv.gz"] == f"{named[0] ^ named[1]:064x}"
 
 
+def test_large_files_are_digested_while_they_are_read(spark, tmp_path):
+    """Byte by byte, packed or not, in one task each although Spark would split them; and none is left out."""
+    block = hashlib.sha256(b"x").digest() * 40_000
+    contents = {
+        "plain.bin": block, "ends.bin": block + b"\n", "blank.bin": b"\n\n" + block + b"\r\n\n", "marked.csv": b"\xef\xbb\xbfa\r\n" + block,
+        "marked_ends.csv": b"\xef\xbb\xbf" + block + b"\n", "packed.csv.gz": gzip.compress(block + b"\n" + block[::-1]), "lines.bin": b"\n" * 1_100_000,
+        "no_suffix": block, "small.bin": b"small\n", "in a folder 100%/part.csv.gz": gzip.compress(b"a\n") + b"\n" * 1_100_000,
+    }
+    (tmp_path / "in a folder 100%").mkdir()
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        bound = 50_000
+        frame = readers.file_checksums(spark, str(tmp_path), streamed_from=bound)
+        found = {r["path"]: (r["file_name"], r["sha256"], r["bytes"]) for r in frame.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(len(c) >= bound for c in contents.values()) >= 8
+    assert found == {
+        f"file:{tmp_path}/{name}": (name.split("/")[-1], hashlib.sha256(c).hexdigest(), len(c)) for name, c in contents.items()
+    }
+
+
+def test_a_file_beyond_the_binary_source_has_a_checksum(spark, tmp_path):
+    """Spark refuses to read a file above `maxLength` (2 GB at most) as one value."""
+    (tmp_path / "large.bin").write_bytes(b"large\n" * 30_000)
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100000")
+    try:
+        row = readers.file_checksums(spark, str(tmp_path), streamed_from=100_000).first()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    assert row["sha256"] == hashlib.sha256(b"large\n" * 30_000).hexdigest()
+
+
 def test_replace_changes_the_schema_and_append_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.replace(spark.range(3), path)
