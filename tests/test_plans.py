@@ -237,3 +237,43 @@ def test_half_of_a_record_key_is_shuffled_unless_the_key_is_read(spark):
         project = text[text.index("Exchange hashpartitioning(_record"):].split("Project [")[1].split("\n")[0]
         assert ("_record_rest" in project) == rest and ", 1, 16) AS _record" in project
     assert frame.where(frame["communication_record_key"] != key).count() == 0 < frame.count()
+
+
+def test_gates_are_about_tables_that_are_made_once(spark, monkeypatch):
+    """Landed tables are written once and read by all gates; records are chosen once for the checks and the mart, and by the baseline."""
+    asked = []
+    bronze = adapter.bronze
+    monkeypatch.setattr(adapter, "bronze", lambda spark, sf, name: asked.append(name) or bronze(spark, sf, name))
+    text = plan(queries.QUERIES["gates"](spark, SF_DIR))
+    assert sorted(asked) == sorted(queries.contracts.CONTRACTS)
+    assert "lineitem.parquet" not in text
+    assert not any("complaint_record_id" in line for line in re.findall(r"Exchange hashpartitioning.*", text))
+
+
+def test_keys_of_orphans_are_shuffled_as_bytes_if_they_are_digests(spark):
+    """Any other key is found as well, as it is spelled."""
+    digest = "0" + "ab" * 31 + "c"
+    keys = [digest, digest.upper(), digest[1:], "hot", "", "00", "0", "A0", "a0", None]
+    fact = spark.createDataFrame([(k,) for k in keys], "vehicle_key string")
+    dim = spark.createDataFrame([("hot",), ("a0",), (None,)], "vehicle_key string")
+    found = queries.star.orphan_keys(dim, {"f": fact, "g": fact.limit(0)})
+    expected = [("f", k) for k in keys if k is not None and k not in ("hot", "a0")]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+    text = plan(queries.star.orphan_keys(dim, {"f": queries.fact(spark, SF_DIR, "fuel")}))
+    assert "Exchange hashpartitioning(_packed" in text
+
+
+def test_the_baseline_shuffles_the_identity_once_to_choose_records(spark):
+    """Names and year are part of the key of two sources; spaces around ids and missing years make no other record."""
+    row = dict.fromkeys(queries.contracts.CONTRACTS["manufacturer_communications"], "")
+    given = {"nhtsa_communication_id": "1", "document_id": "d", "source_make": "A", "source_model": "B", "model_year": "2000", "nhtsa_components": "c"}
+    other = [{}, {"document_id": " d "}, {"source_make": "a "}, {"document_id": "e"}, {"document_id": " "}, {"document_id": None}, {"model_year": "x"}]
+    rows = [tuple({**row, **given, **o}.values()) for o in other]
+    landed = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in row))
+    records = queries.baseline._records(landed, "manufacturer_communications", adapter.SETTINGS)
+    kept = records.selectExpr("nullif(trim(document_id), '') AS id", "e_make", "e_year").collect()
+    assert sorted((r["id"] or "", r["e_make"], r["e_year"]) for r in kept) == [("", "A", 2000), ("d", "A", 2000), ("e", "A", 2000)]
+    text = plan(records.select("e_make", "e_model", "e_year", "document_id"))
+    shuffle = text[text.index("Exchange hashpartitioning("):]
+    names = re.findall(r"AS (\w+)#", shuffle[shuffle.index("Project ["):].split("\n")[0])
+    assert sorted(set(names) & {"r0", "r1", "r2", "r3", "r4", "r5"}) == ["r0", "r1", "r5"]
